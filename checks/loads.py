@@ -1,0 +1,419 @@
+"""Registered queries that write, load or refresh something and read it back."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from checks.inputs import PERSON_RULES, PERSON_SCHEMA, off_schema_lines, people, table
+from rowsieve.operators.aggregate import grouped_stats
+from rowsieve.operators.governance import publish_governed_view
+from rowsieve.operators.rules import compile_rules
+from rowsieve.operators.split import TRACE_COLUMN
+from rowsieve.plans.contract import parse_contract
+from rowsieve.plans.dataflow import run
+from rowsieve.plans.layers import quality_layers, refresh
+from rowsieve.scratch import new_dir
+from rowsieve.sinks.tables import (
+    append_path,
+    append_table,
+    overwrite_table,
+    read_merged,
+    set_clustering,
+    write_clustered_table,
+    write_json,
+)
+from rowsieve.sources.files import file_stream, infer_schema, read_files, read_table
+from rowsieve.sources.rescue import RESCUED, read_json_rescued
+from rowsieve.streaming.loads import (
+    PathSink,
+    append_stream,
+    drain,
+    read_loads,
+    read_side,
+    split_batch,
+    split_store,
+    split_stream,
+    write_load,
+)
+
+
+def _database(spark: SparkSession) -> str:
+    """A database of its own, with its tables in the shared folder."""
+    name = f"checks_{uuid.uuid4().hex}"
+    place = new_dir(spark, "database")
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{place}'")
+    return name
+
+
+def _landing(spark: SparkSession, sf_dir: str) -> str:
+    """The people as JSON lines in a directory that arrives file by file."""
+    path = f"{new_dir(spark, 'landing')}/person"
+    write_json(people(spark, sf_dir), path, n_files=None, mode="error")
+    return path
+
+
+def _stream(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    return file_stream(spark, _landing(spark, sf_dir), PERSON_SCHEMA, options=options)
+
+
+def _loaded(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    rows = _stream(spark, sf_dir)
+    rules = compile_rules(rows, PERSON_RULES)
+    out = new_dir(spark, "loads")
+    ok, ko = PathSink(f"{out}/ok", mode="overwrite"), PathSink(f"{out}/ko")
+    split_stream(rows, rules, ok, ko, f"{out}/checkpoint")
+    ko_schema = f"{PERSON_SCHEMA}, {TRACE_COLUMN} MAP<STRING,STRING>"
+    return (
+        read_loads(spark, ok.path, PERSON_SCHEMA),
+        read_loads(spark, ko.path, ko_schema),
+    )
+
+
+def _with_errors(ko: DataFrame) -> DataFrame:
+    errors = F.col(TRACE_COLUMN)
+    return ko.withColumns(
+        {"office_error": errors["office"], "age_error": errors["age"]}
+    ).drop(TRACE_COLUMN)
+
+
+def stream_split_ok(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _loaded(spark, sf_dir)[0]
+
+
+def stream_split_ko(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _with_errors(_loaded(spark, sf_dir)[1])
+
+
+def stream_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grouped_stats(_loaded(spark, sf_dir)[0], "office", "age")
+
+
+def _store(spark: SparkSession, sf_dir: str) -> str:
+    rows = _stream(spark, sf_dir)
+    path = new_dir(spark, "store")
+    rules = compile_rules(rows, PERSON_RULES)
+    split_store(rows, rules, f"{path}/rows", f"{path}/checkpoint")
+    return f"{path}/rows"
+
+
+def split_store_ok(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_side(spark, _store(spark, sf_dir), "ok", PERSON_SCHEMA)
+
+
+def split_store_ko(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _with_errors(read_side(spark, _store(spark, sf_dir), "ko", PERSON_SCHEMA))
+
+
+def split_store_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The store written from a batch frame, both sides counted."""
+    rows = people(spark, sf_dir)
+    path = new_dir(spark, "store")
+    split_batch(rows, compile_rules(rows, PERSON_RULES), path)
+    sides = [
+        read_side(spark, path, side, PERSON_SCHEMA)
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .withColumn("side", F.lit(side))
+        for side in ("ok", "ko")
+    ]
+    return sides[0].unionByName(sides[1])
+
+
+def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every batch written twice, as after a failure: each row is there once."""
+    rows = _stream(spark, sf_dir, maxFilesPerTrigger=1)
+    out = new_dir(spark, "replay")
+    sink = PathSink(f"{out}/rows", mode="overwrite")
+
+    def twice(batch: DataFrame, query_id: str, batch_id: int) -> None:
+        write_load(batch, sink, query_id, batch_id)
+        write_load(batch, sink, query_id, batch_id)
+
+    drain(rows, f"{out}/checkpoint", twice)
+    return read_loads(spark, sink.path, PERSON_SCHEMA)
+
+
+def stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two arrivals, three drains: new files are loaded once, the third finds nothing."""
+    landing, out = f"{new_dir(spark, 'landing')}/person", new_dir(spark, "incremental")
+    rows = people(spark, sf_dir)
+    sink = PathSink(f"{out}/rows")
+    for half in (0, 1, None):
+        if half is not None:
+            arrived = rows.filter(F.col("l_orderkey") % 2 == half)
+            write_json(arrived, landing, n_files=None)
+        stream = file_stream(spark, f"{landing}/*", PERSON_SCHEMA)
+        drain(
+            stream,
+            f"{out}/checkpoint",
+            lambda batch, query_id, batch_id: write_load(batch, sink, query_id, batch_id),
+        )
+    return read_loads(spark, sink.path, PERSON_SCHEMA)
+
+
+def stream_append_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = f"{_database(spark)}.person"
+    append_stream(_stream(spark, sf_dir), name, new_dir(spark, "checkpoint"))
+    return read_table(spark, name)
+
+
+def _rescued(spark: SparkSession, sf_dir: str, *, stream: bool) -> DataFrame:
+    path = f"{new_dir(spark, 'lines')}/person"
+    off_schema_lines(spark, sf_dir).write.text(path)
+    rows = read_json_rescued(spark, path, PERSON_SCHEMA, stream=stream)
+    schema = rows.schema
+    if stream:
+        out = new_dir(spark, "rescued")
+        sink = PathSink(f"{out}/rows")
+        drain(
+            rows,
+            f"{out}/checkpoint",
+            lambda batch, query_id, batch_id: write_load(batch, sink, query_id, batch_id),
+        )
+        rows = read_loads(spark, sink.path, schema)
+    rescued = F.col(RESCUED)
+    return rows.select(
+        *PERSON_NAMES,
+        F.size(rescued).alias("n_rescued"),
+        rescued["age"].alias("rescued_age"),
+        rescued["extra"].alias("rescued_extra"),
+        rescued["AGE"].alias("rescued_upper_age"),
+        "_corrupt_record",
+    ).withColumnRenamed("_corrupt_record", "corrupt_record")
+
+
+PERSON_NAMES = ("l_orderkey", "l_linenumber", "name", "age", "office")
+
+
+def stream_rescue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rescued(spark, sf_dir, stream=True)
+
+
+def batch_rescue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rescued(spark, sf_dir, stream=False)
+
+
+def strict_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same lines without rescue: what does not fit is NULL."""
+    path = f"{new_dir(spark, 'lines')}/person"
+    off_schema_lines(spark, sf_dir).write.text(path)
+    return read_files(spark, path, PERSON_SCHEMA)
+
+
+def inferred_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _landing(spark, sf_dir)
+    schema = infer_schema(spark, path)
+    rows = file_stream(spark, path, schema)
+    out = new_dir(spark, "inferred")
+    sink = PathSink(f"{out}/rows")
+    drain(
+        rows,
+        f"{out}/checkpoint",
+        lambda batch, query_id, batch_id: write_load(batch, sink, query_id, batch_id),
+    )
+    return read_loads(spark, sink.path, schema).select(*PERSON_NAMES)
+
+
+def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{new_dir(spark, 'json')}/customer"
+    customers = table(spark, sf_dir, "customer")
+    write_json(customers, path)
+    return read_files(spark, path, customers.schema)
+
+
+def table_overwrite_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overwritten twice, then appended to: one copy, and one more."""
+    name = f"{_database(spark)}.customer"
+    customers = table(spark, sf_dir, "customer")
+    overwrite_table(customers, name, comment="customers, it's a copy")
+    overwrite_table(customers, name)
+    append_table(customers, name)
+    return read_table(spark, name)
+
+
+def schema_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files with and without a column side by side in a directory."""
+    path = f"{new_dir(spark, 'merge')}/customer"
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    append_path(customers, path)
+    append_path(customers.withColumn("dt", F.lit("later")), path)
+    return read_merged(spark, path)
+
+
+def table_schema_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalog table that gains a column, and then gets rows without it."""
+    name = f"{_database(spark)}.customer"
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    append_table(customers, name, merge_schema=True)
+    append_table(customers.withColumn("dt", F.lit("later")), name, merge_schema=True)
+    append_table(customers.select("c_name", "c_custkey"), name, merge_schema=True)
+    return read_table(spark, name)
+
+
+def clustered_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = f"{_database(spark)}.person"
+    write_clustered_table(people(spark, sf_dir), name, "office")
+    set_clustering(spark, name, "office")
+    return read_table(spark, name)
+
+
+def governed_table_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load first, then governance: a catalog view over a written table."""
+    database = _database(spark)
+    overwrite_table(people(spark, sf_dir), f"{database}.person")
+    return publish_governed_view(spark, f"{database}.person_shown", f"{database}.person")
+
+
+def contract(root: str, landing: str) -> dict:
+    """A contract in the shape of the production one, with its summary and audit spelled out."""
+    return {
+        "name": "person-quality",
+        "sources": [{"name": "person_inputs", "path": f"{landing}/*", "format": "JSON"}],
+        "transformations": [
+            {
+                "name": "validation",
+                "type": "validate_fields",
+                "params": {"input": "person_inputs", "validations": PERSON_RULES},
+            }
+        ],
+        "sinks": [
+            {
+                "name": "person_ok",
+                "paths": ["{root}/{env_catalog}/events/person"],
+                "format": "PARQUET",
+                "mode": "OVERWRITE",
+            },
+            {
+                "name": "person_ko",
+                "input": "validation_ko",
+                "paths": ["{root}/{env_catalog}/discards/person"],
+                "format": "PARQUET",
+                "saveMode": "OVERWRITE",
+            },
+        ],
+        "summaries": [
+            {
+                "name": "person_gold_office_stats",
+                "input": "person_ok",
+                "by": "office",
+                "value": "age",
+                "path": "{root}/{env_catalog}/gold",
+            },
+            {
+                "name": "person_gold_from_parts",
+                "input": "person_ok",
+                "by": "office",
+                "value": "age",
+                "path": "{root}/{env_catalog}/gold_from_parts",
+                "parts": "{root}/{env_catalog}/gold_parts",
+            },
+        ],
+    }
+
+
+def _run_contract(spark: SparkSession, sf_dir: str, execution: str = "stream") -> str:
+    root = new_dir(spark, "flow")
+    params = {"env_catalog": "dev", "root": root}
+    flow = parse_contract(contract(root, _landing(spark, sf_dir)), params)
+    run(
+        flow,
+        spark,
+        params,
+        execution=execution,
+        checkpoint=f"{root}/checkpoint",
+        schemas={"person_inputs": PERSON_SCHEMA},
+        audit_path=f"{root}/audit",
+    )
+    return root
+
+
+def contract_ok(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _run_contract(spark, sf_dir)
+    rows = read_loads(spark, f"{root}/dev/events/person", f"{PERSON_SCHEMA}, dt STRING")
+    return rows.drop("dt")
+
+
+def contract_ko(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _run_contract(spark, sf_dir)
+    schema = f"{PERSON_SCHEMA}, dt STRING, {TRACE_COLUMN} MAP<STRING,STRING>"
+    return _with_errors(read_loads(spark, f"{root}/dev/discards/person", schema)).drop("dt")
+
+
+def contract_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{_run_contract(spark, sf_dir)}/dev/gold")
+
+
+def contract_gold_from_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{_run_contract(spark, sf_dir)}/dev/gold_from_parts")
+
+
+def contract_batch_ko(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _run_contract(spark, sf_dir, execution="batch")
+    return _with_errors(spark.read.parquet(f"{root}/dev/discards/person")).drop("dt")
+
+
+def audit_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    audit = spark.read.parquet(f"{_run_contract(spark, sf_dir)}/audit")
+    return audit.select("pipeline_name", "environment", "rows_ok", "rows_ko", "status")
+
+
+def _layers(spark: SparkSession, sf_dir: str) -> str:
+    database, landing = _database(spark), _landing(spark, sf_dir)
+    layers = quality_layers(
+        "person",
+        lambda: file_stream(spark, landing, PERSON_SCHEMA),
+        PERSON_RULES,
+        by="office",
+        value="age",
+    )
+    refresh(spark, layers, namespace=database, checkpoint=new_dir(spark, "checkpoint"))
+    return database
+
+
+def layered_ok(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.table(f"{_layers(spark, sf_dir)}.person_standard_ok").drop("dt")
+
+
+def layered_ko(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ko = spark.table(f"{_layers(spark, sf_dir)}.person_standard_ko")
+    return ko.select(
+        "l_orderkey", "l_linenumber", F.concat_ws(",", TRACE_COLUMN).alias("codes")
+    )
+
+
+def layered_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.table(f"{_layers(spark, sf_dir)}.person_gold_office_stats")
+
+
+QUERIES = {
+    "stream_split_ok": stream_split_ok,
+    "stream_split_ko": stream_split_ko,
+    "stream_gold": stream_gold,
+    "split_store_ok": split_store_ok,
+    "split_store_ko": split_store_ko,
+    "split_store_counts": split_store_counts,
+    "stream_replay": stream_replay,
+    "stream_incremental": stream_incremental,
+    "stream_append_table": stream_append_table,
+    "stream_rescue": stream_rescue,
+    "batch_rescue": batch_rescue,
+    "strict_schema": strict_schema,
+    "inferred_ingest": inferred_ingest,
+    "json_roundtrip": json_roundtrip,
+    "table_overwrite_append": table_overwrite_append,
+    "schema_merge": schema_merge,
+    "table_schema_merge": table_schema_merge,
+    "clustered_table": clustered_table,
+    "governed_table_view": governed_table_view,
+    "contract_ok": contract_ok,
+    "contract_ko": contract_ko,
+    "contract_gold": contract_gold,
+    "contract_gold_from_parts": contract_gold_from_parts,
+    "contract_batch_ko": contract_batch_ko,
+    "audit_row": audit_row,
+    "layered_ok": layered_ok,
+    "layered_ko": layered_ko,
+    "layered_gold": layered_gold,
+}
