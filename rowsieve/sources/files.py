@@ -8,11 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rowsieve.session import session_conf
+
 Schema = T.StructType | str
 
 # How many files schema inference looks at unless told otherwise.
 INFERENCE_FILES = 1000
 
+# Input of one micro-batch unless told otherwise: enough to keep a large cluster busy, and
+# little enough that a failed batch is cheap to repeat and its rows can be kept for two writes.
+BATCH_BYTES = 1 << 40
+BATCH_LIMITS = ("maxFilesPerTrigger", "maxBytesPerTrigger")
+
 
 def normalise_path(path: str) -> str:
     """A trailing ``/*`` names the directory itself; any other glob is left to Spark."""
@@ -25,6 +32,14 @@ def as_schema(schema: Schema) -> T.StructType:
     return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
 
+def bounded(options: Mapping[str, object] | None) -> dict[str, object]:
+    """Stream options with a limit on the size of a micro-batch."""
+    settings = dict(options or {})
+    if not any(limit.lower() in {key.lower() for key in settings} for limit in BATCH_LIMITS):
+        settings["maxBytesPerTrigger"] = BATCH_BYTES
+    return settings
+
+
 def file_stream(
     spark: SparkSession,
     path: str,
@@ -36,11 +51,11 @@ def file_stream(
     """Unbounded frame over the files of a directory; each file is processed once.
 
     The schema is fixed: extra JSON keys are dropped, values of another type become NULL.
-    ``maxFilesPerTrigger`` / ``maxBytesPerTrigger`` among the options bound a micro-batch, and
-    with it what has to be redone after a failure.
+    ``maxFilesPerTrigger`` / ``maxBytesPerTrigger`` among the options bound a micro-batch; the
+    default is ``BATCH_BYTES``. A drain goes on with further batches until no input is left.
     """
     reader = spark.readStream.format(fmt.lower()).schema(as_schema(schema))
-    return reader.options(**(options or {})).load(normalise_path(path))
+    return reader.options(**bounded(options)).load(normalise_path(path))
 
 
 def read_files(
@@ -80,10 +95,10 @@ def infer_schema(
     reader = spark.read.format(fmt.lower()).options(**(options or {}))
     if sample_files is None:
         return reader.load(path).schema
-    names = (
-        spark.read.format("binaryFile").load(path).select("path").orderBy("path").limit(sample_files)
-    )
-    sample = [row.path for row in names.collect()]
+    files = spark.read.format("binaryFile").load(path).select("path")
+    # Only names are read, so file sizes must not decide how many tasks list them.
+    with session_conf(spark, {"spark.sql.files.maxPartitionBytes": 1 << 50}):
+        sample = [row.path for row in files.orderBy("path").limit(sample_files).collect()]
     if not sample:
         raise ValueError(f"no files under {path} to infer a schema from")
     return reader.load(sample).schema

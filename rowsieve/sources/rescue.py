@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowsieve.sources.files import Schema, as_schema, normalise_path
+from rowsieve.sources.files import Schema, as_schema, bounded, normalise_path
 
 # Fixed value: the usual name of the column with the rescued values.
 RESCUED = "_rescued_data"
@@ -100,5 +100,6 @@ def read_json_rescued(
 ) -> DataFrame:
     """JSON lines of a directory through :func:`rescue_lines`, in batch or as a stream."""
     reader = spark.readStream if stream else spark.read
-    lines = reader.format("text").options(**(options or {})).load(normalise_path(path))
+    settings = bounded(options) if stream else dict(options or {})
+    lines = reader.format("text").options(**settings).load(normalise_path(path))
     return rescue_lines(lines.filter(F.trim("value") != ""), schema, rescued=rescued, corrupt=corrupt)

@@ -9,11 +9,11 @@ checkpoint, so a new checkpoint can never overwrite the loads of an older one.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator, Mapping, Sequence
-from contextlib import contextmanager
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from rowsieve.operators.metrics import observe_rules, observed_failures
 from rowsieve.operators.rules import Rule
 from rowsieve.operators.split import TRACE_COLUMN, annotate
+from rowsieve.session import session_conf
 from rowsieve.sinks.tables import DEFAULT_FORMAT, TRANSACTIONAL, quote_name, quote_text
 from rowsieve.sources.files import as_schema
 
@@ -88,9 +89,23 @@ def write_load(df: DataFrame, sink: PathSink, query_id: str, batch_id: int) -> s
 def read_loads(
     spark: SparkSession, path: str, schema: T.StructType | str, *, fmt: str = DEFAULT_FORMAT
 ) -> DataFrame:
-    """All loads of a sink. The declared schema also serves a sink that holds no rows yet."""
-    full = T.StructType([*as_schema(schema).fields, T.StructField(LOAD_COLUMN, T.StringType())])
-    return spark.read.format(fmt).schema(full).load(path).drop(LOAD_COLUMN)
+    """All loads of a sink. Thanks to the declared schema a sink without rows, or one that no
+    load has reached yet, is an empty relation."""
+    declared = as_schema(schema)
+    full = T.StructType([*declared.fields, T.StructField(LOAD_COLUMN, T.StringType())])
+    return _read_or_empty(spark, path, full, fmt).drop(LOAD_COLUMN)
+
+
+def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str) -> DataFrame:
+    reader = spark.read.format(fmt)
+    if fmt not in TRANSACTIONAL:
+        reader = reader.schema(schema)
+    try:
+        return reader.load(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def register_loads(
@@ -154,26 +169,12 @@ def drain(
     return query.id
 
 
-@contextmanager
-def _writers_open(spark: SparkSession, count: int) -> Iterator[None]:
-    """Let a task keep ``count`` partition files open, which saves sorting its rows first."""
-    key = "spark.sql.maxConcurrentOutputFileWriters"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, count)
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
-
-
 def write_judged(judged: DataFrame, path: str, *, fmt: str = DEFAULT_FORMAT, column: str) -> None:
     """One pass for both sides: rows go to ``verdict=ok`` or ``verdict=ko`` below ``path``."""
     verdict = F.when(F.size(column) == 0, F.lit(OK)).otherwise(F.lit(KO))
-    spark = judged.sparkSession
-    with _writers_open(spark, 4):
+    # A task keeps a file open per side instead of sorting its rows by side first.
+    open_files = {"spark.sql.maxConcurrentOutputFileWriters": 2}
+    with session_conf(judged.sparkSession, open_files):
         rows = judged.withColumn(VERDICT_COLUMN, verdict)
         writer = rows.write.format(fmt).mode("overwrite")
         writer = writer.option("partitionOverwriteMode", "static")
@@ -231,7 +232,7 @@ def read_side(
         T.StructField(VERDICT_COLUMN, T.StringType()),
     ]
     full = T.StructType([*as_schema(schema).fields, trace, *layout])
-    rows = spark.read.format(fmt).schema(full).load(path)
+    rows = _read_or_empty(spark, path, full, fmt)
     rows = rows.filter(F.col(VERDICT_COLUMN) == side).drop(LOAD_COLUMN, VERDICT_COLUMN)
     return rows.drop(column) if side == OK else rows
 
