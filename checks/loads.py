@@ -95,7 +95,7 @@ def _store(spark: SparkSession, sf_dir: str) -> str:
     rows = _stream(spark, sf_dir)
     path = new_dir(spark, "store")
     rules = compile_rules(rows, PERSON_RULES)
-    split_store(rows, rules, f"{path}/rows", f"{path}/checkpoint")
+    split_store(rows, rules, PathSink(f"{path}/rows"), f"{path}/checkpoint")
     return f"{path}/rows"
 
 
@@ -111,7 +111,7 @@ def split_store_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The store written from a batch frame, both sides counted."""
     rows = people(spark, sf_dir)
     path = new_dir(spark, "store")
-    split_batch(rows, compile_rules(rows, PERSON_RULES), path)
+    split_batch(rows, compile_rules(rows, PERSON_RULES), PathSink(path))
     sides = [
         read_side(spark, path, side, PERSON_SCHEMA)
         .agg(F.count(F.lit(1)).alias("rows"))
@@ -292,6 +292,12 @@ def contract(root: str, landing: str) -> dict:
                 "format": "PARQUET",
                 "saveMode": "OVERWRITE",
             },
+            {
+                "name": "person_store",
+                "input": "validation",
+                "paths": ["{root}/{env_catalog}/store"],
+                "format": "PARQUET",
+            },
         ],
         "summaries": [
             {
@@ -341,6 +347,11 @@ def contract_ko(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_errors(read_loads(spark, f"{root}/dev/discards/person", schema)).drop("dt")
 
 
+def contract_store_ko(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{_run_contract(spark, sf_dir)}/dev/store"
+    return _with_errors(read_side(spark, path, "ko", f"{PERSON_SCHEMA}, dt STRING")).drop("dt")
+
+
 def contract_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{_run_contract(spark, sf_dir)}/dev/gold")
 
@@ -409,6 +420,7 @@ QUERIES = {
     "governed_table_view": governed_table_view,
     "contract_ok": contract_ok,
     "contract_ko": contract_ko,
+    "contract_store_ko": contract_store_ko,
     "contract_gold": contract_gold,
     "contract_gold_from_parts": contract_gold_from_parts,
     "contract_batch_ko": contract_batch_ko,

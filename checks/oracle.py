@@ -180,6 +180,7 @@ ORACLE = {
     "governed_table_view": f"{GOVERNED_OUTSIDER} WHERE office = 'RIO'",
     "contract_ok": VALID,
     "contract_ko": REJECTED_FIRST,
+    "contract_store_ko": REJECTED_FIRST,
     "contract_gold": GOLD,
     "contract_gold_from_parts": GOLD,
     "contract_batch_ko": REJECTED_FIRST,

@@ -32,8 +32,12 @@ def is_ko(rules: Sequence[Rule]) -> Column:
     return reduce(or_, (rule.failed() for rule in rules), F.lit(False))
 
 
-# The traces below drop "passed" entries with array_remove on a marker instead of a lambda:
-# higher-order functions are interpreted and keep their operator out of whole-stage codegen.
+# The traces below use no lambdas: higher-order functions are interpreted and keep their
+# operator out of whole-stage codegen. "Passed" entries are a marker that array_remove drops,
+# or an empty map that map_concat swallows.
+
+_NO_MAP = "map<string,string>"
+_NO_FULL_MAP = "map<string,array<string>>"
 
 
 def _codes(rules: Sequence[Rule]) -> Column:
@@ -48,14 +52,6 @@ def _by_field(rules: Sequence[Rule]) -> dict[str, list[Rule]]:
     return fields
 
 
-def _entry(key: Column, value: Column) -> Column:
-    return F.struct(key.alias("key"), value.alias("value"))
-
-
-def _entries(marked: list[Column], marker: Column) -> Column:
-    return F.map_from_entries(F.array_remove(F.array(*marked), marker))
-
-
 def array_trace(rules: Sequence[Rule]) -> Column:
     """``array<string>`` of the failed codes in rule order; empty for a clean row."""
     if not rules:
@@ -65,29 +61,26 @@ def array_trace(rules: Sequence[Rule]) -> Column:
 
 def map_trace(rules: Sequence[Rule]) -> Column:
     """``map<string,string>`` field → first failing code; one entry per field at most."""
-    if not rules:
-        return F.create_map().cast("map<string,string>")
-    marker = _entry(F.lit(""), F.lit(""))
-    marked = []
+    nothing = F.create_map().cast(_NO_MAP)
+    entries = []
     for field, checks in _by_field(rules).items():
-        entry = marker
+        entry = nothing
         for rule in reversed(checks):
-            entry = F.when(rule.failed(), _entry(F.lit(field), F.lit(rule.code))).otherwise(entry)
-        marked.append(entry)
-    return _entries(marked, marker)
+            failure = F.create_map(F.lit(field), F.lit(rule.code))
+            entry = F.when(rule.failed(), failure).otherwise(entry)
+        entries.append(entry)
+    return F.map_concat(*entries) if entries else nothing
 
 
 def full_trace(rules: Sequence[Rule]) -> Column:
     """``map<string,array<string>>`` field → every failed code, in rule order."""
-    if not rules:
-        return F.create_map().cast("map<string,array<string>>")
-    marker = _entry(F.lit(""), F.array(F.lit("")))
-    marked = []
+    nothing = F.create_map().cast(_NO_FULL_MAP)
+    entries = []
     for field, checks in _by_field(rules).items():
-        entry = _entry(F.lit(field), _codes(checks))
         broken = reduce(or_, (rule.failed() for rule in checks))
-        marked.append(F.when(broken, entry).otherwise(marker))
-    return _entries(marked, marker)
+        entry = F.create_map(F.lit(field), _codes(checks))
+        entries.append(F.when(broken, entry).otherwise(nothing))
+    return F.map_concat(*entries) if entries else nothing
 
 
 def trace(rules: Sequence[Rule], kind: str = "map") -> Column:

@@ -38,7 +38,8 @@ class Source:
 
 @dataclass(frozen=True)
 class Step:
-    """``validate_fields`` gives ``<name>_ok`` and ``<name>_ko``, ``add_timestamp`` ``<name>``."""
+    """``add_timestamp`` gives ``<name>``. ``validate_fields`` gives ``<name>_ok`` and
+    ``<name>_ko``, and for sinks that keep both sides in one store, ``<name>`` itself."""
 
     name: str
     type: str
@@ -93,9 +94,12 @@ class Dataflow:
         """What each step output is made from."""
         return {output: step.input for step in self.steps for output in step.outputs}
 
+    def validations(self) -> dict[str, Step]:
+        return {step.name: step for step in self.steps if step.type == VALIDATE}
+
     def origin(self, name: str) -> str:
         """The source that ``name`` descends from."""
-        parents = self.parents()
+        parents = self.parents() | {n: step.input for n, step in self.validations().items()}
         while name in parents:
             name = parents[name]
         return name
@@ -150,7 +154,7 @@ def _steps(specs: Sequence[Mapping], sources: Sequence[Source]) -> tuple[Step, .
         step = Step(spec.get("name") or f"step{position}", kind, source_input, params)
         if kind == VALIDATE and not isinstance(params.get("validations", []), list):
             raise ContractError(f"step {step.name!r}: validations must be a list")
-        clash = set(step.outputs) & set(known)
+        clash = {*step.outputs, step.name} & {*known, *(other.name for other in steps)}
         if clash:
             raise ContractError(f"step {step.name!r} redefines {sorted(clash)}")
         known.extend(step.outputs)
@@ -182,12 +186,15 @@ def _sink(spec: Mapping, steps, sources, aliases: Mapping[str, str]) -> Sink:
     wanted = aliases.get(wanted, wanted)
     known = [source.name for source in sources]
     known += [output for step in steps for output in step.outputs]
-    if wanted not in known:
+    stores = [step.name for step in steps if step.type == VALIDATE]
+    if wanted not in known + stores:
         raise ContractError(f"sink {name!r}: input {wanted!r} is unknown; there are {known}")
     mode = str(spec.get("mode") or spec.get("saveMode") or "append").lower()
     if mode not in ("append", "overwrite"):
         raise ContractError(f"sink {name!r}: mode {mode!r} is neither append nor overwrite")
     cluster = spec.get("cluster_by") or ()
+    if wanted in stores and (cluster or spec.get("table")):
+        raise ContractError(f"sink {name!r}: a store has no cluster_by and no table")
     return Sink(
         name=name,
         paths=tuple(_path(path, f"sink {name!r}") for path in paths),

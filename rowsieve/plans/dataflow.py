@@ -8,9 +8,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowsieve.operators.aggregate import grouped_stats, merge_stats, partial_stats
@@ -22,7 +20,16 @@ from rowsieve.plans.contract import ENVIRONMENT, VALIDATE, Dataflow, Sink, Sourc
 from rowsieve.sinks.tables import append_table, clustered, overwrite_table, write_noop, write_path
 from rowsieve.sources.files import Schema, as_schema, file_stream, infer_schema, read_files
 from rowsieve.sources.rescue import read_json_rescued
-from rowsieve.streaming.loads import PathSink, drain, read_loads, register_loads, write_load
+from rowsieve.streaming.loads import (
+    OK,
+    PathSink,
+    drain,
+    read_loads,
+    read_side,
+    register_loads,
+    write_load,
+    write_store,
+)
 
 AUDIT_SCHEMA = (
     "pipeline_name STRING, environment STRING, rows_ok BIGINT, rows_ko BIGINT, "
@@ -32,7 +39,7 @@ AUDIT_SCHEMA = (
 
 @dataclass
 class RunReport:
-    """What a run did. Row counts are those of the last validate step of each source."""
+    """What a run did. Row counts are those of each source's last validate step."""
 
     name: str
     environment: str
@@ -60,14 +67,18 @@ class RunOptions:
 
 
 class _Bound:
-    """The steps below one source, bound to a frame of that source."""
+    """The steps below one source, bound to a frame of that source.
+
+    Nothing is cached: every write is a plan of its own over the source, with the verdict
+    pushed into the scan where the format allows it.
+    """
 
     def __init__(self, flow: Dataflow, source: Source, frame: DataFrame, options: RunOptions):
         self.frames: dict[str, DataFrame] = {source.name: frame}
         self.rules: dict[str, list[Rule]] = {}
+        self._steps: list[Step] = []
         self._options = options
-        self._kept: list[DataFrame] = []
-        self._renamed: dict[str, str] = {}
+        self._same_rows: dict[str, str] = {}
         self._seen: dict[str, Observation] = {}
         for step in flow.steps:
             if step.input in self.frames:
@@ -79,7 +90,7 @@ class _Bound:
             return
         column, kind = step.params.get("column", "dt"), step.params.get("as", "string")
         self.frames[step.name] = add_processing_time(frame, column=column, as_type=kind)
-        self._renamed[step.name] = step.input
+        self._same_rows[step.name] = step.input
 
     def _validate(self, step: Step, frame: DataFrame) -> None:
         options = self._options
@@ -90,48 +101,50 @@ class _Bound:
             nulls=options.nulls,
             on_unknown=options.on_unknown,
         )
-        if options.execution == "stream" and not frame.isStreaming:
-            # A micro-batch is bounded: judge it once and keep it for all writes that follow.
-            judged = annotate(frame, rules, kind=options.trace)
-            judged = judged.persist(StorageLevel.MEMORY_AND_DISK)
-            self._kept.append(judged)
-            clean = F.size(TRACE_COLUMN) == 0
-            ok, ko = judged.filter(clean).drop(TRACE_COLUMN), judged.filter(~clean)
-        else:
-            # A whole source is not: scan it per side, with the verdict pushed into the scan.
-            ok, ko = split(frame, rules, kind=options.trace)
         name_ok, name_ko = step.outputs
-        self.frames[name_ok], self.frames[name_ko] = ok, ko
-        self.rules[name_ok], self.rules[name_ko] = [], rules
+        self.frames[name_ok], self.frames[name_ko] = split(frame, rules, kind=options.trace)
+        self.frames[step.name] = annotate(frame, rules, kind=options.trace)
+        self.rules |= {name_ok: [], name_ko: rules, step.name: rules}
+        self._steps.append(step)
 
     def counted(self, name: str, frame: DataFrame) -> DataFrame:
-        """``frame``, as it is about to be written, with the counts of the side it holds.
+        """``frame``, as it is about to be written, with the counts of the rows it holds.
 
         Counting sits in the last stage, above any shuffle: there Spark counts each task once,
         whatever had to be repeated.
         """
-        while name in self._renamed:
-            name = self._renamed[name]
+        while name in self._same_rows:
+            name = self._same_rows[name]
         if name not in self.rules or name in self._seen:
             return frame
         frame, self._seen[name] = observe_rules(frame, self.rules[name], f"{name}-{uuid.uuid4()}")
         return frame
 
     def uncounted(self) -> list[str]:
-        return [name for name in self.rules if name not in self._seen]
+        """Sides that no sink has written and that no store includes."""
+        return [
+            side
+            for step in self._steps
+            if step.name not in self._seen
+            for side in step.outputs
+            if side not in self._seen
+        ]
 
     def add_counts(self, report: RunReport) -> None:
-        names = list(self.rules)
-        for name, rules in self.rules.items():
-            for code, failed in observed_failures(self._seen[name].get, rules).items():
+        for step in self._steps:
+            ok, ko = step.outputs
+            if step.name in self._seen:
+                counts = self._seen[step.name].get
+                rows_ko = counts["rows_ko"]
+                rows_ok = counts["rows"] - rows_ko
+            else:
+                counts = self._seen[ko].get
+                rows_ok, rows_ko = self._seen[ok].get["rows"], counts["rows"]
+            for code, failed in observed_failures(counts, self.rules[step.name]).items():
                 report.failures[code] = report.failures.get(code, 0) + failed
-        if names:
-            report.rows_ok += self._seen[names[-2]].get["rows"]
-            report.rows_ko += self._seen[names[-1]].get["rows"]
-
-    def close(self) -> None:
-        for frame in self._kept:
-            frame.unpersist()
+        if self._steps:
+            report.rows_ok += rows_ok
+            report.rows_ko += rows_ko
 
 
 def _source_schema(spark: SparkSession, source: Source, options: RunOptions) -> T.StructType:
@@ -164,20 +177,40 @@ def _fed_by(flow: Dataflow, source: Source) -> tuple[list[Sink], list[Summary]]:
     return sinks, [summary for summary in flow.summaries if summary.input in names]
 
 
-def _write_all(bound: _Bound, sinks, summaries, write) -> None:
+@dataclass(frozen=True)
+class _Target:
+    """Where one pass over a source puts its rows: a load of a stream, or the sink as such."""
+
+    query_id: str | None = None
+    batch_id: int | None = None
+
+    def write(self, df: DataFrame, sink: PathSink) -> None:
+        if self.query_id is None:
+            write_path(df, sink.path, fmt=sink.fmt, mode=sink.mode)
+        else:
+            write_load(df, sink, self.query_id, self.batch_id)
+
+    def write_store(self, judged: DataFrame, sink: PathSink) -> None:
+        write_store(judged, sink, self.query_id or "batch", self.batch_id or 0)
+
+
+def _write_all(flow: Dataflow, bound: _Bound, sinks, summaries, target: _Target) -> None:
+    stores = flow.validations()
     for sink in sinks:
         frame = bound.frames[sink.input]
         if sink.cluster_by:
             frame = clustered(frame, sink.cluster_by)
         frame = bound.counted(sink.input, frame)
+        write = target.write_store if sink.input in stores else target.write
         for path in sink.paths:
             write(frame, PathSink(path, sink.fmt, sink.mode))
     by_name = {sink.name: sink for sink in sinks}
     for summary in summaries:
         if summary.parts:
             sink = by_name[summary.input]
-            parts = partial_stats(bound.frames[sink.input], summary.by, summary.value)
-            write(parts, PathSink(summary.parts, summary.fmt, sink.mode))
+            name = sink.input if sink.input not in stores else stores[sink.input].outputs[0]
+            parts = partial_stats(bound.frames[name], summary.by, summary.value)
+            target.write(parts, PathSink(summary.parts, summary.fmt, sink.mode))
     for name in bound.uncounted():
         write_noop(bound.counted(name, bound.frames[name]))
 
@@ -194,55 +227,54 @@ def _load_source(
     schemas = {sink.name: shape.frames[sink.input].schema for sink in sinks}
 
     if not stream:
-        _write_all(
-            shape,
-            sinks,
-            summaries,
-            lambda df, sink: write_path(df, sink.path, fmt=sink.fmt, mode=sink.mode),
-        )
+        _write_all(flow, shape, sinks, summaries, _Target())
         shape.add_counts(report)
         return schemas
 
     def each_batch(batch: DataFrame, query_id: str, batch_id: int) -> None:
         bound = _Bound(flow, source, batch, options)
-        try:
-            _write_all(
-                bound,
-                sinks,
-                summaries,
-                lambda df, sink: write_load(df, sink, query_id, batch_id),
-            )
-            bound.add_counts(report)
-            report.loads.append(f"{query_id}-{batch_id}")
-        finally:
-            bound.close()
+        _write_all(flow, bound, sinks, summaries, _Target(query_id, batch_id))
+        bound.add_counts(report)
+        report.loads.append(f"{query_id}-{batch_id}")
 
     drain(frame, f"{options.checkpoint.rstrip('/')}/{source.name}", each_batch)
     return schemas
 
 
 def read_sink(
-    spark: SparkSession, sink: Sink, schema: T.StructType, *, execution: str = "stream"
+    spark: SparkSession,
+    flow: Dataflow,
+    name: str,
+    schema: T.StructType,
+    *,
+    execution: str = "stream",
 ) -> DataFrame:
-    """Rows of a sink's first path; a sink that was never written has none."""
+    """The rows of a sink, given the schema of its input; of a store, the valid ones."""
+    sink = next(sink for sink in flow.sinks if sink.name == name)
+    path = sink.paths[0]
+    if sink.input in flow.validations():
+        columns = T.StructType([field for field in schema.fields if field.name != TRACE_COLUMN])
+        trace = schema[TRACE_COLUMN].dataType.simpleString()
+        return read_side(spark, path, OK, columns, trace_type=trace, fmt=sink.fmt)
     if execution == "stream":
-        return read_loads(spark, sink.paths[0], schema, fmt=sink.fmt)
-    return spark.read.format(sink.fmt).schema(schema).load(sink.paths[0])
+        return read_loads(spark, path, schema, fmt=sink.fmt)
+    return spark.read.format(sink.fmt).schema(schema).load(path)
 
 
 def _summarise(spark: SparkSession, flow: Dataflow, schemas, options: RunOptions) -> None:
-    sinks = {sink.name: sink for sink in flow.sinks}
     for summary in flow.summaries:
-        sink = sinks[summary.input]
+        schema = schemas[summary.input]
         if summary.parts:
-            example = spark.createDataFrame([], schemas[sink.name])
-            schema = partial_stats(example, summary.by, summary.value).schema
-            parts = replace(sink, paths=(summary.parts,), fmt=summary.fmt)
-            frame = read_sink(spark, parts, schema, execution=options.execution)
-            result = merge_stats(frame, summary.by)
+            shape = spark.createDataFrame([], schema)
+            schema = partial_stats(shape, summary.by, summary.value).schema
+            if options.execution == "stream":
+                parts = read_loads(spark, summary.parts, schema, fmt=summary.fmt)
+            else:
+                parts = spark.read.format(summary.fmt).schema(schema).load(summary.parts)
+            result = merge_stats(parts, summary.by)
         else:
-            frame = read_sink(spark, sink, schemas[sink.name], execution=options.execution)
-            result = grouped_stats(frame, summary.by, summary.value)
+            rows = read_sink(spark, flow, summary.input, schema, execution=options.execution)
+            result = grouped_stats(rows, summary.by, summary.value)
         if summary.table:
             overwrite_table(result, summary.table, fmt=summary.fmt)
         if summary.path:

@@ -12,7 +12,6 @@ import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +19,7 @@ from pyspark.sql import types as T
 
 from rowsieve.operators.metrics import observe_rules, observed_failures
 from rowsieve.operators.rules import Rule
-from rowsieve.operators.split import TRACE_COLUMN, annotate
+from rowsieve.operators.split import TRACE_COLUMN, annotate, split
 from rowsieve.session import session_conf
 from rowsieve.sinks.tables import DEFAULT_FORMAT, TRANSACTIONAL, quote_name, quote_text
 from rowsieve.sources.files import as_schema
@@ -169,27 +168,40 @@ def drain(
     return query.id
 
 
-def write_judged(judged: DataFrame, path: str, *, fmt: str = DEFAULT_FORMAT, column: str) -> None:
-    """One pass for both sides: rows go to ``verdict=ok`` or ``verdict=ko`` below ``path``."""
+def write_store(
+    judged: DataFrame,
+    sink: PathSink,
+    query_id: str,
+    batch_id: int,
+    *,
+    column: str = TRACE_COLUMN,
+) -> str:
+    """One pass for both sides: rows go to ``verdict=ok`` or ``verdict=ko`` of this load."""
+    load = f"{query_id}-{batch_id}"
     verdict = F.when(F.size(column) == 0, F.lit(OK)).otherwise(F.lit(KO))
+    rows = judged.withColumn(VERDICT_COLUMN, verdict)
+    replace_all = sink.mode == "overwrite" and batch_id == 0
+    target, layout = f"{sink.path.rstrip('/')}/{LOAD_COLUMN}={load}", [VERDICT_COLUMN]
+    if replace_all:
+        rows = rows.withColumn(LOAD_COLUMN, F.lit(load))
+        target, layout = sink.path, [LOAD_COLUMN, VERDICT_COLUMN]
     # A task keeps a file open per side instead of sorting its rows by side first.
     open_files = {"spark.sql.maxConcurrentOutputFileWriters": 2}
     with session_conf(judged.sparkSession, open_files):
-        rows = judged.withColumn(VERDICT_COLUMN, verdict)
-        writer = rows.write.format(fmt).mode("overwrite")
+        writer = rows.write.format(sink.fmt).mode("overwrite")
         writer = writer.option("partitionOverwriteMode", "static")
-        writer.partitionBy(VERDICT_COLUMN).save(path)
+        writer.partitionBy(*layout).save(target)
+    return load
 
 
 def split_store(
     df: DataFrame,
     rules: Sequence[Rule],
-    path: str,
+    store: PathSink,
     checkpoint: str,
     *,
     kind: str = "map",
     column: str = TRACE_COLUMN,
-    fmt: str = DEFAULT_FORMAT,
 ) -> LoadReport:
     """Drain a stream into one store that holds both sides as partitions.
 
@@ -199,10 +211,9 @@ def split_store(
     report = LoadReport()
 
     def each_batch(batch: DataFrame, query_id: str, batch_id: int) -> None:
-        load = f"{query_id}-{batch_id}"
         observed, observation = observe_rules(batch, rules, f"split-{uuid.uuid4()}")
         judged = annotate(observed, rules, kind=kind, column=column)
-        write_judged(judged, f"{path.rstrip('/')}/{LOAD_COLUMN}={load}", fmt=fmt, column=column)
+        load = write_store(judged, store, query_id, batch_id, column=column)
         counts = observation.get
         report.add(load, counts["rows"], counts["rows_ko"], observed_failures(counts, rules))
 
@@ -249,39 +260,37 @@ def split_stream(
 ) -> LoadReport:
     """Drain a stream into separate places for valid and rejected rows.
 
-    A batch is judged once and kept (in memory, spilling to disk) for the two writes; its size
-    is bounded by the source's ``maxFilesPerTrigger`` / ``maxBytesPerTrigger``. Lost blocks are
-    computed again from the batch's files.
+    Each side scans the files of the batch. Keeping the batch in between costs more than
+    reading it again, and :func:`split_store` needs neither.
     """
     report = LoadReport()
 
     def each_batch(batch: DataFrame, query_id: str, batch_id: int) -> None:
-        judged = annotate(batch, rules, kind=kind, column=column)
-        judged = judged.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            clean = F.size(column) == 0
-            tag = uuid.uuid4()
-            valid, seen_ok = observe_rules(judged.filter(clean).drop(column), [], f"ok-{tag}")
-            rejected, seen_ko = observe_rules(judged.filter(~clean), rules, f"ko-{tag}")
-            write_load(valid, ok, query_id, batch_id)
-            load = write_load(rejected, ko, query_id, batch_id)
-            counts = seen_ko.get
-            rows_ko = counts["rows"]
-            rows = seen_ok.get["rows"] + rows_ko
-            report.add(load, rows, rows_ko, observed_failures(counts, rules))
-        finally:
-            judged.unpersist()
+        tag = uuid.uuid4()
+        sides = split(batch, rules, kind=kind, column=column)
+        valid, seen_ok = observe_rules(sides.ok, [], f"ok-{tag}")
+        rejected, seen_ko = observe_rules(sides.ko, rules, f"ko-{tag}")
+        write_load(valid, ok, query_id, batch_id)
+        load = write_load(rejected, ko, query_id, batch_id)
+        counts = seen_ko.get
+        rows = seen_ok.get["rows"] + counts["rows"]
+        report.add(load, rows, counts["rows"], observed_failures(counts, rules))
 
     drain(df, checkpoint, each_batch)
     return report
 
 
-def split_batch(df: DataFrame, rules: Sequence[Rule], path: str, **options) -> None:
+def split_batch(
+    df: DataFrame,
+    rules: Sequence[Rule],
+    store: PathSink,
+    *,
+    kind: str = "map",
+    column: str = TRACE_COLUMN,
+) -> None:
     """The store of :func:`split_store` for a batch frame: one pass, replaced as a whole."""
-    column = options.pop("column", TRACE_COLUMN)
-    kind = options.pop("kind", "map")
-    load = f"{path.rstrip('/')}/{LOAD_COLUMN}=batch"
-    write_judged(annotate(df, rules, kind=kind, column=column), load, column=column, **options)
+    judged = annotate(df, rules, kind=kind, column=column)
+    write_store(judged, store, "batch", 0, column=column)
 
 
 def append_stream(

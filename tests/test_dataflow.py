@@ -8,7 +8,7 @@ from rowsieve.operators.split import TRACE_COLUMN, split
 from rowsieve.plans.contract import parse_contract
 from rowsieve.plans.dataflow import AUDIT_SCHEMA, run
 from rowsieve.sources.files import read_files
-from rowsieve.streaming.loads import read_loads
+from rowsieve.streaming.loads import read_loads, read_side
 
 from conftest import PRODUCTION_RULES, multiset
 
@@ -226,3 +226,35 @@ def test_bad_options(spark, root):
         go(spark, root, execution="sometimes")
     with pytest.raises(ValueError, match="checkpoint"):
         go(spark, root, checkpoint=None)
+
+
+@pytest.mark.parametrize("mode", ["append", "overwrite"])
+def test_one_store_for_both_sides(spark, root, mode):
+    sinks = [{"name": "store", "input": "validation", "paths": [f"{root}/store"], "mode": mode}]
+    summaries = [
+        {"name": "g1", "input": "store", "by": "office", "value": "age", "path": f"{root}/gold"},
+        {"name": "g2", "input": "store", "by": "office", "value": "age", "path": f"{root}/gold2", "parts": f"{root}/parts"},
+    ]
+    flow = flow_for(root, sinks=sinks, summaries=summaries)
+    first = go(spark, root, flow)
+    people_from_ids(spark.range(500, 600, 1, 2)).write.mode("append").json(str(root / "in"))
+    second = go(spark, root, flow)
+    expected = expected_split(spark, root)
+    ok = read_side(spark, f"{root}/store", "ok", OK)
+    ko = read_side(spark, f"{root}/store", "ko", OK)
+    assert multiset(ok.drop("dt")) == multiset(expected.ok)
+    assert multiset(ko.drop("dt")) == multiset(expected.ko)
+    assert first.rows_ok + second.rows_ok == ok.count()
+    assert first.rows_ko + second.rows_ko == ko.count()
+    assert first.failures["isAdult"] + second.failures["isAdult"] == expected.ko.filter("age < 18").count()
+    gold = multiset(spark.read.parquet(f"{root}/gold"))
+    assert gold == multiset(spark.read.parquet(f"{root}/gold2")) and len(gold) == 2
+
+    before = ok.count()
+    restarted = go(spark, root, flow, checkpoint=f"{root}/c2")
+    after = read_side(spark, f"{root}/store", "ok", OK).count()
+    assert restarted.rows_ok == before
+    assert after == (before if mode == "overwrite" else 2 * before)
+    if mode == "overwrite":
+        go(spark, root, flow, execution="batch", checkpoint=None)
+        assert read_side(spark, f"{root}/store", "ok", OK).count() == restarted.rows_ok

@@ -50,7 +50,7 @@ def test_only_new_files_are_loaded(spark, landing, tmp_path, rules, kind):
 
     def load():
         if kind == "store":
-            return split_store(stream, compiled, str(tmp_path / "store"), checkpoint)
+            return split_store(stream, compiled, PathSink(str(tmp_path / "store")), checkpoint)
         return split_stream(stream, compiled, ok, ko, checkpoint)
 
     def sides():
@@ -82,7 +82,9 @@ def test_only_new_files_are_loaded(spark, landing, tmp_path, rules, kind):
 def test_a_drain_takes_as_many_batches_as_it_needs(spark, landing, tmp_path, rules):
     landing(600, 900, files=3)
     stream = stream_of(spark, landing, maxFilesPerTrigger=1)
-    report = split_store(stream, compile_rules(stream, rules), str(tmp_path / "s"), str(tmp_path / "c"))
+    report = split_store(
+        stream, compile_rules(stream, rules), PathSink(str(tmp_path / "s")), str(tmp_path / "c")
+    )
     assert len(report.loads) == 5 and report.rows_ok + report.rows_ko == 900
 
 
@@ -137,7 +139,7 @@ def test_no_rules_on_a_stream(spark, landing, tmp_path):
     assert result.ko.isStreaming
     append_stream(result.ko, "no_rules_ko", str(tmp_path / "c"))
     assert spark.table("no_rules_ko").count() == 0
-    report = split_store(stream, [], str(tmp_path / "store"), str(tmp_path / "c2"))
+    report = split_store(stream, [], PathSink(str(tmp_path / "store")), str(tmp_path / "c2"))
     assert (report.rows_ok, report.rows_ko, report.failures) == (600, 0, {})
     assert read_side(spark, str(tmp_path / "store"), "ko", PERSON_SCHEMA).count() == 0
 
@@ -156,7 +158,7 @@ def test_streaming_frames_can_be_split_directly(spark, landing, tmp_path, rules,
 def test_batch_store(spark, people, tmp_path, rules):
     compiled = compile_rules(people, rules)
     for _ in range(2):
-        split_batch(people, compiled, str(tmp_path / "store"), kind="array")
+        split_batch(people, compiled, PathSink(str(tmp_path / "store")), kind="array")
     ko = read_side(spark, str(tmp_path / "store"), "ko", people.schema, trace_type="array<string>")
     assert multiset(ko) == multiset(split(people, compiled, kind="array").ko)
     with pytest.raises(ValueError):
@@ -183,5 +185,5 @@ def test_observed_metrics_on_a_stream(spark, landing, tmp_path, rules):
 def test_the_session_keeps_its_settings(spark, people, tmp_path, rules):
     key = "spark.sql.maxConcurrentOutputFileWriters"
     before = spark.conf.get(key)
-    split_batch(people, compile_rules(people, rules), str(tmp_path / "store"))
+    split_batch(people, compile_rules(people, rules), PathSink(str(tmp_path / "store")))
     assert spark.conf.get(key) == before
