@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from checks.inputs import PERSON_RULES, PERSON_SCHEMA, off_schema_lines, people, table
 from rowsieve.operators.aggregate import grouped_stats
-from rowsieve.operators.governance import publish_governed_view
+from rowsieve.operators.governance import publish_governed_view, use_namespace
 from rowsieve.operators.rules import compile_rules
 from rowsieve.operators.split import TRACE_COLUMN
 from rowsieve.plans.contract import parse_contract
@@ -252,6 +252,18 @@ def table_schema_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, name)
 
 
+def namespaced_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table written and read by its short name inside a namespace."""
+    before = spark.catalog.currentDatabase()
+    rows = table(spark, sf_dir, "supplier")
+    try:
+        use_namespace(spark, _database(spark), "spark_catalog")
+        overwrite_table(rows, "supplier")
+        return read_table(spark, "supplier")
+    finally:
+        use_namespace(spark, before)
+
+
 def clustered_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = f"{_database(spark)}.person"
     write_clustered_table(people(spark, sf_dir), name, "office")
@@ -416,6 +428,7 @@ QUERIES = {
     "table_overwrite_append": table_overwrite_append,
     "schema_merge": schema_merge,
     "table_schema_merge": table_schema_merge,
+    "namespaced_table": namespaced_table,
     "clustered_table": clustered_table,
     "governed_table_view": governed_table_view,
     "contract_ok": contract_ok,

@@ -176,6 +176,7 @@ ORACLE = {
     "table_schema_merge": """SELECT c_custkey, c_name, CAST(NULL AS STRING) AS dt FROM customer
       UNION ALL SELECT c_custkey, c_name, 'later' FROM customer
       UNION ALL SELECT c_custkey, c_name, NULL FROM customer""",
+    "namespaced_table": "SELECT * FROM supplier",
     "clustered_table": ALL_PEOPLE,
     "governed_table_view": f"{GOVERNED_OUTSIDER} WHERE office = 'RIO'",
     "contract_ok": VALID,

@@ -145,24 +145,34 @@ def publish_session_view(
     return spark.table(view)
 
 
-def create_policy_functions(spark: SparkSession, *, groups: Iterable[str] = ()) -> None:
-    """SQL functions ``is_group_member``, ``name_mask_policy`` and ``office_filter_policy``.
-
-    The optimizer inlines them. They read this session's groups, which start as ``groups``.
+def create_policy_functions(
+    spark: SparkSession, *, groups: Iterable[str] = (), namespace: str | None = None
+) -> None:
+    """SQL functions ``name_mask_policy`` and ``office_filter_policy``; the optimizer inlines them.
+
+    Without a ``namespace`` they belong to the session, come with ``is_group_member``, and read
+    the session's groups, which start as ``groups``. In a namespace they are catalog functions
+    for principals in ``groups``; those cannot refer to a session's variable.
     """
-    set_principal(spark, groups)
-    admin = f"is_group_member({quote_text(ADMIN)})"
-    spark.sql(
-        "CREATE OR REPLACE TEMPORARY FUNCTION is_group_member(wanted STRING) RETURNS BOOLEAN "
-        f"RETURN {_in_session_groups('wanted')}"
-    )
+    if namespace is None:
+        set_principal(spark, groups)
+        member = _in_session_groups("wanted")
+        spark.sql(
+            "CREATE OR REPLACE TEMPORARY FUNCTION is_group_member(wanted STRING) "
+            f"RETURNS BOOLEAN RETURN {member}"
+        )
+        create, prefix = "CREATE OR REPLACE TEMPORARY FUNCTION", ""
+        admin = f"is_group_member({quote_text(ADMIN)})"
+    else:
+        create, prefix = "CREATE OR REPLACE FUNCTION", f"{quote_name(namespace)}."
+        admin = "true" if ADMIN in set(groups) else "false"
     spark.sql(
-        "CREATE OR REPLACE TEMPORARY FUNCTION name_mask_policy(name STRING) RETURNS STRING "
+        f"{create} {prefix}name_mask_policy(name STRING) RETURNS STRING "
         f"RETURN IF({admin}, name, {quote_text(REDACTED)})"
     )
     spark.sql(
-        "CREATE OR REPLACE TEMPORARY FUNCTION office_filter_policy(office STRING) "
-        f"RETURNS BOOLEAN RETURN {admin} OR office = {quote_text(OPEN_OFFICE)}"
+        f"{create} {prefix}office_filter_policy(office STRING) RETURNS BOOLEAN "
+        f"RETURN {admin} OR office = {quote_text(OPEN_OFFICE)}"
     )
 
 

@@ -258,3 +258,14 @@ def test_one_store_for_both_sides(spark, root, mode):
     if mode == "overwrite":
         go(spark, root, flow, execution="batch", checkpoint=None)
         assert read_side(spark, f"{root}/store", "ok", OK).count() == restarted.rows_ok
+
+
+@pytest.mark.parametrize("execution", ["stream", "batch"])
+def test_a_contract_without_rules(spark, root, execution):
+    steps = [{"name": "validation", "type": "validate_fields", "params": {}}]
+    flow = flow_for(root, transformations=steps, summaries=[])
+    report = go(spark, root, flow, execution=execution)
+    assert (report.rows_ok, report.rows_ko, report.failures) == (500, 0, {})
+    if execution == "stream":
+        assert read_loads(spark, f"{root}/ok", OK).count() == 500
+        assert read_loads(spark, f"{root}/ko", KO).count() == 0

@@ -3,9 +3,13 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from rowsieve.functions.people import people_from_ids, random_people
+from rowsieve.functions.people import PERSON_SCHEMA, people_from_ids, random_people
 from rowsieve.functions.text import BLANKS, EDGE_BLANKS, PREFIX, clean_name, clean_name_udf
 from rowsieve.plans.compare import compare_cleaning
+from rowsieve.plans.generate import generate_people
+from rowsieve.sources.files import read_files
+
+from conftest import multiset
 
 SIX = list(BLANKS)
 
@@ -82,3 +86,16 @@ def test_comparison_job(spark, people):
     assert set(rows) == {"python_udf", "arrow_udf", "native"}
     assert all(row["row_count"] == 5 and row["seconds"] > 0 for row in rows.values())
     assert rows["python_udf"]["speedup"] == 1.0
+
+
+def test_generator_job(spark, tmp_path):
+    path = str(tmp_path / "people")
+    generate_people(spark, path, 1000, seed=5)
+    assert len(list((tmp_path / "people").glob("*.json"))) == 10
+    rows = read_files(spark, path, PERSON_SCHEMA)
+    assert rows.count() == 1000
+    generate_people(spark, path, 1000, seed=5)
+    assert multiset(read_files(spark, path, PERSON_SCHEMA).distinct()).total() == 1000
+    generate_people(spark, path, 100, mode="overwrite", rows_per_file=5)
+    assert len(list((tmp_path / "people").glob("*.json"))) == 20
+    assert read_files(spark, path, PERSON_SCHEMA).select("name").distinct().count() == 100

@@ -85,6 +85,17 @@ def test_policy_functions(spark, rows):
     set_principal(spark, [])
 
 
+def test_catalog_policy_functions(spark, rows, database):
+    query = (
+        f"SELECT {database}.name_mask_policy(name), office FROM {{rows}} "
+        f"WHERE {database}.office_filter_policy(office)"
+    )
+    create_policy_functions(spark, namespace=database)
+    assert seen(spark.sql(query, rows=rows)) == OUTSIDER
+    create_policy_functions(spark, namespace=database, groups=["admin"])
+    assert len(seen(spark.sql(query, rows=rows))) == 5
+
+
 def test_namespace(spark, database):
     before = spark.catalog.currentDatabase()
     try:

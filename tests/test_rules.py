@@ -200,3 +200,12 @@ def test_trace_types_and_clean_rows(people, rules):
         assert sizes == {"User_1": 0, "User_2": 1, "User_3": 1, "User_4": 1, "User_5": 1}
     with pytest.raises(RuleError):
         annotate(people, compiled, kind="list")
+
+
+def test_rule_order_decides_the_map_and_not_the_split(people, rules):
+    compiled = compile_rules(people, [*rules, {"field": "age", "sql_expressions": [
+        {"error_code": "old", "expression": "age < 60"}]}])
+    turned = list(reversed(compiled))
+    assert multiset(split(people, compiled).ok) == multiset(split(people, turned).ok)
+    assert errors(people, compiled)["User_5"] == {"age": "not_retirement_age"}
+    assert errors(people, turned)["User_5"] == {"age": "old"}

@@ -4,7 +4,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from rowsieve.operators.rules import compile_rules
-from rowsieve.operators.split import TRACE_COLUMN, split
+from rowsieve.operators.split import annotate, split
 
 # Each named or SQL check next to its meaning in Python: True, False, or None for NULL.
 CHECKS = {
@@ -49,7 +49,7 @@ def failed(key, policy, age, office):
     return verdict is False or (verdict is None and policy == "fail")
 
 
-@settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=40, deadline=None, suppress_health_check=list(HealthCheck))
 @given(rows=rows_of, chosen=rules_of)
 def test_split_means_what_the_rules_say(spark, rows, chosen):
     data = [(i, age, office) for i, (age, office) in enumerate(rows)]
@@ -59,11 +59,11 @@ def test_split_means_what_the_rules_say(spark, rows, chosen):
         i: [key for key, policy in chosen if failed(key, policy, age, office)]
         for i, age, office in data
     }
-    ok = split(df, rules).ok.collect()
-    traces = {
-        kind: {row["id"]: row[TRACE_COLUMN] for row in split(df, rules, kind=kind).ko.collect()}
-        for kind in ("map", "array", "full")
-    }
+    sides = split(df, rules, kind="array", column="array")
+    ok = sides.ok.collect()
+    marked = annotate(annotate(sides.ko, rules, kind="map", column="map"), rules, kind="full", column="full")
+    rejected = marked.collect()
+    traces = {kind: {row["id"]: row[kind] for row in rejected} for kind in ("map", "array", "full")}
     assert Counter(row["id"] for row in ok) == Counter(i for i, codes in expected.items() if not codes)
     bad = {i: codes for i, codes in expected.items() if codes}
     assert traces["array"] == {i: [code for _, code in codes] for i, codes in bad.items()}
@@ -76,6 +76,3 @@ def test_split_means_what_the_rules_say(spark, rows, chosen):
     assert traces["map"] == {
         i: {field: codes[0] for field, codes in fields.items()} for i, fields in full.items()
     }
-
-    shuffled = list(reversed(rules))
-    assert {row["id"] for row in split(df, shuffled).ko.collect()} == set(bad)
