@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,37 +17,46 @@ RESCUED = "_rescued_data"
 CORRUPT = "_corrupt_record"
 
 
-def _lost(schema: T.StructType) -> Column:
-    """Keys of the raw map that are undeclared, or declared but unreadable in the typed value."""
-    raw = F.col("_raw")
+def _lost_entries(schema: T.StructType) -> Column:
+    """Entries of the raw map that are undeclared, or declared but NULL in the typed value."""
     declared = F.array(*[F.lit(name) for name in schema.names])
-    unreadable = F.array_compact(
+    unreadable = F.array_remove(
         F.array(
             *[
-                F.when(F.col(f"_typed.`{name}`").isNull(), F.lit(name))
+                F.when(F.col(f"_typed.`{name}`").isNull(), F.lit(name)).otherwise(F.lit(""))
                 for name in schema.names
             ]
-        )
+        ),
+        "",
     )
-    entries = F.filter(
-        F.map_entries(raw),
+    return F.filter(
+        F.map_entries("_raw"),
         lambda entry: entry["value"].isNotNull()
         & (
             ~F.array_contains(declared, entry["key"])
             | F.array_contains(unreadable, entry["key"])
         ),
     )
-    # A key may be repeated in a line; as in the typed parse the last one counts.
-    keys = F.array_distinct(F.transform(entries, lambda entry: entry["key"]))
-    return F.map_from_arrays(
-        keys,
-        F.transform(
-            keys,
-            lambda key: F.element_at(F.filter(entries, lambda entry: entry["key"] == key), -1)[
-                "value"
-            ],
-        ),
-    )
+
+
+def _with(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once, however often the body uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _as_map(entries: Column) -> Column:
+    """A map of ``entries``; of a key that a line repeats, the last value counts, as it does in
+    the typed parse."""
+
+    def last_value(key: Column) -> Column:
+        return F.element_at(F.filter(entries, lambda entry: entry["key"] == key), -1)["value"]
+
+    def from_keys(keys: Column) -> Column:
+        repeated = F.size(keys) < F.size(entries)
+        last_values = F.map_from_arrays(keys, F.transform(keys, last_value))
+        return F.when(repeated, last_values).otherwise(F.map_from_entries(entries))
+
+    return _with(F.array_distinct(F.transform(entries, lambda entry: entry["key"])), from_keys)
 
 
 def rescue_lines(
@@ -62,29 +73,39 @@ def rescue_lines(
     another type otherwise. A line that is no JSON object gives NULL columns, a NULL map, and
     its text in ``corrupt``. A JSON null is a NULL, not a rescued value.
 
-    Most lines fit, and they are parsed once: the second parse, which builds the raw map, runs
-    only where the typed parse reported a bad value or the line has an undeclared key.
+    Most lines fit, and they are parsed once. Every key of a line is followed by a colon, so a
+    line with as many colons as typed values has no further key. Only lines with more colons
+    have their keys listed, and only those with an undeclared key or a bad value are parsed
+    again into the raw map.
     """
     declared = as_schema(schema)
     if corrupt in declared.names or rescued in declared.names:
         raise ValueError(f"{corrupt!r} and {rescued!r} are reserved column names")
     target = T.StructType([*declared.fields, T.StructField(corrupt, T.StringType(), True)])
-    text = F.col(line)
-    typed = F.from_json(
-        text, target, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}
+    # A select per parse, so that a line is parsed once however often its values are used.
+    parsed = lines.select(
+        F.col(line).alias("_line"), F.from_json(line, target, options).alias("_typed")
     )
+
+    text = F.col("_line")
+    colons = F.octet_length(text) - F.octet_length(F.replace(text, F.lit(":"), F.lit("")))
+    filled = [F.col(f"_typed.`{name}`").isNotNull().cast("int") for name in declared.names]
     names = F.array(*[F.lit(name) for name in declared.names])
-    undeclared = F.size(F.array_except(F.json_object_keys(text), names)) > 0
+    undeclared = F.when(colons == reduce(add, filled, F.lit(0)), F.lit(False)).otherwise(
+        F.size(F.array_except(F.json_object_keys(text), names)) > 0
+    )
     bad_value = F.col(f"_typed.`{corrupt}`").isNotNull()
-    raw = F.when(bad_value | undeclared, F.from_json(text, T.MapType(T.StringType(), T.StringType())))
+    as_map = F.from_json(text, T.MapType(T.StringType(), T.StringType()))
+    parsed = parsed.select("_line", "_typed", F.when(bad_value | undeclared, as_map).alias("_raw"))
+
+    no_map = F.col("_raw").isNull()
     nothing = F.create_map().cast("map<string,string>")
-    parsed = lines.select(text, typed.alias("_typed")).select(text, "_typed", raw.alias("_raw"))
-    fits = ~bad_value & F.col("_raw").isNull()
-    malformed = bad_value & F.col("_raw").isNull()
+    lost = F.when(~no_map, _with(_lost_entries(declared), _as_map))
     return parsed.select(
         *[F.col(f"_typed.`{name}`").alias(name) for name in declared.names],
-        F.when(fits, nothing).otherwise(_lost(declared)).alias(rescued),
-        F.when(malformed, text).alias(corrupt),
+        F.when(no_map & ~bad_value, nothing).otherwise(lost).alias(rescued),
+        F.when(no_map & bad_value, text).alias(corrupt),
     )
 
 

@@ -1,6 +1,8 @@
 import json
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from rowsieve.functions.people import PERSON_SCHEMA
@@ -120,3 +122,44 @@ def test_other_formats(spark, people, tmp_path):
     people.write.parquet(str(tmp_path / "parquet"))
     back = read_files(spark, str(tmp_path / "parquet"), fmt="parquet").select("age")
     assert "ReadSchema: struct<age:int>" in plan_of(back)
+
+
+def as_text(value):
+    """How a JSON value reads as text."""
+    return value if isinstance(value, str) else json.dumps(value, separators=(",", ":"))
+
+
+texts = st.text(alphabet=st.sampled_from([*'ab:," {}\\', "é"]), max_size=6)
+others = st.one_of(texts, st.integers(-5, 5), st.booleans(), st.just({"q": 1}), st.just([1, 2]))
+records = st.fixed_dictionaries(
+    {},
+    optional={
+        "name": st.one_of(st.none(), texts),
+        "age": st.one_of(st.none(), st.integers(0, 99), others),
+        "office": st.one_of(st.none(), texts),
+        "AGE": st.one_of(st.none(), others),
+        "x:y": st.one_of(st.none(), others),
+        "zip": st.one_of(st.none(), others),
+    },
+)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(data=st.lists(st.tuples(records, st.booleans()), min_size=30, max_size=80))
+def test_nothing_is_lost(spark, data):
+    lines, expected = [], []
+    for record, spaced in data:
+        separators = (" , ", " : ") if spaced else (",", ":")
+        lines.append((json.dumps(record, ensure_ascii=spaced, separators=separators),))
+        age = record.get("age")
+        readable = isinstance(age, int) and not isinstance(age, bool)
+        lost = {
+            key: as_text(value)
+            for key, value in record.items()
+            if value is not None and key not in ("name", "office") and not (key == "age" and readable)
+        }
+        expected.append(
+            (record.get("name"), age if readable else None, record.get("office"), lost, None)
+        )
+    df = spark.createDataFrame(lines, "value STRING").coalesce(1)
+    assert [tuple(row) for row in rescue_lines(df, PERSON_SCHEMA).collect()] == expected
