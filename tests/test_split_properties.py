@@ -49,7 +49,7 @@ def failed(key, policy, age, office):
     return verdict is False or (verdict is None and policy == "fail")
 
 
-@settings(max_examples=40, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
 @given(rows=rows_of, chosen=rules_of)
 def test_split_means_what_the_rules_say(spark, rows, chosen):
     data = [(i, age, office) for i, (age, office) in enumerate(rows)]
