@@ -77,13 +77,11 @@ def _governed_select(spark: SparkSession, table: str, policies: Sequence[Policy]
     unknown = set(masks) - set(columns)
     if unknown:
         raise ValueError(f"masked columns {sorted(unknown)} are not in {columns}")
-    shown = [
-        f"CASE WHEN {member(masks[c].group)} THEN {quote_name(c)} ELSE {quote_text(masks[c].text)} END"
-        f" AS {quote_name(c)}"
-        if c in masks
-        else quote_name(c)
-        for c in columns
-    ]
+    shown = [quote_name(column) for column in columns]
+    for mask in masks.values():
+        column = quote_name(mask.column)
+        case = f"CASE WHEN {member(mask.group)} THEN {column} ELSE {quote_text(mask.text)} END"
+        shown[columns.index(mask.column)] = f"{case} AS {column}"
     kept = [
         f"({member(p.group)} OR {quote_name(p.column)} = {quote_text(p.value)})"
         for p in policies

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import and_, or_
 from typing import NamedTuple
@@ -33,11 +33,8 @@ def is_ko(rules: Sequence[Rule]) -> Column:
 
 
 # The traces below use no lambdas: higher-order functions are interpreted and keep their
-# operator out of whole-stage codegen. "Passed" entries are a marker that array_remove drops,
-# or an empty map that map_concat swallows.
-
-_NO_MAP = "map<string,string>"
-_NO_FULL_MAP = "map<string,array<string>>"
+# operator out of whole-stage codegen. Passed rules leave an empty marker, and array_remove
+# drops the markers. Maps are built from two such arrays, which lose the same positions.
 
 
 def _codes(rules: Sequence[Rule]) -> Column:
@@ -59,28 +56,36 @@ def array_trace(rules: Sequence[Rule]) -> Column:
     return _codes(rules)
 
 
+def _map(rules: Sequence[Rule], value_of: Callable[[Sequence[Rule]], Column], empty) -> Column:
+    fields, values = [], []
+    for field, checks in _by_field(rules).items():
+        broken = reduce(or_, (rule.failed() for rule in checks))
+        fields.append(F.when(broken, F.lit(field)).otherwise(F.lit("")))
+        values.append(value_of(checks))
+    return F.map_from_arrays(
+        F.array_remove(F.array(*fields), ""), F.array_remove(F.array(*values), empty)
+    )
+
+
+def _first_code(rules: Sequence[Rule]) -> Column:
+    code = F.lit("")
+    for rule in reversed(rules):
+        code = F.when(rule.failed(), F.lit(rule.code)).otherwise(code)
+    return code
+
+
 def map_trace(rules: Sequence[Rule]) -> Column:
     """``map<string,string>`` field → first failing code; one entry per field at most."""
-    nothing = F.create_map().cast(_NO_MAP)
-    entries = []
-    for field, checks in _by_field(rules).items():
-        entry = nothing
-        for rule in reversed(checks):
-            failure = F.create_map(F.lit(field), F.lit(rule.code))
-            entry = F.when(rule.failed(), failure).otherwise(entry)
-        entries.append(entry)
-    return F.map_concat(*entries) if entries else nothing
+    if not rules:
+        return F.create_map().cast("map<string,string>")
+    return _map(rules, _first_code, "")
 
 
 def full_trace(rules: Sequence[Rule]) -> Column:
     """``map<string,array<string>>`` field → every failed code, in rule order."""
-    nothing = F.create_map().cast(_NO_FULL_MAP)
-    entries = []
-    for field, checks in _by_field(rules).items():
-        broken = reduce(or_, (rule.failed() for rule in checks))
-        entry = F.create_map(F.lit(field), _codes(checks))
-        entries.append(F.when(broken, entry).otherwise(nothing))
-    return F.map_concat(*entries) if entries else nothing
+    if not rules:
+        return F.create_map().cast("map<string,array<string>>")
+    return _map(rules, _codes, F.array().cast("array<string>"))
 
 
 def trace(rules: Sequence[Rule], kind: str = "map") -> Column:

@@ -28,4 +28,5 @@ def generate_people(
     number of tasks, grows with the rows.
     """
     files = max(FILES, -(-n_rows // rows_per_file))
-    write_json(random_people(spark, n_rows, seed=seed, partitions=files), path, n_files=None, mode=mode)
+    people = random_people(spark, n_rows, seed=seed, partitions=files)
+    write_json(people, path, n_files=None, mode=mode)

@@ -123,4 +123,5 @@ def read_json_rescued(
     reader = spark.readStream if stream else spark.read
     settings = bounded(options) if stream else dict(options or {})
     lines = reader.format("text").options(**settings).load(normalise_path(path))
-    return rescue_lines(lines.filter(F.trim("value") != ""), schema, rescued=rescued, corrupt=corrupt)
+    lines = lines.filter(F.trim("value") != "")
+    return rescue_lines(lines, schema, rescued=rescued, corrupt=corrupt)
