@@ -146,7 +146,8 @@ def observed_expectations(spark: SparkSession, sf_dir: str) -> DataFrame:
     observed, observation = observe_rules(rows, rules, f"observed-{uuid.uuid4()}")
     write_noop(observed)
     failures = observed_failures(observation.get, rules)
-    return spark.createDataFrame(list(failures.items()), "rule STRING, failed BIGINT")
+    rows = [(field, rule, failed) for (field, rule), failed in failures.items()]
+    return spark.createDataFrame(rows, "field STRING, rule STRING, failed BIGINT")
 
 
 def brand_stats(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,7 +30,9 @@ ALL_PEOPLE = f"{PERSON} SELECT {PEOPLE} FROM person"
 
 
 def _failed(rule: str, condition: str) -> str:
-    return f"SELECT '{rule}' AS rule, count(*) FILTER (WHERE {condition}) AS failed FROM person"
+    field = rule.split("_")[0]
+    return f"""SELECT '{field}' AS field, '{rule}' AS rule,
+      count(*) FILTER (WHERE {condition}) AS failed FROM person"""
 
 
 FAILURES = " UNION ALL ".join(
@@ -46,8 +48,8 @@ FAILURES = " UNION ALL ".join(
 CLEANED = "SELECT c_custkey, concat('EMP_', upper(c_name)) AS processed_name FROM customer"
 WELL_FORMED = "SELECT c_custkey, true AS well_formed FROM customer"
 
-GOVERNED_OUTSIDER = f"""{PERSON} SELECT l_orderkey, l_linenumber, 'REDACTED_PII' AS name, age, office
-  FROM person"""
+GOVERNED_OUTSIDER = f"""{PERSON}
+  SELECT l_orderkey, l_linenumber, 'REDACTED_PII' AS name, age, office FROM person"""
 
 RESCUE = f"""{PERSON}, line AS (
   SELECT *, CASE WHEN l_orderkey % 19 = 3 THEN 'corrupt' WHEN l_orderkey % 13 = 0 THEN 'old'
@@ -116,8 +118,9 @@ ORACLE = {
       UNION ALL SELECT 'age', 'notNull', count(*) FROM person WHERE age IS NULL
       UNION ALL SELECT 'age', 'isAdult', count(*) FROM person WHERE age < 18
       UNION ALL SELECT 'age', 'not_retirement_age', count(*) FROM person WHERE age >= 65""",
-    "expectation_metrics": f"""{PERSON}, f AS ({FAILURES}), n AS (SELECT count(*) AS total FROM person)
-      SELECT rule, failed, total - failed AS passed, total FROM f, n""",
+    "expectation_metrics": f"""{PERSON}, f AS ({FAILURES}),
+      n AS (SELECT count(*) AS total FROM person)
+      SELECT field, rule, failed, total - failed AS passed, total FROM f, n""",
     "observed_expectations": f"{PERSON} {FAILURES}",
     "brand_stats": """SELECT p_brand, count(*) AS parts, round(avg(p_size), 1) AS average_size
       FROM part GROUP BY p_brand""",

@@ -17,10 +17,11 @@ def _rule_counts(rules: Sequence[Rule]) -> list:
 
 
 def expectation_metrics(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """``rule, failed, passed, total``: one scan and one global aggregate for all rules."""
+    """``field, rule, failed, passed, total``: one scan and one global aggregate for all rules."""
     counts = df.agg(F.count(F.lit(1)).alias("total"), *_rule_counts(rules))
     rows = [
         F.struct(
+            F.lit(rule.field).alias("field"),
             F.lit(rule.code).alias("rule"),
             F.col(f"failed_{i}").alias("failed"),
             (F.col("total") - F.col(f"failed_{i}")).alias("passed"),
@@ -28,8 +29,8 @@ def expectation_metrics(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         )
         for i, rule in enumerate(rules)
     ]
-    empty = F.array().cast("array<struct<rule:string,failed:bigint,passed:bigint,total:bigint>>")
-    return counts.select(F.inline(F.array(*rows) if rows else empty))
+    shape = "struct<field:string,rule:string,failed:bigint,passed:bigint,total:bigint>"
+    return counts.select(F.inline(F.array(*rows).cast(f"array<{shape}>")))
 
 
 def observe_rules(
@@ -51,9 +52,9 @@ def observe_rules(
     return df.observe(observation, *metrics), observation
 
 
-def observed_failures(metrics: dict, rules: Sequence[Rule]) -> dict[str, int]:
-    """Per-code failures out of the metrics that :func:`observe_rules` collected."""
-    return {rule.code: metrics[f"failed_{i}"] for i, rule in enumerate(rules)}
+def observed_failures(metrics: dict, rules: Sequence[Rule]) -> dict[tuple[str, str], int]:
+    """Failures per (field, code) out of the metrics that :func:`observe_rules` collected."""
+    return {(rule.field, rule.code): metrics[f"failed_{i}"] for i, rule in enumerate(rules)}
 
 
 def rejects_by_code(rejected: DataFrame, column: str = TRACE_COLUMN) -> DataFrame:

@@ -22,7 +22,9 @@ from rowsieve.sources.files import Schema, as_schema, file_stream, infer_schema,
 from rowsieve.sources.rescue import read_json_rescued
 from rowsieve.streaming.loads import (
     OK,
+    Failures,
     PathSink,
+    add_failures,
     drain,
     read_loads,
     read_side,
@@ -45,7 +47,7 @@ class RunReport:
     environment: str
     rows_ok: int = 0
     rows_ko: int = 0
-    failures: dict[str, int] = field(default_factory=dict)
+    failures: Failures = field(default_factory=dict)
     loads: list[str] = field(default_factory=list)
     seconds: float = 0.0
     status: str = "ok"
@@ -140,8 +142,7 @@ class _Bound:
             else:
                 counts = self._seen[ko].get
                 rows_ok, rows_ko = self._seen[ok].get["rows"], counts["rows"]
-            for code, failed in observed_failures(counts, self.rules[step.name]).items():
-                report.failures[code] = report.failures.get(code, 0) + failed
+            add_failures(report.failures, observed_failures(counts, self.rules[step.name]))
         if self._steps:
             report.rows_ok += rows_ok
             report.rows_ko += rows_ko

@@ -14,7 +14,7 @@ from rowsieve.operators.metrics import observe_rules, observed_failures
 from rowsieve.operators.rules import Rule, compile_rules
 from rowsieve.operators.split import rejected_rows, valid_rows
 from rowsieve.sinks.tables import DEFAULT_FORMAT, overwrite_table, set_comment
-from rowsieve.streaming.loads import append_stream
+from rowsieve.streaming.loads import Failures, append_stream
 
 
 @dataclass(frozen=True)
@@ -39,7 +39,7 @@ class LayerReport:
     name: str
     rows: int | None = None
     dropped: int = 0
-    failures: dict[str, int] = field(default_factory=dict)
+    failures: Failures = field(default_factory=dict)
 
 
 def expect_all_or_drop(

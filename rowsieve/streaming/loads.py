@@ -9,7 +9,7 @@ checkpoint, so a new checkpoint can never overwrite the loads of an older one.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -31,21 +31,28 @@ OK, KO = "ok", "ko"
 MODES = ("append", "overwrite")
 
 
+Failures = dict[tuple[str, str], int]
+
+
+def add_failures(total: Failures, more: Failures) -> None:
+    for rule, count in more.items():
+        total[rule] = total.get(rule, 0) + count
+
+
 @dataclass
 class LoadReport:
     """What one drain of a stream did."""
 
     rows_ok: int = 0
     rows_ko: int = 0
-    failures: dict[str, int] = field(default_factory=dict)
+    failures: Failures = field(default_factory=dict)
     loads: list[str] = field(default_factory=list)
 
-    def add(self, load: str, rows: int, rows_ko: int, failures: Mapping[str, int]) -> None:
+    def add(self, load: str, rows: int, rows_ko: int, failures: Failures) -> None:
         self.loads.append(load)
         self.rows_ok += rows - rows_ko
         self.rows_ko += rows_ko
-        for code, count in failures.items():
-            self.failures[code] = self.failures.get(code, 0) + count
+        add_failures(self.failures, failures)
 
 
 @dataclass(frozen=True)

@@ -187,8 +187,8 @@ def test_steps_after_validation_and_a_side_nobody_keeps(spark, root):
     assert multiset(dated.drop("dt", "seen")) == multiset(expected.ok)
     madrid = read_loads(spark, f"{root}/madrid", f"{OK}, seen TIMESTAMP")
     assert madrid.count() == expected.ok.filter("office = 'MADRID'").count() == report.rows_ok
-    assert report.failures["abroad"] == expected.ok.filter("office <> 'MADRID'").count()
-    assert report.failures["isAdult"] == expected.ko.filter("age < 18").count()
+    assert report.failures["office", "abroad"] == expected.ok.filter("office <> 'MADRID'").count()
+    assert report.failures["age", "isAdult"] == expected.ko.filter("age < 18").count()
 
 
 def test_two_sources(spark, root):
@@ -246,7 +246,7 @@ def test_one_store_for_both_sides(spark, root, mode):
     assert multiset(ko.drop("dt")) == multiset(expected.ko)
     assert first.rows_ok + second.rows_ok == ok.count()
     assert first.rows_ko + second.rows_ko == ko.count()
-    assert first.failures["isAdult"] + second.failures["isAdult"] == expected.ko.filter("age < 18").count()
+    assert first.failures["age", "isAdult"] + second.failures["age", "isAdult"] == expected.ko.filter("age < 18").count()
     gold = multiset(spark.read.parquet(f"{root}/gold"))
     assert gold == multiset(spark.read.parquet(f"{root}/gold2")) and len(gold) == 2
 

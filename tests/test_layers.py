@@ -30,7 +30,7 @@ def test_layers_follow_the_input(spark, tmp_path, database, rules):
         assert multiset(table["gold_office_stats"]) == multiset(grouped_stats(expected.ok))
         ok_report = reports[1]
         assert ok_report.rows == expected.ok.count() and ok_report.dropped == expected.ko.count()
-        assert set(ok_report.failures) == {rule.code for rule in compiled}
+        assert set(ok_report.failures) == {(rule.field, rule.code) for rule in compiled}
     assert dict(table["standard_ko"].dtypes) == {
         "name": "string", "age": "int", "office": "string", "dt": "timestamp", TRACE_COLUMN: "array<string>",
     }
