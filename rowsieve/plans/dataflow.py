@@ -68,18 +68,41 @@ class RunOptions:
     on_unknown: str = "raise"
 
 
+def _reached(flow: Dataflow, sinks: list[Sink]) -> set[str]:
+    """Names of all frames that a sink is, or descends from."""
+    parents, names = flow.parents(), set()
+    for sink in sinks:
+        name = sink.input
+        while name is not None and name not in names:
+            names.add(name)
+            name = parents.get(name)
+    return names
+
+
 class _Bound:
     """The steps below one source, bound to a frame of that source.
 
     Nothing is cached: every write is a plan of its own over the source, with the verdict
-    pushed into the scan where the format allows it.
+    pushed into the scan where the format allows it. Counting is part of those writes. It sits
+    in their last stage, above any shuffle: there Spark counts each task once, whatever had to
+    be repeated.
     """
 
-    def __init__(self, flow: Dataflow, source: Source, frame: DataFrame, options: RunOptions):
+    def __init__(
+        self,
+        flow: Dataflow,
+        source: Source,
+        frame: DataFrame,
+        options: RunOptions,
+        sinks: list[Sink],
+    ):
         self.frames: dict[str, DataFrame] = {source.name: frame}
-        self.rules: dict[str, list[Rule]] = {}
-        self._steps: list[Step] = []
+        self.unwritten: list[DataFrame] = []
         self._options = options
+        self._reached = _reached(flow, sinks)
+        self._shuffled = any(sink.cluster_by for sink in sinks)
+        self._steps: dict[str, tuple[Step, list[Rule]]] = {}
+        self._to_count: dict[str, list[Rule]] = {}
         self._same_rows: dict[str, str] = {}
         self._seen: dict[str, Observation] = {}
         for step in flow.steps:
@@ -103,49 +126,52 @@ class _Bound:
             nulls=options.nulls,
             on_unknown=options.on_unknown,
         )
-        name_ok, name_ko = step.outputs
-        self.frames[name_ok], self.frames[name_ko] = split(frame, rules, kind=options.trace)
+        ok, ko = step.outputs
+        self._steps[step.name] = step, rules
+        if not frame.isStreaming:
+            frame = self._plan_counts(step, rules, frame)
+        self.frames[ok], self.frames[ko] = split(frame, rules, kind=options.trace)
         self.frames[step.name] = annotate(frame, rules, kind=options.trace)
-        self.rules |= {name_ok: [], name_ko: rules, step.name: rules}
-        self._steps.append(step)
 
-    def counted(self, name: str, frame: DataFrame) -> DataFrame:
-        """``frame``, as it is about to be written, with the counts of the rows it holds.
+    def _plan_counts(self, step: Step, rules: list[Rule], frame: DataFrame) -> DataFrame:
+        ok, ko = step.outputs
+        if step.name in self._reached:
+            self._to_count[step.name] = rules
+        elif {ok, ko} <= self._reached:
+            self._to_count |= {ok: [], ko: rules}
+        else:
+            # A side that nobody writes is counted on the scan that feeds the other one.
+            observed = self._observe(step.name, rules, frame)
+            if {ok, ko} & self._reached and not self._shuffled:
+                return observed
+            self.unwritten.append(observed)
+        return frame
 
-        Counting sits in the last stage, above any shuffle: there Spark counts each task once,
-        whatever had to be repeated.
-        """
+    def _observe(self, name: str, rules: list[Rule], frame: DataFrame) -> DataFrame:
+        frame, self._seen[name] = observe_rules(frame, rules, f"{name}-{uuid.uuid4()}")
+        return frame
+
+    def counted(self, name: str, frame: DataFrame) -> DataFrame:
+        """``frame``, as it is about to be written, with the counts of the rows it holds."""
         while name in self._same_rows:
             name = self._same_rows[name]
-        if name not in self.rules or name in self._seen:
+        if name not in self._to_count or name in self._seen:
             return frame
-        frame, self._seen[name] = observe_rules(frame, self.rules[name], f"{name}-{uuid.uuid4()}")
-        return frame
-
-    def uncounted(self) -> list[str]:
-        """Sides that no sink has written and that no store includes."""
-        return [
-            side
-            for step in self._steps
-            if step.name not in self._seen
-            for side in step.outputs
-            if side not in self._seen
-        ]
+        return self._observe(name, self._to_count[name], frame)
 
     def add_counts(self, report: RunReport) -> None:
-        for step in self._steps:
+        rows_ok = rows_ko = 0
+        for step, rules in self._steps.values():
             ok, ko = step.outputs
             if step.name in self._seen:
                 counts = self._seen[step.name].get
-                rows_ko = counts["rows_ko"]
-                rows_ok = counts["rows"] - rows_ko
+                rows_ok, rows_ko = counts["rows"] - counts["rows_ko"], counts["rows_ko"]
             else:
                 counts = self._seen[ko].get
                 rows_ok, rows_ko = self._seen[ok].get["rows"], counts["rows"]
-            add_failures(report.failures, observed_failures(counts, self.rules[step.name]))
-        if self._steps:
-            report.rows_ok += rows_ok
-            report.rows_ko += rows_ko
+            add_failures(report.failures, observed_failures(counts, rules))
+        report.rows_ok += rows_ok
+        report.rows_ko += rows_ko
 
 
 def _source_schema(spark: SparkSession, source: Source, options: RunOptions) -> T.StructType:
@@ -192,7 +218,7 @@ class _Target:
             write_load(df, sink, self.query_id, self.batch_id)
 
     def write_store(self, judged: DataFrame, sink: PathSink) -> None:
-        write_store(judged, sink, self.query_id or "batch", self.batch_id or 0)
+        write_store(judged, sink, self.query_id or f"batch-{uuid.uuid4()}", self.batch_id or 0)
 
 
 def _write_all(flow: Dataflow, bound: _Bound, sinks, summaries, target: _Target) -> None:
@@ -212,8 +238,8 @@ def _write_all(flow: Dataflow, bound: _Bound, sinks, summaries, target: _Target)
             name = sink.input if sink.input not in stores else stores[sink.input].outputs[0]
             parts = partial_stats(bound.frames[name], summary.by, summary.value)
             target.write(parts, PathSink(summary.parts, summary.fmt, sink.mode))
-    for name in bound.uncounted():
-        write_noop(bound.counted(name, bound.frames[name]))
+    for frame in bound.unwritten:
+        write_noop(frame)
 
 
 def _load_source(
@@ -224,7 +250,7 @@ def _load_source(
     stream = options.execution == "stream"
     frame = _read(spark, source, options, stream=stream)
     # Binding checks every rule against the schema, before any data moves.
-    shape = _Bound(flow, source, frame, options)
+    shape = _Bound(flow, source, frame, options, sinks)
     schemas = {sink.name: shape.frames[sink.input].schema for sink in sinks}
 
     if not stream:
@@ -233,7 +259,7 @@ def _load_source(
         return schemas
 
     def each_batch(batch: DataFrame, query_id: str, batch_id: int) -> None:
-        bound = _Bound(flow, source, batch, options)
+        bound = _Bound(flow, source, batch, options, sinks)
         _write_all(flow, bound, sinks, summaries, _Target(query_id, batch_id))
         bound.add_counts(report)
         report.loads.append(f"{query_id}-{batch_id}")

@@ -30,7 +30,7 @@ OK, KO = "ok", "ko"
 
 MODES = ("append", "overwrite")
 
-
+# Failed rows per (field, code).
 Failures = dict[tuple[str, str], int]
 
 
@@ -70,25 +70,33 @@ class PathSink:
     def __post_init__(self) -> None:
         if self.mode not in MODES:
             raise ValueError(f"sink mode must be one of {list(MODES)}, not {self.mode!r}")
+        object.__setattr__(self, "path", self.path.rstrip("/"))
 
 
-def write_load(df: DataFrame, sink: PathSink, query_id: str, batch_id: int) -> str:
+def write_load(
+    df: DataFrame,
+    sink: PathSink,
+    query_id: str,
+    batch_id: int,
+    *,
+    partitions: Sequence[str] = (),
+) -> str:
     """Write one micro-batch to a sink, replacing what an earlier attempt left of it."""
     load = f"{query_id}-{batch_id}"
     replace_all = sink.mode == "overwrite" and batch_id == 0
+    marked, layout = df.withColumn(LOAD_COLUMN, F.lit(load)), [LOAD_COLUMN, *partitions]
     if sink.fmt in TRANSACTIONAL:
-        writer = df.withColumn(LOAD_COLUMN, F.lit(load)).write.format(sink.fmt)
+        # These drop a repeated batch by its number, and take new columns into the table.
+        writer = marked.write.format(sink.fmt).option("mergeSchema", "true")
         writer = writer.option("txnAppId", query_id).option("txnVersion", batch_id)
-        writer = writer.option("mergeSchema", "true")
-        writer.mode("overwrite" if replace_all else "append").save(sink.path)
-    elif replace_all:
-        # Static overwrite of the parent: the loads of earlier checkpoints go, too.
-        writer = df.withColumn(LOAD_COLUMN, F.lit(load)).write.format(sink.fmt)
-        writer = writer.mode("overwrite").option("partitionOverwriteMode", "static")
-        writer.partitionBy(LOAD_COLUMN).save(sink.path)
-    else:
-        target = f"{sink.path.rstrip('/')}/{LOAD_COLUMN}={load}"
-        df.write.format(sink.fmt).mode("overwrite").save(target)
+        writer = writer.mode("overwrite" if replace_all else "append")
+        writer.partitionBy(*layout).save(sink.path)
+        return load
+    # Static overwrite of the sink (the loads of earlier checkpoints go, too) or of this load.
+    rows, target = (marked, sink.path) if replace_all else (df, f"{sink.path}/{LOAD_COLUMN}={load}")
+    writer = rows.write.format(sink.fmt).mode("overwrite")
+    writer = writer.option("partitionOverwriteMode", "static")
+    writer.partitionBy(*(layout if replace_all else partitions)).save(target)
     return load
 
 
@@ -184,21 +192,12 @@ def write_store(
     column: str = TRACE_COLUMN,
 ) -> str:
     """One pass for both sides: rows go to ``verdict=ok`` or ``verdict=ko`` of this load."""
-    load = f"{query_id}-{batch_id}"
     verdict = F.when(F.size(column) == 0, F.lit(OK)).otherwise(F.lit(KO))
     rows = judged.withColumn(VERDICT_COLUMN, verdict)
-    replace_all = sink.mode == "overwrite" and batch_id == 0
-    target, layout = f"{sink.path.rstrip('/')}/{LOAD_COLUMN}={load}", [VERDICT_COLUMN]
-    if replace_all:
-        rows = rows.withColumn(LOAD_COLUMN, F.lit(load))
-        target, layout = sink.path, [LOAD_COLUMN, VERDICT_COLUMN]
     # A task keeps a file open per side instead of sorting its rows by side first.
     open_files = {"spark.sql.maxConcurrentOutputFileWriters": 2}
     with session_conf(judged.sparkSession, open_files):
-        writer = rows.write.format(sink.fmt).mode("overwrite")
-        writer = writer.option("partitionOverwriteMode", "static")
-        writer.partitionBy(*layout).save(target)
-    return load
+        return write_load(rows, sink, query_id, batch_id, partitions=[VERDICT_COLUMN])
 
 
 def split_store(

@@ -269,3 +269,32 @@ def test_a_contract_without_rules(spark, root, execution):
     if execution == "stream":
         assert read_loads(spark, f"{root}/ok", OK).count() == 500
         assert read_loads(spark, f"{root}/ko", KO).count() == 0
+
+
+@pytest.mark.parametrize("execution", ["stream", "batch"])
+@pytest.mark.parametrize("names", [["ok"], ["ko"], []])
+@pytest.mark.parametrize("cluster", [None, "office"])
+def test_counts_do_not_depend_on_what_is_kept(spark, root, execution, names, cluster):
+    sinks = [
+        {"name": f"p_{side}", "paths": [f"{root}/{side}", f"{root}/{side}_copy"], "cluster_by": cluster}
+        for side in names
+    ] or [{"name": "raw", "input": "person_inputs", "paths": [f"{root}/raw"]}]
+    report = go(spark, root, flow_for(root, sinks=sinks, summaries=[]), execution=execution)
+    expected = expected_split(spark, root)
+    assert (report.rows_ok, report.rows_ko) == (expected.ok.count(), expected.ko.count())
+    assert report.failures["age", "isAdult"] == expected.ko.filter("age < 18").count()
+    for side, frame in (("ok", expected.ok), ("ko", expected.ko)):
+        if side in names:
+            for path in (f"{root}/{side}", f"{root}/{side}_copy"):
+                found = read_loads(spark, path, OK) if execution == "stream" else spark.read.parquet(path)
+                assert found.count() == frame.count()
+
+
+def test_batch_appends_to_a_store(spark, root):
+    sinks = [{"name": "store", "input": "validation", "paths": [f"{root}/store/"], "mode": "append"}]
+    flow = flow_for(root, sinks=sinks, summaries=[])
+    for times in (1, 2):
+        report = go(spark, root, flow, execution="batch", checkpoint=None)
+        assert report.rows_ok + report.rows_ko == 500
+        sides = [read_side(spark, f"{root}/store", side, OK).count() for side in ("ok", "ko")]
+        assert sides == [times * report.rows_ok, times * report.rows_ko]
