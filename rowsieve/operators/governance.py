@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowsieve.sinks.tables import quote_name, quote_text
 
@@ -45,6 +46,15 @@ Policy = Mask | RowFilter
 PERSON_POLICIES: tuple[Policy, ...] = (Mask("name"), RowFilter("office"))
 
 
+def _masks(schema: T.StructType, policies: Sequence[Policy]) -> dict[str, Mask]:
+    """The masks by column. A mask puts text in place of text, so the column must be one."""
+    masks = {policy.column: policy for policy in policies if isinstance(policy, Mask)}
+    text = {field.name for field in schema.fields if isinstance(field.dataType, T.StringType)}
+    if not set(masks) <= text:
+        raise ValueError(f"no text columns to mask: {sorted(set(masks) - text)}")
+    return masks
+
+
 def governed(df: DataFrame, policies: Sequence[Policy], groups: Iterable[str]) -> DataFrame:
     """``df`` as a principal in ``groups`` may see it.
 
@@ -56,10 +66,7 @@ def governed(df: DataFrame, policies: Sequence[Policy], groups: Iterable[str]) -
     for policy in policies:
         if isinstance(policy, RowFilter):
             df = df.filter(F.lit(policy.group in member) | (F.col(policy.column) == policy.value))
-    masks = {p.column: p for p in policies if isinstance(p, Mask)}
-    unknown = set(masks) - set(df.columns)
-    if unknown:
-        raise ValueError(f"masked columns {sorted(unknown)} are not in {df.columns}")
+    masks = _masks(df.schema, policies)
     columns = []
     for name in df.columns:
         column = F.col(f"`{name}`")
@@ -72,11 +79,8 @@ def governed(df: DataFrame, policies: Sequence[Policy], groups: Iterable[str]) -
 
 
 def _governed_select(spark: SparkSession, table: str, policies: Sequence[Policy], member) -> str:
-    columns = spark.table(table).columns
-    masks = {p.column: p for p in policies if isinstance(p, Mask)}
-    unknown = set(masks) - set(columns)
-    if unknown:
-        raise ValueError(f"masked columns {sorted(unknown)} are not in {columns}")
+    schema = spark.table(table).schema
+    columns, masks = schema.names, _masks(schema, policies)
     shown = [quote_name(column) for column in columns]
     for mask in masks.values():
         column = quote_name(mask.column)

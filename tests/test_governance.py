@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from rowsieve.operators.governance import (
     Mask,
@@ -40,6 +41,8 @@ def test_filter_sees_what_the_mask_hides(rows):
     assert seen(governed(rows, policies, ("spain",)))[0] == ("a", "hidden")
     with pytest.raises(ValueError, match="salary"):
         governed(rows, [Mask("salary")], ())
+    with pytest.raises(ValueError, match="floor"):
+        governed(rows.withColumn("floor", F.lit(1)), [Mask("floor")], ())
 
 
 def test_rejected_rows_are_governed_too(people, rules):
