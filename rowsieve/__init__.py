@@ -8,6 +8,7 @@ from rowsieve.operators.governance import (
     create_policy_functions,
     governed,
     publish_governed_view,
+    publish_governed_views,
     publish_session_view,
     set_principal,
     use_namespace,
@@ -43,6 +44,7 @@ __all__ = [
     "parse_contract",
     "partial_stats",
     "publish_governed_view",
+    "publish_governed_views",
     "publish_session_view",
     "quality_layers",
     "refresh",

@@ -6,7 +6,7 @@ session that can read the table or set the session variable: grant the view, not
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -112,6 +112,20 @@ def publish_governed_view(
     return spark.table(view)
 
 
+def publish_governed_views(
+    spark: SparkSession,
+    tables: Mapping[str, str],
+    policies: Sequence[Policy] = PERSON_POLICIES,
+    *,
+    groups: Iterable[str] = (),
+) -> dict[str, DataFrame]:
+    """Bind one set of policies to several tables: a governed view per ``{view: table}``."""
+    return {
+        view: publish_governed_view(spark, view, table, policies, groups=groups)
+        for view, table in tables.items()
+    }
+
+
 def set_principal(spark: SparkSession, groups: Iterable[str]) -> None:
     """Say which groups this session's principal is in; session views and functions follow."""
     members = ", ".join(quote_text(group) for group in groups)

@@ -64,10 +64,14 @@ def rejects_by_code(rejected: DataFrame, column: str = TRACE_COLUMN) -> DataFram
     are combined map-side, so a code that nearly every row carries costs no skew.
     """
     dtype = rejected.schema[column].dataType
+    # explode_outer, as explode makes Spark compute a trace a second time to filter on its size.
     if isinstance(dtype, T.ArrayType):
-        codes, keys = rejected.select(F.explode(column).alias("code")), ["code"]
+        keys = ["code"]
+        codes = rejected.select(F.explode_outer(column).alias("code"))
     else:
-        codes, keys = rejected.select(F.explode(column).alias("field", "code")), ["field", "code"]
+        keys = ["field", "code"]
+        codes = rejected.select(F.explode_outer(column).alias("field", "code"))
         if isinstance(dtype.valueType, T.ArrayType):
-            codes = codes.select("field", F.explode("code").alias("code"))
+            codes = codes.select("field", F.explode_outer("code").alias("code"))
+    codes = codes.filter(F.col("code").isNotNull())
     return codes.groupBy(*keys).agg(F.count(F.lit(1)).alias("rejects"))

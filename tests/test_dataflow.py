@@ -3,7 +3,7 @@ import copy
 import pytest
 
 from rowsieve.functions.people import PERSON_SCHEMA, people_from_ids
-from rowsieve.operators.governance import publish_governed_view
+from rowsieve.operators.governance import publish_governed_views
 from rowsieve.operators.rules import RuleError, compile_rules
 from rowsieve.operators.split import TRACE_COLUMN, split
 from rowsieve.plans.contract import parse_contract
@@ -152,9 +152,9 @@ def test_tables_clustering_and_other_traces(spark, root, database):
     assert spark.table(f"{database}.gold").count() == 2
     assert spark.table(audit).count() == 2
     # Governance follows the load, on both sides.
-    for side in ("ok", "ko"):
-        table = spark.table(f"{database}.{side}")
-        shown = publish_governed_view(spark, f"{database}.{side}_shown", f"{database}.{side}")
+    views = {f"{database}.{side}_shown": f"{database}.{side}" for side in ("ok", "ko")}
+    for view, shown in publish_governed_views(spark, views).items():
+        table = spark.table(views[view])
         assert shown.columns == table.columns
         assert shown.count() == table.filter("office = 'RIO'").count() > 0
         assert shown.filter("name <> 'REDACTED_PII'").count() == 0
