@@ -12,7 +12,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from checks import batch, loads  # noqa: E402
+from rowsieve_checks import batch, loads  # noqa: E402
 from rowsieve.sinks.tables import write_noop  # noqa: E402
 
 HEADLINE = (

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import inspect
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, replace
 
@@ -89,17 +90,19 @@ _REGISTRY: dict[str, NamedCheck] = {
 }
 
 
-def register_rule(name: str, build: Callable[..., Column], label: str | None = None) -> None:
+def register_rule(
+    name: str, build: Callable[..., Column], label: str | None = None, *, total: bool = False
+) -> None:
     """Make ``name`` usable in contracts.
 
     ``build`` takes the column, or the column and its data type. ``label`` is the part after
-    ``<field>_`` in qualified codes.
+    ``<field>_`` in qualified codes. ``total`` promises a predicate that is never NULL.
     """
     if not name:
         raise RuleError("a rule needs a name")
-    takes_type = getattr(build, "__code__", None) is not None and build.__code__.co_argcount >= 2
+    takes_type = len(inspect.signature(build).parameters) >= 2
     check = build if takes_type else (lambda column, dtype: build(column))
-    _REGISTRY[name] = NamedCheck(check, label or name)
+    _REGISTRY[name] = NamedCheck(check, label or name, total)
 
 
 def registered_rules() -> tuple[str, ...]:
@@ -127,6 +130,30 @@ def _sql_predicate(frame: DataFrame, expression: str) -> Column:
     return predicate
 
 
+def _analyse(frame: DataFrame, rules: Sequence[Rule]) -> AnalysisException | None:
+    try:
+        frame.agg(*[F.bool_and(rule.predicate) for rule in rules]).schema
+    except AnalysisException as error:
+        return error
+    return None
+
+
+def _check_predicates(frame: DataFrame, rules: Sequence[Rule]) -> None:
+    """Every predicate is a boolean of one row that comes out the same when computed again.
+
+    Spark refuses anything else as the argument of an aggregate, so analysing one is the check.
+    """
+    if not rules or _analyse(frame, rules) is None:
+        return
+    for rule in rules:
+        error = _analyse(frame, [rule])
+        if error is not None:
+            raise RuleError(
+                f"rule {rule.code!r} of {rule.field!r} is not a deterministic check of one row: "
+                f"{str(error).splitlines()[0]}"
+            ) from error
+
+
 def _choice(value: str, allowed: Sequence[str], what: str) -> str:
     if value not in allowed:
         raise RuleError(f"{what} must be one of {list(allowed)}, not {value!r}")
@@ -145,8 +172,8 @@ def compile_rules(
 
     Each block is ``{"field", "validations": [name, …], "sql_expressions": [{"error_code",
     "expression"}, …]}``; a block or an SQL rule may carry its own ``null_policy``. ``frame``
-    only supplies the schema, nothing is executed, and it may be a stream. Rules must be
-    deterministic: a lost task is computed again and has to reach the same verdict.
+    only supplies the schema, nothing is executed, and it may be a stream. Rules have to be
+    deterministic: the sides are computed apart, and lost tasks again, with the same verdict.
 
     A rule stated twice counts once. Two different expressions under one code of one field
     become a single rule that holds when both hold.
@@ -199,4 +226,6 @@ def compile_rules(
             predicate = _sql_predicate(frame, expression)
             sql_policy = sql_rule.get("null_policy", policy)
             add(Rule(field, sql_rule.get("error_code"), predicate, sql_policy), ("sql", expression))
-    return [rule for rule, _ in compiled.values()]
+    rules = [rule for rule, _ in compiled.values()]
+    _check_predicates(frame, rules)
+    return rules

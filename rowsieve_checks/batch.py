@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.inputs import ORDER_RULES, PERSON_RULES, people, table
+from rowsieve_checks.inputs import ORDER_RULES, PERSON_RULES, people, table
 from rowsieve.functions.people import people_from_ids
 from rowsieve.functions.text import clean_name, clean_name_udf
 from rowsieve.operators.aggregate import grouped_stats, row_count

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.inputs import PERSON_RULES, PERSON_SCHEMA, off_schema_lines, people, table
+from rowsieve_checks.inputs import PERSON_RULES, PERSON_SCHEMA, off_schema_lines, people, table
 from rowsieve.operators.aggregate import grouped_stats
 from rowsieve.operators.governance import publish_governed_view, use_namespace
 from rowsieve.operators.rules import compile_rules

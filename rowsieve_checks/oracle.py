@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.inputs import PERSON_COLUMNS
+from rowsieve_checks.inputs import PERSON_COLUMNS
 
 PERSON = f"WITH person AS (SELECT {PERSON_COLUMNS} FROM lineitem)"
 

@@ -209,3 +209,19 @@ def test_rule_order_decides_the_map_and_not_the_split(people, rules):
     assert multiset(split(people, compiled).ok) == multiset(split(people, turned).ok)
     assert errors(people, compiled)["User_5"] == {"age": "not_retirement_age"}
     assert errors(people, turned)["User_5"] == {"age": "old"}
+
+
+@pytest.mark.parametrize("expression", ["rand() < 0.5", "count(*) > 1", "uuid() = name", "row_number() OVER (ORDER BY age) > 1"])
+def test_rules_judge_one_row_and_always_alike(people, expression):
+    blocks = [{"field": "age", "sql_expressions": [{"error_code": "x", "expression": expression}]}]
+    with pytest.raises(RuleError, match="deterministic check of one row"):
+        compile_rules(people, blocks)
+
+
+def test_registered_rules_are_checked_too(people):
+    register_rule("broken", lambda column: column + 1)
+    with pytest.raises(RuleError, match="broken"):
+        compile_rules(people, [{"field": "age", "validations": ["broken"]}])
+    register_rule("isShort", lambda column: F.coalesce(F.length(column) < 5, F.lit(True)), total=True)
+    rules = compile_rules(people, [{"field": "office", "validations": ["isShort"]}])
+    assert rules[0].total and set(errors(people, rules)) == {"User_1", "User_4"}

@@ -8,7 +8,7 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from bench import session  # noqa: E402
-from checks import batch  # noqa: E402
+from rowsieve_checks import batch  # noqa: E402
 
 DEFAULT = ("gold_office_stats", "order_rules", "custom_rule", "rejects_by_code", "masked_view")
 
