@@ -12,9 +12,6 @@ from rowsieve.session import session_conf
 
 Schema = T.StructType | str
 
-# How many files schema inference looks at unless told otherwise.
-INFERENCE_FILES = 1000
-
 # Input of one micro-batch unless told otherwise: enough to keep a large cluster busy, and
 # little enough that a failed batch is cheap to repeat and its rows can be kept for two writes.
 BATCH_BYTES = 1 << 40
@@ -82,14 +79,14 @@ def infer_schema(
     path: str,
     *,
     fmt: str = "json",
-    sample_files: int | None = INFERENCE_FILES,
+    sample_files: int | None = None,
     options: Mapping[str, object] | None = None,
 ) -> T.StructType:
     """The schema Spark infers, to be passed on as a fixed schema.
 
-    JSON and CSV inference reads whole files, so it looks at the first ``sample_files`` files
-    by path (``None``: all of them). Only their names come to the driver. Keys that first occur
-    in later files are not in the schema; read with ``rescue`` to keep them.
+    JSON and CSV inference reads its files in full, once. For a large directory declare the
+    schema, or look at the first ``sample_files`` files by path only and read with ``rescue``,
+    which keeps the keys that occur in none of them. Only file names come to the driver.
     """
     path = normalise_path(path)
     reader = spark.read.format(fmt.lower()).options(**(options or {}))

@@ -89,14 +89,22 @@ def test_inferred_schema(spark, tmp_path):
     write_lines(tmp_path / "in" / "a.json", [json.dumps({"name": "a", "age": 1})])
     write_lines(tmp_path / "in" / "b.json", [json.dumps({"name": "b", "late": True})])
     write_lines(tmp_path / "in" / "_state" / "c.json", [json.dumps({"hidden": 1})])
-    everything = infer_schema(spark, f"{tmp_path}/in/*", sample_files=None)
+    everything = infer_schema(spark, f"{tmp_path}/in/*")
     assert everything.simpleString() == "struct<age:bigint,late:boolean,name:string>"
-    assert infer_schema(spark, f"{tmp_path}/in").names == ["age", "late", "name"]
+    assert infer_schema(spark, f"{tmp_path}/in", sample_files=1000) == everything
     first = infer_schema(spark, f"{tmp_path}/in", sample_files=1)
     assert first.simpleString() == "struct<age:bigint,name:string>"
     (tmp_path / "none").mkdir()
     with pytest.raises(ValueError, match="no files"):
-        infer_schema(spark, f"{tmp_path}/none")
+        infer_schema(spark, f"{tmp_path}/none", sample_files=5)
+
+
+def test_a_sampled_schema_and_rescue_lose_nothing(spark, tmp_path):
+    write_lines(tmp_path / "in" / "a.json", [json.dumps({"name": "a", "age": 1})])
+    write_lines(tmp_path / "in" / "b.json", [json.dumps({"name": "b", "late": True})])
+    schema = infer_schema(spark, f"{tmp_path}/in", sample_files=1)
+    rows = read_json_rescued(spark, f"{tmp_path}/in", schema).orderBy("name").collect()
+    assert [row["_rescued_data"] for row in rows] == [{}, {"late": "true"}]
 
 
 def test_empty_relation_stays_a_stream(spark, people, tmp_path):
