@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rowsieve.names import quote_part
+
 # Name and format of the processing-time column.
 TIME_COLUMN = "dt"
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -37,10 +39,10 @@ def align(df: DataFrame, schema: T.StructType, *, strict: bool = False) -> DataF
         if field.name not in present:
             columns.append(F.lit(None).cast(field.dataType).alias(field.name))
         elif present[field.name] == field.dataType:
-            columns.append(F.col(f"`{field.name}`"))
+            columns.append(F.col(quote_part(field.name)))
         else:
-            columns.append(F.col(f"`{field.name}`").try_cast(field.dataType).alias(field.name))
+            columns.append(F.col(quote_part(field.name)).try_cast(field.dataType).alias(field.name))
     if not strict:
         declared = set(schema.names)
-        columns += [F.col(f"`{name}`") for name in df.columns if name not in declared]
+        columns += [F.col(quote_part(name)) for name in df.columns if name not in declared]
     return df.select(*columns)

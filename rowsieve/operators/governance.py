@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowsieve.sinks.tables import quote_name, quote_text
+from rowsieve.names import quote_name, quote_part, quote_text
 
 # Fixed values of the person policies.
 ADMIN = "admin"
@@ -69,7 +69,7 @@ def governed(df: DataFrame, policies: Sequence[Policy], groups: Iterable[str]) -
     masks = _masks(df.schema, policies)
     columns = []
     for name in df.columns:
-        column = F.col(f"`{name}`")
+        column = F.col(quote_part(name))
         if name in masks:
             mask = masks[name]
             shown = F.when(F.lit(mask.group in member), column).otherwise(F.lit(mask.text))
@@ -81,13 +81,13 @@ def governed(df: DataFrame, policies: Sequence[Policy], groups: Iterable[str]) -
 def _governed_select(spark: SparkSession, table: str, policies: Sequence[Policy], member) -> str:
     schema = spark.table(table).schema
     columns, masks = schema.names, _masks(schema, policies)
-    shown = [quote_name(column) for column in columns]
+    shown = [quote_part(column) for column in columns]
     for mask in masks.values():
-        column = quote_name(mask.column)
+        column = quote_part(mask.column)
         case = f"CASE WHEN {member(mask.group)} THEN {column} ELSE {quote_text(mask.text)} END"
         shown[columns.index(mask.column)] = f"{case} AS {column}"
     kept = [
-        f"({member(p.group)} OR {quote_name(p.column)} = {quote_text(p.value)})"
+        f"({member(p.group)} OR {quote_part(p.column)} = {quote_text(p.value)})"
         for p in policies
         if isinstance(p, RowFilter)
     ]

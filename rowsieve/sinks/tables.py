@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from rowsieve.names import quote_name, quote_part, quote_text
 from rowsieve.operators.enrich import align
 from rowsieve.sources.files import as_schema
 
@@ -28,16 +29,6 @@ def set_comment(spark: SparkSession, table: str, comment: str) -> None:
     spark.sql(f"COMMENT ON TABLE {quote_name(table)} IS {quote_text(comment)}")
 
 
-def quote_name(identifier: str) -> str:
-    """A possibly multi-part name for SQL text."""
-    return ".".join("`" + part.replace("`", "``") + "`" for part in identifier.split("."))
-
-
-def quote_text(value: str) -> str:
-    """A string literal for SQL text."""
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def append_table(
     df: DataFrame, table: str, *, fmt: str = DEFAULT_FORMAT, merge_schema: bool = False
 ) -> None:
@@ -60,7 +51,7 @@ def append_table(
         new = [field for field in df.schema.fields if field.name.lower() not in names]
         if new:
             columns = ", ".join(
-                f"{quote_name(field.name)} {field.dataType.simpleString()}" for field in new
+                f"{quote_part(field.name)} {field.dataType.simpleString()}" for field in new
             )
             spark.sql(f"ALTER TABLE {quote_name(table)} ADD COLUMNS ({columns})")
             spark.catalog.refreshTable(table)
@@ -140,7 +131,7 @@ def write_clustered_table(
 def set_clustering(spark: SparkSession, table: str, by: str | Sequence[str]) -> None:
     """Record clustering columns on an existing table; later writes decide the layout."""
     keys = [by] if isinstance(by, str) else list(by)
-    columns = ", ".join(quote_name(key) for key in keys)
+    columns = ", ".join(quote_part(key) for key in keys)
     spark.sql(f"ALTER TABLE {quote_name(table)} CLUSTER BY ({columns})")
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rowsieve.names import quote_part
 from rowsieve.sources.files import Schema, as_schema, bounded, normalise_path
 
 # Fixed value: the usual name of the column with the rescued values.
@@ -17,13 +18,17 @@ RESCUED = "_rescued_data"
 CORRUPT = "_corrupt_record"
 
 
+def _typed(name: str) -> Column:
+    return F.col(f"_typed.{quote_part(name)}")
+
+
 def _lost_entries(schema: T.StructType) -> Column:
     """Entries of the raw map that are undeclared, or declared but NULL in the typed value."""
     declared = F.array(*[F.lit(name) for name in schema.names])
     unreadable = F.array_remove(
         F.array(
             *[
-                F.when(F.col(f"_typed.`{name}`").isNull(), F.lit(name)).otherwise(F.lit(""))
+                F.when(_typed(name).isNull(), F.lit(name)).otherwise(F.lit(""))
                 for name in schema.names
             ]
         ),
@@ -90,12 +95,12 @@ def rescue_lines(
 
     text = F.col("_line")
     colons = F.octet_length(text) - F.octet_length(F.replace(text, F.lit(":"), F.lit("")))
-    filled = [F.col(f"_typed.`{name}`").isNotNull().cast("int") for name in declared.names]
+    filled = [_typed(name).isNotNull().cast("int") for name in declared.names]
     names = F.array(*[F.lit(name) for name in declared.names])
     undeclared = F.when(colons == reduce(add, filled, F.lit(0)), F.lit(False)).otherwise(
         F.size(F.array_except(F.json_object_keys(text), names)) > 0
     )
-    bad_value = F.col(f"_typed.`{corrupt}`").isNotNull()
+    bad_value = _typed(corrupt).isNotNull()
     as_map = F.from_json(text, T.MapType(T.StringType(), T.StringType()))
     parsed = parsed.select("_line", "_typed", F.when(bad_value | undeclared, as_map).alias("_raw"))
 
@@ -103,7 +108,7 @@ def rescue_lines(
     nothing = F.create_map().cast("map<string,string>")
     lost = F.when(~no_map, _with(_lost_entries(declared), _as_map))
     return parsed.select(
-        *[F.col(f"_typed.`{name}`").alias(name) for name in declared.names],
+        *[_typed(name).alias(name) for name in declared.names],
         F.when(no_map & ~bad_value, nothing).otherwise(lost).alias(rescued),
         F.when(no_map & bad_value, text).alias(corrupt),
     )

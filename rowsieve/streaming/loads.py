@@ -17,11 +17,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rowsieve.names import quote_name, quote_part, quote_text
 from rowsieve.operators.metrics import observe_rules, observed_failures
 from rowsieve.operators.rules import Rule
 from rowsieve.operators.split import TRACE_COLUMN, annotate, split
 from rowsieve.session import session_conf
-from rowsieve.sinks.tables import DEFAULT_FORMAT, TRANSACTIONAL, quote_name, quote_text
+from rowsieve.sinks.tables import DEFAULT_FORMAT, TRANSACTIONAL
 from rowsieve.sources.files import as_schema
 
 LOAD_COLUMN = "load_id"
@@ -139,7 +140,7 @@ def register_loads(
         spark.sql(f"{head} {place}")
         return
     fields = [*schema.fields, *([T.StructField(LOAD_COLUMN, T.StringType())] * partitioned)]
-    columns = ", ".join(f"{quote_name(f.name)} {f.dataType.simpleString()}" for f in fields)
+    columns = ", ".join(f"{quote_part(f.name)} {f.dataType.simpleString()}" for f in fields)
     if not partitioned:
         spark.sql(f"{head} ({columns}) {place}")
         spark.catalog.refreshTable(table)
@@ -243,7 +244,7 @@ def read_side(
     """
     if side not in (OK, KO):
         raise ValueError(f"side must be {OK!r} or {KO!r}, not {side!r}")
-    trace = T.StructType.fromDDL(f"`{column}` {trace_type}").fields[0]
+    trace = T.StructType.fromDDL(f"{quote_part(column)} {trace_type}").fields[0]
     layout = [
         T.StructField(LOAD_COLUMN, T.StringType()),
         T.StructField(VERDICT_COLUMN, T.StringType()),

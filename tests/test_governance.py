@@ -108,3 +108,12 @@ def test_namespace(spark, database):
             use_namespace(spark, "default; DROP DATABASE x")
     finally:
         use_namespace(spark, before)
+
+
+def test_odd_column_names(spark, database):
+    odd = spark.createDataFrame([("ann", "RIO", 1)], "`first.name` STRING, `off``ice` STRING, n INT")
+    policies = [Mask("first.name"), RowFilter("n", "1")]
+    assert seen(governed(odd, policies[:1], ())) == [("REDACTED_PII", "RIO", 1)]
+    odd.write.saveAsTable(f"{database}.odd")
+    shown = publish_governed_view(spark, f"{database}.odd_shown", f"{database}.odd", policies[:1])
+    assert seen(shown) == [("REDACTED_PII", "RIO", 1)] and shown.columns == odd.columns
