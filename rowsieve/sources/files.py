@@ -101,6 +101,25 @@ def infer_schema(
     return reader.load(sample).schema
 
 
+def read_variant(
+    spark: SparkSession,
+    path: str,
+    *,
+    column: str = "record",
+    stream: bool = False,
+    options: Mapping[str, object] | None = None,
+) -> DataFrame:
+    """JSON lines without any schema: one VARIANT column per line, to be taken apart later.
+
+    This also reads what inference refuses, such as keys that differ in case only.
+    """
+    reader = spark.readStream if stream else spark.read
+    settings = bounded(options) if stream else dict(options or {})
+    schema = T.StructType([T.StructField(column, T.VariantType())])
+    reader = reader.format("json").schema(schema).options(**settings)
+    return reader.option("singleVariantColumn", column).load(normalise_path(path))
+
+
 def empty_like(df: DataFrame) -> DataFrame:
     """An empty relation with ``df``'s schema that stays a stream when ``df`` is one."""
     return df.filter(F.lit(False))

@@ -25,7 +25,13 @@ from rowsieve.sinks.tables import (
     write_clustered_table,
     write_json,
 )
-from rowsieve.sources.files import file_stream, infer_schema, read_files, read_table
+from rowsieve.sources.files import (
+    file_stream,
+    infer_schema,
+    read_files,
+    read_table,
+    read_variant,
+)
 from rowsieve.sources.rescue import RESCUED, read_json_rescued
 from rowsieve.streaming.loads import (
     PathSink,
@@ -216,6 +222,16 @@ def inferred_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_loads(spark, sink.path, schema).select(*PERSON_NAMES)
 
 
+def variant_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records loaded without a schema, and typed when they are used."""
+    rows = read_variant(spark, _landing(spark, sf_dir))
+    types = {"l_orderkey": "bigint", "l_linenumber": "int", "name": "string", "age": "int"}
+    types["office"] = "string"
+    return rows.select(
+        *[F.variant_get("record", f"$.{name}", dtype).alias(name) for name, dtype in types.items()]
+    )
+
+
 def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{new_dir(spark, 'json')}/customer"
     customers = table(spark, sf_dir, "customer")
@@ -424,6 +440,7 @@ QUERIES = {
     "batch_rescue": batch_rescue,
     "strict_schema": strict_schema,
     "inferred_ingest": inferred_ingest,
+    "variant_ingest": variant_ingest,
     "json_roundtrip": json_roundtrip,
     "table_overwrite_append": table_overwrite_append,
     "schema_merge": schema_merge,

@@ -172,6 +172,7 @@ ORACLE = {
     # Inference reads every whole JSON number as BIGINT.
     "inferred_ingest": f"""{PERSON} SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
       name, CAST(age AS BIGINT) AS age, office FROM person""",
+    "variant_ingest": ALL_PEOPLE,
     "json_roundtrip": "SELECT * FROM customer",
     "table_overwrite_append": "SELECT * FROM customer UNION ALL SELECT * FROM customer",
     "schema_merge": """SELECT c_custkey, c_name, CAST(NULL AS STRING) AS dt FROM customer

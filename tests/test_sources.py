@@ -3,6 +3,7 @@ import json
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from rowsieve.functions.people import PERSON_SCHEMA
@@ -14,8 +15,10 @@ from rowsieve.sources.files import (
     infer_schema,
     normalise_path,
     read_files,
+    read_variant,
 )
 from rowsieve.sources.rescue import read_json_rescued, rescue_lines
+from rowsieve.streaming.loads import append_stream
 
 from conftest import plan_of
 
@@ -99,6 +102,22 @@ def test_inferred_schema(spark, tmp_path):
         infer_schema(spark, f"{tmp_path}/none", sample_files=5)
 
 
+@pytest.mark.parametrize("stream", [False, True])
+def test_variant_reads_keys_that_differ_in_case(spark, tmp_path, stream):
+    write_lines(tmp_path / "in" / "a.json", ['{"age": 1, "AGE": "old"}', '{"age": 2}'])
+    with pytest.raises(AnalysisException, match="COLUMN_ALREADY_EXISTS"):
+        infer_schema(spark, f"{tmp_path}/in")
+    rows = read_variant(spark, f"{tmp_path}/in/*", stream=stream)
+    rows = rows.select(
+        F.variant_get("record", "$.age", "int").alias("lower"),
+        F.variant_get("record", "$.AGE", "string").alias("upper"),
+    )
+    if stream:
+        append_stream(rows, "variant_rows", str(tmp_path / "c"))
+        rows = spark.table("variant_rows")
+    assert sorted(tuple(row) for row in rows.collect()) == [(1, "old"), (2, None)]
+
+
 def test_a_sampled_schema_and_rescue_lose_nothing(spark, tmp_path):
     write_lines(tmp_path / "in" / "a.json", [json.dumps({"name": "a", "age": 1})])
     write_lines(tmp_path / "in" / "b.json", [json.dumps({"name": "b", "late": True})])
