@@ -10,7 +10,7 @@ from pathlib import Path
 
 from pyspark.sql import types as T
 
-from rowsieve.sources.files import as_schema
+from rowsieve.sources.files import as_schema, normalise_path
 
 # The keys and type names contracts are written with.
 REQUIRED_KEYS = ("name", "sources", "transformations", "sinks")
@@ -227,6 +227,23 @@ def _summary(spec: Mapping, sinks: Sequence[Sink]) -> Summary:
     )
 
 
+def _check_places(sources, sinks: Sequence[Sink], summaries: Sequence[Summary]) -> None:
+    """No output may be, hold or lie in another output or a source: replacing one would take
+    the other with it."""
+    places = [(f"source {source.name!r}", normalise_path(source.path)) for source in sources]
+    outputs = [(f"sink {sink.name!r}", path) for sink in sinks for path in sink.paths]
+    for summary in summaries:
+        written = (summary.path, summary.parts)
+        outputs += [(f"summary {summary.name!r}", path) for path in written if path]
+    for owner, path in outputs:
+        inside = path.rstrip("/") + "/"
+        for other, taken in places:
+            holds = taken.rstrip("/") + "/"
+            if inside.startswith(holds) or holds.startswith(inside):
+                raise ContractError(f"{owner} and {other} share the place {path!r}")
+        places.append((owner, path))
+
+
 def parse_contract(
     contract: Mapping,
     params: Mapping[str, str] | None = None,
@@ -254,10 +271,8 @@ def parse_contract(
         raise ContractError("two sources have the same name")
     steps = _steps(contract["transformations"], sources)
     sinks = tuple(_sink(spec, steps, sources, aliases or {}) for spec in contract["sinks"])
-    paths = [path for sink in sinks for path in sink.paths]
-    if len(set(paths)) != len(paths):
-        raise ContractError("two sinks write to the same path")
     summaries = tuple(_summary(spec, sinks) for spec in contract.get("summaries") or [])
+    _check_places(sources, sinks, summaries)
     return Dataflow(contract["name"], sources, steps, sinks, summaries)
 
 

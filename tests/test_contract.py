@@ -137,7 +137,14 @@ def sink(**changes):
         ({"sinks": sink(paths=[])}, "paths"),
         ({"sinks": sink(mode="MERGE")}, "merge"),
         ({"sinks": sink(name="person")}, "no input"),
-        ({"sinks": sink() + sink(name="again_ok")}, "same path"),
+        ({"sinks": sink() + sink(name="again_ok")}, "share the place"),
+        ({"sinks": sink(paths=["/data/x/landing/person"])}, "share the place"),
+        ({"sinks": sink(paths=["/data/x/landing"])}, "share the place"),
+        ({"sinks": sink(paths=["/data/x/landing/person/ok/"])}, "share the place"),
+        (
+            {"summaries": [{"name": "g", "input": "person_ok", "by": "a", "value": "b", "path": "/data/x/ok/g"}]},
+            "share the place",
+        ),
         ({"summaries": [{"name": "g"}]}, "needs name"),
         ({"summaries": [{"name": "g", "input": "x", "by": "a", "value": "b"}]}, "name of a sink"),
         ({"summaries": [{"name": "g", "input": "person_ok", "by": "a", "value": "b"}]}, "path or a table"),
@@ -162,3 +169,8 @@ def test_without_a_validate_step_the_source_is_ok():
         contract(transformations=[], sinks=[PRODUCTION["sinks"][0]]), {"env_catalog": "x"}
     )
     assert flow.sinks[0].input == "person_inputs"
+
+
+def test_neighbours_with_a_common_prefix_are_fine():
+    flow = parse_contract(contract(sinks=sink(paths=["/data/x/landing/person2"])), {"env_catalog": "x"})
+    assert flow.sinks[0].paths == ("/data/x/landing/person2",)
