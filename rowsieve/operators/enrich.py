@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,16 +16,21 @@ TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
 def add_processing_time(
-    df: DataFrame, *, column: str = TIME_COLUMN, as_type: str = "string", fmt: str = TIME_FORMAT
+    df: DataFrame,
+    *,
+    column: str = TIME_COLUMN,
+    as_type: str = "string",
+    fmt: str = TIME_FORMAT,
+    at: datetime | None = None,
 ) -> DataFrame:
     """Add the processing time, as formatted text (session time zone) or as a timestamp.
 
     The value is constant within a query, and on a stream within a micro-batch; a batch that
-    is replayed keeps its time.
+    is replayed keeps its time. ``at`` fixes it for several queries over the same batch frame.
     """
     if as_type not in ("string", "timestamp"):
         raise ValueError(f"as_type must be 'string' or 'timestamp', not {as_type!r}")
-    now = F.current_timestamp()
+    now = F.current_timestamp() if at is None else F.lit(at)
     return df.withColumn(column, F.date_format(now, fmt) if as_type == "string" else now)
 
 

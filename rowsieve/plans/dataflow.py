@@ -194,7 +194,9 @@ def _read(spark: SparkSession, source: Source, options: RunOptions, *, stream: b
         reader = file_stream if stream else read_files
         frame = reader(spark, source.path, schema, fmt=source.fmt, options=source.options)
     if options.processing_time is not None:
-        frame = add_processing_time(frame, as_type=options.processing_time)
+        # A micro-batch has a time of its own; the queries of a batch run share this one.
+        at = None if stream else datetime.now(timezone.utc)
+        frame = add_processing_time(frame, as_type=options.processing_time, at=at)
     return frame
 
 

@@ -1,4 +1,5 @@
 import copy
+from datetime import datetime, timezone
 
 import pytest
 
@@ -75,6 +76,7 @@ def check_outputs(spark, root):
         ok = read_loads(spark, str(root / path), OK)
         assert multiset(ok.drop("dt")) == multiset(expected.ok)
         assert ok.filter("dt IS NULL").count() == 0
+        assert ok.select("dt").distinct().exceptAll(read_loads(spark, str(root / "ko"), KO).select("dt").distinct()).count() == 0
     ko = read_loads(spark, str(root / "ko"), KO)
     assert multiset(ko.drop("dt")) == multiset(expected.ko)
     gold = expected.ok.groupBy("office").agg({"*": "count"}).collect()
@@ -115,6 +117,14 @@ def test_batch_run_equals_incremental_run(spark, root):
     expected = expected_split(spark, root)
     assert (report.rows_ok, report.rows_ko) == (expected.ok.count(), expected.ko.count())
     assert multiset(spark.read.parquet(str(root / "ok")).drop("dt")) == multiset(expected.ok)
+    times = {
+        row["dt"]
+        for path in ("ok", "ok_copy", "ko")
+        for row in spark.read.parquet(str(root / path)).select("dt").distinct().collect()
+    }
+    assert len(times) == 1
+    age = datetime.now(timezone.utc) - datetime.fromisoformat(f"{times.pop()}+00:00")
+    assert 0 <= age.total_seconds() < 120
     again = go(spark, root, execution="batch", checkpoint=None)
     assert again.rows_ok == report.rows_ok
     assert spark.read.parquet(str(root / "ok")).count() == report.rows_ok
