@@ -109,25 +109,24 @@ def registered_rules() -> tuple[str, ...]:
     return tuple(_REGISTRY)
 
 
-def _field_types(frame: DataFrame, fields: Iterable[str]) -> dict[str, T.DataType]:
-    types: dict[str, T.DataType] = {}
-    for field in dict.fromkeys(fields):
-        try:
-            types[field] = frame.select(F.col(field)).schema[0].dataType
-        except AnalysisException as error:
-            raise RuleError(f"rule field {field!r} is not in the input {frame.columns}") from error
-    return types
+# Checking costs two analyses per compilation, which happens once per micro-batch; only a
+# contract that fails them is looked at rule by rule, to say what is wrong with it.
 
 
-def _sql_predicate(frame: DataFrame, expression: str) -> Column:
-    predicate = F.expr(expression)
+def _types_of(frame: DataFrame, columns: Sequence[Column]) -> list[T.DataType] | None:
     try:
-        dtype = frame.select(predicate).schema[0].dataType
-    except AnalysisException as error:
-        raise RuleError(f"rule expression {expression!r} does not resolve: {error}") from error
-    if not isinstance(dtype, T.BooleanType):
-        raise RuleError(f"rule expression {expression!r} is {dtype.simpleString()}, not boolean")
-    return predicate
+        return [field.dataType for field in frame.select(*columns).schema.fields]
+    except AnalysisException:
+        return None
+
+
+def _field_types(frame: DataFrame, fields: Iterable[str]) -> dict[str, T.DataType]:
+    names = list(dict.fromkeys(fields))
+    types = _types_of(frame, [F.col(name) for name in names])
+    if types is None:
+        unknown = [name for name in names if _types_of(frame, [F.col(name)]) is None]
+        raise RuleError(f"rule fields {unknown} are not in the input {frame.columns}")
+    return dict(zip(names, types))
 
 
 def _analyse(frame: DataFrame, rules: Sequence[Rule]) -> AnalysisException | None:
@@ -147,11 +146,17 @@ def _check_predicates(frame: DataFrame, rules: Sequence[Rule]) -> None:
         return
     for rule in rules:
         error = _analyse(frame, [rule])
-        if error is not None:
-            raise RuleError(
-                f"rule {rule.code!r} of {rule.field!r} is not a deterministic check of one row: "
-                f"{str(error).splitlines()[0]}"
-            ) from error
+        if error is None:
+            continue
+        types = _types_of(frame, [rule.predicate])
+        if types is None:
+            wrong = "does not resolve"
+        elif not isinstance(types[0], T.BooleanType):
+            wrong = f"is {types[0].simpleString()}, not boolean"
+        else:
+            wrong = "is not a deterministic check of one row"
+        reason = str(error).strip().splitlines()[0]
+        raise RuleError(f"rule {rule.code!r} of {rule.field!r} {wrong}: {reason}") from error
 
 
 def _choice(value: str, allowed: Sequence[str], what: str) -> str:
@@ -223,7 +228,7 @@ def compile_rules(
             expression = sql_rule.get("expression")
             if not expression:
                 raise RuleError(f"an SQL rule on {field!r} has no expression")
-            predicate = _sql_predicate(frame, expression)
+            predicate = F.expr(expression)
             sql_policy = sql_rule.get("null_policy", policy)
             add(Rule(field, sql_rule.get("error_code"), predicate, sql_policy), ("sql", expression))
     rules = [rule for rule, _ in compiled.values()]

@@ -118,10 +118,11 @@ def test_unknown_rule(people):
 @pytest.mark.parametrize(
     "blocks, message",
     [
-        ([{"field": "nope", "validations": ["notNull"]}], "not in the input"),
+        ([{"field": "nope", "validations": ["notNull"]}, {"field": "age"}], r"\['nope'\] are not in the input"),
         ([{"validations": ["notNull"]}], "without a field"),
         ([{"field": "age", "sql_expressions": [{"error_code": "x", "expression": "age + 1"}]}], "not boolean"),
         ([{"field": "age", "sql_expressions": [{"error_code": "x", "expression": "nope > 1"}]}], "does not resolve"),
+        ([{"field": "age", "sql_expressions": [{"error_code": "x", "expression": "age >"}]}], "does not resolve: .*PARSE"),
         ([{"field": "age", "sql_expressions": [{"expression": "age > 1"}]}], "no error code"),
         ([{"field": "age", "sql_expressions": [{"error_code": "x"}]}], "no expression"),
         ([{"field": "age", "validations": ["notNull"], "null_policy": "maybe"}], "null_policy"),

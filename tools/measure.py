@@ -21,7 +21,6 @@ from rowsieve.operators.split import (  # noqa: E402
     TRACE_COLUMN,
     annotate,
     rejected_rows,
-    split,
     valid_rows,
 )
 from rowsieve.plans.compare import compare_cleaning  # noqa: E402
