@@ -25,6 +25,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -163,7 +164,7 @@ def _windows(window: int, anchor: int):
                 words = Words(part.column("text"))
                 runs = part.column("seeds")
                 start, n = _unpacked(runs.flatten().to_numpy(zero_copy_only=False))
-                start = start + np.repeat(words.first[:-1], pa.compute.list_value_length(runs).to_numpy(zero_copy_only=False))
+                start = start + np.repeat(words.first[:-1], pc.list_value_length(runs).to_numpy(zero_copy_only=False))
                 before = np.cumsum(n) - n
                 seeds = np.unique(np.repeat(start - before, n) + np.arange(n.sum()))
                 places = winnow(words, window, anchor)
@@ -233,7 +234,7 @@ def _kept(n: int, window: int, copies: int, spans: np.ndarray) -> np.ndarray:
 
 def _spans(column: pa.Array) -> list[np.ndarray]:
     """Of each row its runs."""
-    ends = np.cumsum(pa.compute.list_value_length(column).fill_null(0).to_numpy(zero_copy_only=False))
+    ends = np.cumsum(pc.list_value_length(column).fill_null(0).to_numpy(zero_copy_only=False))
     flat = column.flatten().to_numpy(zero_copy_only=False)
     return np.split(flat, ends[:-1]) if len(ends) else []
 

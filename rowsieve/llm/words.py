@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 _BYTE = np.arange(256)
 LOWER = np.where((_BYTE >= 65) & (_BYTE <= 90), _BYTE + 32, _BYTE).astype(np.uint8)
@@ -47,7 +48,7 @@ def text_bytes(texts: pa.Array) -> list[bytes]:
 
 def chunks(batch: pa.RecordBatch, texts: pa.Array, limit: int) -> Iterator[pa.RecordBatch]:
     """The batch in pieces whose texts have ``limit`` bytes together, or one longer text each."""
-    sizes = pa.compute.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
+    sizes = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(sizes, dtype=np.int64)
     start = 0
     while start < batch.num_rows:
