@@ -2,4 +2,78 @@
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+_NORMAL = r"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ALNUM = r"regexp_extract_all(" + _NORMAL + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP1 = rf"""
+WITH items AS (
+    SELECT CAST(item_id AS VARCHAR) AS item, {_ALNUM.format(text="coalesce(text, '')")} AS w FROM benchmark
+), windows AS (
+    SELECT DISTINCT item, least(10, len(w)) AS m, list_slice(w, i, i + least(10, len(w)) - 1) AS win
+    FROM items, unnest(generate_series(1, greatest(1, len(w) - 9))) AS g(i) WHERE len(w) > 0
+), docs AS (
+    SELECT row_number() OVER () AS r, doc_id, {_ALNUM.format(text="coalesce(text, '')")} AS w FROM documents
+), places AS (
+    SELECT r, i, m, list_slice(w, i, i + m - 1) AS win
+    FROM docs, (SELECT DISTINCT m FROM windows), unnest(generate_series(1, len(w) - m + 1)) AS g(i)
+    WHERE len(w) >= m
+), hits AS (SELECT r, i, m, item FROM places JOIN windows USING (m, win)),
+words AS (
+    SELECT r, count(DISTINCT j) AS n_hit FROM (SELECT DISTINCT r, i, m FROM hits), unnest(generate_series(i, i + m - 1)) AS g(j) GROUP BY r
+), found AS (SELECT r, list_sort(list(DISTINCT item)) AS ids FROM hits GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(len(ids), 0) AS n_items,
+    sha256(array_to_string(coalesce(ids, []), ',')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+    CASE WHEN len(w) > 0 THEN CAST(coalesce(n_hit, 0) AS DOUBLE) / len(w) ELSE 0.0 END AS coverage
+FROM docs LEFT JOIN words USING (r) LEFT JOIN found USING (r)
+"""
+
+OP2 = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+    SELECT r, i, sha256(array_to_string(list_slice(w, i, i + 34), ' ')) AS win
+    FROM docs, unnest(generate_series(1, len(w) - 34)) AS g(i) WHERE len(w) >= 35
+), again AS (SELECT r, i, count(*) OVER (PARTITION BY win) AS n FROM windows),
+gone AS (SELECT DISTINCT r, j FROM (SELECT r, i FROM again WHERE n > 1), unnest(generate_series(i, i + 34)) AS g(j)),
+kept AS (
+    SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY j) AS words
+    FROM (SELECT r, unnest(w) AS word, unnest(generate_series(1, len(w))) AS j FROM docs) ANTI JOIN gone USING (r, j) GROUP BY r
+)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(words, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (r)
+"""
+
+_REST = r"(?:\|im_start\|>|\|im_end\|>|/?s>|<SYS>>|</SYS>>|/?INST\])"
+OP7 = rf"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), blocks AS (
+    SELECT *, '<|im_start|>' || role || chr(10)
+        || regexp_replace(text, '([<\[])(\\*{_REST})', '\1\\\2', 'g') || '<|im_end|>' || chr(10) AS block FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+    CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(length(block)) AS BIGINT) AS formatted_chars
+FROM blocks GROUP BY conv_id
+"""
+
+OP10 = """
+WITH bits AS (
+    SELECT vec_id, list_reduce(list_transform(embedding[1:64], lambda x: CAST(x > 0 AS INTEGER)::VARCHAR), lambda a, b: a || b)::BIT AS code
+    FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+), pairs AS (
+    SELECT q.vec_id AS query_id, d.vec_id AS id, CAST(bit_count(xor(q.code, d.code)) AS INTEGER) AS distance
+    FROM bits q, bits d WHERE q.vec_id % 50 = 0
+), ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS INTEGER) AS rank FROM pairs)
+SELECT query_id, rank, id, distance FROM ranked WHERE rank <= 10
+"""
+
+ORACLE: dict[str, str] = {
+    "op1_decontaminate": OP1,
+    "op2_substring_dedup": OP2,
+    "op7_chat_format": OP7,
+    "op10_hamming_search": OP10,
+}

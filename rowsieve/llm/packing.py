@@ -18,6 +18,7 @@ from __future__ import annotations
 import functools
 import heapq
 import os
+import re
 import zlib
 
 import numpy as np
@@ -31,11 +32,17 @@ LENGTH = 4096
 END = 1
 SHARD_ROWS = 100_000
 #: Words whose ids a Python worker keeps.
-KNOWN_WORDS = 600_000
+KNOWN_WORDS = 500_000
 #: Characters of texts that are cut into words at once.
 TEXTS_CHARS = 1 << 20
 
 
+_PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
+#: Fixed by byte-level vocabularies: printable bytes stand for themselves, the others for 256, 257 and so on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_AS_LETTERS = {b: 256 + i for i, b in enumerate(x for x in range(256) if x not in _PRINTABLE)}
+
+
 class WordIds:
     """The ids of words, as little-endian unsigned 32-bit numbers, computed once for each word.
 
@@ -50,21 +57,35 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {"": b""}
+        self.stems: dict[str, bytes] = {"": b""}
 
     def encode(self, words: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        """The ids of words that the tokenizer has to see as they are, and of plain ones at once.
+
+        Of lower-case Latin letters alone, a word has nothing to be normalised or cut: only its
+        bytes are merged, and they are written as the vocabulary writes bytes.
+        """
+        plain = [w for w in words if _PLAIN.fullmatch(w)]
+        merge = self.tokenizer.model.tokenize
+        known = {w: [t.id for t in merge(w.encode().decode("latin-1").translate(_AS_LETTERS))] for w in plain}
+        rest = [w for w in words if w not in known]
+        known.update(zip(rest, (x.ids for x in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)), strict=True))
+        return [np.array(known[w], "<u4").tobytes() for w in words]
 
     def learn(self, words: set[str]) -> None:
-        # A plain word has the ids of its lower case, and a full stop or comma after it is cut off.
-        plain = {w: w.lower() for w in words if w.isascii()}
-        parts = {w: (v[:-1], v[-1]) if v[-1] in ".," and v[-2:-1].isalpha() else (v, "") for w, v in plain.items()}
-        wanted = {x for pair in parts.values() for x in pair} | (words - plain.keys())
-        new = [x for x in wanted if x not in self.known]
-        self.known.update(zip(new, self.encode(new), strict=True))
+        if len(self.known) + len(words) > KNOWN_WORDS:
+            self.known = {"": b""}
+        if len(self.stems) > KNOWN_WORDS:
+            self.stems = {"": b""}
+        # ASCII letters have the ids of their lower case, and a full stop or comma after a letter is cut off.
+        parts = {}
+        for word in words:
+            low = word.lower() if word.isascii() and "<|" not in word else word
+            parts[word] = (low[:-1], low[-1]) if low[-1] in ".," and low[-2:-1].isalpha() and "<|" not in low else (low, "")
+        new = list({x for pair in parts.values() for x in pair if x not in self.stems})
+        self.stems.update(zip(new, self.encode(new), strict=True))
         for word, (stem, mark) in parts.items():
-            if word not in self.known:
-                self.known[word] = self.known[stem] + self.known[mark]
+            self.known[word] = self.stems[stem] + self.stems[mark]
 
     def texts(self, values: list[str | None]) -> list[bytes]:
         out: list[bytes] = []
@@ -79,8 +100,6 @@ class WordIds:
             found = [list(map(self.known.get, words)) for words in cut]
             new = {w for words, ids in zip(cut, found, strict=True) if None in ids for w, x in zip(words, ids, strict=True) if x is None}
             if new:
-                if len(self.known) + len(new) > KNOWN_WORDS:
-                    self.known = {"": b""}
                 self.learn(new)
                 for words, ids in zip(cut, found, strict=True):
                     for i, x in enumerate(ids):

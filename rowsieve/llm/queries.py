@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rowsieve.llm import decontaminate, substrings
+from rowsieve.llm import chat, decontaminate, hamming, packing, substrings
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,7 +20,31 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.removal_report(read(spark, sf_dir, "documents"))
 
 
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.range(2).select(
+        F.lit(-1).cast("bigint").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(said).alias("text"),
+    )
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat.read_back(chat.render(chat.fold(chat.events_of_turns(turns))))
+
+
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"))
+
+
+def op10_hamming_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings")
+    return hamming.search(rows, rows.where(F.col("vec_id") % 50 == 0))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_substring_dedup": op2_substring_dedup,
+    "op7_chat_format": op7_chat_format,
+    "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_hamming_search": op10_hamming_search,
 }
