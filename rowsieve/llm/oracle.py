@@ -43,6 +43,25 @@ SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(c
 FROM docs LEFT JOIN kept USING (r)
 """
 
+OP6 = rf"""
+WITH RECURSIVE docs AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_NORMAL.format(text="coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT r, list_slice(w, i, i + 4) AS s FROM docs, unnest(generate_series(1, greatest(1, len(w) - 4))) AS g(i)
+    WHERE len(w) > 0
+), sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r),
+common AS (
+    SELECT a.r AS a, b.r AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.r <> b.r GROUP BY a.r, b.r
+), links AS (
+    SELECT a, b FROM common c JOIN sizes x ON x.r = a JOIN sizes y ON y.r = b WHERE 100 * c.n >= 75 * (x.n + y.n - c.n)
+), reach AS (
+    SELECT r AS a, r AS b FROM docs UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), component AS (SELECT a AS r, min(doc_id) AS component_id FROM reach JOIN docs ON docs.r = reach.b GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM docs JOIN component USING (r) LEFT JOIN sizes USING (r)
+"""
+
 _REST = r"(?:\|im_start\|>|\|im_end\|>|/?s>|<SYS>>|</SYS>>|/?INST\])"
 OP7 = rf"""
 WITH turns AS (
@@ -74,6 +93,7 @@ SELECT query_id, rank, id, distance FROM ranked WHERE rank <= 10
 ORACLE: dict[str, str] = {
     "op1_decontaminate": OP1,
     "op2_substring_dedup": OP2,
+    "op6_near_dedup": OP6,
     "op7_chat_format": OP7,
     "op10_hamming_search": OP10,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowsieve.llm import chat, decontaminate, hamming, licenses, packing, substrings
+from rowsieve.llm import chat, decontaminate, hamming, licenses, neardup, packing, substrings
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read(spark, sf_dir, "documents"))
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.clusters(read(spark, sf_dir, "documents"))
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     extra = spark.range(2).select(
@@ -49,6 +53,7 @@ QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_substring_dedup": op2_substring_dedup,
     "op5_license_scan": op5_license_scan,
+    "op6_near_dedup": op6_near_dedup,
     "op7_chat_format": op7_chat_format,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_hamming_search": op10_hamming_search,
