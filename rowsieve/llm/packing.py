@@ -19,7 +19,9 @@ import functools
 import heapq
 import os
 import re
+import sys
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -31,24 +33,25 @@ from rowsieve.llm.frames import texts
 LENGTH = 4096
 END = 1
 SHARD_ROWS = 100_000
-#: Words whose ids a Python worker keeps.
-KNOWN_WORDS = 500_000
-#: Characters of texts that are cut into words at once.
-TEXTS_CHARS = 1 << 20
+#: Parts whose ids a Python worker keeps.
+KNOWN_PARTS = 800_000
 
 
-_PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
+#: The tokenizer's own pattern, for lower-case texts of Latin-1 characters.
+_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^\\s0-9a-z\u00df-\u00f6\u00f8-\u00ff]+")
+#: What a text must not hold for that: other characters, letters and digits that look like signs, special tokens.
+_OTHER = re.compile("[^\t-\r -~\u00a0-\u00ff]|[\u00aa\u00b2\u00b3\u00b5\u00b9\u00ba\u00bc-\u00be]|<\\|")
 #: Fixed by byte-level vocabularies: printable bytes stand for themselves, the others for 256, 257 and so on.
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _AS_LETTERS = {b: 256 + i for i, b in enumerate(x for x in range(256) if x not in _PRINTABLE)}
 
 
 class WordIds:
-    """The ids of words, as little-endian unsigned 32-bit numbers, computed once for each word.
+    """The ids of texts, as little-endian unsigned 32-bit numbers.
 
-    The tokenizer cuts at white space first and merges within words only, so a text's ids are those
-    of its words one after another. Spaces and line feeds are cut here; other white space
-    stays in a word, and the tokenizer cuts there.
+    The tokenizer cuts a text into parts (words, single digits, runs of signs) and merges within
+    parts only. Texts of Latin-1 characters are cut here by the same pattern, and the ids of each
+    part are computed once; other texts go through the tokenizer as they are.
     """
 
     def __init__(self, path: str):
@@ -56,57 +59,34 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
-        self.stems: dict[str, bytes] = {"": b""}
-
-    def encode(self, words: list[str]) -> list[bytes]:
-        """The ids of words that the tokenizer has to see as they are, and of plain ones at once.
-
-        Of lower-case Latin letters alone, a word has nothing to be normalised or cut: only its
-        bytes are merged, and they are written as the vocabulary writes bytes.
-        """
-        plain = [w for w in words if _PLAIN.fullmatch(w)]
-        merge = self.tokenizer.model.tokenize
-        known = {w: [t.id for t in merge(w.encode().decode("latin-1").translate(_AS_LETTERS))] for w in plain}
-        rest = [w for w in words if w not in known]
-        known.update(zip(rest, (x.ids for x in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)), strict=True))
-        return [np.array(known[w], "<u4").tobytes() for w in words]
-
-    def learn(self, words: set[str]) -> None:
-        if len(self.known) + len(words) > KNOWN_WORDS:
-            self.known = {"": b""}
-        if len(self.stems) > KNOWN_WORDS:
-            self.stems = {"": b""}
-        # ASCII letters have the ids of their lower case, and a full stop or comma after a letter is cut off.
-        parts = {}
-        for word in words:
-            low = word.lower() if word.isascii() and "<|" not in word else word
-            parts[word] = (low[:-1], low[-1]) if low[-1] in ".," and low[-2:-1].isalpha() and "<|" not in low else (low, "")
-        new = list({x for pair in parts.values() for x in pair if x not in self.stems})
-        self.stems.update(zip(new, self.encode(new), strict=True))
-        for word, (stem, mark) in parts.items():
-            self.known[word] = self.stems[stem] + self.stems[mark]
-
-    def texts(self, values: list[str | None]) -> list[bytes]:
-        out: list[bytes] = []
-        at = 0
-        while at < len(values):
-            cut, n = [], 0  # some texts at a time, so that not all words are in memory
-            while at < len(values) and n < TEXTS_CHARS:
-                text = values[at] or ""
-                cut.append(text.replace("\n", " ").split(" "))
-                n += len(text)
-                at += 1
-            found = [list(map(self.known.get, words)) for words in cut]
-            new = {w for words, ids in zip(cut, found, strict=True) if None in ids for w, x in zip(words, ids, strict=True) if x is None}
-            if new:
-                self.learn(new)
-                for words, ids in zip(cut, found, strict=True):
-                    for i, x in enumerate(ids):
-                        if x is None:
-                            ids[i] = self.known[words[i]]
-            out += map(b"".join, found)
-        return out
+        self.merge = self.tokenizer.model.tokenize
+        self.known: dict[str, bytes] = {}
+
+    def part(self, part: str) -> bytes:
+        ids = array("I", [t.id for t in self.merge(part.encode().decode("latin-1").translate(_AS_LETTERS))])
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
+
+    def text(self, text: str | None) -> bytes:
+        if not text:
+            return b""
+        if _OTHER.search(text):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        parts = _PARTS.findall(text.lower())
+        ids = list(map(self.known.get, parts))
+        if None in ids:
+            if len(self.known) > KNOWN_PARTS:
+                self.known = {}
+            known = self.known
+            for i, x in enumerate(ids):
+                if x is None:
+                    part = parts[i]
+                    x = known.get(part)
+                    if x is None:
+                        known[part] = x = self.part(part)
+                    ids[i] = x
+        return b"".join(ids)
 
 
 @functools.cache
@@ -118,10 +98,10 @@ def _crcs(path: str | None, length: int, end: int):
     tail = np.array([end], "<u4").tobytes()
 
     def crcs(text: pa.Array) -> pa.Array:
-        ids = _word_ids(path or default_tokenizer()).texts(text.to_pylist())
+        ids = _word_ids(path or default_tokenizer()).text
         sizes, sums = [], []
-        for raw in ids:
-            raw += tail
+        for value in text:
+            raw = ids(value.as_py()) + tail
             sizes.append(len(raw) // 4)
             sums.append([zlib.crc32(raw[i : i + 4 * length]) for i in range(0, len(raw), 4 * length)])
         return pa.StructArray.from_arrays(
