@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowsieve.llm import chat, decontaminate, hamming, licenses, neardup, packing, substrings
+from rowsieve.llm import chat, decontaminate, hamming, licenses, neardup, packing, quality, substrings, toxicity
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,11 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.removal_report(read(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read(spark, sf_dir, "documents"))
 
@@ -40,6 +45,17 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.render(chat.fold(chat.events_of_turns(turns))))
 
 
+def quality_model(docs: DataFrame, labels: DataFrame) -> quality.Model:
+    """Grades: 0 poor, 1 good but toxic, 2 good."""
+    grade = F.when(F.col("quality") == 0, 0).when(F.col("quality") == 1, F.when(F.col("toxic") == 1, 1).otherwise(2))
+    return quality.train(docs, labels, grade, grades=3)
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return quality.grades(docs, quality_model(docs, read(spark, sf_dir, "labels")))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
@@ -52,9 +68,11 @@ def op10_hamming_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_substring_dedup": op2_substring_dedup,
+    "op4_toxicity": op4_toxicity,
     "op5_license_scan": op5_license_scan,
     "op6_near_dedup": op6_near_dedup,
     "op7_chat_format": op7_chat_format,
+    "op8_quality_classifier": op8_quality_classifier,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_hamming_search": op10_hamming_search,
 }
