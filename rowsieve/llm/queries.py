@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowsieve.llm import chat, decontaminate, hamming, licenses, neardup, packing, quality, substrings, toxicity
+from rowsieve.llm import chat, decontaminate, hamming, licenses, mixing, neardup, packing, quality, substrings, toxicity
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,10 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.removal_report(read(spark, sf_dir, "documents"))
 
 
+def op3_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.score(read(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
@@ -68,6 +72,7 @@ def op10_hamming_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_context_mixing": op3_context_mixing,
     "op4_toxicity": op4_toxicity,
     "op5_license_scan": op5_license_scan,
     "op6_near_dedup": op6_near_dedup,
