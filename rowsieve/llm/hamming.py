@@ -8,8 +8,8 @@ codes are verified by their whole distance, and a query is done as soon as its k
 
 Equal codes are one entry of the index with its k smallest ids, which is all that a top k with ties
 broken by id can need; so a code that a third of all rows have is one row. Everything is DataFrame
-operations: a probe is an equi-join on (segment, value). What is broadcast is the table of bit
-patterns of a radius, at most C(16, 8) rows whatever the input.
+operations: a probe is an equi-join on (segment, value), and the bit patterns of a radius are an array,
+at most C(16, 8) values whatever the input.
 
 Defined results: a null vector, or one with a null or NaN, has no code and is neither found nor a
 query; of rows with the same id all count, and a query's own row is found as well; fewer than k rows
@@ -18,8 +18,6 @@ give fewer results; without rows there are none. Other columns are not read.
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -47,10 +45,9 @@ def _segments(code: Column, segment: int) -> Column:
     return F.posexplode(F.array(*values)).alias("segment", "value")
 
 
-def _patterns(spark, segment: int, radius: int) -> DataFrame:
-    """All values of ``segment`` bits with ``radius`` of them set: C(segment, radius) rows."""
-    rows = [(sum(1 << b for b in bits),) for bits in combinations(range(segment), radius)]
-    return spark.createDataFrame(rows, "pattern int")
+def _patterns(segment: int, radius: int) -> Column:
+    """All values of ``segment`` bits with ``radius`` of them set."""
+    return F.filter(F.sequence(F.lit(0), F.lit((1 << segment) - 1)), lambda x: F.bit_count(x) == radius)
 
 
 def _nearest(found: DataFrame, k: int) -> DataFrame:
@@ -73,7 +70,6 @@ def search(
     """
     if BITS % segment:
         raise ValueError("segments must cut the code evenly")
-    spark = rows.sparkSession
     parts = BITS // segment
     codes = rows.select(column(rows, id_col).alias("id"), sign_code(column(rows, vector_col)).alias("code")).where(
         "id is not null and code is not null"
@@ -92,10 +88,9 @@ def search(
     best = None
     done: list[DataFrame] = []
     for radius in range(segment + 1):
-        patterns = F.broadcast(_patterns(spark, segment, radius))
-        probes = open_.select("query_code", _segments(F.col("query_code"), segment)).crossJoin(patterns).select(
-            "query_code", "segment", F.col("value").bitwiseXOR(F.col("pattern")).alias("value")
-        )
+        probes = open_.select("query_code", _segments(F.col("query_code"), segment))
+        probes = probes.select("query_code", "segment", "value", F.explode(_patterns(segment, radius)).alias("pattern"))
+        probes = probes.select("query_code", "segment", F.col("value").bitwiseXOR(F.col("pattern")).alias("value"))
         hits = probes.join(index, ["segment", "value"]).select("query_code", "code").distinct()
         distance = F.bit_count(F.col("query_code").bitwiseXOR(F.col("code"))).cast("int")
         near = hits.select("query_code", "code", distance.alias("distance"))

@@ -126,16 +126,16 @@ def place(sizes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     made = 0
     never = np.int64(1) << 60
     for i, size in enumerate(sizes.tolist()):
-        # Of a sequence with gap g one less, of g - size one more: the sum changes by 2 (after - before) + 2.
+        # One sequence less with gap g and one more with g - size change the sum by 2 (after - before) + 2.
         before = count[size:length]
+        at, best = -1, 2 * int(count[length - size]) + 1 if size < length else 0  # a new sequence
         if size < length and before.any():
-            change = np.where(before > 0, count[: length - size] - before, never)
-            change[0] = -before[0] - 1 if before[0] else never  # a full one counts nowhere
-            at = int(change.argmin())
-            best = int(change[at])
-        else:
-            best = int(never)
-        if best < never and best <= count[length - size]:
+            change = np.where(before > 0, 2 * (count[: length - size] - before) + 2, never)
+            if before[0]:
+                change[0] = 1 - 2 * before[0]  # a full sequence has no gap that counts
+            if change.min() <= best:
+                at = int(change.argmin())
+        if at >= 0:
             gap = size + at
             where = heapq.heappop(open_[gap])
             count[gap] -= 1
