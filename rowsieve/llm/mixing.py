@@ -10,7 +10,7 @@ selects: the longest context seen before, how often, and where in the token. Wei
 online over the training tokens, each predicted as if it had not been counted itself.
 *Refinement.* Half of a token's probability is the mixed one, half its exact share of the training
 tokens, a context that needs no hashing. Within each text both adapt: what followed the last time
-after the same one, two or three tokens is predicted with a trust that grows and falls with how often
+after the same one or three tokens is predicted with a trust that grows and falls with how often
 that held in this text, and tokens of the text so far are expected again.
 
 Every step is a proper distribution, so scores are log probabilities and bits per byte follow.
@@ -18,7 +18,8 @@ Every step is a proper distribution, so scores are log probabilities and bits pe
 *Spark.* Tokens are counted once over all texts; the counts are a table that grows with the corpus.
 Tables and weights are made from it, of each token once however frequent it is; each distinct token
 is scored once. Texts are dealt to chunks of about ``CHUNK_TOKENS``, and a chunk meets the scores
-of its distinct tokens in a cogroup. No table that grows with the input is broadcast or collected.
+of its distinct tokens, known by 64 bits of hash, in a cogroup. No table that grows with the input
+is broadcast or collected.
 
 Defined results: a null or empty text is the end alone; repeated rows and null ids each get their
 row; other columns are not read; without training texts every context is empty, which gives each
@@ -27,15 +28,17 @@ bit a half. Texts are handled whole.
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowsieve.llm.frames import crc_mod, table, texts
-from rowsieve.llm.words import LOWER_BYTES, mixed, powers, text_bytes
+from rowsieve.llm.words import LOWER_BYTES, Words, chunks, mixed, powers, text_bytes
 
 HELD_OUT = (7, 2)
 #: Bytes of context (0: all of the token), and the bits of a table's address.
@@ -45,12 +48,13 @@ BLOCK = 1 << 16
 TOKENS_A_TASK, MOST_TASKS = 500_000, 64
 #: Distinct tokens that a task counts before it sends counts on, and those handled at once as arrays.
 GATHER_TOKENS, BATCH_TOKENS = 400_000, 20_000
-CHUNK_TOKENS = 2_500_000
+CHUNK_TOKENS = 5_000_000
+TEXT_BYTES = 1 << 21
 RATE, STEP_BYTES = 0.05, 4096
 #: Shares of the exact count in a token's probability, and of the text so far.
 WHOLE, CACHE = 0.5, 0.1
-#: For the last one, two and three tokens: trust at first, and how many observations that is worth.
-TRUST = ((0.02, 2.0), (0.3, 2.0), (0.7, 2.0))
+#: For so many last tokens: trust at first, and how many observations that is worth.
+TRUST = {1: (0.02, 2.0), 3: (0.7, 2.0)}
 _BASE = 0x9E3779B97F4A7C15
 _ODD = mixed(np.arange(1, 2 * len(ORDERS) + 1, dtype=np.uint64)) | np.uint64(1)
 _SIZES = [1 << bits for _, bits in ORDERS]
@@ -77,7 +81,17 @@ STRETCHED = np.log((_ONES + 0.4) / (_ZEROS + 0.4)).astype(np.float32)
 _SEEN = _ZEROS + _ONES
 #: How often a context was seen, in steps.
 _STEPS = (1, 2, 3, 5, 9, 17, 33, 129, 1025, 8193)
-LEVEL = np.searchsorted(_STEPS, _SEEN, side="right").astype(np.int8)
+LEVEL = np.searchsorted(_STEPS, _SEEN, side="right")
+#: Of each order the gate that a code asks for; a longer context seen before goes first.
+GATE = np.stack([np.where(LEVEL > 0, len(_STEPS) * k + LEVEL, 0) for k in range(len(ORDERS))]).astype(np.int16)
+#: The code without one zero, then without one one; counts above 63 are steps, which one less does not change.
+_PAIR = np.arange(1 << 16)
+WITHOUT = np.concatenate(
+    [
+        np.where((_PAIR >> 8 > 0) & (_PAIR >> 8 < 64), _PAIR - 256, _PAIR),
+        np.where((_PAIR & 255 > 0) & (_PAIR & 255 < 64), _PAIR - 1, _PAIR),
+    ]
+).astype(np.uint16)
 GATES = (1 + len(_STEPS) * len(ORDERS)) * 3
 INPUTS = len(ORDERS) + 1
 
@@ -93,6 +107,8 @@ class Contexts:
         start = np.repeat(ends - sizes, sizes)
         n = len(self.bytes)
         self.at = np.arange(n) - start
+        #: At the first byte, at the next two, or later.
+        self.where = np.minimum((self.at + 1) // 2, 2)
         self.hashes = []
         code = np.zeros(n, np.uint64)
         for back in range(1, 7):
@@ -145,13 +161,13 @@ def _table_blocks(batches):
     for block, start in enumerate(range(0, _STARTS[-1], BLOCK)):
         part = counts[:, start : start + BLOCK]
         if part.any():
-            yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([part.tobytes()], pa.binary())], ["block", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())], ["block", "counts"])
 
 
 def _summed(rows: pa.Table) -> pa.Table:
     total = np.zeros((2, BLOCK))
     for raw in rows.column("counts"):
-        total += np.frombuffer(raw.as_buffer(), np.float32).reshape(2, -1)
+        total += np.frombuffer(zlib.decompress(raw.as_py()), np.float32).reshape(2, -1)
     codes = (coded(np.rint(total[0])) << 8) | coded(np.rint(total[1]))
     return pa.table({"block": rows.column("block")[:1], "codes": pa.array([codes.astype("<u2").tobytes()], pa.binary())})
 
@@ -171,26 +187,23 @@ class Mixer:
         """Stretched predictions (a row for each input), the gate, and the bit."""
         slots, ones = contexts.slots(bit)
         x = np.empty((INPUTS, len(ones)), np.float32)
-        gate = np.zeros(len(ones), np.int64)
-        own = np.where(ones == 1, 1, 256)
+        gate = np.zeros(len(ones), np.int16)
+        own = ones.astype(np.int64) << 16
         for k, (start, slot) in enumerate(zip(_STARTS, slots, strict=False)):
-            code = self.codes[slot + start].astype(np.int64)
+            code = self.codes[slot + start]
             if without_self:
-                of_bit = np.where(ones == 1, code & 255, code >> 8)
-                code = np.where((of_bit > 0) & (of_bit < 64), code - own, code)
+                code = WITHOUT[own + code]
             x[k] = STRETCHED[code]
-            level = LEVEL[code]
-            gate = np.where(level > 0, len(_STEPS) * k + level, gate)
+            np.maximum(gate, GATE[k][code], out=gate)
         x[-1] = 0.3
-        where = np.minimum(contexts.at, 3)
-        return x, gate * 3 + np.where(where < 1, 0, np.where(where < 3, 1, 2)), ones
+        return x, gate.astype(np.int64) * 3 + contexts.where, ones
 
     def probability(self, x: np.ndarray, gate: np.ndarray) -> np.ndarray:
         """Of a one."""
-        w = self.weights.astype(np.float32)
-        out = np.zeros(x.shape[1], np.float32)
-        for k in range(INPUTS):
-            out += w[gate, k] * x[k]
+        w = self.weights.T.astype(np.float32)
+        out = w[0][gate] * x[0]
+        for k in range(1, INPUTS):
+            out += w[k][gate] * x[k]
         return 1 / (1 + np.exp(-np.clip(out, -12, 12).astype(np.float64)))
 
     def learn(self, tokens: list[bytes], n: np.ndarray) -> None:
@@ -282,23 +295,47 @@ def train(counts: DataFrame) -> Mixer:
     return mixer
 
 
+def _hashes(tokens: list[bytes]) -> np.ndarray:
+    """Of each token what :class:`Words` gives for it; 0 for the end."""
+    out = np.zeros(len(tokens), np.uint64)
+    words = Words(pa.array(tokens, pa.binary()))
+    out[words.doc] = words.hash
+    return out
+
+
 def _scored(held, total: int):
     def scored(batches):
         mixer = held.value
         for tokens, n in _batches_of(batches, "n"):
-            p = (1 - WHOLE) * 10.0 ** mixer.log10(tokens) + WHOLE * n / total if total else 10.0 ** mixer.log10(tokens)
-            score = np.log10(np.maximum(p, 1e-300))
-            yield pa.RecordBatch.from_arrays([pa.array(tokens, pa.binary()), pa.array(n), pa.array(score)], ["token", "n", "score"])
+            p = 10.0 ** mixer.log10(tokens)
+            if total:
+                p = (1 - WHOLE) * p + WHOLE * n / total
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(_hashes(tokens).view(np.int64)), pa.array(n), pa.array(np.log10(np.maximum(p, 1e-300)))], ["token", "n", "score"]
+            )
 
     return scored
 
 
+def _texts_of(rows: pa.Table):
+    """The texts' words, some texts at a time, with the rows they are of."""
+    at = 0
+    for batch in rows.select(["text"]).to_batches():
+        for part in chunks(batch, batch.column(0), TEXT_BYTES):
+            yield slice(at, at + part.num_rows), Words(part.column(0), lower=True)
+            at += part.num_rows
+
+
 def _distinct(rows: pa.Table) -> pa.Table:
-    tokens = {b""}
-    for text in rows.column("text").chunks:
-        for raw in text_bytes(text):
-            tokens.update(raw.translate(LOWER_BYTES).split())
-    return pa.table({"chunk": pa.repeat(rows.column("chunk")[0], len(tokens)), "token": pa.array(list(tokens), pa.binary())})
+    known = np.zeros(1, np.uint64)
+    waiting: list[np.ndarray] = []
+    for _, words in _texts_of(rows):
+        waiting.append(np.unique(words.hash))
+        if sum(map(len, waiting)) > CHUNK_TOKENS // 8:
+            known = np.unique(np.concatenate([known, *waiting]))
+            waiting = []
+    known = np.unique(np.concatenate([known, *waiting]))
+    return pa.table({"chunk": pa.repeat(rows.column("chunk")[0], len(known)), "token": pa.array(known.view(np.int64))})
 
 
 def _occurred(doc: np.ndarray, tokens: list[np.ndarray]) -> np.ndarray:
@@ -306,9 +343,12 @@ def _occurred(doc: np.ndarray, tokens: list[np.ndarray]) -> np.ndarray:
     key = mixed(doc.astype(np.uint64))
     for token in tokens:
         key = mixed(key ^ (token + 1).astype(np.uint64))
-    order = np.argsort(key, kind="stable")
+    n = len(doc)
+    bits = np.uint64(max(1, n.bit_length()))
+    # Sorting places behind the hash's first bits is much faster than a stable sort of hashes.
+    order = (np.sort((key >> bits << bits) | np.arange(n, dtype=np.uint64)) & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
     again = np.flatnonzero(key[order][1:] == key[order][:-1])
-    place = np.full(len(doc), -1)
+    place = np.full(n, -1)
     place[order[again + 1]] = order[again]
     return place
 
@@ -327,18 +367,19 @@ def adapted(doc: np.ndarray, token: np.ndarray, score: np.ndarray) -> np.ndarray
         return total - total[first]
 
     before = []
-    for back in range(1, len(TRUST) + 1):
+    for back in range(1, max(TRUST) + 1):
         moved = np.full(n, -1)
         moved[back:] = token[:-back]
         before.append(np.where(at - first >= back, moved, -1 - back))
     longest = np.full(n, -1)
     pointer = np.full(n, -1)
-    for order in range(len(TRUST)):
-        place = _occurred(doc, before[: order + 1])
+    for order in TRUST:
+        place = _occurred(doc, before[:order])
         longest[place >= 0] = order
         pointer = np.where(place >= 0, place, pointer)
-    # Words of the text so far: how many of the tokens before are this one.
-    same = np.argsort(mixed(mixed(doc.astype(np.uint64)) ^ token.astype(np.uint64)), kind="stable")
+    # How many of the text's tokens before are this one.
+    bits = np.int64(max(1, n.bit_length()))
+    same = np.sort(((doc * (token.max(initial=0) + 1) + token) << bits) | at) & ((np.int64(1) << bits) - 1)
     opens = np.ones(n, bool)
     opens[1:] = (token[same][1:] != token[same][:-1]) | (doc[same][1:] != doc[same][:-1])
     seen = np.empty(n)
@@ -346,7 +387,7 @@ def adapted(doc: np.ndarray, token: np.ndarray, score: np.ndarray) -> np.ndarray
     so_far = at - first
     p = np.where(so_far > 0, (1 - CACHE) * 10.0**score + CACHE * seen / np.maximum(1, so_far), 10.0**score)
     hit = (pointer >= 0) & (token == token[pointer])
-    for order, (prior, worth) in enumerate(TRUST):
+    for order, (prior, worth) in TRUST.items():
         here = longest == order
         trust = (earlier(here & hit) + prior * worth) / (earlier(here) + worth)
         p = np.where(here, np.where(hit, trust + (1 - trust) * p, (1 - trust) * p), p)
@@ -355,30 +396,38 @@ def adapted(doc: np.ndarray, token: np.ndarray, score: np.ndarray) -> np.ndarray
 
 def _document_scores(total: int, distinct: int):
     def scores(docs: pa.Table, tokens: pa.Table) -> pa.Table:
-        index = {t: i for i, t in enumerate(tokens.column("token").to_pylist())}
-        n = np.append(tokens.column("n").to_numpy(), 0)
-        of_token = np.append(tokens.column("score").to_numpy(), 0.0)
-        places, sizes = [], []
-        for text in docs.column("text").chunks:
-            for raw in text_bytes(text):
-                words = raw.translate(LOWER_BYTES).split()
-                words.append(b"")
-                places.append(np.fromiter(map(index.__getitem__, words), np.int64, len(words)))
-                sizes.append(len(words))
-        rows = len(sizes)
-        token = np.concatenate([*places, np.zeros(0, np.int64)])
-        doc = np.repeat(np.arange(rows), sizes)
-        base = np.log10((n[token] + 1) / (total + distinct + 1))
-        mixed = adapted(doc, token, of_token[token]) if rows else base
+        known = tokens.column("token").to_numpy().view(np.uint64)
+        order = np.argsort(known)
+        known = known[order]
+        n = tokens.column("n").to_numpy()[order]
+        of_token = tokens.column("score").to_numpy()[order]
+        of_count = np.log10((n + 1) / (total + distinct + 1))
+        rows = docs.num_rows
+        n_tokens, n_known = np.zeros(rows, np.int64), np.zeros(rows, np.int64)
+        base, score = np.zeros(rows), np.zeros(rows)
+        end = np.searchsorted(known, 0) if len(known) else 0
+        for which, words in _texts_of(docs):
+            sizes = words.count + 1
+            texts = len(sizes)
+            doc = np.repeat(np.arange(texts), sizes)
+            token = np.full(len(doc), end)
+            ends = np.cumsum(sizes) - 1
+            inside = np.ones(len(doc), bool)
+            inside[ends] = False
+            token[inside] = np.searchsorted(known, words.hash)
+            n_tokens[which] = sizes
+            n_known[which] = np.bincount(doc, n[token] > 0, texts)
+            base[which] = np.bincount(doc, of_count[token], texts)
+            score[which] = np.bincount(doc, adapted(doc, token, of_token[token]), texts)
         return pa.table(
             {
                 "doc_id": docs.column("doc_id"),
                 "held_out": docs.column("held_out"),
-                "n_tokens": pa.array(sizes, pa.int64()),
-                "n_known": pa.array(np.bincount(doc, n[token] > 0, rows).astype(np.int64)),
-                "n_bytes": pa.array([len(x) for t in docs.column("text").chunks for x in text_bytes(t)], pa.int64()),
-                "base_score": pa.array(np.bincount(doc, base, rows)),
-                "score": pa.array(np.bincount(doc, mixed, rows)),
+                "n_tokens": pa.array(n_tokens),
+                "n_known": pa.array(n_known),
+                "n_bytes": pc.binary_length(docs.column("text")).cast(pa.int64()),
+                "base_score": pa.array(base),
+                "score": pa.array(score),
             }
         )
 
@@ -399,10 +448,10 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", he
     ).first()
     mixer = train(counts.where("n > 0"))
     held = docs.sparkSession.sparkContext.broadcast(mixer)
-    scored = table(counts.select("token", "n").mapInArrow(_scored(held, total), "token binary, n bigint, score double"), "token-scores")
-    chunks = max(1, -(-tokens // CHUNK_TOKENS))
-    dealt = plain.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)))
-    wanted = dealt.groupBy("chunk").applyInArrow(_distinct, "chunk bigint, token binary")
+    scored = table(counts.select("token", "n").mapInArrow(_scored(held, total), "token bigint, n bigint, score double"), "token-scores")
+    dealt_to = max(1, -(-tokens // CHUNK_TOKENS))
+    dealt = plain.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(dealt_to)))
+    wanted = dealt.groupBy("chunk").applyInArrow(_distinct, "chunk bigint, token bigint")
     met = wanted.join(scored, "token").select("chunk", "token", "n", "score")
     kind = dict(plain.dtypes)["doc_id"]
     schema = f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, n_bytes bigint, base_score double, score double"
