@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowsieve.llm.frames import column, table, texts, unused
+from rowsieve.llm.memory import tidy, tidy_batch
 from rowsieve.llm.words import ALNUM_BYTES, text_bytes
 
 WINDOW = 10
@@ -196,7 +197,7 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int, blo
         column(benchmark, item_col).cast("string").alias("item"), column(benchmark, text_col).cast("string").alias("text")
     )
     rows = table(
-        rows.mapInArrow(_segments(window), "item string, words binary, n bigint").distinct(), "benchmark-items"
+        rows.mapInArrow(tidy(_segments(window)), "item string, words binary, n bigint").distinct(), "benchmark-items"
     )
     total = rows.agg(F.sum("n")).first()[0] or 0
     blocks = max(1, -(-total // block_words))
@@ -207,6 +208,7 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int, blo
 
 def _matcher(automaton):
     @F.arrow_udf(returnType=_MATCH)
+    @tidy_batch
     def match(text: pa.Array, before: pa.Array) -> pa.Array:
         found = []
         for words, known in zip(map(normalised, text_bytes(text)), before, strict=True):
@@ -314,7 +316,7 @@ def decontaminate(
     cut = unused(found, "cut")
     found = found.withColumn(cut, spans)
     text = column(found, text_col)
-    cleaned = F.when(F.size(F.col(f"`{cut}`")) > 0, F.arrow_udf(_without_spans, "string")(text, F.col(f"`{cut}`.s"), F.col(f"`{cut}`.e"))).otherwise(text)
+    cleaned = F.when(F.size(F.col(f"`{cut}`")) > 0, F.arrow_udf(tidy_batch(_without_spans), "string")(text, F.col(f"`{cut}`.s"), F.col(f"`{cut}`.e"))).otherwise(text)
     return found.withColumn(text_col, cleaned).select(*[column_ref(c) for c in docs.columns])
 
 

@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowsieve.llm.frames import crc_mod, table, texts
+from rowsieve.llm.memory import tidy
 from rowsieve.llm.words import LOWER_BYTES, Words, chunks, mixed, powers, text_bytes
 
 HELD_OUT = (7, 2)
@@ -49,7 +50,7 @@ TOKENS_A_TASK, MOST_TASKS = 500_000, 64
 #: Distinct tokens that a task counts before it sends counts on, and those handled at once as arrays.
 GATHER_TOKENS, BATCH_TOKENS = 400_000, 20_000
 CHUNK_TOKENS = 5_000_000
-TEXT_BYTES = 1 << 21
+TEXT_BYTES = 1 << 20
 RATE, STEP_BYTES = 0.05, 4096
 #: Shares of the exact count in a token's probability, and of the text so far.
 WHOLE, CACHE = 0.5, 0.1
@@ -280,14 +281,14 @@ def train(counts: DataFrame) -> Mixer:
     distinct = counts.count()
     tasks = min(MOST_TASKS, max(1, -(-distinct // TOKENS_A_TASK)))
     dealt = counts.select("token", "n").repartition(tasks, F.xxhash64("token"))
-    blocks = dealt.mapInArrow(_table_blocks, "block bigint, counts binary").groupBy("block")
+    blocks = dealt.mapInArrow(tidy(_table_blocks), "block bigint, counts binary").groupBy("block")
     codes = np.zeros(_STARTS[-1], np.uint16)
     for row in blocks.applyInArrow(_summed, "block bigint, codes binary").toLocalIterator():  # one slot each, a fixed number
         part = np.frombuffer(row.codes, "<u2")
         start = row.block * BLOCK
         codes[start : start + len(part)] = part[: len(codes) - start]
     mixer = Mixer(codes)
-    found = dealt.mapInArrow(_learned(spark.sparkContext.broadcast(codes)), "weights binary, mass double").collect()
+    found = dealt.mapInArrow(tidy(_learned(spark.sparkContext.broadcast(codes))), "weights binary, mass double").collect()
     if found:
         found.sort(key=lambda r: bytes(r.weights))
         share = np.array([r.mass for r in found]) / sum(r.mass for r in found)
@@ -441,14 +442,14 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", he
     """
     plain = texts(docs, id_col, text_col)
     plain = plain.withColumn("held_out", crc_mod("doc_id", held_out[0]) == held_out[1]).withColumn("text", F.coalesce("text", F.lit("")))
-    counted = plain.select("text", "held_out").mapInArrow(_token_counts, "token binary, n bigint, n_all bigint")
+    counted = plain.select("text", "held_out").mapInArrow(tidy(_token_counts), "token binary, n bigint, n_all bigint")
     counts = table(counted.groupBy("token").agg(F.sum("n").alias("n"), F.sum("n_all").alias("n_all")), "token-counts")
     total, distinct, tokens = counts.agg(
         F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1)), F.coalesce(F.sum("n_all"), F.lit(0))
     ).first()
     mixer = train(counts.where("n > 0"))
     held = docs.sparkSession.sparkContext.broadcast(mixer)
-    scored = table(counts.select("token", "n").mapInArrow(_scored(held, total), "token bigint, n bigint, score double"), "token-scores")
+    scored = table(counts.select("token", "n").mapInArrow(tidy(_scored(held, total)), "token bigint, n bigint, score double"), "token-scores")
     dealt_to = max(1, -(-tokens // CHUNK_TOKENS))
     dealt = plain.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(dealt_to)))
     wanted = dealt.groupBy("chunk").applyInArrow(_distinct, "chunk bigint, token bigint")

@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 
 from rowsieve.llm.components import components
 from rowsieve.llm.frames import column, table, texts
+from rowsieve.llm.memory import tidy
 from rowsieve.llm.words import Words, chunks, mixed
 
 SHINGLE = 5
@@ -48,7 +49,7 @@ REGISTERS = FUNCTIONS * BUCKETS
 BANDS = REGISTERS // ROWS
 #: Sets up to this size are found by their smallest hashes.
 SMALL = 64
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 #: Keys that a task brings together before it sends them on.
 GATHER_KEYS = 1 << 20
 #: Pivots of a bucket in the first round; each round has so many times more.
@@ -278,8 +279,8 @@ def _links(buckets: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame
         chosen = chosen.select("bucket", F.col("class").alias("pivot"), F.col("label").alias("pivot_label"))
         pairs = rows.join(chosen, "bucket").where("label <> pivot_label")
         pairs = pairs.select(F.least("class", "pivot").alias("a"), F.greatest("class", "pivot").alias("b")).distinct()
-        near = _paired(pairs, classes, ["n", "registers"]).mapInArrow(_estimated, "a binary, b binary")
-        links = _paired(near, sets, ["set"]).mapInArrow(_confirmed, "a binary, b binary")
+        near = _paired(pairs, classes, ["n", "registers"]).mapInArrow(tidy(_estimated), "a binary, b binary")
+        links = _paired(near, sets, ["set"]).mapInArrow(tidy(_confirmed), "a binary, b binary")
         if labels is not None:
             for side in ("a", "b"):
                 named = labels.select(F.col("node").alias(side), F.col("label").alias(f"label_{side}"))
@@ -300,18 +301,18 @@ def _links(buckets: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame
 def clusters(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id, kept (whether it has the smallest id of its component)."""
     plain = texts(docs, id_col, text_col)
-    sketches = table(plain.mapInArrow(_sketch(shingle), _sketch_schema(plain)), "sketches")
+    sketches = table(plain.mapInArrow(tidy(_sketch(shingle)), _sketch_schema(plain)), "sketches")
     classes = sketches.where("class is not null").groupBy("class").agg(
         F.min("doc_id").alias("doc_id"), F.any_value("n").alias("n"), F.any_value("registers").alias("registers")
     )
     classes = table(classes, "classes")
-    gathered = classes.select("class", "n", "registers").mapInArrow(_buckets, _BUCKET)
+    gathered = classes.select("class", "n", "registers").mapInArrow(tidy(_buckets), _BUCKET)
     route = W.partitionBy("route")
     buckets = gathered.withColumns({"size": F.count("*").over(route), "any": F.max("known").over(route)})
     buckets = table(buckets.where("any or size > 1").select("bucket", "class"), "buckets")
     wanted = buckets.select("class").distinct()
     heads = classes.join(wanted, "class", "left_semi").select("doc_id", "class")
-    sets = plain.join(heads, "doc_id").select("class", "text").mapInArrow(_sets(shingle), "class binary, set binary")
+    sets = plain.join(heads, "doc_id").select("class", "text").mapInArrow(tidy(_sets(shingle)), "class binary, set binary")
     # A class may have come from a row among several with this id; each set is needed once.
     sets = table(sets.groupBy("class").agg(F.any_value("set").alias("set")), "sets")
     labels = _links(buckets, classes, sets)

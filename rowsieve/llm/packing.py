@@ -29,12 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowsieve.llm.frames import texts
+from rowsieve.llm.memory import tidy_batch
 
 LENGTH = 4096
 END = 1
 SHARD_ROWS = 100_000
 #: Parts whose ids a Python worker keeps.
-KNOWN_PARTS = 800_000
+KNOWN_PARTS = 400_000
 
 
 #: The tokenizer's own pattern, for lower-case texts of Latin-1 characters.
@@ -108,7 +109,7 @@ def _crcs(path: str | None, length: int, end: int):
             [pa.array(sizes, pa.int64()), pa.array(sums, pa.list_(pa.int64()))], ["size", "crcs"]
         )
 
-    return F.arrow_udf(crcs, "struct<size: bigint, crcs: array<bigint>>")
+    return F.arrow_udf(tidy_batch(crcs), "struct<size: bigint, crcs: array<bigint>>")
 
 
 def default_tokenizer() -> str:

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowsieve.llm.frames import column, texts, unused
+from rowsieve.llm.memory import tidy, tidy_batch
 from rowsieve.llm.ordinal import Sparse, fit, labelled_sample, tails
 from rowsieve.llm.words import Words, binary, chunks
 
@@ -31,7 +32,7 @@ BITS = 14
 BACK = (1, 2, 3)
 WIDTH = (1 << BITS) + len(BACK)
 FIT_ROWS = 6000
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 #: What a share of all trigrams counts; makes usual shares of the size of one.
 SCALE = 100.0
 REPEAT_SCALE = 5.0
@@ -105,7 +106,7 @@ def train(
 ) -> Model:
     """A model of ``grade`` (0 to grades - 1), a column of ``labels``."""
     sample = labelled_sample(docs, labels, grade, fit_rows, id_col=id_col, text_col=text_col)
-    rows = sample.mapInArrow(_features, "places binary, values binary, grade int").collect()
+    rows = sample.mapInArrow(tidy(_features), "places binary, values binary, grade int").collect()
     rows.sort(key=lambda r: (bytes(r.places), bytes(r["values"]), r.grade))
     x = Sparse(
         [np.frombuffer(r.places, "<u4") for r in rows], [np.frombuffer(r["values"], "<f4") * SCALE for r in rows], WIDTH
@@ -128,7 +129,7 @@ def with_grades(docs: DataFrame, model: Model, into: str, *, text_col: str = "te
             ["expected_grade", "tails"],
         )
 
-    score = F.arrow_udf(score, "struct<expected_grade: double, tails: array<double>>")
+    score = F.arrow_udf(tidy_batch(score), "struct<expected_grade: double, tails: array<double>>")
     return docs.withColumn(into, score(column(docs, text_col).cast("string")))
 
 

@@ -31,12 +31,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from rowsieve.llm.frames import column, texts, unused
+from rowsieve.llm.memory import tidy, tidy_batch
 from rowsieve.llm.words import Words, chunks, lookup, mixed, text_bytes
 
 WINDOW = 35
 ANCHOR = 8
 #: Text bytes hashed at once, and occurrences that a task brings together before it sends rows on.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 GATHER_ROWS = 1 << 20
 
 _OCCURRENCE = "route bigint, check int, known boolean, t1 bigint, t2 int, start int, n int"
@@ -207,7 +208,7 @@ def repeats(docs: DataFrame, key: list[str], text: str, *, window: int = WINDOW,
     if window < anchor:
         raise ValueError("a window has an anchor's words at least")
     plain = docs.select(F.col(key[0]).alias("t1"), F.col(key[1]).alias("t2"), column(docs, text).cast("string").alias("text"))
-    seeds = _repeated(plain.mapInArrow(_anchors(window, anchor), _OCCURRENCE), "seeds")
+    seeds = _repeated(plain.mapInArrow(tidy(_anchors(window, anchor)), _OCCURRENCE), "seeds")
     into = unused(docs, "seeds")
     seeded = docs.join(seeds.select(F.col("t1").alias(key[0]), F.col("t2").alias(key[1]), F.col("seeds").alias(into)), key)
     names = [*key, text, into]
@@ -218,7 +219,7 @@ def repeats(docs: DataFrame, key: list[str], text: str, *, window: int = WINDOW,
             yield pa.RecordBatch.from_arrays([batch.column(i) for i in places], ["t1", "t2", "text", "seeds"])
 
     find = _windows(window, anchor)
-    return _repeated(seeded.mapInArrow(lambda batches: find(renamed(batches)), _OCCURRENCE), "spans")
+    return _repeated(seeded.mapInArrow(tidy(lambda batches: find(renamed(batches))), _OCCURRENCE), "spans")
 
 
 def _kept(n: int, window: int, copies: int, spans: np.ndarray) -> np.ndarray:
@@ -255,6 +256,7 @@ def with_spans(docs: DataFrame, into: str, *, text_col: str = "text", window: in
 
 def _digests(window: int):
     @F.arrow_udf(returnType="struct<n_words: bigint, n_removed: bigint, kept_sha256: string>")
+    @tidy_batch
     def digest(text: pa.Array, copies: pa.Array, spans: pa.Array) -> pa.Array:
         n_words, n_removed, sha = [], [], []
         for raw, c, s in zip(text_bytes(text), copies.to_pylist(), _spans(spans), strict=True):
@@ -281,6 +283,7 @@ def removal_report(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
 def _cutter(window: int):
     @F.arrow_udf(returnType="string")
+    @tidy_batch
     def cut(text: pa.Array, copies: pa.Array, spans: pa.Array) -> pa.Array:
         out = []
         for raw, c, s in zip(text_bytes(text), copies.to_pylist(), _spans(spans), strict=True):

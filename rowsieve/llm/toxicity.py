@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowsieve.llm.frames import column, crc_mod, table, texts
+from rowsieve.llm.memory import tidy, tidy_batch
 from rowsieve.llm.ordinal import Sparse, fit, labelled_sample, logistic
 from rowsieve.llm.words import LOWER_BYTES, chunks, text_bytes
 
@@ -34,7 +35,7 @@ HELD_OUT = 5
 FIT_ROWS = 12_000
 FEATURES = 8192
 BITS = 18
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 
 #: Letters that a sign can stand for, fixed values.
 LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t"}
@@ -183,7 +184,7 @@ def _counts(batches):
 
 def language_model(docs: DataFrame) -> np.ndarray:
     """Log probabilities of character trigrams over all texts of ``docs`` (a table of fixed size)."""
-    counted = docs.select("text").mapInArrow(_counts, "place int, n bigint").groupBy("place").agg(F.sum("n").alias("n"))
+    counted = docs.select("text").mapInArrow(tidy(_counts), "place int, n bigint").groupBy("place").agg(F.sum("n").alias("n"))
     rows = counted.toArrow()  # at most SYMBOLS ** 3 rows
     n = np.zeros(SYMBOLS**3)
     n[rows.column("place").to_numpy()] = rows.column("n").to_numpy()
@@ -269,10 +270,10 @@ def train(
     known = labels.select(column(labels, id_col).alias("doc_id"), column(labels, label_col).alias("toxic"))
     known = known.where((crc_mod("doc_id", HELD_OUT) != 0) & F.col("toxic").isin(0, 1))
     sample = labelled_sample(plain, known, F.col("toxic"), fit_rows, id_col="doc_id", text_col="text")
-    rows = table(sample.mapInArrow(_binned(spark.sparkContext.broadcast(trigrams)), "bins binary, grade int").coalesce(8), "toxicity-features")
+    rows = table(sample.mapInArrow(tidy(_binned(spark.sparkContext.broadcast(trigrams))), "bins binary, grade int").coalesce(8), "toxicity-features")
     n = np.zeros((2, 1 << BITS))
     of_class = np.zeros(2)
-    for r in rows.mapInArrow(_frequencies, "n binary, rows array<bigint>").collect():  # a row for each of 8 tasks at most
+    for r in rows.mapInArrow(tidy(_frequencies), "n binary, rows array<bigint>").collect():  # a row for each of 8 tasks at most
         n += np.frombuffer(r.n, "<u4").reshape(2, -1)
         of_class += r["rows"]
     rate = (n + 0.5) / (of_class[:, None] + 1)
@@ -280,7 +281,7 @@ def train(
     picked = np.sort(np.argsort(-telling, kind="stable")[:FEATURES])
     places = np.full(1 << BITS, -1, np.int32)
     places[picked] = np.arange(len(picked))
-    found = rows.mapInArrow(_chosen(places), "bins binary, grade int").collect()
+    found = rows.mapInArrow(tidy(_chosen(places)), "bins binary, grade int").collect()
     found.sort(key=lambda r: (bytes(r.bins), r.grade))
     bins = [np.frombuffer(r.bins, "<u2") for r in found]
     x = Sparse(bins, [np.ones(len(b)) for b in bins], len(picked))
@@ -302,7 +303,7 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
         return pa.array(model.scores(text_bytes(text), decoders[0]))
 
     plain = texts(docs, id_col, text_col)
-    found = plain.select("doc_id", F.arrow_udf(scores, "double")("text").alias("score"))
+    found = plain.select("doc_id", F.arrow_udf(tidy_batch(scores), "double")("text").alias("score"))
     return found.select(
         "doc_id",
         (crc_mod("doc_id", HELD_OUT) == 0).alias("held_out"),

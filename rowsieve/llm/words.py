@@ -72,11 +72,11 @@ def powers(base: int, n: int) -> np.ndarray:
     """``base ** i`` modulo 2^64 for i < n."""
     known = _powers.get(base)
     if known is None or len(known) < n:
-        size = 1 << max(16, int(n - 1).bit_length())
+        size = (n + (1 << 18) - 1) >> 18 << 18 if n <= 1 << 22 else n
         known = np.full(size, base, np.uint64)
         known[0] = 1
         np.multiply.accumulate(known, out=known)
-        if size <= 1 << 24:  # of an odd text of more than 16 MB nothing is kept
+        if size <= 1 << 22:  # for a longer text than usual nothing is kept
             _powers[base] = known
     return known[:n]
 
