@@ -42,7 +42,9 @@ def grouped_stats(
 
 def partial_stats(df: DataFrame, by: str | Sequence[str], value: str) -> DataFrame:
     """Mergeable parts of :func:`grouped_stats` for one load of data."""
-    number = _number(df, value).cast("double")
+    number = _number(df, value)
+    if not isinstance(df.select(number).schema[0].dataType, T.DecimalType):
+        number = number.cast("double")  # a decimal keeps its digits
     return df.groupBy(*_keys(by)).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count(number).alias("n_values"),

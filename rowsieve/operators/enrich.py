@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,22 +35,59 @@ def add_processing_time(
     return df.withColumn(column, F.date_format(now, fmt) if as_type == "string" else now)
 
 
-def align(df: DataFrame, schema: T.StructType, *, strict: bool = False) -> DataFrame:
+def align(
+    df: DataFrame, schema: T.StructType, *, strict: bool = False, lossless: bool = False
+) -> DataFrame:
     """``df`` with the columns of ``schema`` in that order.
 
     A missing column becomes a typed NULL; extra columns follow at the end, or are dropped
-    when ``strict``. Values that do not fit the declared type become NULL.
+    when ``strict``. Names match by the session's rule for case. Values that do not fit the declared
+    type become NULL; when ``lossless``, a type that does not widen to it is an error instead.
     """
-    present = {field.name: field.dataType for field in df.schema.fields}
+    same = same_name(df.sparkSession)
+    present = {same(field.name): field for field in df.schema.fields}
     columns = []
     for field in schema.fields:
-        if field.name not in present:
+        found = present.get(same(field.name))
+        if found is None:
             columns.append(F.lit(None).cast(field.dataType).alias(field.name))
-        elif present[field.name] == field.dataType:
-            columns.append(F.col(quote_part(field.name)))
-        else:
-            columns.append(F.col(quote_part(field.name)).try_cast(field.dataType).alias(field.name))
+            continue
+        column = F.col(quote_part(found.name))
+        if found.dataType != field.dataType:
+            if lossless and not widens(found.dataType, field.dataType):
+                kinds = f"{found.dataType.simpleString()} does not widen to {field.dataType.simpleString()}"
+                raise ValueError(f"column {found.name!r}: {kinds}")
+            column = column.cast(field.dataType) if lossless else column.try_cast(field.dataType)
+        columns.append(column.alias(field.name))
     if not strict:
-        declared = set(schema.names)
-        columns += [F.col(quote_part(name)) for name in df.columns if name not in declared]
+        declared = {same(name) for name in schema.names}
+        columns += [F.col(quote_part(name)) for name in df.columns if same(name) not in declared]
     return df.select(*columns)
+
+
+def same_name(spark: SparkSession) -> Callable[[str], str]:
+    """What column names are compared by."""
+    sensitive = spark.conf.get("spark.sql.caseSensitive", "false").lower() == "true"
+    return (lambda name: name) if sensitive else str.lower
+
+
+_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+
+
+def widens(found: T.DataType, wanted: T.DataType) -> bool:
+    """Whether every value of one type is a value of the other."""
+    if found == wanted or isinstance(found, T.NullType):
+        return True
+    digits = _DIGITS.get(type(found))
+    if digits is not None:
+        if type(wanted) in _DIGITS:
+            return digits <= _DIGITS[type(wanted)]
+        if isinstance(wanted, T.DecimalType):
+            return wanted.precision - wanted.scale >= digits
+        return isinstance(wanted, T.DoubleType) and digits <= 10 or isinstance(wanted, T.FloatType) and digits <= 5
+    if isinstance(found, T.DecimalType) and isinstance(wanted, T.DecimalType):
+        whole = wanted.precision - wanted.scale >= found.precision - found.scale
+        return whole and wanted.scale >= found.scale
+    if isinstance(found, T.FloatType):
+        return isinstance(wanted, T.DoubleType)
+    return isinstance(found, (T.CharType, T.VarcharType)) and isinstance(wanted, T.StringType)

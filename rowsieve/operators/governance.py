@@ -41,17 +41,40 @@ class RowFilter:
     group: str = ADMIN
 
 
-Policy = Mask | RowFilter
+@dataclass(frozen=True)
+class Hide:
+    """Members of ``group`` see ``column``; for everybody else it is NULL."""
+
+    column: str
+    group: str = ADMIN
+
+
+#: Where sources keep what did not fit the schema.
+LEFTOVER_COLUMNS = ("_rescued_data", "_corrupt_record")
+
+Policy = Mask | RowFilter | Hide
 
 PERSON_POLICIES: tuple[Policy, ...] = (Mask("name"), RowFilter("office"))
 
 
-def _masks(schema: T.StructType, policies: Sequence[Policy]) -> dict[str, Mask]:
-    """The masks by column. A mask puts text in place of text, so the column must be one."""
-    masks = {policy.column: policy for policy in policies if isinstance(policy, Mask)}
+def _masks(schema: T.StructType, policies: Sequence[Policy]) -> dict[str, list[Mask | Hide]]:
+    """The masks by column, all of which hold. A mask puts text in place of text, so the column must be one.
+
+    Columns that keep what did not fit a schema may hold any masked value, so they are hidden as long as
+    something is masked and no policy of their own says otherwise.
+    """
+    masks: dict[str, list[Mask | Hide]] = {}
+    for policy in policies:
+        if isinstance(policy, (Mask, Hide)):
+            masks.setdefault(policy.column, []).append(policy)
     text = {field.name for field in schema.fields if isinstance(field.dataType, T.StringType)}
-    if not set(masks) <= text:
-        raise ValueError(f"no text columns to mask: {sorted(set(masks) - text)}")
+    masked = {name for name, found in masks.items() if any(isinstance(p, Mask) for p in found)}
+    if not masked <= text:
+        raise ValueError(f"no text columns to mask: {sorted(masked - text)}")
+    groups = sorted({policy.group for found in masks.values() for policy in found})
+    for column in LEFTOVER_COLUMNS:
+        if column in schema.names and column not in masks:
+            masks[column] = [Hide(column, group) for group in groups]
     return masks
 
 
@@ -70,11 +93,10 @@ def governed(df: DataFrame, policies: Sequence[Policy], groups: Iterable[str]) -
     columns = []
     for name in df.columns:
         column = F.col(quote_part(name))
-        if name in masks:
-            mask = masks[name]
-            shown = F.when(F.lit(mask.group in member), column).otherwise(F.lit(mask.text))
-            column = shown.alias(name)
-        columns.append(column)
+        for mask in masks.get(name, ()):
+            other = F.lit(mask.text) if isinstance(mask, Mask) else F.lit(None)
+            column = F.when(F.lit(mask.group in member), column).otherwise(other)
+        columns.append(column.alias(name))
     return df.select(*columns)
 
 
@@ -82,10 +104,12 @@ def _governed_select(spark: SparkSession, table: str, policies: Sequence[Policy]
     schema = spark.table(table).schema
     columns, masks = schema.names, _masks(schema, policies)
     shown = [quote_part(column) for column in columns]
-    for mask in masks.values():
-        column = quote_part(mask.column)
-        case = f"CASE WHEN {member(mask.group)} THEN {column} ELSE {quote_text(mask.text)} END"
-        shown[columns.index(mask.column)] = f"{case} AS {column}"
+    for name, found in masks.items():
+        case = quote_part(name)
+        for mask in found:
+            other = quote_text(mask.text) if isinstance(mask, Mask) else "NULL"
+            case = f"CASE WHEN {member(mask.group)} THEN {case} ELSE {other} END"
+        shown[columns.index(name)] = f"{case} AS {quote_part(name)}"
     kept = [
         f"({member(p.group)} OR {quote_part(p.column)} = {quote_text(p.value)})"
         for p in policies

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowsieve.operators.rules import Rule
+from rowsieve.operators.rules import Rule, lenient
 from rowsieve.operators.split import TRACE_COLUMN, is_ko
 
 
@@ -18,7 +18,8 @@ def _rule_counts(rules: Sequence[Rule]) -> list:
 
 def expectation_metrics(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """``field, rule, failed, passed, total``: one scan and one global aggregate for all rules."""
-    counts = df.agg(F.count(F.lit(1)).alias("total"), *_rule_counts(rules))
+    with lenient(df, rules):
+        counts = df.agg(F.count(F.lit(1)).alias("total"), *_rule_counts(rules))
     rows = [
         F.struct(
             F.lit(rule.field).alias("field"),
@@ -46,10 +47,11 @@ def observe_rules(
         F.count_if(is_ko(rules)).alias("rows_ko"),
         *_rule_counts(rules),
     ]
-    if df.isStreaming:
-        return df.observe(name, *metrics), None
-    observation = Observation(name)
-    return df.observe(observation, *metrics), observation
+    with lenient(df, rules):
+        if df.isStreaming:
+            return df.observe(name, *metrics), None
+        observation = Observation(name)
+        return df.observe(observation, *metrics), observation
 
 
 def observed_failures(metrics: dict, rules: Sequence[Rule]) -> dict[tuple[str, str], int]:

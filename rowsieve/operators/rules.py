@@ -3,14 +3,21 @@
 from __future__ import annotations
 
 import inspect
-from collections.abc import Callable, Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, replace
+from functools import reduce
+from operator import or_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rowsieve.names import quote_part
+from rowsieve.operators.enrich import widens
+from rowsieve.session import session_conf
+
 # The rule names and the adult age a contract relies on.
 ADULT_AGE = 18
 NOT_NULL = "notNull"
@@ -32,6 +39,10 @@ class Rule:
     ``nulls`` says what a predicate that evaluates to NULL means: "pass" is the SQL CHECK
     reading (only FALSE fails), "fail" wants an explicit TRUE. ``total`` marks a predicate that
     is never NULL, which spares the filter its IS NULL branch.
+
+    ``reads`` is set on a predicate whose evaluation can raise an error (a cast, arithmetic): the
+    columns it reads. It is evaluated without errors (:func:`lenient`), NULL in their place, and a
+    row that has all of these columns and still gets no answer breaks the rule.
     """
 
     field: str
@@ -39,15 +50,26 @@ class Rule:
     predicate: Column
     nulls: str = "pass"
     total: bool = False
+    reads: tuple[str, ...] | None = None
+
+    def _unanswered(self) -> Column:
+        """The predicate is NULL because a value is missing."""
+        if self.reads is None:
+            return self.predicate.isNull()
+        missing = reduce(or_, (F.col(quote_part(name)).isNull() for name in self.reads), F.lit(False))
+        return self.predicate.isNull() & missing
 
     def passed(self) -> Column:
         # `p OR p IS NULL` rather than coalesce(p, true): Catalyst rewrites the IS NULL over a
         # comparison to one over the column, so the whole term reaches the parquet reader.
         if self.total or self.nulls == "fail":
+            # NULL AND TRUE would stay NULL; a filter drops it either way.
             return self.predicate
-        return self.predicate | self.predicate.isNull()
+        return self.predicate | self._unanswered()
 
     def failed(self) -> Column:
+        if self.reads is not None and self.nulls == "pass":
+            return ~F.coalesce(self.passed(), F.lit(False))
         if self.total or self.nulls == "pass":
             return ~self.predicate
         return ~self.predicate | self.predicate.isNull()
@@ -159,6 +181,56 @@ def _check_predicates(frame: DataFrame, rules: Sequence[Rule]) -> None:
         raise RuleError(f"rule {rule.code!r} of {rule.field!r} {wrong}: {reason}") from error
 
 
+# Expressions that give a value for every input, so that a rule made of them cannot stop a run.
+_SAFE = frozenset(
+    "Alias AttributeReference Literal And Or Not LessThan LessThanOrEqual GreaterThan GreaterThanOrEqual "
+    "EqualTo EqualNullSafe IsNull IsNotNull In InSet Like RLike StartsWith EndsWith Contains Length Upper "
+    "Lower StringTrim Coalesce CaseWhen If IsNaN Between StructsToJson Size GetStructField".split()
+)
+
+
+def _may_fail(frame: DataFrame, predicate: Column) -> tuple[str, ...] | None:
+    """The columns a predicate reads if evaluating it can raise an error, else None."""
+    try:
+        plan = frame.select(predicate.alias("rule"))._jdf.queryExecution().analyzed()
+    except AnalysisException:
+        return None  # what is wrong with it is found out when all rules are checked
+    reads: dict[str, None] = {}
+    risky = False
+    waiting = [plan.expressions().head()]
+    while waiting:
+        node = waiting.pop()
+        kind = node.getClass().getSimpleName()
+        children = [node.children().apply(i) for i in range(node.children().size())]
+        if kind == "AttributeReference":
+            reads[node.name()] = None
+        if kind == "Cast":
+            # A literal is cast when the query is planned, and a wider type takes every value.
+            risky |= bool(children[0].references().size()) and not _upcast(children[0].dataType(), node.dataType())
+        elif kind not in _SAFE:
+            risky = True
+        waiting += children
+    return tuple(reads) if risky else None
+
+
+def _upcast(found, wanted) -> bool:
+    return widens(*(T._parse_datatype_json_string(kind.json()) for kind in (found, wanted)))
+
+
+@contextmanager
+def lenient(frame: DataFrame, rules: Sequence[Rule]) -> Iterator[None]:
+    """Within this block frames are analysed so that a rule that may fail gives NULL instead.
+
+    Only rules that may fail need it; the setting is that of analysis, kept in the expressions, so
+    the frame can run under any setting afterwards.
+    """
+    if all(rule.reads is None for rule in rules):
+        yield
+        return
+    with session_conf(frame.sparkSession, {"spark.sql.ansi.enabled": "false"}):
+        yield
+
+
 def _choice(value: str, allowed: Sequence[str], what: str) -> str:
     if value not in allowed:
         raise RuleError(f"{what} must be one of {list(allowed)}, not {value!r}")
@@ -209,7 +281,8 @@ def compile_rules(
         if known.nulls != rule.nulls:
             raise RuleError(f"code {rule.code!r} of {rule.field!r} has two null policies")
         both = known.predicate & rule.predicate
-        merged = replace(known, predicate=both, total=known.total and rule.total)
+        reads = None if known.reads is rule.reads is None else (*(known.reads or ()), *(rule.reads or ()))
+        merged = replace(known, predicate=both, total=known.total and rule.total, reads=reads)
         compiled[key] = (merged, seen | {identity})
 
     for block in validations:
@@ -230,7 +303,9 @@ def compile_rules(
                 raise RuleError(f"an SQL rule on {field!r} has no expression")
             predicate = F.expr(expression)
             sql_policy = sql_rule.get("null_policy", policy)
-            add(Rule(field, sql_rule.get("error_code"), predicate, sql_policy), ("sql", expression))
+            reads = _may_fail(frame, predicate)
+            rule = Rule(field, sql_rule.get("error_code"), predicate, sql_policy, reads=reads)
+            add(rule, ("sql", expression))
     rules = [rule for rule, _ in compiled.values()]
     _check_predicates(frame, rules)
     return rules

@@ -10,7 +10,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowsieve.operators.rules import Rule, RuleError
+from rowsieve.operators.rules import Rule, RuleError, lenient
 
 # Fixed value: the name readers of the rejected table use for the trace.
 TRACE_COLUMN = "arraycoderrorbyfield"
@@ -102,12 +102,14 @@ def annotate(
     df: DataFrame, rules: Sequence[Rule], *, kind: str = "map", column: str = TRACE_COLUMN
 ) -> DataFrame:
     """All rows, with their error trace."""
-    return df.withColumn(column, trace(rules, kind))
+    with lenient(df, rules):
+        return df.withColumn(column, trace(rules, kind))
 
 
 def valid_rows(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Rows that meet every rule: plain predicates, so they are pushed into the scan."""
-    return df.filter(is_ok(rules))
+    with lenient(df, rules):
+        return df.filter(is_ok(rules))
 
 
 def rejected_rows(
@@ -118,7 +120,9 @@ def rejected_rows(
     Without rules this is an empty relation that still has the typed trace column and still
     is a stream when ``df`` is one.
     """
-    return annotate(df.filter(is_ko(rules)), rules, kind=kind, column=column)
+    with lenient(df, rules):
+        rejected = df.filter(is_ko(rules))
+    return annotate(rejected, rules, kind=kind, column=column)
 
 
 def split(

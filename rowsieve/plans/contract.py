@@ -8,9 +8,10 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from pathlib import Path
 
+from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
-from rowsieve.sources.files import as_schema, normalise_path
+from rowsieve.sources.files import as_schema, normalise_path, path_exists
 
 # The keys and type names contracts are written with.
 REQUIRED_KEYS = ("name", "sources", "transformations", "sinks")
@@ -80,6 +81,8 @@ class Summary:
     table: str | None = None
     parts: str | None = None
     fmt: str = "parquet"
+    count_as: str = "total_employees"
+    mean_as: str = "average_age"
 
 
 @dataclass(frozen=True)
@@ -162,6 +165,11 @@ def _steps(specs: Sequence[Mapping], sources: Sequence[Source]) -> tuple[Step, .
     return tuple(steps)
 
 
+def _wants_rejects(spec: Mapping) -> bool:
+    named = str(spec.get("input") or spec.get("name") or "")
+    return re.split(r"[_-]", named)[-1].lower() == "ko"
+
+
 def _sink_input(name: str, spec: Mapping, steps: Sequence[Step], sources: Sequence[Source]) -> str:
     declared = spec.get("input")
     if declared:
@@ -224,6 +232,8 @@ def _summary(spec: Mapping, sinks: Sequence[Sink]) -> Summary:
         table=spec.get("table"),
         parts=spec.get("parts"),
         fmt=str(spec.get("format", "parquet")).lower(),
+        count_as=spec.get("count_as") or ("total_employees" if spec["value"] == "age" else "total_rows"),
+        mean_as=spec.get("mean_as") or f"average_{spec['value']}",
     )
 
 
@@ -270,6 +280,10 @@ def parse_contract(
     if len({source.name for source in sources}) != len(sources):
         raise ContractError("two sources have the same name")
     steps = _steps(contract["transformations"], sources)
+    if not any(step.type == VALIDATE for step in steps) and any(map(_wants_rejects, contract["sinks"])):
+        # Without rules every row is valid, and a sink for rejected rows is empty, with their columns.
+        last = steps[-1].outputs[-1] if steps else sources[0].name
+        steps = (*steps, Step("validate", VALIDATE, last, {"validations": []}))
     sinks = tuple(_sink(spec, steps, sources, aliases or {}) for spec in contract["sinks"])
     summaries = tuple(_summary(spec, sinks) for spec in contract.get("summaries") or [])
     _check_places(sources, sinks, summaries)
@@ -281,8 +295,17 @@ def load_contract(
     params: Mapping[str, str] | None = None,
     *,
     aliases: Mapping[str, str] | None = None,
+    spark: SparkSession | None = None,
 ) -> Dataflow:
     """Read a contract file. A missing file, bad JSON and a bad shape raise
-    ``FileNotFoundError``, ``json.JSONDecodeError`` and :class:`ContractError`."""
-    text = Path(path).read_text(encoding="utf-8")
+    ``FileNotFoundError``, ``json.JSONDecodeError`` and :class:`ContractError`.
+
+    With a ``spark`` session the path may be in any store that Spark reads.
+    """
+    if spark is None:
+        text = Path(path).read_text(encoding="utf-8")
+    elif path_exists(spark, str(path)):
+        text = spark.read.text(str(path), wholetext=True).first()[0]
+    else:
+        raise FileNotFoundError(str(path))
     return parse_contract(json.loads(text), params, aliases=aliases)

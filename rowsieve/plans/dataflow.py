@@ -16,11 +16,29 @@ from rowsieve.operators.enrich import add_processing_time
 from rowsieve.operators.metrics import observe_rules, observed_failures
 from rowsieve.operators.rules import Rule, compile_rules
 from rowsieve.operators.split import TRACE_COLUMN, annotate, split
-from rowsieve.plans.contract import ENVIRONMENT, VALIDATE, Dataflow, Sink, Source, Step, Summary
-from rowsieve.sinks.tables import append_table, clustered, overwrite_table, write_noop, write_path
-from rowsieve.sources.files import Schema, as_schema, file_stream, infer_schema, read_files
+from rowsieve.names import quote_name
+from rowsieve.plans.contract import ENVIRONMENT, VALIDATE, ContractError, Dataflow, Sink, Source, Step, Summary
+from rowsieve.sinks.tables import (
+    TRANSACTIONAL,
+    append_table,
+    clustered,
+    overwrite_table,
+    write_noop,
+    write_path,
+)
+from rowsieve.sources.files import (
+    Schema,
+    as_schema,
+    file_stream,
+    infer_schema,
+    kept_schema,
+    path_exists,
+    qualified_path,
+    read_files,
+)
 from rowsieve.sources.rescue import read_json_rescued
 from rowsieve.streaming.loads import (
+    LOAD_COLUMN,
     OK,
     Failures,
     PathSink,
@@ -174,17 +192,26 @@ class _Bound:
         report.rows_ko += rows_ko
 
 
-def _source_schema(spark: SparkSession, source: Source, options: RunOptions) -> T.StructType:
+def _source_schema(spark: SparkSession, source: Source, options: RunOptions) -> tuple[T.StructType, bool]:
+    """The schema of a source, and whether it was inferred in an earlier or this run.
+
+    Incremental runs keep an inferred schema with their checkpoint, so later runs look at new files
+    only and no type changes under what is loaded already.
+    """
     if source.name in options.schemas:
-        return as_schema(options.schemas[source.name])
+        return as_schema(options.schemas[source.name]), False
     if source.schema is not None:
-        return source.schema
-    return infer_schema(spark, source.path, fmt=source.fmt, options=source.options)
+        return source.schema, False
+    if options.execution == "stream":
+        place = f"{options.checkpoint.rstrip('/')}/schemas/{source.name}"
+        return kept_schema(spark, place, source.path, fmt=source.fmt, options=source.options), True
+    return infer_schema(spark, source.path, fmt=source.fmt, options=source.options), True
 
 
 def _read(spark: SparkSession, source: Source, options: RunOptions, *, stream: bool) -> DataFrame:
-    schema = _source_schema(spark, source, options)
-    if source.rescue:
+    schema, inferred = _source_schema(spark, source, options)
+    # What later files hold beyond a kept schema must not be lost.
+    if source.rescue or (inferred and stream and source.fmt == "json"):
         if source.fmt != "json":
             raise ValueError(f"source {source.name!r}: only JSON can be rescued, not {source.fmt}")
         frame = read_json_rescued(
@@ -244,6 +271,30 @@ def _write_all(flow: Dataflow, bound: _Bound, sinks, summaries, target: _Target)
         write_noop(frame)
 
 
+# Formats whose scans read single columns; a batch in any other is parsed once and kept in one of these.
+_COLUMNAR = ("parquet", "orc", "delta")
+
+
+def _staged(batch: DataFrame, place: str) -> DataFrame:
+    """The rows of a micro-batch, parsed once, for all that is written from them."""
+    batch.write.mode("overwrite").parquet(place)
+    return batch.sparkSession.read.schema(batch.schema).parquet(place)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def _empty_overwritten(spark: SparkSession, sinks: list[Sink], schemas: Mapping[str, T.StructType]) -> None:
+    """A new checkpoint starts over also where there is no input: sinks to overwrite become empty."""
+    for sink in sinks:
+        if sink.mode == "overwrite" and sink.fmt not in TRANSACTIONAL:
+            for path in sink.paths:
+                if path_exists(spark, path):
+                    spark.createDataFrame([], schemas[sink.name]).write.format(sink.fmt).mode("overwrite").save(path)
+
+
 def _load_source(
     spark: SparkSession, flow: Dataflow, source: Source, options: RunOptions, report: RunReport
 ) -> dict[str, T.StructType]:
@@ -260,13 +311,26 @@ def _load_source(
         shape.add_counts(report)
         return schemas
 
+    checkpoint = f"{options.checkpoint.rstrip('/')}/{source.name}"
+    staging = f"{options.checkpoint.rstrip('/')}/staging/{source.name}"
+    writes = sum(len(sink.paths) for sink in sinks) + sum(bool(s.parts) for s in summaries)
+    stage = source.fmt not in _COLUMNAR and writes + bool(shape.unwritten) > 1
+    started, before = path_exists(spark, f"{checkpoint}/commits"), len(report.loads)
+
     def each_batch(batch: DataFrame, query_id: str, batch_id: int) -> None:
-        bound = _Bound(flow, source, batch, options, sinks)
+        rows = _staged(batch, staging) if stage else batch
+        bound = _Bound(flow, source, rows, options, sinks)
         _write_all(flow, bound, sinks, summaries, _Target(query_id, batch_id))
         bound.add_counts(report)
         report.loads.append(f"{query_id}-{batch_id}")
 
-    drain(frame, f"{options.checkpoint.rstrip('/')}/{source.name}", each_batch)
+    try:
+        drain(frame, checkpoint, each_batch)
+    finally:
+        if stage:
+            _remove(spark, staging)
+    if not started and len(report.loads) == before:
+        _empty_overwritten(spark, sinks, schemas)
     return schemas
 
 
@@ -290,26 +354,90 @@ def read_sink(
     return spark.read.format(sink.fmt).schema(schema).load(path)
 
 
+def _loads_at(spark: SparkSession, path: str) -> set[str]:
+    """The loads that a directory holds."""
+    if not path_exists(spark, path):
+        return set()
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(target)
+    names = [status.getPath().getName() for status in found]
+    return {name.partition("=")[2] for name in names if name.startswith(f"{LOAD_COLUMN}=")}
+
+
+def _complete_parts(spark: SparkSession, flow: Dataflow, summary: Summary, schema: T.StructType) -> None:
+    """Add the parts of loads that the sink has but the parts lack, from the sink's rows of each."""
+    sink = next(sink for sink in flow.sinks if sink.name == summary.input)
+    if sink.fmt in TRANSACTIONAL:
+        return
+    for load in sorted(_loads_at(spark, sink.paths[0]) - _loads_at(spark, summary.parts)):
+        one = replace(sink, paths=(f"{sink.paths[0]}/{LOAD_COLUMN}={load}",))
+        rows = read_sink(spark, replace(flow, sinks=(one,)), sink.name, schema)
+        query_id, _, batch_id = load.rpartition("-")
+        parts = partial_stats(rows, summary.by, summary.value)
+        write_load(parts, PathSink(summary.parts, summary.fmt), query_id, int(batch_id))
+
+
 def _summarise(spark: SparkSession, flow: Dataflow, schemas, options: RunOptions) -> None:
     for summary in flow.summaries:
         schema = schemas[summary.input]
+        names = {"count_as": summary.count_as, "mean_as": summary.mean_as}
         if summary.parts:
+            if options.execution == "stream":
+                _complete_parts(spark, flow, summary, schema)
             shape = spark.createDataFrame([], schema)
             schema = partial_stats(shape, summary.by, summary.value).schema
             if options.execution == "stream":
                 parts = read_loads(spark, summary.parts, schema, fmt=summary.fmt)
             else:
                 parts = spark.read.format(summary.fmt).schema(schema).load(summary.parts)
-            result = merge_stats(parts, summary.by)
+            result = merge_stats(parts, summary.by, **names)
         else:
             rows = read_sink(spark, flow, summary.input, schema, execution=options.execution)
-            result = grouped_stats(rows, summary.by, summary.value)
+            result = grouped_stats(rows, summary.by, summary.value, **names)
         if summary.table:
             overwrite_table(result, summary.table, fmt=summary.fmt)
         if summary.path:
             write_path(result, summary.path, fmt=summary.fmt, mode="overwrite")
 
 
+def _location(spark: SparkSession, table: str) -> str | None:
+    if not spark.catalog.tableExists(table):
+        return None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {quote_name(table)}").where("col_name = 'Location'").collect()
+    return rows[0].data_type if rows else None
+
+
+def _check_places(
+    spark: SparkSession, flow: Dataflow, checkpoint: str | None, audit_path: str | None, audit_table: str | None
+) -> None:
+    """Nothing that is written may be, hold or lie in a source or anything else that is written.
+
+    Places are compared as their file systems know them; a source given as a glob counts from the
+    directory before its first wildcard.
+    """
+    read = [(f"source {s.name!r}", s.path) for s in flow.sources]
+    written = [(f"sink {s.name!r}", path) for s in flow.sinks for path in s.paths]
+    for s in flow.summaries:
+        written += [(f"summary {s.name!r}", path) for path in (s.path, s.parts) if path]
+        if s.table:
+            written.append((f"table {s.table!r}", _location(spark, s.table)))
+    written += [("the audit path", audit_path), ("the checkpoint", checkpoint)]
+    if audit_table:
+        written.append((f"table {audit_table!r}", _location(spark, audit_table)))
+    places = [(owner, qualified_path(spark, path).rstrip("/") + "/") for owner, path in read]
+    for owner, path in written:
+        if path is None:
+            continue
+        place = qualified_path(spark, path).rstrip("/") + "/"
+        for other, taken in places:
+            hidden = owner == "the checkpoint" and place.startswith(taken) and other.startswith("source")
+            if hidden and place[len(taken) :].startswith(("_", ".")):
+                continue  # sources do not read such directories
+            if place.startswith(taken) or taken.startswith(place):
+                raise ContractError(f"{owner} and {other} share the place {path!r}")
+        places.append((owner, place))
+
+
 def audit_record(spark: SparkSession, report: RunReport) -> DataFrame:
     """The one-row audit record of a run."""
     row = (
@@ -353,6 +481,7 @@ def run(
         flow = replace(
             flow, sinks=tuple(replace(sink, fmt=settings.table_format) for sink in flow.sinks)
         )
+    _check_places(spark, flow, settings.checkpoint if settings.execution == "stream" else None, audit_path, audit_table)
     report = RunReport(flow.name, (params or {}).get(ENVIRONMENT, "default"))
     started = time.monotonic()
     try:
@@ -371,6 +500,7 @@ def run(
                     schemas[sink.name],
                     fmt=sink.fmt,
                     partitioned=partitioned,
+                    loads=report.loads if sink.mode == "append" else None,
                 )
     except Exception:
         report.status = "failed"

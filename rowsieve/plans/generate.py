@@ -20,13 +20,11 @@ def generate_people(
     *,
     seed: int | None = None,
     mode: str = "append",
-    rows_per_file: int = PERFORMANCE_ROWS,
+    files: int = FILES,
 ) -> None:
-    """Land ``n_rows`` people as JSON lines, seeded or new on every call.
+    """Land ``n_rows`` people as JSON lines in ``files`` files, seeded or new on every call.
 
-    A run writes ten files; beyond ``rows_per_file`` rows each their number, and with it the
-    number of tasks, grows with the rows.
+    Each file is a task; for very many rows ask for as many files as the cluster has cores.
     """
-    files = max(FILES, -(-n_rows // rows_per_file))
     people = random_people(spark, n_rows, seed=seed, partitions=files)
     write_json(people, path, n_files=None, mode=mode)

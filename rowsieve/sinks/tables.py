@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from rowsieve.names import quote_name, quote_part, quote_text
-from rowsieve.operators.enrich import align
+from rowsieve.operators.enrich import align, same_name
 from rowsieve.sources.files import as_schema
 
 DEFAULT_FORMAT = "parquet"
@@ -19,10 +20,26 @@ TRANSACTIONAL = ("delta",)
 def overwrite_table(
     df: DataFrame, table: str, *, fmt: str = DEFAULT_FORMAT, comment: str | None = None
 ) -> None:
-    """Replace a catalog table by ``df``."""
-    df.write.format(fmt).mode("overwrite").saveAsTable(table)
+    """Replace a catalog table by ``df``; if that fails, the old table stays as it was.
+
+    The rows are written beside the table, which may itself be among what ``df`` reads, and take
+    its name when they are complete. Formats with a log of their own replace it atomically.
+    """
+    spark = df.sparkSession
+    if fmt in TRANSACTIONAL or not spark.catalog.tableExists(table):
+        df.write.format(fmt).mode("overwrite").saveAsTable(table)
+    else:
+        *namespace, name = table.split(".")
+        beside = ".".join([*namespace, f"{name}_{uuid.uuid4().hex}"])
+        try:
+            df.write.format(fmt).mode("error").saveAsTable(beside)
+        except Exception:
+            spark.sql(f"DROP TABLE IF EXISTS {quote_name(beside)}")
+            raise
+        spark.sql(f"DROP TABLE {quote_name(table)}")
+        spark.sql(f"ALTER TABLE {quote_name(beside)} RENAME TO {quote_name(table)}")
     if comment is not None:
-        set_comment(df.sparkSession, table, comment)
+        set_comment(spark, table, comment)
 
 
 def set_comment(spark: SparkSession, table: str, comment: str) -> None:
@@ -35,7 +52,8 @@ def append_table(
     """Append ``df`` to a catalog table, creating it when it is missing.
 
     With ``merge_schema`` new columns widen the table first (older rows read NULL there) and
-    columns ``df`` lacks are written as NULL. Columns are matched by name.
+    columns ``df`` lacks are written as NULL. Columns are matched by name, as the session compares
+    names; a type that does not widen to the table's is an error.
     """
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
@@ -46,19 +64,22 @@ def append_table(
         writer.option("mergeSchema", str(merge_schema).lower()).saveAsTable(table)
         return
     if merge_schema:
-        known = spark.table(table).schema
-        names = {name.lower() for name in known.names}
-        new = [field for field in df.schema.fields if field.name.lower() not in names]
-        if new:
-            columns = ", ".join(
-                f"{quote_part(field.name)} {field.dataType.simpleString()}" for field in new
-            )
-            spark.sql(f"ALTER TABLE {quote_name(table)} ADD COLUMNS ({columns})")
-            spark.catalog.refreshTable(table)
-        df = align(df, spark.table(table).schema, strict=True)
+        add_columns(spark, table, df.schema)
+        df = align(df, spark.table(table).schema, strict=True, lossless=True)
     df.write.format(fmt).mode("append").saveAsTable(table)
 
 
+def add_columns(spark: SparkSession, table: str, schema: T.StructType) -> None:
+    """Give a table the columns of ``schema`` that it lacks; its rows read NULL there."""
+    same = same_name(spark)
+    known = {same(name) for name in spark.table(table).schema.names}
+    new = [field for field in schema.fields if same(field.name) not in known]
+    if new:
+        columns = ", ".join(f"{quote_part(field.name)} {field.dataType.simpleString()}" for field in new)
+        spark.sql(f"ALTER TABLE {quote_name(table)} ADD COLUMNS ({columns})")
+        spark.catalog.refreshTable(table)
+
+
 def append_path(df: DataFrame, path: str, *, fmt: str = DEFAULT_FORMAT) -> None:
     """Append to a directory; files of different schemas may live side by side there."""
     df.write.format(fmt).mode("append").save(path)
@@ -84,16 +105,16 @@ def write_json(
     df: DataFrame,
     path: str,
     *,
-    n_files: int | None = 10,
+    n_files: int | None = None,
     mode: str = "append",
     max_records_per_file: int | None = None,
     wide: bool = False,
 ) -> None:
-    """Write JSON lines, NULL fields left out, in at most ``n_files`` files per call.
+    """Write JSON lines, NULL fields left out; with ``n_files`` in at most so many files per call.
 
     ``coalesce`` merges the upstream tasks, which suits a cheap source. After a shuffle or heavy
     work pass ``wide=True`` to keep that parallel and shuffle into ``n_files`` afterwards. For
-    large output use ``n_files=None`` and bound the files by ``max_records_per_file``.
+    large output leave it out and bound the files by ``max_records_per_file``.
     """
     if n_files is not None:
         df = df.repartition(n_files) if wide else df.coalesce(n_files)

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+import json
+import posixpath
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowsieve.session import session_conf
-
 Schema = T.StructType | str
 
 # Input of one micro-batch unless told otherwise: enough to keep a large cluster busy, and
-# little enough that a failed batch is cheap to repeat and its rows can be kept for two writes.
+# little enough that a failed batch is cheap to repeat. A drain goes on until no input is left.
 BATCH_BYTES = 1 << 40
 BATCH_LIMITS = ("maxFilesPerTrigger", "maxBytesPerTrigger")
 
@@ -79,26 +80,48 @@ def infer_schema(
     path: str,
     *,
     fmt: str = "json",
-    sample_files: int | None = None,
     options: Mapping[str, object] | None = None,
 ) -> T.StructType:
-    """The schema Spark infers, to be passed on as a fixed schema.
+    """The schema Spark infers from all files, to be passed on as a fixed schema.
 
     JSON and CSV inference reads its files in full, once. For a large directory declare the
-    schema, or look at the first ``sample_files`` files by path only and read with ``rescue``,
-    which keeps the keys that occur in none of them. Only file names come to the driver.
+    schema, or keep an inferred one (:func:`kept_schema`).
     """
-    path = normalise_path(path)
-    reader = spark.read.format(fmt.lower()).options(**(options or {}))
-    if sample_files is None:
-        return reader.load(path).schema
-    files = spark.read.format("binaryFile").load(path).select("path")
-    # Only names are read, so file sizes must not decide how many tasks list them.
-    with session_conf(spark, {"spark.sql.files.maxPartitionBytes": 1 << 50}):
-        sample = [row.path for row in files.orderBy("path").limit(sample_files).collect()]
-    if not sample:
-        raise ValueError(f"no files under {path} to infer a schema from")
-    return reader.load(sample).schema
+    return spark.read.format(fmt.lower()).options(**(options or {})).load(normalise_path(path)).schema
+
+
+def kept_schema(
+    spark: SparkSession,
+    place: str,
+    path: str,
+    *,
+    fmt: str = "json",
+    options: Mapping[str, object] | None = None,
+) -> T.StructType:
+    """The schema stored at ``place``; at first it is inferred from ``path`` and stored there.
+
+    Later runs read new files only, and types do not drift between them. What differs is for the
+    rescue column to keep; to change the schema, declare one or remove ``place``.
+    """
+    if path_exists(spark, place):
+        return T.StructType.fromJson(json.loads(spark.read.text(place, wholetext=True).first()[0]))
+    schema = infer_schema(spark, path, fmt=fmt, options=options)
+    spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.text(place)
+    return schema
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def qualified_path(spark: SparkSession, path: str) -> str:
+    """The path with its file system, without ``.`` and doubled slashes; of a glob what stands before it."""
+    fixed = re.split(r"/[^/]*[*?\[{]", normalise_path(path), maxsplit=1)[0] or "/"
+    target = spark._jvm.org.apache.hadoop.fs.Path(fixed)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    scheme, _, rest = system.makeQualified(target).toString().partition(":")
+    return f"{scheme}:{posixpath.normpath('/' + rest.lstrip('/'))}"
 
 
 def read_variant(

@@ -22,7 +22,7 @@ from rowsieve.operators.metrics import observe_rules, observed_failures
 from rowsieve.operators.rules import Rule
 from rowsieve.operators.split import TRACE_COLUMN, annotate, split
 from rowsieve.session import session_conf
-from rowsieve.sinks.tables import DEFAULT_FORMAT, TRANSACTIONAL
+from rowsieve.sinks.tables import DEFAULT_FORMAT, TRANSACTIONAL, add_columns
 from rowsieve.sources.files import as_schema
 
 LOAD_COLUMN = "load_id"
@@ -131,9 +131,13 @@ def register_loads(
     *,
     fmt: str = DEFAULT_FORMAT,
     partitioned: bool = True,
+    loads: Sequence[str] | None = None,
 ) -> None:
-    """Make a sink's directory readable as catalog table ``table`` and bring its list of loads
-    up to date."""
+    """Make a sink's directory readable as catalog table ``table`` and bring its columns and its
+    list of loads up to date.
+
+    Given the ``loads`` that are new, a known table gets just those; else all are listed.
+    """
     head = f"CREATE TABLE IF NOT EXISTS {quote_name(table)}"
     place = f"USING {fmt} LOCATION {quote_text(path)}"
     if fmt in TRANSACTIONAL:
@@ -142,12 +146,23 @@ def register_loads(
     fields = [*schema.fields, *([T.StructField(LOAD_COLUMN, T.StringType())] * partitioned)]
     columns = ", ".join(f"{quote_part(f.name)} {f.dataType.simpleString()}" for f in fields)
     if not partitioned:
+        known = spark.catalog.tableExists(table)
         spark.sql(f"{head} ({columns}) {place}")
+        if known:
+            add_columns(spark, table, schema)
         spark.catalog.refreshTable(table)
         return
     place = f"USING {fmt} PARTITIONED BY ({LOAD_COLUMN}) LOCATION {quote_text(path)}"
+    known = spark.catalog.tableExists(table)
     spark.sql(f"{head} ({columns}) {place}")
-    spark.sql(f"MSCK REPAIR TABLE {quote_name(table)} SYNC PARTITIONS")
+    if known:
+        add_columns(spark, table, schema)
+    if known and loads is not None:
+        parts = " ".join(f"PARTITION ({LOAD_COLUMN} = {quote_text(load)})" for load in loads)
+        if parts:
+            spark.sql(f"ALTER TABLE {quote_name(table)} ADD IF NOT EXISTS {parts}")
+    else:
+        spark.sql(f"MSCK REPAIR TABLE {quote_name(table)} SYNC PARTITIONS")
     spark.catalog.refreshTable(table)
 
 
@@ -308,7 +323,13 @@ def append_stream(
     fmt: str = DEFAULT_FORMAT,
     name: str | None = None,
 ) -> str:
-    """Drain a stream into a catalog table in append mode; give the query id."""
+    """Drain a stream into a catalog table in append mode; give the query id.
+
+    Columns that the table lacks are added to it first.
+    """
+    spark = df.sparkSession
+    if fmt not in TRANSACTIONAL and spark.catalog.tableExists(table):
+        add_columns(spark, table, df.schema)
     writer = df.writeStream.format(fmt).option("checkpointLocation", checkpoint)
     if name is not None:
         writer = writer.queryName(name)

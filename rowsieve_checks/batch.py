@@ -278,7 +278,32 @@ def aligned_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align(events, as_schema(schema), strict=True)
 
 
+def inferred_text_age(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers that came as text, some of them words: such a row is rejected with the rule's code, the run goes on."""
+    rows = people(spark, sf_dir)
+    text = F.when(F.col("l_orderkey") % 11 == 0, F.lit("old")).otherwise(F.col("age").cast("string"))
+    rows = rows.withColumn("age", text)
+    rules = compile_rules(rows, [{"field": "age", "sql_expressions": [{"error_code": "too_old", "expression": "age < 65"}]}])
+    ko = split(rows, rules, kind="array").ko
+    return ko.select("l_orderkey", "l_linenumber", "age", F.concat_ws(",", TRACE_COLUMN).alias("codes"))
+
+
+def rule_division(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A division by zero rejects its row under both null policies; a missing value only where NULL fails."""
+    rows = people(spark, sf_dir).withColumn("parts", F.col("l_linenumber") - 1)
+    expression = "age / parts > 10"
+    out = []
+    for policy in ("pass", "fail"):
+        block = {"field": "age", "sql_expressions": [{"error_code": "share", "expression": expression, "null_policy": policy}]}
+        sides = split(rows, compile_rules(rows, [block]))
+        for side, part in zip(("ok", "ko"), sides):
+            out.append(part.select("l_orderkey", "l_linenumber", F.lit(policy).alias("policy"), F.lit(side).alias("side")))
+    return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])
+
+
 QUERIES = {
+    "inferred_text_age": inferred_text_age,
+    "rule_division": rule_division,
     "gold_office_stats": gold_office_stats,
     "valid_rows": valid,
     "rejected_rows": rejected,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,11 +10,19 @@ from pyspark.sql import functions as F
 
 from rowsieve_checks.inputs import PERSON_RULES, PERSON_SCHEMA, off_schema_lines, people, table
 from rowsieve.operators.aggregate import grouped_stats
-from rowsieve.operators.governance import publish_governed_view, use_namespace
+from rowsieve.operators.governance import (
+    PERSON_POLICIES,
+    Mask,
+    governed,
+    publish_governed_view,
+    publish_governed_views,
+    use_namespace,
+)
 from rowsieve.operators.rules import compile_rules
 from rowsieve.operators.split import TRACE_COLUMN
-from rowsieve.plans.contract import parse_contract
+from rowsieve.plans.contract import load_contract, parse_contract
 from rowsieve.plans.dataflow import run
+from rowsieve.plans.generate import generate_people
 from rowsieve.plans.layers import quality_layers, refresh
 from rowsieve.scratch import new_dir
 from rowsieve.sinks.tables import (
@@ -39,6 +48,7 @@ from rowsieve.streaming.loads import (
     drain,
     read_loads,
     read_side,
+    register_loads,
     split_batch,
     split_store,
     split_stream,
@@ -426,7 +436,173 @@ def layered_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{_layers(spark, sf_dir)}.person_gold_office_stats")
 
 
+def _halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The people in two arrivals; the second one has a column more."""
+    rows = people(spark, sf_dir)
+    return rows.where("l_linenumber <= 3"), rows.where("l_linenumber > 3").withColumn("team", F.lit("late"))
+
+
+TEAM_SCHEMA = f"{PERSON_SCHEMA}, team STRING"
+
+
+def stream_schema_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column that arrives in the second run reaches the table."""
+    name, landing, checkpoint = f"{_database(spark)}.person", new_dir(spark, "landing"), new_dir(spark, "checkpoint")
+    for rows, schema in zip(_halves(spark, sf_dir), (PERSON_SCHEMA, TEAM_SCHEMA)):
+        write_json(rows, landing)
+        append_stream(file_stream(spark, landing, schema), name, checkpoint)
+    return read_table(spark, name)
+
+
+def registered_table_widened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A registered directory of loads gains a column with its second load."""
+    name, out = f"{_database(spark)}.person", new_dir(spark, "registered")
+    sink = PathSink(f"{out}/rows")
+    for number, rows in enumerate(_halves(spark, sf_dir)):
+        load = write_load(rows, sink, "query", number)
+        register_loads(spark, name, sink.path, rows.schema, loads=[load])
+    return read_table(spark, name).drop("load_id")
+
+
+def append_case_and_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns in another case are the same columns, narrower ones widen, and what would lose values is refused."""
+    name = f"{_database(spark)}.person"
+    first, second = _halves(spark, sf_dir)
+    append_table(first, name, merge_schema=True)
+    second = second.drop("team")
+    append_table(second.withColumnRenamed("name", "NAME").withColumn("AGE", F.col("age").cast("smallint")), name, merge_schema=True)
+    try:
+        append_table(second.withColumn("age", F.col("age").cast("bigint")), name, merge_schema=True)
+    except ValueError:
+        return read_table(spark, name)
+    raise AssertionError("a narrowing append must be refused")
+
+
+def _flow(spark: SparkSession, root: str, landing: str, *, rules, schemas=None, parts: str | None = None, ko: bool = True, mode="OVERWRITE"):
+    """Run a small flow over a landing directory, once more with each call."""
+    sinks = [{"name": "flow_ok", "paths": [f"{root}/ok"], "format": "PARQUET", "mode": mode}]
+    if ko:
+        sinks.append({"name": "flow_ko", "paths": [f"{root}/ko"], "format": "PARQUET", "mode": mode})
+    steps = [] if rules is None else [{"name": "checks", "type": "validate_fields", "params": {"validations": rules}}]
+    spec = {"name": "flow", "sources": [{"name": "rows", "path": landing}], "transformations": steps, "sinks": sinks}
+    spec["summaries"] = [{"name": "gold", "input": "flow_ok", "by": "office", "value": "age", "path": f"{root}/gold"}]
+    if parts:
+        spec["summaries"][0]["parts"] = parts
+    if rules is None:
+        del spec["summaries"]
+    return run(parse_contract(spec), spark, checkpoint=f"{root}/checkpoint", schemas=schemas or {}, processing_time=None)
+
+
+def overwrite_no_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A new checkpoint without input leaves nothing in a sink to overwrite."""
+    root, landing = new_dir(spark, "flow"), new_dir(spark, "landing")
+    write_json(people(spark, sf_dir).limit(0), landing)
+    people(spark, sf_dir).write.parquet(f"{root}/ok")
+    _flow(spark, root, landing, rules=PERSON_RULES, schemas={"rows": PERSON_SCHEMA})
+    rows = spark.read.schema(PERSON_SCHEMA).parquet(f"{root}/ok")
+    return rows.agg(F.count(F.lit(1)).alias("rows"))
+
+
+def inferred_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The schema of the first run holds for the second; what differs then is rescued."""
+    root, landing = new_dir(spark, "flow"), new_dir(spark, "landing")
+    first, second = _halves(spark, sf_dir)
+    write_json(first, landing)
+    _flow(spark, root, landing, rules=[{"field": "office", "validations": ["notNull"]}], mode="APPEND")
+    write_json(second.withColumn("age", F.col("age") + 0.5), landing)
+    _flow(spark, root, landing, rules=[{"field": "office", "validations": ["notNull"]}], mode="APPEND")
+    schema = "l_orderkey BIGINT, l_linenumber BIGINT, name STRING, age BIGINT, office STRING, _rescued_data MAP<STRING,STRING>"
+    rows = read_loads(spark, f"{root}/ok", schema)
+    rescued = F.col("_rescued_data")
+    return rows.select("l_orderkey", "l_linenumber", "age", rescued["age"].alias("rescued_age"), rescued["team"].alias("rescued_team"))
+
+
+def gold_parts_added_later(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts switched on in the second run cover the loads of the first."""
+    root, landing = new_dir(spark, "flow"), new_dir(spark, "landing")
+    schemas = {"rows": PERSON_SCHEMA}
+    first, second = _halves(spark, sf_dir)
+    write_json(first, landing)
+    _flow(spark, root, landing, rules=PERSON_RULES, schemas=schemas, mode="APPEND")
+    write_json(second.drop("team"), landing)
+    _flow(spark, root, landing, rules=PERSON_RULES, schemas=schemas, mode="APPEND", parts=f"{root}/parts")
+    return spark.read.parquet(f"{root}/gold")
+
+
+def no_rule_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Without a validate step the valid side is the input and the rejected one is empty, with its trace."""
+    root = new_dir(spark, "flow")
+    _flow(spark, root, _landing(spark, sf_dir), rules=None, schemas={"rows": PERSON_SCHEMA})
+    trace = f"{PERSON_SCHEMA}, {TRACE_COLUMN} MAP<STRING,STRING>"
+    sides = {"ok": read_loads(spark, f"{root}/ok", PERSON_SCHEMA), "ko": read_loads(spark, f"{root}/ko", trace)}
+    counts = [rows.agg(F.count(F.lit(1)).alias("rows")).withColumn("side", F.lit(side)) for side, rows in sides.items()]
+    return counts[0].unionByName(counts[1])
+
+
+def contract_from_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract comes from a file in the shared folder, its placeholders from the parameters."""
+    root, landing = new_dir(spark, "flow"), _landing(spark, sf_dir)
+    place = f"{root}/contract"
+    text = json.dumps(contract("{root}", landing))
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(place)
+    params = {"env_catalog": "dev", "root": root}
+    flow = load_contract(place, params, spark=spark)
+    run(flow, spark, params, checkpoint=f"{root}/checkpoint", schemas={"person_inputs": PERSON_SCHEMA})
+    return spark.read.parquet(f"{root}/dev/gold")
+
+
+def run_then_governed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run, then one set of policies on its valid and rejected tables."""
+    root, database = new_dir(spark, "flow"), _database(spark)
+    spec = contract(root, _landing(spark, sf_dir))
+    spec["sinks"] = spec["sinks"][:2]
+    for sink, side in zip(spec["sinks"], ("ok", "ko")):
+        sink["table"] = f"{database}.person_{side}"
+    params = {"env_catalog": "dev", "root": root}
+    run(parse_contract(spec, params), spark, params, checkpoint=f"{root}/checkpoint", schemas={"person_inputs": PERSON_SCHEMA})
+    shown = publish_governed_views(spark, {f"{database}.shown_{side}": f"{database}.person_{side}" for side in ("ok", "ko")})
+    parts = [
+        rows.select("l_orderkey", "l_linenumber", "name", "office", F.lit(view.rpartition("_")[2]).alias("side"))
+        for view, rows in shown.items()
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def masked_rescue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An outsider sees neither a masked name nor what was rescued beside it; every mask of a column holds."""
+    path = f"{new_dir(spark, 'lines')}/person"
+    off_schema_lines(spark, sf_dir).write.text(path)
+    rows = read_json_rescued(spark, path, PERSON_SCHEMA).where("name is not null")
+    shown = governed(rows, [*PERSON_POLICIES, Mask("name", "HR_ONLY", "hr")], ["admin"])
+    return shown.select("l_orderkey", "l_linenumber", "name", F.col(RESCUED).isNull().alias("hidden"))
+
+
+def generated_people(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many seeded random people as there are orders, landed by the job: rows and ranges."""
+    path = f"{new_dir(spark, 'people')}/person"
+    orders = table(spark, sf_dir, "orders").count()
+    generate_people(spark, path, orders, seed=7)
+    rows = read_files(spark, path, "name STRING, age INT, office STRING")
+    return rows.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.countDistinct("name").alias("names"),
+        F.bool_and(F.coalesce(F.col("age").between(10, 84), F.lit(True))).alias("ages_in_range"),
+        F.bool_and(F.coalesce(F.col("office").isin("MADRID", "RIO", ""), F.lit(False))).alias("known_offices"),
+    )
+
+
 QUERIES = {
+    "stream_schema_merge": stream_schema_merge,
+    "registered_table_widened": registered_table_widened,
+    "append_case_and_type": append_case_and_type,
+    "overwrite_no_input": overwrite_no_input,
+    "inferred_two_runs": inferred_two_runs,
+    "gold_parts_added_later": gold_parts_added_later,
+    "no_rule_contract": no_rule_contract,
+    "contract_from_file": contract_from_file,
+    "run_then_governed": run_then_governed,
+    "masked_rescue": masked_rescue,
+    "generated_people": generated_people,
     "stream_split_ok": stream_split_ok,
     "stream_split_ko": stream_split_ko,
     "stream_gold": stream_gold,

@@ -83,7 +83,34 @@ SYNTHETIC = f"""SELECT concat('User_', CAST(o_orderkey AS STRING)) AS name,
   CASE WHEN {_draw(2)} < 0.1 THEN '' WHEN {_draw(3)} < 0.5 THEN 'MADRID' ELSE 'RIO' END AS office
 FROM orders"""
 
+TEAM = "CASE WHEN l_linenumber > 3 THEN 'late' END AS team"
+_SHARE = "CASE WHEN age IS NULL THEN NULL WHEN l_linenumber = 1 THEN false ELSE CAST(age AS DOUBLE) / (l_linenumber - 1) > 10 END"
+
 ORACLE = {
+    "inferred_text_age": f"""{PERSON} SELECT {KEYS},
+      CASE WHEN l_orderkey % 11 = 0 THEN 'old' ELSE CAST(age AS STRING) END AS age, 'too_old' AS codes
+      FROM person WHERE l_orderkey % 11 = 0 OR age >= 65""",
+    "rule_division": f"""{PERSON}, judged AS (SELECT {KEYS}, {_SHARE} AS good FROM person)
+      SELECT {KEYS}, 'pass' AS policy, CASE WHEN coalesce(good, true) THEN 'ok' ELSE 'ko' END AS side FROM judged
+      UNION ALL SELECT {KEYS}, 'fail', CASE WHEN coalesce(good, false) THEN 'ok' ELSE 'ko' END FROM judged""",
+    "stream_schema_merge": f"{PERSON} SELECT {PEOPLE}, {TEAM} FROM person",
+    "registered_table_widened": f"{PERSON} SELECT {PEOPLE}, {TEAM} FROM person",
+    "append_case_and_type": ALL_PEOPLE,
+    "overwrite_no_input": f"{PERSON} SELECT count(*) FILTER (WHERE false) AS rows FROM person",
+    "inferred_two_runs": f"""{PERSON} SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
+      CASE WHEN l_linenumber <= 3 THEN CAST(age AS BIGINT) END AS age,
+      CASE WHEN l_linenumber > 3 AND age IS NOT NULL THEN concat(CAST(age AS STRING), '.5') END AS rescued_age,
+      CASE WHEN l_linenumber > 3 THEN 'late' END AS rescued_team FROM person""",
+    "gold_parts_added_later": GOLD,
+    "no_rule_contract": f"""{PERSON} SELECT 'ok' AS side, count(*) AS rows FROM person
+      UNION ALL SELECT 'ko', count(*) FILTER (WHERE false) FROM person""",
+    "contract_from_file": GOLD,
+    "run_then_governed": f"""{PERSON} SELECT {KEYS}, 'REDACTED_PII' AS name, office,
+      CASE WHEN {BAD} THEN 'ko' ELSE 'ok' END AS side FROM person WHERE office = 'RIO'""",
+    "masked_rescue": f"""{PERSON} SELECT {KEYS}, 'HR_ONLY' AS name, true AS hidden FROM person
+      WHERE l_orderkey % 19 <> 3""",
+    "generated_people": """SELECT count(*) AS rows, count(*) AS names, true AS ages_in_range, true AS known_offices
+      FROM orders""",
     "gold_office_stats": GOLD,
     "valid_rows": VALID,
     "rejected_rows": REJECTED,

@@ -96,6 +96,6 @@ def test_generator_job(spark, tmp_path):
     assert rows.count() == 1000
     generate_people(spark, path, 1000, seed=5)
     assert multiset(read_files(spark, path, PERSON_SCHEMA).distinct()).total() == 1000
-    generate_people(spark, path, 100, mode="overwrite", rows_per_file=5)
+    generate_people(spark, path, 100, mode="overwrite", files=20)
     assert len(list((tmp_path / "people").glob("*.json"))) == 20
     assert read_files(spark, path, PERSON_SCHEMA).select("name").distinct().count() == 100

@@ -54,7 +54,7 @@ def test_merge_by_path(spark, people, tmp_path):
 
 def test_json_files_are_bounded(spark, tmp_path):
     rows = random_people(spark, 1000, seed=1, partitions=20)
-    write_json(rows, str(tmp_path / "a"))
+    write_json(rows, str(tmp_path / "a"), n_files=10)
     write_json(rows, str(tmp_path / "a"), n_files=3, wide=True)
     assert len(list((tmp_path / "a").glob("*.json"))) == 13
     write_json(rows, str(tmp_path / "b"), n_files=None, max_records_per_file=25)
@@ -114,6 +114,30 @@ def test_align(spark, people):
     assert align(people, schema, strict=True).columns == ["office", "age", "zip"]
     number = align(people.select(F.lit("old").alias("age")), as_schema("age INT"))
     assert number.collect()[0]["age"] is None
+    with pytest.raises(ValueError, match="does not widen"):
+        align(people, as_schema("age SMALLINT"), lossless=True)
+    upper = people.withColumnRenamed("name", "NAME")
+    assert align(upper, people.schema, lossless=True).collect() == people.collect()
+
+
+def test_a_failing_overwrite_leaves_the_table(spark, people, database):
+    name = f"{database}.people"
+    overwrite_table(people, name)
+    failing = people.withColumn("age", F.raise_error(F.lit("no")).cast("int"))
+    with pytest.raises(Exception, match="no"):
+        overwrite_table(failing, name)
+    assert spark.table(name).count() == people.count()
+    overwrite_table(spark.table(name).where("age > 20"), name)
+    assert spark.table(name).count() == people.where("age > 20").count()
+
+
+def test_appending_loses_no_value(spark, people, database):
+    name = f"{database}.people"
+    append_table(people, name)
+    for bad in (people.withColumn("age", F.lit(5_000_000_000)), people.withColumn("age", F.lit("old"))):
+        with pytest.raises(ValueError, match="does not widen"):
+            append_table(bad, name, merge_schema=True)
+    assert spark.table(name).count() == people.count()
 
 
 def test_scratch_and_settings(spark):

@@ -13,6 +13,7 @@ from rowsieve.sources.files import (
     empty_like,
     file_stream,
     infer_schema,
+    kept_schema,
     normalise_path,
     read_files,
     read_variant,
@@ -94,12 +95,6 @@ def test_inferred_schema(spark, tmp_path):
     write_lines(tmp_path / "in" / "_state" / "c.json", [json.dumps({"hidden": 1})])
     everything = infer_schema(spark, f"{tmp_path}/in/*")
     assert everything.simpleString() == "struct<age:bigint,late:boolean,name:string>"
-    assert infer_schema(spark, f"{tmp_path}/in", sample_files=1000) == everything
-    first = infer_schema(spark, f"{tmp_path}/in", sample_files=1)
-    assert first.simpleString() == "struct<age:bigint,name:string>"
-    (tmp_path / "none").mkdir()
-    with pytest.raises(ValueError, match="no files"):
-        infer_schema(spark, f"{tmp_path}/none", sample_files=5)
 
 
 @pytest.mark.parametrize("stream", [False, True])
@@ -118,10 +113,11 @@ def test_variant_reads_keys_that_differ_in_case(spark, tmp_path, stream):
     assert sorted(tuple(row) for row in rows.collect()) == [(1, "old"), (2, None)]
 
 
-def test_a_sampled_schema_and_rescue_lose_nothing(spark, tmp_path):
+def test_a_kept_schema_and_rescue_lose_nothing(spark, tmp_path):
     write_lines(tmp_path / "in" / "a.json", [json.dumps({"name": "a", "age": 1})])
+    schema = kept_schema(spark, str(tmp_path / "schema"), f"{tmp_path}/in")
     write_lines(tmp_path / "in" / "b.json", [json.dumps({"name": "b", "late": True})])
-    schema = infer_schema(spark, f"{tmp_path}/in", sample_files=1)
+    assert kept_schema(spark, str(tmp_path / "schema"), f"{tmp_path}/in") == schema
     rows = read_json_rescued(spark, f"{tmp_path}/in", schema).orderBy("name").collect()
     assert [row["_rescued_data"] for row in rows] == [{}, {"late": "true"}]
 
