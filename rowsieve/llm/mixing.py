@@ -51,7 +51,7 @@ TOKENS_A_TASK, MOST_TASKS = 500_000, 64
 GATHER_TOKENS, BATCH_TOKENS = 400_000, 20_000
 CHUNK_TOKENS = 5_000_000
 TEXT_BYTES = 1 << 20
-RATE, STEP_BYTES = 0.05, 4096
+RATE, STEP_BYTES = 0.05, 16384
 #: Shares of the exact count in a token's probability, and of the text so far.
 WHOLE, CACHE = 0.5, 0.1
 #: For so many last tokens: trust at first, and how many observations that is worth.
@@ -149,16 +149,17 @@ def _batches_of(batches, *columns: str):
 
 def _table_blocks(batches):
     """Zeros and ones of every slot that a task's tokens reach, in blocks of slots."""
-    counts = np.zeros((2, _STARTS[-1]), np.float32)
+    size = _STARTS[-1]
+    counts = np.zeros(2 * size, np.float32)
     for tokens, n in _batches_of(batches, "n"):
         contexts = Contexts(tokens)
         weight = n.astype(np.float32)[contexts.token]
         for bit in range(8):
             slots, ones = contexts.slots(bit)
+            of_bit = ones * size
             for start, slot in zip(_STARTS, slots, strict=False):
-                for value in (0, 1):
-                    which = np.flatnonzero(ones == value)
-                    np.add.at(counts[value], slot[which] + start, weight[which])
+                np.add.at(counts, slot + (of_bit + start), weight)
+    counts = counts.reshape(2, size)
     for block, start in enumerate(range(0, _STARTS[-1], BLOCK)):
         part = counts[:, start : start + BLOCK]
         if part.any():
