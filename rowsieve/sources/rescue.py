@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from functools import reduce
-from operator import add
+from operator import add, or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,13 +22,36 @@ def _typed(name: str) -> Column:
     return F.col(f"_typed.{quote_part(name)}")
 
 
-def _lost_entries(schema: T.StructType) -> Column:
-    """Entries of the raw map that are undeclared, or declared but NULL in the typed value."""
+def _nested(schema: T.StructType) -> list[str]:
+    """Fields that hold further values."""
+    kinds = (T.StructType, T.ArrayType, T.MapType)
+    return [field.name for field in schema.fields if isinstance(field.dataType, kinds)]
+
+
+def _canonical(document: Column) -> Column:
+    """A JSON text with sorted keys, without white space and without nulls."""
+    text = F.to_json(F.try_parse_json(document))
+    text = F.regexp_replace(text, r'"(?:[^"\\]|\\.)*":null,?', "")
+    return F.regexp_replace(text, r",(?=[}\]])", "")
+
+
+def _changed(name: str, options: Mapping[str, str]) -> Column:
+    """Whether a nested value does not come back from its typed form as it was."""
+    typed = _canonical(F.to_json(_typed(name), dict(options)))
+    return ~_canonical(F.col("_raw")[name]).eqNullSafe(typed)
+
+
+def _lost_entries(schema: T.StructType, options: Mapping[str, str]) -> Column:
+    """Entries of the raw map that are undeclared, or declared but not whole in the typed value."""
     declared = F.array(*[F.lit(name) for name in schema.names])
+    nested = _nested(schema)
     unreadable = F.array_remove(
         F.array(
             *[
-                F.when(_typed(name).isNull(), F.lit(name)).otherwise(F.lit(""))
+                F.when(
+                    _typed(name).isNull() | (_changed(name, options) if name in nested else F.lit(False)),
+                    F.lit(name),
+                ).otherwise(F.lit(""))
                 for name in schema.names
             ]
         ),
@@ -71,12 +94,15 @@ def rescue_lines(
     line: str = "value",
     rescued: str = RESCUED,
     corrupt: str = CORRUPT,
+    options: Mapping[str, object] | None = None,
 ) -> DataFrame:
     """Typed columns plus a ``map<string,string>`` of values the schema could not take.
 
     ``rescued`` is an empty map for a line that fits, and holds undeclared keys and values of
-    another type otherwise. A line that is no JSON object gives NULL columns, a NULL map, and
-    its text in ``corrupt``. A JSON null is a NULL, not a rescued value.
+    another type otherwise; of a nested field all of it as soon as a part of it does not come back
+    from the typed value. A line that is no JSON object, or more than one, gives NULL columns, a
+    NULL map, and its text in ``corrupt``. A JSON null is a NULL, not a rescued value.
+    ``options`` are those of the JSON parser, such as ``dateFormat``.
 
     Most lines fit, and they are parsed once. Every key of a line is followed by a colon, so a
     line with as many colons as typed values has no further key. Only lines with more colons
@@ -87,30 +113,41 @@ def rescue_lines(
     if corrupt in declared.names or rescued in declared.names:
         raise ValueError(f"{corrupt!r} and {rescued!r} are reserved column names")
     target = T.StructType([*declared.fields, T.StructField(corrupt, T.StringType(), True)])
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}
+    given = {key: str(value) for key, value in (options or {}).items()}
+    parser = {**given, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}
     # A select per parse, so that a line is parsed once however often its values are used.
     parsed = lines.select(
-        F.col(line).alias("_line"), F.from_json(line, target, options).alias("_typed")
+        F.col(line).alias("_line"), F.from_json(line, target, parser).alias("_typed")
     )
 
     text = F.col("_line")
     colons = F.octet_length(text) - F.octet_length(F.replace(text, F.lit(":"), F.lit("")))
     filled = [_typed(name).isNotNull().cast("int") for name in declared.names]
     names = F.array(*[F.lit(name) for name in declared.names])
-    undeclared = F.when(colons == reduce(add, filled, F.lit(0)), F.lit(False)).otherwise(
+    plain = colons == reduce(add, filled, F.lit(0))
+    undeclared = F.when(plain, F.lit(False)).otherwise(
         F.size(F.array_except(F.json_object_keys(text), names)) > 0
     )
-    bad_value = _typed(corrupt).isNotNull()
-    as_map = F.from_json(text, T.MapType(T.StringType(), T.StringType()))
-    parsed = parsed.select("_line", "_typed", F.when(bad_value | undeclared, as_map).alias("_raw"))
+    # The parser stops after the first document; a second one has a colon or does not end the object.
+    documents = F.from_json(F.concat(F.lit("["), text, F.lit("]")), T.ArrayType(T.StringType()))
+    alone = F.when(plain & F.rtrim(text).endswith("}"), F.lit(True)).otherwise(
+        F.coalesce(F.size(documents) == 1, F.lit(False))
+    )
+    broken = _typed(corrupt).isNotNull()
+    nested = [_typed(name).isNotNull() for name in _nested(declared)]
+    bad_value = reduce(or_, nested, broken)
+    as_map = F.from_json(text, T.MapType(T.StringType(), T.StringType()), given)
+    raw = F.when(alone & (bad_value | undeclared), as_map)
+    parsed = parsed.select("_line", "_typed", raw.alias("_raw"), alone.alias("_alone"))
 
     no_map = F.col("_raw").isNull()
+    corrupted = no_map & (~F.col("_alone") | broken)
     nothing = F.create_map().cast("map<string,string>")
-    lost = F.when(~no_map, _with(_lost_entries(declared), _as_map))
+    lost = F.when(~no_map, _with(_lost_entries(declared, given), _as_map))
     return parsed.select(
-        *[_typed(name).alias(name) for name in declared.names],
-        F.when(no_map & ~bad_value, nothing).otherwise(lost).alias(rescued),
-        F.when(no_map & bad_value, text).alias(corrupt),
+        *[F.when(F.col("_alone"), _typed(name)).alias(name) for name in declared.names],
+        F.when(no_map & ~corrupted, nothing).otherwise(lost).alias(rescued),
+        F.when(corrupted, text).alias(corrupt),
     )
 
 
@@ -124,9 +161,12 @@ def read_json_rescued(
     corrupt: str = CORRUPT,
     options: Mapping[str, object] | None = None,
 ) -> DataFrame:
-    """JSON lines of a directory through :func:`rescue_lines`, in batch or as a stream."""
+    """JSON lines of a directory through :func:`rescue_lines`, in batch or as a stream.
+
+    ``options`` go to the scan of the files and to the JSON parser; each takes those it knows.
+    """
     reader = spark.readStream if stream else spark.read
     settings = bounded(options) if stream else dict(options or {})
     lines = reader.format("text").options(**settings).load(normalise_path(path))
     lines = lines.filter(F.trim("value") != "")
-    return rescue_lines(lines, schema, rescued=rescued, corrupt=corrupt)
+    return rescue_lines(lines, schema, rescued=rescued, corrupt=corrupt, options=options)

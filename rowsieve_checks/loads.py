@@ -577,6 +577,30 @@ def masked_rescue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown.select("l_orderkey", "l_linenumber", "name", F.col(RESCUED).isNull().alias("hidden"))
 
 
+def rescue_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested keys and nested values of another type are rescued; a line of two documents is kept as text."""
+    path = f"{new_dir(spark, 'lines')}/orders"
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    document = F.concat(F.lit('{"id":'), F.col("o_orderkey").cast("string"), F.lit(',"to":{"city":"c'), F.col("o_custkey").cast("string"))
+    kind = F.pmod("o_orderkey", F.lit(4))
+    end = F.when(kind == 0, '","zip":9}}').when(kind == 1, '", "zip": 9, "street":"x"}}').when(kind == 2, '","zip":"nine"}}')
+    rows.select(F.concat(document, end.otherwise('","zip":9}} {"id":1}')).alias("value")).write.text(path)
+    found = read_json_rescued(spark, path, "id BIGINT, to STRUCT<city: STRING, zip: INT>")
+    return found.select(
+        "id", F.col("to.city").alias("city"), F.col("to.zip").alias("zip"), F.col(RESCUED)["to"].alias("rescued_to"),
+        F.col("_corrupt_record").alias("corrupt_record"),
+    )
+
+
+def rescue_options(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Options of the JSON parser hold for rescued lines as for strict ones."""
+    path = f"{new_dir(spark, 'lines')}/orders"
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.date_format("o_orderdate", "dd/MM/yyyy").alias("day"))
+    rows.write.json(path)
+    found = read_json_rescued(spark, path, "o_orderkey BIGINT, day DATE", options={"dateFormat": "dd/MM/yyyy"})
+    return found.select("o_orderkey", F.col("day").cast("string").alias("day"), F.size(RESCUED).alias("n_rescued"))
+
+
 def generated_people(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As many seeded random people as there are orders, landed by the job: rows and ranges."""
     path = f"{new_dir(spark, 'people')}/person"
@@ -602,6 +626,8 @@ QUERIES = {
     "contract_from_file": contract_from_file,
     "run_then_governed": run_then_governed,
     "masked_rescue": masked_rescue,
+    "rescue_nested": rescue_nested,
+    "rescue_options": rescue_options,
     "generated_people": generated_people,
     "stream_split_ok": stream_split_ok,
     "stream_split_ko": stream_split_ko,

@@ -109,6 +109,15 @@ ORACLE = {
       CASE WHEN {BAD} THEN 'ko' ELSE 'ok' END AS side FROM person WHERE office = 'RIO'""",
     "masked_rescue": f"""{PERSON} SELECT {KEYS}, 'HR_ONLY' AS name, true AS hidden FROM person
       WHERE l_orderkey % 19 <> 3""",
+    "rescue_nested": """WITH o AS (SELECT o_orderkey AS k, concat('c', CAST(o_custkey AS STRING)) AS c, o_orderkey % 4 AS kind FROM orders)
+      SELECT CASE WHEN kind <> 3 THEN k END AS id,
+        CASE WHEN kind IN (0, 1) THEN c WHEN kind = 2 THEN c END AS city,
+        CAST(CASE WHEN kind IN (0, 1) THEN 9 END AS INT) AS zip,
+        CASE kind WHEN 1 THEN concat('{"city":"', c, '","zip":9,"street":"x"}')
+          WHEN 2 THEN concat('{"city":"', c, '","zip":"nine"}') END AS rescued_to,
+        CASE WHEN kind = 3 THEN concat('{"id":', CAST(k AS STRING), ',"to":{"city":"', c, '","zip":9}} {"id":1}') END AS corrupt_record
+      FROM o""",
+    "rescue_options": """SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day, CAST(0 AS INT) AS n_rescued FROM orders""",
     "generated_people": """SELECT count(*) AS rows, count(*) AS names, true AS ages_in_range, true AS known_offices
       FROM orders""",
     "gold_office_stats": GOLD,
