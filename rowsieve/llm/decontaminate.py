@@ -281,24 +281,44 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_i
     )
 
 
+def _cut(raw: bytes, spans: list[tuple[int, int]]) -> str:
+    """The text without these spans of its words; what stands between stays."""
+    spaced = np.frombuffer(raw.translate(ALNUM_BYTES), np.uint8) != 32
+    edges = np.flatnonzero(np.diff(spaced, prepend=False, append=False))
+    at = 0
+    kept = []
+    for s, e in spans:
+        kept.append(raw[at : edges[2 * s]])
+        at = int(edges[2 * e - 1])
+    return b"".join([*kept, raw[at:]]).decode()
+
+
 def _without_spans(text: pa.Array, starts: pa.Array, ends: pa.Array) -> pa.Array:
     out = []
     for value, first, last in zip(text, starts.to_pylist(), ends.to_pylist(), strict=True):
-        if not first:
-            out.append(value.as_py())
-            continue
-        raw = value.as_py().encode()
-        spaced = np.frombuffer(raw.translate(ALNUM_BYTES), np.uint8) != 32
-        edges = np.flatnonzero(np.diff(spaced, prepend=False, append=False))
-        at = 0
-        kept = []
-        for s, e in zip(first, last, strict=True):
-            kept.append(raw[at : edges[2 * s]])
-            at = int(edges[2 * e - 1])
-        out.append(b"".join([*kept, raw[at:]]).decode())
+        out.append(_cut(value.as_py().encode(), list(zip(first, last, strict=True))) if first else value.as_py())
     return pa.array(out, pa.string())
 
 
+def _cleaner(automaton, max_coverage: float, min_length: int):
+    """Match and cut at once, for a benchmark that is one automaton; too contaminated texts are not kept."""
+
+    @F.arrow_udf(returnType="struct<keep: boolean, text: string>")
+    @tidy_batch
+    def clean(text: pa.Array) -> pa.Array:
+        keep, out = [], []
+        for value in text:
+            raw = (value.as_py() or "").encode()
+            words = normalised(raw)
+            spans, _ = automaton.value.match(words)
+            keep.append(sum(e - s for s, e in spans) <= max_coverage * len(words))
+            spans = [(s, e) for s, e in spans if e - s >= min_length]
+            out.append(_cut(raw, spans) if spans and keep[-1] else value.as_py())
+        return pa.StructArray.from_arrays([pa.array(keep, pa.bool_()), pa.array(out, pa.string())], ["keep", "text"])
+
+    return clean
+
+
 def decontaminate(
     docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", max_coverage: float = 0.5, min_length: int = 1, **options
 ) -> DataFrame:
@@ -308,6 +328,13 @@ def decontaminate(
     span of at least ``min_length`` words is cut out of the text, what stands between stays.
     """
     into = unused(docs, "found")
+    given = {"item_col": "item_id", "item_text_col": "text", "window": WINDOW, "block_words": BLOCK_WORDS} | options
+    automata = _blocks(benchmark, *given.values())
+    first, second = next(automata), next(automata, None)
+    if second is None:
+        clean = _cleaner(docs.sparkSession.sparkContext.broadcast(first), max_coverage, min_length)
+        found = docs.withColumn(into, clean(column(docs, text_col).cast("string"))).where(F.col(f"`{into}`.keep"))
+        return found.withColumn(text_col, F.col(f"`{into}`.text")).select(*[column_ref(c) for c in docs.columns])
     found = with_matches(docs, benchmark, into, text_col=text_col, **options)
     starts, ends = F.col(f"`{into}`.starts"), F.col(f"`{into}`.ends")
     hit = F.aggregate(F.zip_with(ends, starts, lambda e, s: e - s), F.lit(0), lambda a, x: a + x)

@@ -279,7 +279,8 @@ def _links(buckets: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame
         chosen = chosen.select("bucket", F.col("class").alias("pivot"), F.col("label").alias("pivot_label"))
         pairs = rows.join(chosen, "bucket").where("label <> pivot_label")
         pairs = pairs.select(F.least("class", "pivot").alias("a"), F.greatest("class", "pivot").alias("b")).distinct()
-        near = _paired(pairs, classes, ["n", "registers"]).mapInArrow(tidy(_estimated), "a binary, b binary")
+        # Written, so that a task never has two Python steps, whose workers would stand beside each other.
+        near = table(_paired(pairs, classes, ["n", "registers"]).mapInArrow(tidy(_estimated), "a binary, b binary"), "near")
         links = _paired(near, sets, ["set"]).mapInArrow(tidy(_confirmed), "a binary, b binary")
         if labels is not None:
             for side in ("a", "b"):

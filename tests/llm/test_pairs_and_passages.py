@@ -43,6 +43,7 @@ def test_decontaminated_texts(odd_docs, benchmark):
     assert left.columns == odd_docs.columns
     expected = Counter((i, t) for i, t in brute.decontaminate(odd_texts(), odd_items()))
     assert rows(left, "doc_id", "text") == expected
+    assert rows(decontaminate.decontaminate(odd_docs, benchmark, block_words=60), "doc_id", "text") == expected
 
 
 def test_nothing_to_compare_with(odd_docs, no_docs, benchmark, no_benchmark):
