@@ -9,12 +9,28 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowsieve.operators.aggregate import grouped_stats
+from rowsieve.names import quote_name, quote_part, quote_text
+from rowsieve.operators.aggregate import grouped_stats, merge_stats, partial_stats
 from rowsieve.operators.metrics import observe_rules, observed_failures
 from rowsieve.operators.rules import Rule, compile_rules
-from rowsieve.operators.split import rejected_rows, valid_rows
+from rowsieve.operators.split import annotate, rejected_rows, valid_rows
 from rowsieve.sinks.tables import DEFAULT_FORMAT, overwrite_table, set_comment
-from rowsieve.streaming.loads import Failures, append_stream
+from rowsieve.streaming.loads import (
+    KO,
+    LOAD_COLUMN,
+    OK,
+    VERDICT_COLUMN,
+    Failures,
+    PathSink,
+    add_failures,
+    append_stream,
+    drain,
+    read_loads,
+    read_side,
+    register_store,
+    write_load,
+    write_store,
+)
 
 
 @dataclass(frozen=True)
@@ -34,6 +50,29 @@ class Layer:
     expectations: Sequence[Rule] | Callable[[DataFrame], Sequence[Rule]] | None = None
 
 
+@dataclass(frozen=True)
+class SplitLayer:
+    """Valid and rejected rows of a table, and a summary of the valid ones, from new rows only.
+
+    A refresh reads what was added to ``input`` since the last one, once, and writes it once, into a
+    store with a partition for each side. ``ok`` and ``ko`` are views of it; every load adds its
+    part of the summary, and ``gold`` is merged from the parts.
+    """
+
+    input: str
+    ok: str
+    ko: str
+    gold: str
+    rules: Callable[[DataFrame], Sequence[Rule]]
+    by: str
+    value: str
+    comments: tuple[str, str, str] = ("", "", "")
+
+    @property
+    def name(self) -> str:
+        return self.ok
+
+
 @dataclass
 class LayerReport:
     name: str
@@ -54,9 +93,49 @@ def expect_all_or_drop(
     return valid_rows(observed, rules), lambda: observation.get
 
 
+def _refresh_split(spark: SparkSession, layer: SplitLayer, *, namespace: str, checkpoint: str, fmt: str) -> list[LayerReport]:
+    source = f"{namespace}.{layer.input}"
+    rows = spark.table(source)
+    rules = layer.rules(rows)
+    shape = annotate(rows, rules, kind="array")
+    place = spark.catalog.getDatabase(namespace).locationUri.rstrip("/")
+    store = PathSink(f"{place}/{layer.ok}_store", fmt)
+    parts = PathSink(f"{place}/{layer.gold}_parts", fmt)
+    report = LayerReport(layer.ok, rows=0)
+
+    def each_batch(batch: DataFrame, query_id: str, batch_id: int) -> None:
+        observed, observation = observe_rules(batch, rules, f"layer-{uuid.uuid4()}")
+        load = write_store(annotate(observed, rules, kind="array"), store, query_id, batch_id)
+        counts = observation.get
+        report.rows += counts["rows"] - counts["rows_ko"]
+        report.dropped += counts["rows_ko"]
+        add_failures(report.failures, observed_failures(counts, rules))
+        valid = read_side(
+            spark, f"{store.path}/{LOAD_COLUMN}={load}", OK, rows.schema, trace_type="array<string>", fmt=fmt
+        )
+        write_load(partial_stats(valid, layer.by, layer.value), parts, query_id, batch_id)
+
+    drain(spark.readStream.table(source), f"{checkpoint.rstrip('/')}/{layer.ok}", each_batch)
+    kept = f"{namespace}.{layer.ok}_rows"
+    register_store(spark, kept, store.path, shape.schema, fmt=fmt)
+    for view, side, columns, comment in (
+        (layer.ok, OK, rows.columns, layer.comments[0]),
+        (layer.ko, KO, shape.columns, layer.comments[1]),
+    ):
+        shown = ", ".join(map(quote_part, columns))
+        spark.sql(
+            f"CREATE OR REPLACE VIEW {quote_name(f'{namespace}.{view}')} COMMENT {quote_text(comment)} AS "
+            f"SELECT {shown} FROM {quote_name(kept)} WHERE {VERDICT_COLUMN} = {quote_text(side)}"
+        )
+    part = partial_stats(rows.limit(0), layer.by, layer.value).schema
+    gold = merge_stats(read_loads(spark, parts.path, part, fmt=fmt), layer.by)
+    overwrite_table(gold, f"{namespace}.{layer.gold}", fmt=fmt, comment=layer.comments[2])
+    return [report, LayerReport(layer.ko), LayerReport(layer.gold)]
+
+
 def refresh(
     spark: SparkSession,
-    layers: Sequence[Layer],
+    layers: Sequence[Layer | SplitLayer],
     *,
     namespace: str,
     checkpoint: str,
@@ -65,6 +144,12 @@ def refresh(
     """Bring the tables ``namespace.<layer>`` up to date, in the order given."""
     reports, known = [], set()
     for layer in layers:
+        if isinstance(layer, SplitLayer):
+            if layer.input not in known:
+                raise ValueError(f"layer {layer.name!r} uses {layer.input!r}, which comes later or never")
+            known |= {layer.ok, layer.ko, layer.gold}
+            reports += _refresh_split(spark, layer, namespace=namespace, checkpoint=checkpoint, fmt=fmt)
+            continue
         missing = [name for name in layer.inputs if name not in known]
         if missing:
             raise ValueError(f"layer {layer.name!r} uses {missing}, which come later or never")
@@ -100,24 +185,35 @@ def quality_layers(
     by: str,
     value: str,
     nulls: str = "pass",
-) -> list[Layer]:
+    full: bool = False,
+) -> list[Layer | SplitLayer]:
     """raw → ok / ko → gold for one entity, with qualified codes and an array trace.
 
     ``read`` gives the raw stream. ok and ko come from the same rules under one null policy,
-    so together they are exactly the raw rows.
+    so together they are exactly the raw rows. A refresh handles new rows only; ``full`` computes
+    ok, ko and gold from all raw rows each time, as tables, such as after a change of the rules.
+    The two kinds need namespaces of their own.
     """
 
     def rules(frame: DataFrame) -> list[Rule]:
         return compile_rules(frame, validations, code_style="qualified", nulls=nulls)
 
     raw, ok, ko = f"{entity}_raw", f"{entity}_standard_ok", f"{entity}_standard_ko"
+    landed = Layer(
+        raw,
+        lambda: read().withColumn("dt", F.current_timestamp()),
+        comment=f"Raw {entity} records as they arrived",
+        stream=True,
+    )
+    if not full:
+        comments = (
+            f"{entity} records that meet every rule",
+            f"{entity} records that break a rule, with the codes of those",
+            f"Valid {entity} records per {by}",
+        )
+        return [landed, SplitLayer(raw, ok, ko, f"{entity}_gold_{by}_stats", rules, by, value, comments)]
     return [
-        Layer(
-            raw,
-            lambda: read().withColumn("dt", F.current_timestamp()),
-            comment=f"Raw {entity} records as they arrived",
-            stream=True,
-        ),
+        landed,
         Layer(
             ok,
             lambda rows: rows,

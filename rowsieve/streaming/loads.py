@@ -166,6 +166,21 @@ def register_loads(
     spark.catalog.refreshTable(table)
 
 
+def register_store(spark: SparkSession, table: str, path: str, schema: T.StructType, *, fmt: str = DEFAULT_FORMAT) -> None:
+    """Make a split store readable as a catalog table with the columns load and verdict."""
+    layout = [T.StructField(name, T.StringType()) for name in (LOAD_COLUMN, VERDICT_COLUMN)]
+    columns = ", ".join(f"{quote_part(f.name)} {f.dataType.simpleString()}" for f in [*schema.fields, *layout])
+    known = spark.catalog.tableExists(table)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {quote_name(table)} ({columns}) USING {fmt} "
+        f"PARTITIONED BY ({LOAD_COLUMN}, {VERDICT_COLUMN}) LOCATION {quote_text(path)}"
+    )
+    if known:
+        add_columns(spark, table, schema)
+    spark.sql(f"MSCK REPAIR TABLE {quote_name(table)} SYNC PARTITIONS")
+    spark.catalog.refreshTable(table)
+
+
 def drain(
     df: DataFrame,
     checkpoint: str,

@@ -432,6 +432,37 @@ def layered_ko(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _layers_twice(spark: SparkSession, sf_dir: str) -> str:
+    """Two arrivals and two refreshes; the second one brings a column that the first did not have."""
+    database, landing, checkpoint = _database(spark), new_dir(spark, "landing"), new_dir(spark, "checkpoint")
+    for rows, schema in zip(_halves(spark, sf_dir), (PERSON_SCHEMA, TEAM_SCHEMA)):
+        write_json(rows, landing)
+        layers = quality_layers(
+            "person", lambda schema=schema: file_stream(spark, landing, schema), PERSON_RULES, by="office", value="age"
+        )
+        refresh(spark, layers, namespace=database, checkpoint=checkpoint)
+    return database
+
+
+def layered_two_refreshes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.table(f"{_layers_twice(spark, sf_dir)}.person_gold_office_stats")
+
+
+def layered_widened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.table(f"{_layers_twice(spark, sf_dir)}.person_standard_ok").drop("dt")
+
+
+def layered_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All of raw again at each refresh."""
+    database, landing = _database(spark), _landing(spark, sf_dir)
+    layers = quality_layers(
+        "person", lambda: file_stream(spark, landing, PERSON_SCHEMA), PERSON_RULES, by="office", value="age", full=True
+    )
+    for _ in range(2):
+        refresh(spark, layers, namespace=database, checkpoint=f"{landing}-checkpoint")
+    return spark.table(f"{database}.person_gold_office_stats")
+
+
 def layered_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{_layers(spark, sf_dir)}.person_gold_office_stats")
 
@@ -628,6 +659,9 @@ QUERIES = {
     "masked_rescue": masked_rescue,
     "rescue_nested": rescue_nested,
     "rescue_options": rescue_options,
+    "layered_two_refreshes": layered_two_refreshes,
+    "layered_widened": layered_widened,
+    "layered_full": layered_full,
     "generated_people": generated_people,
     "stream_split_ok": stream_split_ok,
     "stream_split_ko": stream_split_ko,

@@ -118,6 +118,9 @@ ORACLE = {
         CASE WHEN kind = 3 THEN concat('{"id":', CAST(k AS STRING), ',"to":{"city":"', c, '","zip":9}} {"id":1}') END AS corrupt_record
       FROM o""",
     "rescue_options": """SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day, CAST(0 AS INT) AS n_rescued FROM orders""",
+    "layered_two_refreshes": GOLD,
+    "layered_widened": f"{PERSON} SELECT {PEOPLE}, {TEAM} FROM person WHERE NOT {BAD}",
+    "layered_full": GOLD,
     "generated_people": """SELECT count(*) AS rows, count(*) AS names, true AS ages_in_range, true AS known_offices
       FROM orders""",
     "gold_office_stats": GOLD,
