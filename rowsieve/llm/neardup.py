@@ -53,7 +53,7 @@ CHUNK_BYTES = 1 << 20
 #: Keys that a task brings together before it sends them on.
 GATHER_KEYS = 1 << 20
 #: Pivots of a bucket in the first round; each round has so many times more.
-GROWTH = 8
+GROWTH = 64
 
 _ODD = mixed(np.arange(1, FUNCTIONS + 1, dtype=np.uint64)) | np.uint64(1)
 _SKETCH = "doc_id bigint, n int, class binary, registers binary"
