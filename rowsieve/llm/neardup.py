@@ -6,8 +6,8 @@
    bucket's smallest hash the register keeps the number of leading zeros and some mantissa bits:
    one byte. ``ROWS`` registers are a band; classes that agree on a band are in one bucket of it.
    At a similarity of 0.75, ``BANDS`` bands miss a pair with a probability below 4e-6. Small sets
-   are found without any miss, by the smallest hashes of the set: two sets as similar as asked
-   share one of these.
+   would leave buckets empty; for them as many functions as registers see the whole set. Sets whose
+   size is near the border have both kinds.
 3. Pairs come from buckets as stars: a few pivots against the others, and only between classes that
    are not yet connected. Each round has more pivots, until no bucket holds an untested pair of
    classes that are not connected; so no link between components is lost, and a group of many near
@@ -47,7 +47,7 @@ SIMILAR = (75, 100)
 FUNCTIONS, BUCKETS, ROWS = 24, 16, 6
 REGISTERS = FUNCTIONS * BUCKETS
 BANDS = REGISTERS // ROWS
-#: Sets up to this size are found by their smallest hashes.
+#: Sets up to this size have registers of the whole set.
 SMALL = 64
 CHUNK_BYTES = 1 << 20
 #: Keys that a task brings together before it sends them on.
@@ -55,6 +55,7 @@ GATHER_KEYS = 1 << 20
 #: Pivots of a bucket in the first round; each round has so many times more.
 GROWTH = 64
 
+_SEEDS = mixed(np.arange(1001, 1001 + REGISTERS, dtype=np.uint64))
 _ODD = mixed(np.arange(1, FUNCTIONS + 1, dtype=np.uint64)) | np.uint64(1)
 _SKETCH = "doc_id bigint, n int, class binary, registers binary"
 
@@ -84,21 +85,36 @@ def registers(sets: list[np.ndarray]) -> np.ndarray:
     row = np.repeat(np.arange(len(sets), dtype=np.int64) * BUCKETS, sizes)
     out = np.empty((len(sets), FUNCTIONS, BUCKETS), np.uint8)
     bits = BUCKETS.bit_length() - 1
-    for f in range(FUNCTIONS):
+    for f in range(FUNCTIONS):  # buckets of a set are its own places of ``least``
         value = flat * _ODD[f]
         value ^= value >> np.uint64(29)
         value *= _ODD[-1 - f]
         least = np.full(len(sets) * BUCKETS, np.iinfo(np.uint64).max, np.uint64)
         at = row + (value >> np.uint64(64 - bits)).astype(np.int64)
         np.minimum.at(least, at, value << np.uint64(bits))
-        # A float's exponent and first fraction bits are the leading zeros and the mantissa.
-        as_float = np.maximum(least, np.uint64(1)).astype(np.float64).view(np.uint64)
-        zeros = np.clip(1086 - (as_float >> np.uint64(52)).astype(np.int64), 0, 15)
-        mantissa = ((as_float >> np.uint64(48)) & np.uint64(15)).astype(np.int64)
-        out[:, f, :] = (zeros * 16 + mantissa).reshape(len(sets), BUCKETS)
+        out[:, f, :] = _compressed(least).reshape(len(sets), BUCKETS)
     return out.reshape(len(sets), REGISTERS)
 
 
+def _compressed(least: np.ndarray) -> np.ndarray:
+    """Leading zeros (up to 15) and the four bits after the first one; a float has them as exponent and fraction."""
+    as_float = np.maximum(least, np.uint64(1)).astype(np.float64).view(np.uint64)
+    zeros = np.clip(1086 - (as_float >> np.uint64(52)).astype(np.int64), 0, 15)
+    return (zeros * 16 + ((as_float >> np.uint64(48)) & np.uint64(15)).astype(np.int64)).astype(np.uint8)
+
+
+def whole_registers(sets: list[np.ndarray]) -> np.ndarray:
+    """Registers of small, not empty sets, each of a function of its own over the whole set."""
+    if not sets:
+        return np.zeros((0, REGISTERS), np.uint8)
+    flat = np.concatenate(sets)
+    starts = np.cumsum([0, *[len(s) for s in sets[:-1]]])
+    out = np.empty((len(sets), REGISTERS), np.uint8)
+    for f, seed in enumerate(_SEEDS):
+        out[:, f] = _compressed(np.minimum.reduceat(mixed(flat ^ seed), starts))
+    return out
+
+
 #: The probability that registers of unrelated sets agree: equal zeros (1/2, 1/4, ...) and mantissa.
 CHANCE = sum(0.25**i for i in range(1, 16)) / 16
 
@@ -120,9 +136,11 @@ def _sketch(size: int):
                 sets, _ = shingles(part.column("text"), size)
                 named = [i.is_valid for i in part.column("doc_id")]
                 large = [i for i, s in enumerate(sets) if len(s) > SMALL]
-                kept = [_prefix(s).tobytes() if _by_prefix(len(s)) else b"" for s in sets]
-                for i, row in zip(large, registers([sets[i] for i in large]), strict=True):
-                    kept[i] = row.tobytes() + kept[i]
+                small = [i for i, s in enumerate(sets) if _small(len(s))]
+                kept = [b""] * len(sets)
+                for which, rows in ((large, registers), (small, whole_registers)):
+                    for i, row in zip(which, rows([sets[i] for i in which]), strict=True):
+                        kept[i] += row.tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
@@ -136,40 +154,32 @@ def _sketch(size: int):
     return sketch
 
 
-def _by_prefix(n):
+def _small(n):
     """Whether a set of this size may be similar to one of at most SMALL."""
     return (n > 0) & (n * SIMILAR[0] <= SMALL * SIMILAR[1])
 
 
-def _prefix_size(n: int) -> int:
-    """So many smallest hashes of a set of n: what two sets as similar as asked must share one of."""
-    return n - -(-SIMILAR[0] * n // SIMILAR[1]) + 1
-
-
-def _prefix(shingles: np.ndarray) -> np.ndarray:
-    return shingles[: _prefix_size(len(shingles))]
+def _rows(data: list[bytes], n: np.ndarray, which: np.ndarray, small: bool) -> np.ndarray:
+    """Registers of one kind; those of the whole set stand after those of buckets, where there are both."""
+    at = [REGISTERS * int(small and n[i] > SMALL) for i in which]
+    return np.frombuffer(b"".join(data[i][k : k + REGISTERS] for i, k in zip(which, at, strict=True)), np.uint8).reshape(
+        len(which), REGISTERS
+    )
 
 
 def _keys(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     """Keys of the classes of a batch, and of each key the class's place in the batch."""
     data = batch.column("registers").to_pylist()
     n = batch.column("n").to_numpy(zero_copy_only=False)
-    large = np.flatnonzero(n > SMALL)
-    keys, places = [], []
-    if len(large):
-        rows = np.frombuffer(b"".join(data[i][:REGISTERS] for i in large), np.uint8).reshape(len(large), BANDS, ROWS)
-        packed = np.zeros((len(large), BANDS), np.uint64)
+    keys, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for small, which in ((False, np.flatnonzero(n > SMALL)), (True, np.flatnonzero(_small(n)))):
+        rows = _rows(data, n, which, small).reshape(len(which), BANDS, ROWS)
+        packed = np.zeros((len(which), BANDS), np.uint64)
         for r in range(ROWS):
             packed = (packed << np.uint64(8)) | rows[:, :, r]
-        packed = mixed(packed ^ mixed(np.arange(1, BANDS + 1, dtype=np.uint64))[None, :])
-        keys.append(packed.ravel())
-        places.append(np.repeat(large, BANDS))
-    for i in np.flatnonzero(_by_prefix(n)):
-        raw = data[i] if n[i] <= SMALL else data[i][REGISTERS:]
-        keys.append(mixed(np.frombuffer(raw, np.uint64)))
-        places.append(np.full(len(raw) // 8, i))
-    if not keys:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        band = np.arange(1, BANDS + 1, dtype=np.uint64) + np.uint64(1000 * small)
+        keys.append(mixed(packed ^ mixed(band)[None, :]).ravel())
+        places.append(np.repeat(which, BANDS))
     return np.concatenate(keys), np.concatenate(places)
 
 
@@ -215,12 +225,14 @@ def _estimated(batches):
     """Pairs that may be similar; the columns are a, b, and the registers and sizes of both."""
     for batch in batches:
         n = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("n_a", "n_b")]
-        both = np.flatnonzero((n[0] > SMALL) & (n[1] > SMALL))
+        data = [batch.column(c).to_pylist() for c in ("registers_a", "registers_b")]
         keep = np.minimum(*n) * SIMILAR[1] >= np.maximum(*n) * SIMILAR[0]
-        if len(both):
-            raw = [batch.column(c).take(pa.array(both)).to_pylist() for c in ("registers_a", "registers_b")]
-            rows = [np.frombuffer(b"".join(x[:REGISTERS] for x in r), np.uint8).reshape(len(both), REGISTERS) for r in raw]
-            keep[both] &= estimate(*rows) >= LEAST_ESTIMATE
+        small = _small(np.maximum(*n))  # sets of such sizes as pass both have registers of one kind
+        for kind in (False, True):
+            which = np.flatnonzero(keep & (small == kind))
+            if len(which):
+                rows = [_rows(d, m, which, kind) for d, m in zip(data, n, strict=True)]
+                keep[which] = estimate(*rows) >= LEAST_ESTIMATE
         yield batch.select(["a", "b"]).filter(pa.array(keep))
 
 
