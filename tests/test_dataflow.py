@@ -7,7 +7,7 @@ from rowsieve.functions.people import PERSON_SCHEMA, people_from_ids
 from rowsieve.operators.governance import publish_governed_views
 from rowsieve.operators.rules import RuleError, compile_rules
 from rowsieve.operators.split import TRACE_COLUMN, split
-from rowsieve.plans.contract import parse_contract
+from rowsieve.plans.contract import ContractError, parse_contract
 from rowsieve.plans.dataflow import AUDIT_SCHEMA, run
 from rowsieve.sources.files import read_files
 from rowsieve.streaming.loads import read_loads, read_side
@@ -27,12 +27,12 @@ def root(spark, tmp_path):
 def flow_for(root, **changes):
     contract = {
         "name": "person-quality",
-        "sources": [{"name": "person_inputs", "path": "{root}/in/*", "format": "JSON"}],
+        "sources": [{"name": "arrivals", "path": "{root}/in/*", "format": "JSON"}],
         "transformations": [
             {
                 "name": "validation",
                 "type": "validate_fields",
-                "params": {"input": "person_inputs", "validations": copy.deepcopy(PRODUCTION_RULES)},
+                "params": {"input": "arrivals", "validations": copy.deepcopy(PRODUCTION_RULES)},
             }
         ],
         "sinks": [
@@ -58,7 +58,7 @@ def go(spark, root, flow=None, **options):
     settings = {
         "checkpoint": str(root / "checkpoint"),
         "table_format": "parquet",
-        "schemas": {"person_inputs": PERSON_SCHEMA},
+        "schemas": {"arrivals": PERSON_SCHEMA},
         "audit_path": str(root / "audit"),
         **options,
     }
@@ -172,7 +172,7 @@ def test_tables_clustering_and_other_traces(spark, root, database):
 
 def test_rescued_source_and_inferred_schema(spark, root):
     (root / "in" / "extra.json").write_text('{"name":"x","age":"old","office":"RIO","zip":1}\noops\n')
-    source = {"name": "person_inputs", "path": f"{root}/in", "rescue": True}
+    source = {"name": "arrivals", "path": f"{root}/in", "rescue": True}
     source["schema"] = "name STRING, age INT, office STRING"
     flow = flow_for(root, sources=[source])
     go(spark, root, flow, schemas={})
@@ -180,7 +180,7 @@ def test_rescued_source_and_inferred_schema(spark, root):
     row = ko.filter("name = 'x'").collect()[0]
     assert row["_rescued_data"] == {"age": "old", "zip": "1"} and row[TRACE_COLUMN] == {"age": "notNull"}
 
-    inferred = flow_for(root, sources=[{"name": "person_inputs", "path": f"{root}/in", "options": {"maxFilesPerTrigger": 100}}])
+    inferred = flow_for(root, sources=[{"name": "arrivals", "path": f"{root}/in", "options": {"maxFilesPerTrigger": 100}}])
     with pytest.raises(Exception):
         # Mixed numbers and text infer as text, on which the plain SQL rule fails under ANSI.
         go(spark, root, inferred, schemas={}, checkpoint=str(root / "c2"))
@@ -190,12 +190,12 @@ def test_steps_after_validation_and_a_side_nobody_keeps(spark, root):
     steps = flow_for(root).steps
     transformations = [
         {"name": "validation", "type": "validate_fields", "params": dict(steps[0].params)},
-        {"name": "ok_with_date", "type": "add_timestamp", "params": {"input": "validation_ok", "column": "seen", "as": "timestamp"}},
-        {"name": "spaniards", "type": "validate_fields", "params": {"input": "ok_with_date", "validations": [
+        {"name": "stamped", "type": "add_timestamp", "params": {"input": "validation_ok", "column": "seen", "as": "timestamp"}},
+        {"name": "spaniards", "type": "validate_fields", "params": {"input": "stamped", "validations": [
             {"field": "office", "sql_expressions": [{"error_code": "abroad", "expression": "office = 'MADRID'"}]}]}},
     ]
     sinks = [
-        {"name": "dated", "input": "ok_with_date", "paths": [f"{root}/dated"]},
+        {"name": "dated", "input": "stamped", "paths": [f"{root}/dated"]},
         {"name": "madrid", "input": "spaniards_ok", "paths": [f"{root}/madrid"], "mode": "append"},
     ]
     flow = flow_for(root, transformations=transformations, sinks=sinks, summaries=[])
@@ -212,12 +212,12 @@ def test_steps_after_validation_and_a_side_nobody_keeps(spark, root):
 def test_two_sources(spark, root):
     people_from_ids(spark.range(1000, 1100)).write.parquet(str(root / "in2"))
     sources = [
-        {"name": "person_inputs", "path": f"{root}/in", "schema": "name STRING, age INT, office STRING"},
+        {"name": "arrivals", "path": f"{root}/in", "schema": "name STRING, age INT, office STRING"},
         {"name": "archive", "path": f"{root}/in2", "format": "parquet", "schema": "name STRING, age INT, office STRING"},
     ]
     rules = {"validations": copy.deepcopy(PRODUCTION_RULES)}
     transformations = [
-        {"name": "v1", "type": "validate_fields", "params": {"input": "person_inputs", **rules}},
+        {"name": "v1", "type": "validate_fields", "params": {"input": "arrivals", **rules}},
         {"name": "v2", "type": "validate_fields", "params": {"input": "archive", **rules}},
     ]
     sinks = [
@@ -234,7 +234,7 @@ def test_two_sources(spark, root):
 
 def test_a_run_without_new_input_ever(spark, root):
     (root / "none").mkdir()
-    flow = flow_for(root, sources=[{"name": "person_inputs", "path": f"{root}/none"}])
+    flow = flow_for(root, sources=[{"name": "arrivals", "path": f"{root}/none"}])
     report = go(spark, root, flow)
     assert (report.rows_ok, report.rows_ko, report.status) == (0, 0, "ok")
 
@@ -296,7 +296,7 @@ def test_counts_do_not_depend_on_what_is_kept(spark, root, execution, names, clu
     sinks = [
         {"name": f"p_{side}", "paths": [f"{root}/{side}", f"{root}/{side}_copy"], "cluster_by": cluster}
         for side in names
-    ] or [{"name": "raw", "input": "person_inputs", "paths": [f"{root}/raw"]}]
+    ] or [{"name": "raw", "input": "arrivals", "paths": [f"{root}/raw"]}]
     report = go(spark, root, flow_for(root, sinks=sinks, summaries=[]), execution=execution)
     expected = expected_split(spark, root)
     assert (report.rows_ok, report.rows_ko) == (expected.ok.count(), expected.ko.count())
@@ -316,3 +316,16 @@ def test_batch_appends_to_a_store(spark, root):
         assert report.rows_ok + report.rows_ko == 500
         sides = [read_side(spark, f"{root}/store", side, OK).count() for side in ("ok", "ko")]
         assert sides == [times * report.rows_ok, times * report.rows_ko]
+
+
+def test_places_are_compared_as_the_file_system_knows_them(spark, root):
+    """Nothing is written, and no source file goes, where places overlap."""
+    files = sorted((root / "in").glob("*.json"))
+    for sinks in (
+        [{"name": "all_ok", "paths": [f"file:{root}"], "mode": "OVERWRITE"}],
+        [{"name": "all_ok", "paths": [f"{root}/./in/../in/ok"], "mode": "OVERWRITE"}],
+        [{"name": "all_ok", "paths": [f"{root}//checkpoint/ok"], "mode": "OVERWRITE"}],
+    ):
+        with pytest.raises(ContractError, match="share the place"):
+            go(spark, root, flow_for(root, sinks=sinks, summaries=[]))
+    assert sorted((root / "in").glob("*.json")) == files and files

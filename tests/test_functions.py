@@ -84,7 +84,7 @@ def test_comparison_job(spark, people):
     result = compare_cleaning(people, "name", runs=1, warm_up=False)
     rows = {row["variant"]: row for row in result.collect()}
     assert set(rows) == {"python_udf", "arrow_udf", "native"}
-    assert all(row["row_count"] == 5 and row["seconds"] > 0 for row in rows.values())
+    assert all(row["row_count"] == 6 and row["seconds"] > 0 for row in rows.values())
     assert rows["python_udf"]["speedup"] == 1.0
 
 
