@@ -347,9 +347,9 @@ def _sketch_schema(plain: DataFrame) -> str:
 
 
 def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """The documents, in all their columns, that represent their group: one row of each id that is kept.
+    """The documents, in all their columns, that represent their group.
 
-    Rows whose id is null all stay.
+    Rows with one id are one document and stay or go together; rows whose id is null all stay.
     """
     kept = clusters(docs, id_col=id_col, text_col=text_col, shingle=shingle).where("kept and doc_id is not null")
     kept = kept.select(F.col("doc_id")).distinct()
