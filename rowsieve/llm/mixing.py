@@ -450,7 +450,7 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", he
     ).first()
     mixer = train(counts.where("n > 0"))
     held = docs.sparkSession.sparkContext.broadcast(mixer)
-    scored = table(counts.select("token", "n").mapInArrow(tidy(_scored(held, total)), "token bigint, n bigint, score double"), "token-scores")
+    scored = counts.select("token", "n").mapInArrow(tidy(_scored(held, total)), "token bigint, n bigint, score double")
     dealt_to = max(1, -(-tokens // CHUNK_TOKENS))
     dealt = plain.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(dealt_to)))
     wanted = dealt.groupBy("chunk").applyInArrow(_distinct, "chunk bigint, token bigint")
