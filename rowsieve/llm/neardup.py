@@ -8,10 +8,12 @@
    At a similarity of 0.75, ``BANDS`` bands miss a pair with a probability below 4e-6. Small sets
    would leave buckets empty; for them as many functions as registers see the whole set. Sets whose
    size is near the border have both kinds.
-3. Pairs come from buckets as stars: a few pivots against the others, and only between classes that
+3. A set's parity is kept as well: bits that tell how far two sets are apart at least.
+   Pairs come from buckets as stars: a few pivots against the others, and only between classes that
    are not yet connected. Each round has more pivots, until no bucket holds an untested pair of
    classes that are not connected; so no link between components is lost, and a group of many near
-   copies costs about its size, not its square.
+   copies costs about its size, not its square. After the first round a pair is made only if the
+   parities of its sets allow the similarity asked for; that bound is exact.
 4. A pair's similarity is estimated by equal registers, corrected for those that agree by chance;
    pairs that are far below the threshold (over six standard deviations) are dropped. The others
    are confirmed on the full sets.
@@ -28,6 +30,8 @@ document in components, and each has its row; other columns are not read.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +51,8 @@ SIMILAR = (75, 100)
 FUNCTIONS, BUCKETS, ROWS = 24, 16, 6
 REGISTERS = FUNCTIONS * BUCKETS
 BANDS = REGISTERS // ROWS
+#: Bits of a set's parity, by which pairs are told apart within the join that makes them.
+PARITY_BITS = 1024
 #: Sets up to this size have registers of the whole set.
 SMALL = 64
 CHUNK_BYTES = 1 << 20
@@ -57,7 +63,7 @@ GROWTH = 64
 
 _SEEDS = mixed(np.arange(1001, 1001 + REGISTERS, dtype=np.uint64))
 _ODD = mixed(np.arange(1, FUNCTIONS + 1, dtype=np.uint64)) | np.uint64(1)
-_SKETCH = "doc_id bigint, n int, class binary, registers binary"
+_SKETCH = "doc_id bigint, n int, class binary, registers binary, parity array<bigint>"
 
 
 def shingles(texts: pa.Array, size: int = SHINGLE) -> tuple[list[np.ndarray], Words]:
@@ -125,8 +131,17 @@ def estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.clip((equal - CHANCE) / (1 - CHANCE), 0, 1)
 
 
-#: Estimates below this are dropped: 0.75 less eight standard deviations of an estimate.
-LEAST_ESTIMATE = 0.75 - 8 * float(np.sqrt(0.75 * 0.25 / REGISTERS)) / (1 - CHANCE)
+#: Estimates below this are dropped: 0.75 less six standard deviations of an estimate.
+LEAST_ESTIMATE = 0.75 - 6 * float(np.sqrt(0.75 * 0.25 / REGISTERS)) / (1 - CHANCE)
+
+
+def parity(shingles: np.ndarray) -> np.ndarray:
+    """For each of PARITY_BITS residues whether an odd number of hashes has it, as 64-bit numbers.
+
+    The parities of two sets differ in no more bits than their symmetric difference has shingles.
+    """
+    odd = np.bincount((shingles >> np.uint64(40)) % np.uint64(PARITY_BITS), minlength=PARITY_BITS).astype(np.uint8) & 1
+    return np.packbits(odd).view("<i8")
 
 
 def _sketch(size: int):
@@ -147,8 +162,9 @@ def _sketch(size: int):
                         pa.array([len(s) for s in sets], pa.int32()),
                         pa.array([digest(s) if len(s) and ok else None for s, ok in zip(sets, named, strict=True)], pa.binary()),
                         pa.array(kept, pa.binary()),
+                        pa.array([parity(s) for s in sets], pa.list_(pa.int64())),
                     ],
-                    ["doc_id", "n", "class", "registers"],
+                    ["doc_id", "n", "class", "registers", "parity"],
                 )
 
     return sketch
@@ -288,8 +304,20 @@ def _links(buckets: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame
         if largest is None:
             return labels
         chosen = rows.where((F.col("class") == F.col("lead")) | (priority * F.col("size") < pivots - 1))
-        chosen = chosen.select("bucket", F.col("class").alias("pivot"), F.col("label").alias("pivot_label"))
+        if pivots > 1:  # many pairs that no link joins: those whose parities differ too much are not made
+            known = classes.select("class", "n", "parity")
+            rows, chosen = (x.join(known, "class") for x in (rows, chosen))
+        chosen = chosen.select(
+            "bucket",
+            F.col("class").alias("pivot"),
+            F.col("label").alias("pivot_label"),
+            *[F.col(c).alias(f"pivot_{c}") for c in ("n", "parity") if pivots > 1],
+        )
         pairs = rows.join(chosen, "bucket").where("label <> pivot_label")
+        if pivots > 1:
+            words = [F.bit_count(F.col("parity")[i].bitwiseXOR(F.col("pivot_parity")[i])) for i in range(PARITY_BITS // 64)]
+            apart = reduce(add, words) * (SIMILAR[0] + SIMILAR[1])
+            pairs = pairs.where(apart <= (F.col("n") + F.col("pivot_n")) * (SIMILAR[1] - SIMILAR[0]))
         pairs = pairs.select(F.least("class", "pivot").alias("a"), F.greatest("class", "pivot").alias("b")).distinct()
         # Written, so that a task never has two Python steps, whose workers would stand beside each other.
         near = table(_paired(pairs, classes, ["n", "registers"]).mapInArrow(tidy(_estimated), "a binary, b binary"), "near")
@@ -316,7 +344,7 @@ def clusters(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     plain = texts(docs, id_col, text_col)
     sketches = table(plain.mapInArrow(tidy(_sketch(shingle)), _sketch_schema(plain)), "sketches")
     classes = sketches.where("class is not null").groupBy("class").agg(
-        F.min("doc_id").alias("doc_id"), F.any_value("n").alias("n"), F.any_value("registers").alias("registers")
+        F.min("doc_id").alias("doc_id"), F.any_value("n").alias("n"), F.any_value("registers").alias("registers"), F.any_value("parity").alias("parity")
     )
     classes = table(classes, "classes")
     gathered = classes.select("class", "n", "registers").mapInArrow(tidy(_buckets), _BUCKET)

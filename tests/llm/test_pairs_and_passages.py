@@ -136,3 +136,14 @@ def test_estimates_are_close():
         true = 1000 / (len(a) + len(b) - 1000)
         x = neardup.registers([a, b])
         assert abs(neardup.estimate(x[:1], x[1:])[0] - true) < 0.12
+
+
+def test_parity_bounds_the_difference():
+    import numpy as np
+
+    r = np.random.default_rng(6)
+    for n in (5, 60, 400, 3000):
+        a = np.unique(r.integers(0, 2**63, n).astype(np.uint64) * np.uint64(2))
+        b = np.unique(np.concatenate([a[n // 7 :], r.integers(0, 2**63, n // 9).astype(np.uint64)]))
+        bits = sum(int(x).bit_count() for x in (neardup.parity(a) ^ neardup.parity(b)).view(np.uint64))
+        assert bits <= len(np.setxor1d(a, b))
