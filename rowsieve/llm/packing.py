@@ -35,7 +35,7 @@ LENGTH = 4096
 END = 1
 SHARD_ROWS = 100_000
 #: Parts whose ids a Python worker keeps.
-KNOWN_PARTS = 400_000
+KNOWN_PARTS = 700_000
 
 
 #: The tokenizer's own pattern, for lower-case texts of Latin-1 characters.
