@@ -281,7 +281,8 @@ def train(counts: DataFrame) -> Mixer:
     spark = counts.sparkSession
     distinct = counts.count()
     tasks = min(MOST_TASKS, max(1, -(-distinct // TOKENS_A_TASK)))
-    dealt = counts.select("token", "n").repartition(tasks, F.xxhash64("token"))
+    # A task's tables have a fixed size, so there are no more tasks than the tokens need.
+    dealt = counts.select("token", "n").coalesce(tasks)
     blocks = dealt.mapInArrow(tidy(_table_blocks), "block bigint, counts binary").groupBy("block")
     codes = np.zeros(_STARTS[-1], np.uint16)
     for row in blocks.applyInArrow(_summed, "block bigint, codes binary").toLocalIterator():  # one slot each, a fixed number
