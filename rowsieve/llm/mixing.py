@@ -3,8 +3,10 @@
 A text is scored as its tokens, one after another: words in lower case, then an end. A token is
 predicted bit by bit, its bytes first and then a closing space (the end is the space alone).
 
-*Predictors.* For each context (the last 1, 2, 3, 4, 6 bytes of the token, and all of them) a hashed
-slot counts the zeros and ones that followed it in the training texts. Tables have a fixed size.
+*Predictors.* For each context (the last 1, 2, 3, 4, 6 bytes of the token, and all of them) zeros and
+ones are counted that followed it in the training texts. Contexts of one and two bytes have a place
+each in a table of fixed size; longer ones are known by 56 bits of hash and counted in a keyed table
+that grows with them, so that no context takes another one's counts and a new one is known as new.
 *Mixing.* The predictions, stretched to the logistic domain, are added with weights that a gate
 selects: the longest context seen before, how often, and where in the token. Weights are learned
 online over the training tokens, each predicted as if it had not been counted itself.
@@ -16,10 +18,12 @@ that held in this text, and tokens of the text so far are expected again.
 Every step is a proper distribution, so scores are log probabilities and bits per byte follow.
 
 *Spark.* Tokens are counted once over all texts; the counts are a table that grows with the corpus.
-Tables and weights are made from it, of each token once however frequent it is; each distinct token
-is scored once. Texts are dealt to chunks of about ``CHUNK_TOKENS``, and a chunk meets the scores
-of its distinct tokens, known by 64 bits of hash, in a cogroup. No table that grows with the input
-is broadcast or collected.
+Counts and weights are made from it, of each token once however frequent it is; each distinct token
+is scored once. Tokens are dealt to lots of about ``LOT_BYTES``. A lot asks for its distinct (context,
+byte) pairs, sorted and cut into shares of hashes; a share adds up what all lots have sent it and
+answers each in the order it has asked in. Texts are dealt to chunks of about ``CHUNK_TOKENS``, and
+a chunk meets the scores of its distinct tokens, known by 64 bits of hash, in a cogroup. No table
+that grows with the input is broadcast or collected.
 
 Defined results: a null or empty text is the end alone; repeated rows and null ids each get their
 row; other columns are not read; without training texts every context is empty, which gives each
@@ -38,12 +42,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowsieve.llm.frames import crc_mod, table, texts
-from rowsieve.llm.memory import tidy
+from rowsieve.llm.memory import give_back, tidy
 from rowsieve.llm.words import LOWER_BYTES, Words, chunks, mixed, powers, text_bytes
 
 HELD_OUT = (7, 2)
-#: Bytes of context (0: all of the token), and the bits of a table's address.
-ORDERS = ((1, 16), (2, 20), (3, 21), (4, 21), (6, 22), (0, 23))
+#: Bytes of context (0: all of the token), and the bits of a table's address (0: counted by hash).
+ORDERS = ((1, 16), (2, 24), (3, 0), (4, 0), (6, 0), (0, 0))
+#: Bytes of tokens, ends included, that are asked for at once, and (context, byte) pairs of a share.
+LOT_BYTES, SHARE_PAIRS = 1_000_000, 1_500_000
 BLOCK = 1 << 16
 #: Tokens of the training texts that one task counts contexts of, and at most so many tasks.
 TOKENS_A_TASK, MOST_TASKS = 500_000, 64
@@ -58,7 +64,7 @@ WHOLE, CACHE = 0.5, 0.1
 TRUST = {1: (0.02, 2.0), 3: (0.7, 2.0)}
 _BASE = 0x9E3779B97F4A7C15
 _ODD = mixed(np.arange(1, 2 * len(ORDERS) + 1, dtype=np.uint64)) | np.uint64(1)
-_SIZES = [1 << bits for _, bits in ORDERS]
+_SIZES = [1 << bits for _, bits in ORDERS if bits]
 _STARTS = np.cumsum([0, *_SIZES])
 
 
@@ -93,6 +99,7 @@ WITHOUT = np.concatenate(
         np.where((_PAIR & 255 > 0) & (_PAIR & 255 < 64), _PAIR - 1, _PAIR),
     ]
 ).astype(np.uint16)
+KEYED = len(ORDERS) - len(_SIZES)
 GATES = (1 + len(_STEPS) * len(ORDERS)) * 3
 INPUTS = len(ORDERS) + 1
 
@@ -125,19 +132,23 @@ class Contexts:
         self.hashes.append(mixed((total[:n] - total[start]) * back_to[start] + self.at.astype(np.uint64)))
 
     def slots(self, bit: int) -> tuple[list[np.ndarray], np.ndarray]:
-        """Of each order the slot of every byte's bit, and the bit."""
+        """Of each order with a table the slot of every byte's bit, and the bit; slots need no hash."""
         node = ((1 << bit) | (self.bytes.astype(np.uint64) >> np.uint64(8 - bit))).astype(np.uint64)
-        slots = []
-        for k, (hashed, (_, bits)) in enumerate(zip(self.hashes, ORDERS, strict=True)):
-            if bits == 16:  # one byte and the bits before this one need no hash
-                slots.append(((hashed << np.uint64(8)) | node).astype(np.int64))
-                continue
-            value = (hashed + node * _ODD[k]) * _ODD[len(ORDERS) + k]
-            value ^= value >> np.uint64(31)
-            value *= _ODD[0]
-            slots.append((value >> np.uint64(64 - bits)).astype(np.int64))
+        slots = [((hashed << np.uint64(8)) | node).astype(np.int64) for hashed, (_, bits) in zip(self.hashes, ORDERS, strict=True) if bits]
         return slots, (self.bytes >> (7 - bit)) & 1
 
+    def pairs(self) -> np.ndarray:
+        """Of each order without a table (a row each) the context's hash before every byte, its last 8 bits replaced by the byte.
+
+        A context that the token's beginning cuts short is the whole token so far.
+        """
+        whole = mixed(self.hashes[-1])
+        out = np.empty((KEYED, len(whole)), np.uint64)
+        for row, k in zip(out, range(len(_SIZES), len(ORDERS)), strict=True):
+            order = ORDERS[k][0]
+            row[:] = np.where(self.at >= order, mixed(self.hashes[k] * _ODD[k] + _ODD[len(ORDERS) + k]), whole) if order else whole
+        return (out & ~np.uint64(255)) | self.bytes
+
 
 def _batches_of(batches, *columns: str):
     """Lists of at most BATCH_TOKENS tokens, with arrays of the other columns."""
@@ -174,8 +185,106 @@ def _summed(rows: pa.Table) -> pa.Table:
     return pa.table({"block": rows.column("block")[:1], "codes": pa.array([codes.astype("<u2").tobytes()], pa.binary())})
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """Compressed, first bytes of all values first, as most are alike."""
+    return zlib.compress(np.ascontiguousarray(values.ravel().view(np.uint8).reshape(values.size, -1).T).tobytes(), 1)
+
+
+def _unpacked(raw, kind: str) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(raw.as_py()), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def _lot(rows: pa.Table) -> tuple[list[bytes], np.ndarray]:
+    """Tokens of a lot and their numbers, those of training texts first, in an order of their own."""
+    tokens, n = rows.column("token").to_pylist(), rows.column("n").to_numpy()
+    order = np.lexsort((_hashes(tokens), n == 0))
+    return [tokens[i] for i in order], n[order]
+
+
+def _edges(shares: int) -> np.ndarray:
+    """The first hash of each share but the first."""
+    return np.array([(i << 64) // shares >> 8 << 8 for i in range(1, shares)], np.uint64)
+
+
+def _asked(shares: int):
+    """The distinct pairs of a lot with their numbers in training texts, a row for each share."""
+
+    def asked(rows: pa.Table) -> pa.Table:
+        tokens, n = _lot(rows)
+        contexts = Contexts(tokens)
+        pairs, inverse = np.unique(contexts.pairs().ravel(), return_inverse=True)
+        # An order with too short a context stands for the whole one, which is counted once.
+        counted = np.stack([(contexts.at >= order) if order else np.ones(len(contexts.at), bool) for order, bits in ORDERS if not bits])
+        weight = np.bincount(inverse.ravel(), (counted * n[contexts.token]).ravel(), len(pairs)).astype(np.int64)
+        cuts = [0, *np.searchsorted(pairs, _edges(shares)).tolist(), len(pairs)]
+        out = [(i, a, b) for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
+        return pa.table(
+            {
+                "share": pa.array([i for i, _, _ in out], pa.int64()),
+                "lot": pa.repeat(rows.column("lot")[0], len(out)),
+                "pairs": pa.array([_packed(np.diff(pairs[a:b], prepend=np.uint64(0))) for _, a, b in out], pa.binary()),
+                "n": pa.array([_packed(weight[a:b]) for _, a, b in out], pa.binary()),
+            }
+        )
+
+    return asked
+
+
+def path_codes(pairs: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Of sorted pairs the codes of how often each of the eight bits to a pair's byte was taken, and was not (a row each)."""
+    codes = np.empty((16, len(pairs)), np.uint8)
+    total = None
+    for level in range(9):
+        node = pairs >> np.uint64(8 - level)
+        group = np.cumsum(np.concatenate([[False], node[1:] != node[:-1]])) if len(pairs) else np.zeros(0, np.int64)
+        below = np.bincount(group, n)[group] if len(pairs) else np.zeros(0)
+        if total is not None:
+            codes[level - 1], codes[level + 7] = coded(below), coded(total - below)
+        total = below
+    return codes
+
+
+def _answered(rows: pa.Table) -> pa.Table:
+    """For each lot the codes of the pairs it has asked for, in its order."""
+    pairs = [np.cumsum(_unpacked(raw, "<u8"), dtype=np.uint64) for raw in rows.column("pairs")]
+    known, place = np.unique(np.concatenate(pairs), return_inverse=True)
+    n = np.bincount(place, np.concatenate([_unpacked(raw, "<i8") for raw in rows.column("n")]), len(known))
+    codes = path_codes(known, n)
+    ends = np.cumsum([len(p) for p in pairs])
+    # Of most contexts one byte is known, so that one bit's codes are those of the bit before.
+    codes[1:8] -= codes[:7].copy()
+    found = [_packed(codes[:, place[end - len(p) : end]]) for p, end in zip(pairs, ends, strict=True)]
+    give_back()
+    return pa.table({"lot": rows.column("lot"), "share": rows.column("share"), "codes": pa.array(found, pa.binary())})
+
+
+class Found:
+    """Codes of the pairs of some tokens: ``codes`` a row for each bit, ``places`` a row for each order."""
+
+    def __init__(self, codes: np.ndarray, places: np.ndarray):
+        self.codes, self.places = codes, places
+
+    @staticmethod
+    def of(tokens: list[bytes], answers: pa.Table) -> Found:
+        shares = np.argsort(answers.column("share").to_numpy())
+        raw = answers.column("codes")
+        codes = np.concatenate([_unpacked(raw[int(i)], "u1").reshape(16, -1) for i in shares], axis=1)
+        pairs = Contexts(tokens).pairs()
+        known, places = np.unique(pairs.ravel(), return_inverse=True)
+        if len(known) != codes.shape[1]:
+            raise ValueError("a lot has other pairs than it asked for")
+        taken, other = np.cumsum(codes[:8], axis=0, dtype=np.uint8).astype(np.uint16), codes[8:]
+        one = (known >> np.arange(7, -1, -1, dtype=np.uint64)[:, None]) & np.uint64(1) == 1
+        codes = np.where(one, (other.astype(np.uint16) << 8) | taken, (taken << 8) | other)
+        return Found(codes, places.reshape(pairs.shape).astype(np.int32))
+
+    def part(self, start: int, end: int) -> Found:
+        return Found(self.codes, self.places[:, start:end])
+
+
 class Mixer:
-    """Tables of codes, and mixing weights by gate."""
+    """Tables of codes, and mixing weights by gate. Contexts without a table are unseen unless codes are given."""
 
     def __init__(self, codes: np.ndarray):
         self.codes = codes
@@ -185,14 +294,15 @@ class Mixer:
         self.weights[np.arange(3, GATES), longest] = 0.5
         self.squares = np.full((GATES, INPUTS), 1e-6)
 
-    def inputs(self, contexts: Contexts, bit: int, without_self: bool):
+    def inputs(self, contexts: Contexts, bit: int, without_self: bool, found: Found | None = None):
         """Stretched predictions (a row for each input), the gate, and the bit."""
         slots, ones = contexts.slots(bit)
+        codes = [self.codes[slot + start] for start, slot in zip(_STARTS, slots, strict=False)]
+        codes += [np.zeros(len(ones), np.uint16)] * KEYED if found is None else [found.codes[bit][places] for places in found.places]
         x = np.empty((INPUTS, len(ones)), np.float32)
         gate = np.zeros(len(ones), np.int16)
         own = ones.astype(np.int64) << 16
-        for k, (start, slot) in enumerate(zip(_STARTS, slots, strict=False)):
-            code = self.codes[slot + start]
+        for k, code in enumerate(codes):
             if without_self:
                 code = WITHOUT[own + code]
             x[k] = STRETCHED[code]
@@ -208,14 +318,17 @@ class Mixer:
             out += w[k][gate] * x[k]
         return 1 / (1 + np.exp(-np.clip(out, -12, 12).astype(np.float64)))
 
-    def learn(self, tokens: list[bytes], n: np.ndarray) -> None:
+    def learn(self, tokens: list[bytes], n: np.ndarray, found: Found | None = None) -> None:
         """Go through tokens in order, in steps of some bytes; a token counts as often as it occurs."""
         size = max(1, int(len(tokens) * STEP_BYTES / max(1, sum(map(len, tokens)) + len(tokens))))
+        done = 0
         for at in range(0, len(tokens), size):
             contexts = Contexts(tokens[at : at + size])
+            done += len(contexts.bytes)
+            part = found and found.part(done - len(contexts.bytes), done)
             mass = n[at : at + size].astype(np.float64)[contexts.token]
             for bit in range(8):
-                x, gate, ones = self.inputs(contexts, bit, True)
+                x, gate, ones = self.inputs(contexts, bit, True, part)
                 error = mass * (ones - self.probability(x, gate))
                 total = np.maximum(np.bincount(gate, mass, GATES), 1e-9)
                 for k in range(INPUTS):
@@ -223,12 +336,12 @@ class Mixer:
                     self.squares[:, k] += slope * slope
                     self.weights[:, k] += RATE * slope / np.sqrt(self.squares[:, k])
 
-    def log10(self, tokens: list[bytes]) -> np.ndarray:
+    def log10(self, tokens: list[bytes], found: Found | None = None) -> np.ndarray:
         """The log10 probability of each token."""
         contexts = Contexts(tokens)
         total = np.zeros(len(contexts.bytes))
         for bit in range(8):
-            x, gate, ones = self.inputs(contexts, bit, False)
+            x, gate, ones = self.inputs(contexts, bit, False, found)
             p = self.probability(x, gate)
             total += np.log10(np.where(ones == 1, p, 1 - p))
         return np.bincount(contexts.token, total, len(tokens))
@@ -264,33 +377,42 @@ def _token_counts(batches):
 
 
 def _learned(held):
-    def learned(batches):
+    def learned(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        tokens, n = _lot(rows)
         mixer = Mixer(held.value)
-        mass = 0.0
-        for tokens, n in _batches_of(batches, "n"):
-            mixer.learn(tokens, n)
-            mass += float(len(tokens))
+        mass = int((n > 0).sum())
         if mass:
-            yield pa.RecordBatch.from_arrays([pa.array([mixer.weights.tobytes()], pa.binary()), pa.array([mass])], ["weights", "mass"])
+            mixer.learn(tokens[:mass], n[:mass], Found.of(tokens, answers))
+        give_back()
+        return pa.table({"weights": pa.array([mixer.weights.tobytes()] * (mass > 0), pa.binary()), "mass": pa.array([float(mass)] * (mass > 0), pa.float64())})
 
     return learned
 
 
-def train(counts: DataFrame) -> Mixer:
+def answers(dealt: DataFrame, pairs: int) -> DataFrame:
+    """For each lot of ``dealt`` (token, n, lot) rows (lot, share, codes) with the codes of its pairs."""
+    shares = max(1, -(-pairs // SHARE_PAIRS))
+    asked = dealt.groupBy("lot").applyInArrow(_asked(shares), "share bigint, lot bigint, pairs binary, n binary")
+    return table(asked.groupBy("share").applyInArrow(_answered, "lot bigint, share bigint, codes binary"), "context-codes")
+
+
+def train(counts: DataFrame, dealt: DataFrame, answered: DataFrame) -> Mixer:
     """A mixer from rows (token, n) of the training texts, n > 0; its size does not depend on their number."""
     spark = counts.sparkSession
     distinct = counts.count()
     tasks = min(MOST_TASKS, max(1, -(-distinct // TOKENS_A_TASK)))
     # A task's tables have a fixed size, so there are no more tasks than the tokens need.
-    dealt = counts.select("token", "n").coalesce(tasks)
-    blocks = dealt.mapInArrow(tidy(_table_blocks), "block bigint, counts binary").groupBy("block")
+    blocks = counts.select("token", "n").coalesce(tasks).mapInArrow(tidy(_table_blocks), "block bigint, counts binary").groupBy("block")
     codes = np.zeros(_STARTS[-1], np.uint16)
     for row in blocks.applyInArrow(_summed, "block bigint, codes binary").toLocalIterator():  # one slot each, a fixed number
         part = np.frombuffer(row.codes, "<u2")
         start = row.block * BLOCK
         codes[start : start + len(part)] = part[: len(codes) - start]
     mixer = Mixer(codes)
-    found = dealt.mapInArrow(tidy(_learned(spark.sparkContext.broadcast(codes))), "weights binary, mass double").collect()
+    lots = dealt.groupBy("lot").cogroup(answered.groupBy("lot"))
+    found = lots.applyInArrow(_learned(spark.sparkContext.broadcast(codes)), "weights binary, mass double")
+    # A fixed number of rows, however many lots there are.
+    found = found.mapInArrow(tidy(_averaged), "weights binary, mass double").coalesce(MOST_TASKS).mapInArrow(tidy(_averaged), "weights binary, mass double").collect()
     if found:
         found.sort(key=lambda r: bytes(r.weights))
         share = np.array([r.mass for r in found]) / sum(r.mass for r in found)
@@ -298,6 +420,17 @@ def train(counts: DataFrame) -> Mixer:
     return mixer
 
 
+def _averaged(batches):
+    """The mean of a task's weights."""
+    total, mass = np.zeros(GATES * INPUTS), 0.0
+    for batch in batches:
+        for raw, part in zip(batch.column("weights"), batch.column("mass").to_pylist(), strict=True):
+            total += part * np.frombuffer(raw.as_py())
+            mass += part
+    if mass:
+        yield pa.RecordBatch.from_arrays([pa.array([(total / mass).tobytes()], pa.binary()), pa.array([mass])], ["weights", "mass"])
+
+
 def _hashes(tokens: list[bytes]) -> np.ndarray:
     """Of each token what :class:`Words` gives for it; 0 for the end."""
     out = np.zeros(len(tokens), np.uint64)
@@ -307,15 +440,20 @@ def _hashes(tokens: list[bytes]) -> np.ndarray:
 
 
 def _scored(held, total: int):
-    def scored(batches):
+    def scored(rows: pa.Table, answers: pa.Table) -> pa.Table:
         mixer = held.value
-        for tokens, n in _batches_of(batches, "n"):
-            p = 10.0 ** mixer.log10(tokens)
-            if total:
-                p = (1 - WHOLE) * p + WHOLE * n / total
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(_hashes(tokens).view(np.int64)), pa.array(n), pa.array(np.log10(np.maximum(p, 1e-300)))], ["token", "n", "score"]
-            )
+        tokens, n = _lot(rows)
+        found = Found.of(tokens, answers)
+        p, done = np.zeros(len(tokens)), 0
+        for start in range(0, len(tokens), BATCH_TOKENS):
+            part = tokens[start : start + BATCH_TOKENS]
+            size = sum(map(len, part)) + len(part)
+            p[start : start + len(part)] = 10.0 ** mixer.log10(part, found.part(done, done + size))
+            done += size
+        if total:
+            p = (1 - WHOLE) * p + WHOLE * n / total
+        give_back()
+        return pa.table({"token": pa.array(_hashes(tokens).view(np.int64)), "n": pa.array(n), "score": pa.array(np.log10(np.maximum(p, 1e-300)))})
 
     return scored
 
@@ -446,12 +584,18 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", he
     plain = plain.withColumn("held_out", crc_mod("doc_id", held_out[0]) == held_out[1]).withColumn("text", F.coalesce("text", F.lit("")))
     counted = plain.select("text", "held_out").mapInArrow(tidy(_token_counts), "token binary, n bigint, n_all bigint")
     counts = table(counted.groupBy("token").agg(F.sum("n").alias("n"), F.sum("n_all").alias("n_all")), "token-counts")
-    total, distinct, tokens = counts.agg(
-        F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1)), F.coalesce(F.sum("n_all"), F.lit(0))
+    total, distinct, tokens, size = counts.agg(
+        F.coalesce(F.sum("n"), F.lit(0)),
+        F.count(F.when(F.col("n") > 0, 1)),
+        F.coalesce(F.sum("n_all"), F.lit(0)),
+        F.coalesce(F.sum(F.length("token") + 1), F.lit(0)),
     ).first()
-    mixer = train(counts.where("n > 0"))
+    lots = max(1, -(-size // LOT_BYTES))
+    of_lots = counts.select("token", "n", F.pmod(F.xxhash64("token"), F.lit(lots)).alias("lot"))
+    answered = answers(of_lots, size)
+    mixer = train(counts.where("n > 0"), of_lots, answered)
     held = docs.sparkSession.sparkContext.broadcast(mixer)
-    scored = counts.select("token", "n").mapInArrow(tidy(_scored(held, total)), "token bigint, n bigint, score double")
+    scored = of_lots.groupBy("lot").cogroup(answered.groupBy("lot")).applyInArrow(_scored(held, total), "token bigint, n bigint, score double")
     dealt_to = max(1, -(-tokens // CHUNK_TOKENS))
     dealt = plain.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(dealt_to)))
     wanted = dealt.groupBy("chunk").applyInArrow(_distinct, "chunk bigint, token bigint")

@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -181,3 +182,27 @@ def test_labels_of_one_id_and_null_labels(spark, odd_docs):
     labels = spark.createDataFrame([(4, 1), (4, 0), (None, 1), (5, None), (99999, 1)], "doc_id bigint, toxic int")
     sample = ordinal.labelled_sample(odd_docs, labels, F.col("toxic"), 10, id_col="doc_id", text_col="text")
     assert [tuple(x) for x in sample.collect()] == [("one two three", 1)]
+
+
+def test_contexts_keep_their_own_counts():
+    """As many contexts as a table of fixed size cannot hold: none takes over another one's counts, and a new one is unseen."""
+    r = random.Random(7)
+    tokens = sorted({bytes(r.choices(range(97, 123), k=10)) for _ in range(60_000)})
+    n = np.array([1 + i % 5 for i in range(len(tokens))])
+    known, other = tokens[::2], tokens[1::2]
+    lot = pa.table({"token": pa.array(known + other, pa.binary()), "n": np.concatenate([n[::2], np.zeros(len(other), np.int64)]), "lot": pa.repeat(0, len(tokens))})
+    asked = mixing._asked(3)(lot)
+    parts = [mixing._answered(asked.filter(pc.equal(asked["share"], i))) for i in range(3)]
+    ordered, _ = mixing._lot(lot)
+    found = mixing.Found.of(ordered, pa.concat_tables(parts))
+    contexts = mixing.Contexts(ordered)
+    follows: Counter = Counter()
+    for token, times in zip(known, n[::2].tolist(), strict=True):
+        for at, byte in enumerate(token + b" "):
+            follows[token[:at], byte] += times
+    for at in range(0, len(contexts.bytes), 97):
+        token, place = ordered[contexts.token[at]], int(contexts.at[at])
+        code = int(found.codes[7][found.places[-1][at]])
+        byte = int(contexts.bytes[at])
+        expected = [follows[token[:place], byte & ~1 | bit] for bit in (0, 1)]
+        assert code == (int(mixing.coded(np.array(expected))[0]) << 8 | int(mixing.coded(np.array(expected))[1]))
