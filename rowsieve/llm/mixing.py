@@ -11,7 +11,10 @@ that grows with them, so that no context takes another one's counts and a new on
 selects: the longest context seen before, how often, and where in the token. Weights are learned
 online over the training tokens, each predicted as if it had not been counted itself.
 *Refinement.* Half of a token's probability is the mixed one, half its exact share of the training
-tokens, a context that needs no hashing. Within each text both adapt: what followed the last time
+tokens, a context that needs no hashing. The token before is a context too: how often it was followed
+by this token in the training texts is mixed in, with weights by how often the token before was seen
+that are learned in text order; a training text is predicted as if the pair had not been counted there
+itself. Within each text all adapt: what followed the last time
 after the same one or three tokens is predicted with a trust that grows and falls with how often
 that held in this text, and tokens of the text so far are expected again.
 
@@ -22,8 +25,8 @@ Counts and weights are made from it, of each token once however frequent it is;
 is scored once. Tokens are dealt to lots of about ``LOT_BYTES``. A lot asks for its distinct (context,
 byte) pairs, sorted and cut into shares of hashes; a share adds up what all lots have sent it and
 answers each in the order it has asked in. Texts are dealt to chunks of about ``CHUNK_TOKENS``, and
-a chunk meets the scores of its distinct tokens, known by 64 bits of hash, in a cogroup. No table
-that grows with the input is broadcast or collected.
+a chunk meets the scores of its distinct tokens, and the counts of its distinct pairs of tokens, which
+it asks for as lots do, both known by 64 bits of hash, in a cogroup. No table that grows with the input is broadcast or collected.
 
 Defined results: a null or empty text is the end alone; repeated rows and null ids each get their
 row; other columns are not read; without training texts every context is empty, which gives each
@@ -55,13 +58,17 @@ BLOCK = 1 << 16
 TOKENS_A_TASK, MOST_TASKS = 500_000, 64
 #: Distinct tokens that a task counts before it sends counts on, and those handled at once as arrays.
 GATHER_TOKENS, BATCH_TOKENS = 400_000, 20_000
-CHUNK_TOKENS = 5_000_000
+CHUNK_TOKENS = 3_000_000
 TEXT_BYTES = 1 << 20
 RATE, STEP_BYTES = 0.05, 16384
 #: Shares of the exact count in a token's probability, and of the text so far.
 WHOLE, CACHE = 0.5, 0.1
 #: For so many last tokens: trust at first, and how many observations that is worth.
 TRUST = {1: (0.02, 2.0), 3: (0.7, 2.0)}
+#: How often a token must have been seen for its followers to weigh half at first, and observations that this is worth.
+HALF, PAIR_WORTH = 1000.0, 20.0
+#: What stands before a text's first token.
+_OPENS = np.uint64(0xFFFFFFFFFFFFFFFF)
 _BASE = 0x9E3779B97F4A7C15
 _ODD = mixed(np.arange(1, 2 * len(ORDERS) + 1, dtype=np.uint64)) | np.uint64(1)
 _SIZES = [1 << bits for _, bits in ORDERS if bits]
@@ -467,16 +474,83 @@ def _texts_of(rows: pa.Table):
             at += part.num_rows
 
 
-def _distinct(rows: pa.Table) -> pa.Table:
-    known = np.zeros(1, np.uint64)
-    waiting: list[np.ndarray] = []
-    for _, words in _texts_of(rows):
-        waiting.append(np.unique(words.hash))
-        if sum(map(len, waiting)) > CHUNK_TOKENS // 8:
-            known = np.unique(np.concatenate([known, *waiting]))
-            waiting = []
-    known = np.unique(np.concatenate([known, *waiting]))
-    return pa.table({"chunk": pa.repeat(rows.column("chunk")[0], len(known)), "token": pa.array(known.view(np.int64))})
+def _sequence(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each token of some texts, ends included: its text, its hash (0 for the end), and that of it with the token before."""
+    sizes = words.count + 1
+    doc = np.repeat(np.arange(len(sizes)), sizes)
+    ends = np.cumsum(sizes) - 1
+    inside = np.ones(len(doc), bool)
+    inside[ends] = False
+    token = np.zeros(len(doc), np.uint64)
+    token[inside] = words.hash
+    before = np.empty(len(doc), np.uint64)
+    before[1:] = token[:-1]
+    before[ends - sizes + 1] = _OPENS
+    return doc, token, mixed(mixed(before) * _ODD[0] + token)
+
+
+def _requests(shares: int):
+    """The distinct tokens of a chunk, and of its pairs of tokens a row for each share of hashes."""
+
+    def requests(rows: pa.Table) -> pa.Table:
+        learned = ~rows.column("held_out").to_numpy()
+        known, all_pairs, counted = [np.zeros(1, np.uint64)], [], []
+        for which, words in _texts_of(rows):
+            doc, token, pair = _sequence(words)
+            known.append(np.unique(token))
+            all_pairs.append(pair)
+            counted.append(learned[which][doc])
+        tokens = np.unique(np.concatenate(known))
+        pairs, place = np.unique(np.concatenate(all_pairs), return_inverse=True)
+        n = np.bincount(place, np.concatenate(counted), len(pairs)).astype(np.int64)
+        cuts = [0, *np.searchsorted(pairs, _edges(shares)).tolist(), len(pairs)]
+        out = [(i, a, b) for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
+        empty, none = [None] * len(tokens), [None] * len(out)
+        del all_pairs, counted, place
+        give_back()
+        return pa.table(
+            {
+                "chunk": pa.repeat(rows.column("chunk")[0], len(tokens) + len(out)),
+                "token": pa.array([*tokens.view(np.int64).tolist(), *none], pa.int64()),
+                "share": pa.array([*empty, *[i for i, _, _ in out]], pa.int64()),
+                "pairs": pa.array([*empty, *[_packed(np.diff(pairs[a:b], prepend=np.uint64(0))) for _, a, b in out]], pa.binary()),
+                "n": pa.array([*empty, *[_packed(n[a:b]) for _, a, b in out]], pa.binary()),
+            }
+        )
+
+    return requests
+
+
+def _followed(rows: pa.Table) -> pa.Table:
+    """For each chunk how often the pairs it has asked for are in training texts, in its order."""
+    pairs = [np.cumsum(_unpacked(raw, "<u8"), dtype=np.uint64) for raw in rows.column("pairs")]
+    known, place = np.unique(np.concatenate(pairs), return_inverse=True)
+    n = np.bincount(place, np.concatenate([_unpacked(raw, "<i8") for raw in rows.column("n")]), len(known)).astype(np.int64)
+    ends = np.cumsum([len(p) for p in pairs])
+    found = [_packed(n[place[end - len(p) : end]]) for p, end in zip(pairs, ends, strict=True)]
+    give_back()
+    return pa.table({"chunk": rows.column("chunk"), "share": rows.column("share"), "followed": pa.array(found, pa.binary())})
+
+
+def after_token(doc: np.ndarray, score: np.ndarray, seen: np.ndarray, followed: np.ndarray) -> np.ndarray:
+    """log10 probabilities of tokens, given how often the token before was ``seen`` and ``followed`` by this one.
+
+    Each text learns on its own which weight followers deserve, by how often the token before was seen.
+    """
+    p = 10.0**score
+    share = np.minimum(followed / np.maximum(seen, 1), 1.0)
+    weight = seen / (seen + HALF)
+    gate = np.searchsorted(_STEPS, seen, side="right")
+    # How likely it was the followers that gave each token, and the mean of that over earlier ones of the text and gate.
+    told = weight * share / np.maximum(weight * share + (1 - weight) * p, 1e-300)
+    order = np.argsort(doc * (len(_STEPS) + 1) + gate, kind="stable")
+    key = (doc * (len(_STEPS) + 1) + gate)[order]
+    first = np.searchsorted(key, key)
+    total = np.concatenate([[0.0], np.cumsum(told[order])])
+    learned = np.empty(len(doc))
+    learned[order] = (total[:-1] - total[first] + PAIR_WORTH * weight[order]) / (PAIR_WORTH + np.arange(len(doc)) - first)
+    learned = np.where(seen > 0, np.clip(learned, 0.0, 1.0), 0.0)
+    return np.log10(np.maximum((1 - learned) * p + learned * share, 1e-300))
 
 
 def _occurred(doc: np.ndarray, tokens: list[np.ndarray]) -> np.ndarray:
@@ -536,7 +610,14 @@ def adapted(doc: np.ndarray, token: np.ndarray, score: np.ndarray) -> np.ndarray
 
 
 def _document_scores(total: int, distinct: int):
-    def scores(docs: pa.Table, tokens: pa.Table) -> pa.Table:
+    def scores(docs: pa.Table, met: pa.Table) -> pa.Table:
+        asked = met.filter(pc.is_valid(met.column("share"))).sort_by("share")
+        followed = np.concatenate([np.zeros(0, np.int64), *[_unpacked(raw, "<i8") for raw in asked.column("followed")]])
+        pairs = np.unique(np.concatenate([np.unique(_sequence(words)[2]) for _, words in _texts_of(docs)]))
+        if len(pairs) != len(followed):
+            raise ValueError("a chunk has other pairs than it asked for")
+        learned = ~docs.column("held_out").to_numpy()
+        tokens = met.filter(pc.is_null(met.column("share")))
         known = tokens.column("token").to_numpy().view(np.uint64)
         order = np.argsort(known)
         known = known[order]
@@ -550,16 +631,16 @@ def _document_scores(total: int, distinct: int):
         for which, words in _texts_of(docs):
             sizes = words.count + 1
             texts = len(sizes)
-            doc = np.repeat(np.arange(texts), sizes)
-            token = np.full(len(doc), end)
-            ends = np.cumsum(sizes) - 1
-            inside = np.ones(len(doc), bool)
-            inside[ends] = False
-            token[inside] = np.searchsorted(known, words.hash)
+            doc, hashed, pair = _sequence(words)
+            token = np.searchsorted(known, hashed)
+            # Every token is followed by one, and every text's end stands for a beginning.
+            seen = n[np.where(np.concatenate([[True], doc[1:] != doc[:-1]]), end, np.concatenate([[end], token[:-1]]))]
+            own = learned[which][doc].astype(np.int64)
+            after = after_token(doc, of_token[token], seen - own, followed[np.searchsorted(pairs, pair)] - own)
             n_tokens[which] = sizes
             n_known[which] = np.bincount(doc, n[token] > 0, texts)
             base[which] = np.bincount(doc, of_count[token], texts)
-            score[which] = np.bincount(doc, adapted(doc, token, of_token[token]), texts)
+            score[which] = np.bincount(doc, adapted(doc, token, after), texts)
         return pa.table(
             {
                 "doc_id": docs.column("doc_id"),
@@ -598,8 +679,12 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", he
     scored = of_lots.groupBy("lot").cogroup(answered.groupBy("lot")).applyInArrow(_scored(held, total), "token bigint, n bigint, score double")
     dealt_to = max(1, -(-tokens // CHUNK_TOKENS))
     dealt = plain.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(dealt_to)))
-    wanted = dealt.groupBy("chunk").applyInArrow(_distinct, "chunk bigint, token bigint")
-    met = wanted.join(scored, "token").select("chunk", "token", "n", "score")
+    shares = max(1, -(-tokens // SHARE_PAIRS))
+    asked = dealt.groupBy("chunk").applyInArrow(_requests(shares), "chunk bigint, token bigint, share bigint, pairs binary, n binary")
+    asked = table(asked, "token-pairs")
+    followed = asked.where("share is not null").groupBy("share").applyInArrow(_followed, "chunk bigint, share bigint, followed binary")
+    wanted = asked.where("share is null").select("chunk", "token")
+    met = wanted.join(scored, "token").select("chunk", "token", "n", "score").unionByName(followed, allowMissingColumns=True)
     kind = dict(plain.dtypes)["doc_id"]
     schema = f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, n_bytes bigint, base_score double, score double"
     found = dealt.groupBy("chunk").cogroup(met.groupBy("chunk")).applyInArrow(_document_scores(total, distinct), schema)

@@ -206,3 +206,49 @@ def test_contexts_keep_their_own_counts():
         byte = int(contexts.bytes[at])
         expected = [follows[token[:place], byte & ~1 | bit] for bit in (0, 1)]
         assert code == (int(mixing.coded(np.array(expected))[0]) << 8 | int(mixing.coded(np.array(expected))[1]))
+
+
+def test_order_of_words_is_learned_from_training_texts(spark):
+    """The same words in the order of training texts and in another one: no pair of words repeats within a text."""
+    r = random.Random(8)
+    words = [f"w{i}" for i in range(60)]
+    follows = {w: words[(i + 1) % 60] for i, w in enumerate(words)}
+
+    def ordered(start, n=30):
+        out = [start]
+        while len(out) < n:
+            out.append(follows[out[-1]])
+        return out
+
+    docs, pairs = [(i, " ".join(ordered(r.choice(words)))) for i in range(4000) if remainder(i, 7) != 2], {}
+    for i in (i for i in range(4000, 4200) if remainder(i, 7) == 2):
+        text = ordered(r.choice(words))
+        docs.append((i, " ".join(text)))
+        other = next(j for j in range(10_000 + 50 * i, 10**7) if remainder(j, 7) == 2)
+        docs.append((other, " ".join(r.sample(text, len(text)))))
+        pairs[i] = other
+    scores = {x.doc_id: x.score for x in mixing.score(spark.createDataFrame(docs, "doc_id bigint, text string")).where("held_out").collect()}
+    assert len(pairs) > 10 and all(scores[i] > scores[other] + 5 for i, other in pairs.items())
+
+
+def test_followers_are_causal_and_proper():
+    r = np.random.default_rng(9)
+    doc = np.repeat([0, 1, 2], [40, 1, 60])
+    score = np.full(len(doc), math.log10(1 / 6))
+    seen = r.integers(0, 5000, len(doc))
+    share = r.dirichlet(np.ones(6), len(doc))
+    token = r.integers(0, 6, len(doc))
+
+    def of(token):
+        return mixing.after_token(doc, score, seen, seen * share[np.arange(len(doc)), token])
+
+    whole = of(token)
+    for at in (0, 3, 39, 40, 41, 100):
+        total = 0.0
+        for other in range(6):
+            changed = token.copy()
+            changed[at] = other
+            again = of(changed)
+            assert np.allclose(again[:at], whole[:at])
+            total += 10 ** again[at]
+        assert total == pytest.approx(1.0, abs=1e-9)
