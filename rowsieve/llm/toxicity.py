@@ -2,8 +2,11 @@
 
 *Channel.* What is written may be a disguise: letters as digits or signs (``1d10t``), letters apart
 (``i d i o t``, ``i.d.i.o.t``), letters repeated (``idiooot``). Suspicious tokens are found by array
-operations over whole texts, and each becomes a lattice: a sign may stand for its letters, for
-itself or for nothing, a letter of a run of three or more may be left out.
+operations over whole texts: those with a letter and a sign, wherever it stands, with a letter three
+times, and three or more letters or signs apart. Each becomes a lattice: a sign may stand for its
+letters, for itself or for nothing, a letter of a run of three or more may be left out. Three letters
+apart, or some with signs, are put together if that is likelier than that they stand for themselves.
+Exclamation marks at the end are likely to be just that.
 
 *Language model.* Trigrams of characters, counted over all texts that are not held out.
 
@@ -42,11 +45,15 @@ LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "
 APART = " .-_*"
 #: Costs, as natural logarithms of probabilities: a sign for a letter, kept, left out; a repeated letter left out, kept.
 AS_LETTER, AS_ITSELF, LEFT_OUT, ONCE_MORE_OUT, ONCE_MORE = -1.0, -6.0, -12.0, -0.5, -2.0
+#: That of an exclamation mark at the end, kept.
+AT_END = -0.5
 
 _LETTER = np.zeros(256, bool)
 _LETTER[97:123] = _LETTER[128:] = True
 _SIGN = np.zeros(256, bool)
 _SIGN[[ord(c) for c in LEET]] = True
+_PART = _LETTER | _SIGN
+_PART[48:58] = True
 _APART = np.zeros(256, bool)
 _APART[[ord(c) for c in APART]] = True
 #: Symbols of the language model: 0 for whatever ends a word, then the letters, then bytes beyond ASCII.
@@ -59,42 +66,32 @@ _SYMBOL[128:] = 27 + np.arange(128) % 37
 def suspicious(text: bytes) -> list[tuple[int, int]]:
     """Spans of a lower-case text that may be disguised words, in order and apart."""
     raw = np.frombuffer(text, np.uint8)
-    if len(raw) < 3:
+    if len(raw) < 2:
         return []
-    letter = _LETTER[raw]
-    found = []
-    sign = _SIGN[raw]
-    if sign.any():
-        edges = np.flatnonzero(np.diff(sign.astype(np.int8), prepend=0, append=0))
-        start, end = edges[::2], edges[1::2]
-        digit = (raw >= 48) & (raw <= 57)
-        before, after = letter[start - 1] & (start > 0), letter[np.minimum(end, len(raw) - 1)] & (end < len(raw))
-        opens = (start == 0) | ~(letter | digit)[start - 1]
-        found.append(start[after & (before | (opens & (end - start <= 2)))])
-    same = (raw[2:] == raw[1:-1]) & (raw[1:-1] == raw[:-2]) & letter[2:] & (raw[2:] < 128)
-    found.append(np.flatnonzero(same))
-    alone = letter.copy()
-    alone[1:] &= ~letter[:-1]
-    alone[:-1] &= ~letter[1:]
-    alone &= raw < 128
-    spaced = alone[:-2] & alone[2:] & _APART[raw[1:-1]]
-    if len(spaced) > 4:
-        found.append(np.flatnonzero(spaced[:-4] & spaced[2:-2] & spaced[4:]))
-    spans: list[tuple[int, int]] = []
-    part = letter | sign
-    for at in np.sort(np.concatenate(found)).tolist():
-        if spans and at < spans[-1][1]:
-            continue
-        start = end = at
-        while end < len(raw) and (part[end] or (_APART[raw[end]] and alone[end - 1] and end + 1 < len(raw) and alone[end + 1])):
-            end += 1
-        while start > 0 and part[start - 1]:
-            start -= 1
-        while end > at and sign[end - 1] and not 48 <= raw[end - 1] <= 57:  # signs after a word are punctuation
-            end -= 1
-        if end - start >= 3:
-            spans.append((start, end))
-    return spans
+    edges = np.flatnonzero(np.diff(_PART[raw].astype(np.int8), prepend=0, append=0))
+    start, end = edges[::2], edges[1::2]
+
+    def has(flags: np.ndarray) -> np.ndarray:
+        total = np.concatenate([[0], np.cumsum(flags)])
+        return total[end] > total[start]
+
+    letters, signs = has(_LETTER[raw]), has(_SIGN[raw])
+    same = np.zeros(len(raw), bool)
+    same[2:] = (raw[2:] == raw[1:-1]) & (raw[1:-1] == raw[:-2]) & _LETTER[raw[2:]] & (raw[2:] < 128)
+    found = letters & signs | has(same)
+    spans = np.stack([start[found], end[found]], axis=1)
+    # Single letters or signs with one byte between: chains of three or more, one of them a letter at least.
+    single = (end - start == 1) & (letters | signs)
+    single[single] &= raw[start[single]] < 128
+    linked = single[:-1] & single[1:] & (start[1:] - end[:-1] == 1) & _APART[raw[np.minimum(end[:-1], len(raw) - 1)]]
+    if linked.any():
+        edges = np.flatnonzero(np.diff(linked.astype(np.int8), prepend=0, append=0))
+        first, last = edges[::2], edges[1::2]
+        total = np.concatenate([[0], np.cumsum(letters)])
+        kept = (last - first >= 2) & (total[last + 1] > total[first])
+        spans = np.concatenate([spans, np.stack([start[first[kept]], end[last[kept]]], axis=1)])
+        spans = spans[np.argsort(spans[:, 0], kind="stable")]
+    return [(a, b) for a, b in spans.tolist()]
 
 
 class Decoder:
@@ -129,7 +126,7 @@ class Decoder:
             if i == len(token) or token[i] != token[start]:
                 runs[start:i] = [i - start] * (i - start)
                 start = i
-        spaced = len(token) >= 7 and all(_APART[b] for b in token[1::2])
+        ends = len(token.rstrip(b"!"))
         # Of each pair of last symbols the best cost and the way there: (way before, byte).
         best: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
         for i, byte in enumerate(token):
@@ -139,11 +136,11 @@ class Decoder:
             for (x, y), (cost, way) in best.items():
                 options: list[tuple[float, int | None]] = []
                 if letters:
-                    options = [(AS_LETTER, ord(c)) for c in letters] + [(AS_ITSELF, byte)]
+                    options = [(AS_LETTER, ord(c)) for c in letters] + [(AT_END if i >= ends else AS_ITSELF, byte)]
                     if 0 < i < len(token) - 1:
                         options.append((LEFT_OUT, None))
                 elif _APART[byte]:
-                    options = [(0.0, None)] if spaced else [(AS_ITSELF, None), (0.0, byte)]
+                    options = [(0.0, None)]
                 elif follows:
                     options = [(ONCE_MORE, byte), (ONCE_MORE_OUT, None)]
                 else:
@@ -153,11 +150,20 @@ class Decoder:
                         key, total, to = (x, y), cost + extra, way
                     else:
                         z = int(_SYMBOL[out])
-                        key, total, to = (y, z), cost + extra + self.trigrams[x, y, z], (way, out)
+                        # Digits behind digits and exclamation marks at the end do not end a word again.
+                        again = not (y or z) and i and (i > ends or 48 <= token[i - 1] <= 57 and 48 <= byte <= 57)
+                        seen = 0.0 if again else self.trigrams[x, y, z]
+                        key, total, to = (y if z else 0, z), cost + extra + seen, (way, out)
                     if key not in now or total > now[key][0]:
                         now[key] = (total, to)
             best = now
-        _, way = max(((cost + self.trigrams[x, y, 0], way) for (x, y), (cost, way) in best.items()), key=lambda e: e[0])
+        over = ends < len(token)
+        most, way = max(((cost + (0.0 if over and not y else self.trigrams[x, y, 0]), way) for (x, y), (cost, way) in best.items()), key=lambda e: e[0])
+        if any(_APART[b] for b in token):
+            letters = [int(_SYMBOL[b]) for b in token[::2] if _LETTER[b]]
+            if len(letters) < 4 or 2 * len(letters) < len(token):
+                if sum(self.trigrams[0, 0, z] + self.trigrams[0, z, 0] for z in letters) >= most:
+                    return token
         out = bytearray()
         while way is not None:
             way, byte = way

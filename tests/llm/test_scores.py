@@ -252,3 +252,20 @@ def test_followers_are_causal_and_proper():
             assert np.allclose(again[:at], whole[:at])
             total += 10 ** again[at]
         assert total == pytest.approx(1.0, abs=1e-9)
+
+
+def test_disguises_at_ends_and_short_ones_are_restored():
+    """Signs at a word's end, several in front, and three letters or signs apart; what is no disguise stays."""
+    plain = "i have a dog and the shit that an asshole and an ass of an idiot told you is on the hand of a man. so what was that to him"
+    n = np.zeros(toxicity.SYMBOLS**3)
+    for block in toxicity._counts([pa.RecordBatch.from_arrays([pa.array([plain] * 50)], ["text"])]):
+        n[block.column(0).to_numpy()] = block.column(1).to_numpy()
+    n = n.reshape([toxicity.SYMBOLS] * 3)
+    decoder = toxicity.Decoder(np.log((n + 0.01) / (n.sum(axis=2, keepdims=True) + 0.64)).astype(np.float32).ravel())
+    for written, meant in (
+        (b"idio7", b"idiot"), (b"a55", b"ass"), (b"a$$", b"ass"), (b"an a$$!", b"an ass!"), (b"a$$!!", b"ass!!"), (b"455hole", b"asshole"), (b"$h1+", b"shit"),
+        (b"a s s", b"ass"), (b"i d 1 0 t", b"idiot"), (b"1 d i o t", b"idiot"), (b"the idio7!!", b"the idiot!!"),
+    ):
+        assert decoder.text(written) == meant
+    for kept in (b"on the 3 and 25 hand.", b"ha!!! ***", b"a dog!", b"25 of 100 and 3", b"a b"):
+        assert decoder.text(kept) == kept
