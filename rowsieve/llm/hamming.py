@@ -1,6 +1,7 @@
 """Exact top-k search in binary codes by incremental multi-index hashing.
 
-A code of 64 bits is cut into segments, and the index has a row for each segment's value. Two codes
+A code has a bit for each dimension of the longest vector, in words of 64 bits, where what a vector
+does not have is not positive. It is cut into segments, and the index has a row for each segment's value. Two codes
 within distance ``m * (r + 1) - 1`` differ in at most r bits in one of the m segments, so probing
 each segment with all values within radius r finds every such code. The radius grows from 0; found
 codes are verified by their whole distance, and a query is done as soon as its k-th distance is below
@@ -18,6 +19,8 @@ give fewer results; without rows there are none. Other columns are not read.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -29,19 +32,41 @@ SEGMENT = 16
 K = 10
 
 
-def sign_code(vector: Column, bits: int = BITS) -> Column:
-    """One bit for each of the first ``bits`` dimensions: whether it is positive; null if any is missing."""
+def _words(*vectors: DataFrame) -> int:
+    """How many words hold a bit for each dimension of the longest ``vector`` of these frames."""
+    sizes = [df.agg(F.max(F.size("vector"))).first()[0] for df in vectors]
+    return max(1, *[-(-(size or 0) // BITS) for size in sizes])
+
+
+def sign_code(vector: Column, words: int = 1) -> Column:
+    """A word, or an array of several, with one bit for each dimension: whether it is positive; null if any is missing."""
     known = F.filter(vector, lambda x: x.isNotNull() & ~F.isnan(x))
-    code = F.aggregate(
-        F.slice(vector, 1, bits), F.lit(0).cast("bigint"), lambda a, x: F.shiftleft(a, 1).bitwiseOR((x > 0).cast("bigint"))
-    )
-    return F.when(F.size(known) == F.size(vector), code)
+
+    def word(i: int) -> Column:
+        part = F.slice(vector, BITS * i + 1, BITS)
+        code = F.aggregate(part, F.lit(0).cast("bigint"), lambda a, x: F.shiftleft(a, 1).bitwiseOR((x > 0).cast("bigint")))
+        # A shorter part has its bits where those of a longer one are; without any there is nothing to move.
+        return F.when(F.size(part) == 0, F.lit(0).cast("bigint")).otherwise(F.call_function("shiftleft", code, F.lit(BITS) - F.size(part)))
+
+    return F.when(F.size(known) == F.size(vector), word(0) if words == 1 else F.array(*[word(i) for i in range(words)]))
+
+
+def _word(code: Column, i: int, words: int) -> Column:
+    return code if words == 1 else code[i]
+
+
+def _distance(one: Column, other: Column, words: int) -> Column:
+    bits = [F.bit_count(_word(one, i, words).bitwiseXOR(_word(other, i, words))) for i in range(words)]
+    return functools.reduce(lambda a, b: a + b, bits).cast("int")
 
 
-def _segments(code: Column, segment: int) -> Column:
-    parts = BITS // segment
+def _segments(code: Column, segment: int, words: int) -> Column:
     mask = (1 << segment) - 1
-    values = [F.shiftrightunsigned(code, segment * i).bitwiseAND(F.lit(mask)).cast("int") for i in range(parts)]
+    values = [
+        F.shiftrightunsigned(_word(code, word, words), segment * i).bitwiseAND(F.lit(mask)).cast("int")
+        for word in range(words)
+        for i in range(BITS // segment)
+    ]
     return F.posexplode(F.array(*values)).alias("segment", "value")
 
 
@@ -70,8 +95,9 @@ def search(
     """
     if BITS % segment:
         raise ValueError("segments must cut the code evenly")
-    parts = BITS // segment
-    codes = rows.select(column(rows, id_col).alias("id"), sign_code(column(rows, vector_col)).alias("code")).where(
+    words = _words(rows.select(column(rows, vector_col).alias("vector")), queries.select(column(queries, vector_col).alias("vector")))
+    parts = words * (BITS // segment)
+    codes = rows.select(column(rows, id_col).alias("id"), sign_code(column(rows, vector_col), words).alias("code")).where(
         "id is not null and code is not null"
     )
     smallest = W.partitionBy("code").orderBy("id")
@@ -81,18 +107,19 @@ def search(
         ),
         "hamming-codes",
     )
-    index = table(members.select("code", _segments(F.col("code"), segment)).repartition("segment", "value"), "hamming-index")
-    asked = queries.select(column(queries, id_col).alias("query_id"), sign_code(column(queries, vector_col)).alias("query_code"))
+    index = table(members.select("code", _segments(F.col("code"), segment, words)).repartition("segment", "value"), "hamming-index")
+    asked = queries.select(column(queries, id_col).alias("query_id"), sign_code(column(queries, vector_col), words).alias("query_code"))
     asked = table(asked.where("query_id is not null and query_code is not null"), "hamming-queries")
     open_ = asked.select("query_code").distinct()
     best = None
     done: list[DataFrame] = []
     for radius in range(segment + 1):
-        probes = open_.select("query_code", _segments(F.col("query_code"), segment))
+        probes = open_.select("query_code", _segments(F.col("query_code"), segment, words))
         probes = probes.select("query_code", "segment", "value", F.explode(_patterns(segment, radius)).alias("pattern"))
         probes = probes.select("query_code", "segment", F.col("value").bitwiseXOR(F.col("pattern")).alias("value"))
-        hits = probes.join(index, ["segment", "value"]).select("query_code", "code").distinct()
-        distance = F.bit_count(F.col("query_code").bitwiseXOR(F.col("code"))).cast("int")
+        # Probes are too large to be sent everywhere, which their estimated size does not show.
+        hits = probes.join(index.hint("merge"), ["segment", "value"]).select("query_code", "code").distinct()
+        distance = _distance(F.col("query_code"), F.col("code"), words)
         near = hits.select("query_code", "code", distance.alias("distance"))
         if best is not None:
             near = near.unionByName(best)

@@ -210,3 +210,19 @@ def test_hamming_search(spark):
     assert hamming.search(few, few).count() == 16
     assert hamming.search(df.limit(0), queries).count() == 0
     assert not re.search("Cartesian|NestedLoop", plan_of(found))
+
+
+def test_hamming_search_in_wide_vectors(spark):
+    """Vectors that are the same in their first 64 dimensions, and shorter ones."""
+    r = random.Random(10)
+    head = [r.gauss(0, 1) for _ in range(64)]
+    centre = [r.gauss(0, 1) for _ in range(36)]
+    rows = [(i, head + [x + r.gauss(0, 0.3) for x in centre]) for i in range(80)] + [(80, head), (81, head[:40]), (82, [])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    codes = {i: sum((x > 0) << (127 - b) for b, x in enumerate(v)) for i, v in rows}
+    expected = Counter()
+    for q in (0, 20, 40, 60):
+        ranked = sorted(((codes[q] ^ c).bit_count(), i) for i, c in codes.items())[:5]
+        expected.update((q, n + 1, i, d) for n, (d, i) in enumerate(ranked))
+    found = hamming.search(df, df.where("vec_id % 20 = 0 and vec_id < 80"), k=5).collect()
+    assert Counter((x.query_id, x["rank"], x.id, x.distance) for x in found) == expected
