@@ -18,14 +18,16 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, grade, rows: int, *, id_
     """Columns text and grade of at most ``rows`` labels, those whose ids hash smallest.
 
     ``grade`` is a column of ``labels``; rows where it or the id is null are not labels. An id that is labelled
-    several times counts once, with its largest grade.
+    several times counts once, with its largest grade; of the texts of an id the one whose hash is smallest counts.
     """
     graded = labels.select(column(labels, id_col).alias("key"), grade.cast("int").alias("grade")).where(
         "key is not null and grade is not null"
     )
     graded = graded.groupBy("key").agg(F.max("grade").alias("grade")).orderBy(F.xxhash64("key"), "key").limit(rows)
     texts = docs.select(column(docs, id_col).alias("key"), column(docs, text_col).cast("string").alias("text"))
-    return texts.join(F.broadcast(graded), "key").select("text", "grade")
+    found = texts.join(F.broadcast(graded), "key").groupBy("key")
+    one = F.min(F.struct(F.xxhash64("text").alias("hash"), F.col("text").alias("text")))
+    return found.agg(one.alias("one"), F.max("grade").alias("grade")).select("one.text", "grade")
 
 
 class Sparse:

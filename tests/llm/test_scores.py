@@ -269,3 +269,12 @@ def test_disguises_at_ends_and_short_ones_are_restored():
         assert decoder.text(written) == meant
     for kept in (b"on the 3 and 25 hand.", b"ha!!! ***", b"a dog!", b"25 of 100 and 3", b"a b"):
         assert decoder.text(kept) == kept
+
+
+def test_sample_has_a_row_for_each_label(spark):
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(300)] + [(1, None), (2, "other"), (2, "other"), (3, None)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(1, 0), (2, 1), (3, 1)], "doc_id bigint, toxic int")
+    sample = [tuple(x) for x in ordinal.labelled_sample(docs.repartition(7), labels, F.col("toxic"), 3, id_col="doc_id", text_col="text").collect()]
+    assert Counter(g for _, g in sample) == {0: 1, 1: 2} and {t for t, g in sample if g} == {"other", None}
+    again = [tuple(x) for x in ordinal.labelled_sample(docs.coalesce(1), labels, F.col("toxic"), 3, id_col="doc_id", text_col="text").collect()]
+    assert Counter(again) == Counter(sample)
