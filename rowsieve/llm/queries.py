@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowsieve.llm import chat, decontaminate, hamming, licenses, mixing, neardup, packing, quality, substrings, toxicity
+from rowsieve.llm import (
+    chat,
+    decontaminate,
+    hamming,
+    licenses,
+    mixing,
+    neardup,
+    negatives,
+    packing,
+    quality,
+    secrets,
+    substrings,
+    toxicity,
+    trie,
+)
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,6 +83,23 @@ def op10_hamming_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hamming.search(rows, rows.where(F.col("vec_id") % 50 == 0))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = F.col("conv")
+    head = F.crc32(conv.cast("string").cast("binary")) % 4
+    return trie.trie(read(spark, sf_dir, "conversations"), base=conv - conv % 20, head=head)
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("bigint")
+    rows = read(spark, sf_dir, "embeddings")
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label))
+    return negatives.mine(rows, F.col("id") % 100 == 0)
+
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(secrets.scan(read(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_substring_dedup": op2_substring_dedup,
@@ -80,4 +111,7 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_hamming_search": op10_hamming_search,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_secret_scan": op13_secret_scan,
 }
