@@ -217,13 +217,21 @@ def _cells(anchors: DataFrame, rows: DataFrame, work: Callable, of: list[str], a
         return work(some, others) if some.num_rows and others.num_rows else nothing
 
     schema = "key struct<id: bigint, label: bigint, planes: binary>, " + ", ".join(f"{name} bigint" for name in numbers)
+
+    def block(n: int, *of) -> Column:
+        # As an int on both sides: numbers of different types are dealt differently.
+        return F.pmod(F.xxhash64(*of), F.lit(n)).cast("int")
+
     places = F.explode(F.sequence(F.lit(0), F.lit(down - 1))).alias("down")
-    left = anchors.select("*", F.pmod(F.xxhash64(F.lit(1), "key"), F.lit(across)).alias("across"), places)
+    left = anchors.select("*", block(across, F.lit(1), "key").alias("across"), places)
     places = F.explode(F.sequence(F.lit(0), F.lit(across - 1))).alias("across")
     # Columns of their own on the right, as both sides come from the same table.
     own = [F.col(c).alias(c) for c in rows.columns]
-    right = rows.select(*own, F.pmod(F.xxhash64(F.lit(2), "id", "label", "planes"), F.lit(down)).alias("down"), places)
-    return left.groupBy("across", "down").cogroup(right.groupBy("across", "down")).applyInArrow(in_cell, schema)
+    right = rows.select(*own, block(down, F.lit(2), "id", "label", "planes").alias("down"), places)
+    # A cell is much work for few bytes, so tasks are not merged by size.
+    tasks = min(across * down, shuffle_partitions(rows.sparkSession))
+    left, right = (side.repartition(tasks, "across", "down").groupBy("across", "down") for side in (left, right))
+    return left.cogroup(right).applyInArrow(in_cell, schema)
 
 
 def _leading(found: DataFrame, by: list[str], k: int) -> DataFrame:
