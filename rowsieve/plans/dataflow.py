@@ -26,6 +26,7 @@ from rowsieve.sinks.tables import (
     write_noop,
     write_path,
 )
+from rowsieve.sources.evolving import Evolving, all_files, new_files
 from rowsieve.sources.files import (
     Schema,
     as_schema,
@@ -208,6 +209,20 @@ def _source_schema(spark: SparkSession, source: Source, options: RunOptions) ->
     return infer_schema(spark, source.path, fmt=source.fmt, options=source.options), True
 
 
+def _evolving(spark: SparkSession, source: Source, options: RunOptions) -> Evolving | None:
+    """The source as one whose columns may change, where no schema is declared; JSON is rescued instead."""
+    if source.fmt == "json" or source.rescue or source.schema is not None or source.name in options.schemas:
+        return None
+    place = f"{options.checkpoint.rstrip('/')}/schemas/{source.name}" if options.execution == "stream" else None
+    return Evolving(spark, source.path, fmt=source.fmt, options=source.options, place=place)
+
+
+def _timed(frame: DataFrame, options: RunOptions, at: datetime | None) -> DataFrame:
+    if options.processing_time is None:
+        return frame
+    return add_processing_time(frame, as_type=options.processing_time, at=at)
+
+
 def _read(spark: SparkSession, source: Source, options: RunOptions, *, stream: bool) -> DataFrame:
     schema, inferred = _source_schema(spark, source, options)
     # What later files hold beyond a kept schema must not be lost.
@@ -220,11 +235,8 @@ def _read(spark: SparkSession, source: Source, options: RunOptions, *, stream: b
     else:
         reader = file_stream if stream else read_files
         frame = reader(spark, source.path, schema, fmt=source.fmt, options=source.options)
-    if options.processing_time is not None:
-        # A micro-batch has a time of its own; the queries of a batch run share this one.
-        at = None if stream else datetime.now(timezone.utc)
-        frame = add_processing_time(frame, as_type=options.processing_time, at=at)
-    return frame
+    # A micro-batch has a time of its own; the queries of a batch run share this one.
+    return _timed(frame, options, None if stream else datetime.now(timezone.utc))
 
 
 def _fed_by(flow: Dataflow, source: Source) -> tuple[list[Sink], list[Summary]]:
@@ -301,7 +313,13 @@ def _load_source(
     """Load everything below one source; give the schema of each sink."""
     sinks, summaries = _fed_by(flow, source)
     stream = options.execution == "stream"
-    frame = _read(spark, source, options, stream=stream)
+    evolving = _evolving(spark, source, options)
+    if evolving is None:
+        frame = _read(spark, source, options, stream=stream)
+    else:
+        # Of files that came before the first run all count at once; after that, those of each batch.
+        rows = evolving.read([] if evolving.known else all_files(spark, source.path, source.options))
+        frame = _timed(rows if not stream else rows.limit(0), options, datetime.now(timezone.utc))
     # Binding checks every rule against the schema, before any data moves.
     shape = _Bound(flow, source, frame, options, sinks)
     schemas = {sink.name: shape.frames[sink.input].schema for sink in sinks}
@@ -318,14 +336,21 @@ def _load_source(
     started, before = path_exists(spark, f"{checkpoint}/commits"), len(report.loads)
 
     def each_batch(batch: DataFrame, query_id: str, batch_id: int) -> None:
+        if evolving is not None:
+            files = [(row.path, row["at"]) for row in batch.toLocalIterator()]
+            rows = evolving.read([path for path, _ in files])
+            # The time of the batch, which it keeps when it is repeated.
+            batch = _timed(rows, options, files[0][1].astimezone(timezone.utc) if files else datetime.now(timezone.utc))
         rows = _staged(batch, staging) if stage else batch
         bound = _Bound(flow, source, rows, options, sinks)
+        schemas.update({sink.name: bound.frames[sink.input].schema for sink in sinks})
         _write_all(flow, bound, sinks, summaries, _Target(query_id, batch_id))
         bound.add_counts(report)
         report.loads.append(f"{query_id}-{batch_id}")
 
+    arriving = frame if evolving is None else new_files(spark, source.path, source.options)
     try:
-        drain(frame, checkpoint, each_batch)
+        drain(arriving, checkpoint, each_batch)
     finally:
         if stage:
             _remove(spark, staging)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Mapping, Sequence
 
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from rowsieve.names import quote_name, quote_part, quote_text
-from rowsieve.operators.enrich import align, same_name
+from rowsieve.operators.enrich import align, joined_schema, same_name
 from rowsieve.sources.files import as_schema
 
 DEFAULT_FORMAT = "parquet"
@@ -23,25 +24,76 @@ def overwrite_table(
     """Replace a catalog table by ``df``; if that fails, the old table stays as it was.
 
     The rows are written beside the table, which may itself be among what ``df`` reads, and take
-    its name when they are complete. Formats with a log of their own replace it atomically.
+    its name when they are complete, with its partitioning, clustering, properties and comment. The old table is
+    renamed first and dropped last, so a run that ends in between loses neither: the next one finds the old table
+    by the name it has then. Formats with a log of their own replace it atomically.
     """
     spark = df.sparkSession
-    if fmt in TRANSACTIONAL or not spark.catalog.tableExists(table):
+    if fmt in TRANSACTIONAL or not (spark.catalog.tableExists(table) or _restored(spark, table)):
         df.write.format(fmt).mode("overwrite").saveAsTable(table)
     else:
-        *namespace, name = table.split(".")
-        beside = ".".join([*namespace, f"{name}_{uuid.uuid4().hex}"])
+        beside, before = (_beside(table, kind) for kind in ("new", "old"))
+        spark.sql(f"DROP TABLE IF EXISTS {quote_name(before)}")
+        layout = _layout(spark, table)
         try:
-            df.write.format(fmt).mode("error").saveAsTable(beside)
+            _write_like(df, beside, fmt, layout)
         except Exception:
             spark.sql(f"DROP TABLE IF EXISTS {quote_name(beside)}")
             raise
-        spark.sql(f"DROP TABLE {quote_name(table)}")
+        # At each moment one of the two has the table's name or is known by the name it has beside it.
+        spark.sql(f"ALTER TABLE {quote_name(table)} RENAME TO {quote_name(before)}")
         spark.sql(f"ALTER TABLE {quote_name(beside)} RENAME TO {quote_name(table)}")
+        spark.sql(f"DROP TABLE {quote_name(before)}")
     if comment is not None:
         set_comment(spark, table, comment)
 
 
+def _beside(table: str, kind: str) -> str:
+    *namespace, name = table.split(".")
+    return ".".join([*namespace, f"{name}__{kind}" if kind == "old" else f"{name}_{uuid.uuid4().hex}"])
+
+
+def _restored(spark: SparkSession, table: str) -> bool:
+    """Whether the table got its name back, where a run ended between the two renames."""
+    before = _beside(table, "old")
+    if not spark.catalog.tableExists(before):
+        return False
+    spark.sql(f"ALTER TABLE {quote_name(before)} RENAME TO {quote_name(table)}")
+    return True
+
+
+def _layout(spark: SparkSession, table: str) -> dict:
+    """Partition columns, clustering columns, properties and comment of a table."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {quote_name(table)}").collect()
+    facts = {row.col_name: row.data_type for row in rows}
+    kept = {row.key: row.value for row in spark.sql(f"SHOW TBLPROPERTIES {quote_name(table)}").collect()}
+    internal = ("transient_lastDdlTime", "clusteringColumns", "comment")
+    columns = spark.catalog.listColumns(table)
+    clustering = json.loads(kept.get("clusteringColumns", "[]"))
+    return {
+        "partitions": [c.name for c in columns if c.isPartition],
+        "clustering": [".".join(parts) for parts in clustering],
+        "properties": {k: v for k, v in kept.items() if k not in internal and not k.startswith(("spark.sql.", "option."))},
+        "comment": facts.get("Comment"),
+    }
+
+
+def _write_like(df: DataFrame, table: str, fmt: str, layout: dict) -> None:
+    spark = df.sparkSession
+    same = same_name(spark)
+    present = {same(name) for name in df.columns}
+    writer = df.write.format(fmt).mode("error")
+    for by, columns in ((writer.partitionBy, layout["partitions"]), (writer.clusterBy, layout["clustering"])):
+        if columns and all(same(name) in present for name in columns):
+            writer = by(*columns)
+    writer.saveAsTable(table)
+    if layout["properties"]:
+        pairs = ", ".join(f"{quote_text(k)} = {quote_text(v)}" for k, v in layout["properties"].items())
+        spark.sql(f"ALTER TABLE {quote_name(table)} SET TBLPROPERTIES ({pairs})")
+    if layout["comment"]:
+        set_comment(spark, table, layout["comment"])
+
+
 def set_comment(spark: SparkSession, table: str, comment: str) -> None:
     spark.sql(f"COMMENT ON TABLE {quote_name(table)} IS {quote_text(comment)}")
 
@@ -51,9 +103,9 @@ def append_table(
 ) -> None:
     """Append ``df`` to a catalog table, creating it when it is missing.
 
-    With ``merge_schema`` new columns widen the table first (older rows read NULL there) and
-    columns ``df`` lacks are written as NULL. Columns are matched by name, as the session compares
-    names; a type that does not widen to the table's is an error.
+    With ``merge_schema`` new columns, new fields of nested values and wider types widen the table first
+    (older rows read NULL in what is new) and what ``df`` lacks is written as NULL. Names match as the
+    session compares them; a type without a common one with the table's is an error.
     """
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
@@ -70,16 +122,35 @@ def append_table(
 
 
 def add_columns(spark: SparkSession, table: str, schema: T.StructType) -> None:
-    """Give a table the columns of ``schema`` that it lacks; its rows read NULL there."""
+    """Widen a table to ``schema``: columns and nested fields that it lacks, and wider types.
+
+    Rows that are there read NULL in what is new. Files stay as they are, as readers widen their values.
+    A type without a common one is an error before anything is changed.
+    """
     same = same_name(spark)
-    known = {same(name) for name in spark.table(table).schema.names}
-    new = [field for field in schema.fields if same(field.name) not in known]
+    partitions = {same(c.name) for c in spark.catalog.listColumns(table) if c.isPartition}
+    known = T.StructType([f for f in spark.table(table).schema.fields if same(f.name) not in partitions])
+    arriving = T.StructType([f for f in schema.fields if same(f.name) not in partitions])
+    wanted = joined_schema(known, arriving, same)
+    new = wanted.fields[len(known.fields) :]
+    changed = [b for a, b in zip(known.fields, wanted.fields) if a.dataType != b.dataType]
     if new:
         columns = ", ".join(f"{quote_part(field.name)} {field.dataType.simpleString()}" for field in new)
         spark.sql(f"ALTER TABLE {quote_name(table)} ADD COLUMNS ({columns})")
+    if changed:
+        _change_types(spark, table, wanted)
+    if new or changed:
         spark.catalog.refreshTable(table)
 
 
+def _change_types(spark: SparkSession, table: str, schema: T.StructType) -> None:
+    """Set the types of a table's columns; SQL has a statement for it, but not for tables of plain files."""
+    session = spark._jsparkSession
+    name = session.sessionState().sqlParser().parseTableIdentifier(quote_name(table))
+    types = spark._jvm.org.apache.spark.sql.types.DataType.fromJson(schema.json())
+    session.sessionState().catalog().alterTableDataSchema(name, types)
+
+
 def append_path(df: DataFrame, path: str, *, fmt: str = DEFAULT_FORMAT) -> None:
     """Append to a directory; files of different schemas may live side by side there."""
     df.write.format(fmt).mode("append").save(path)

@@ -5,7 +5,8 @@ from __future__ import annotations
 import json
 import posixpath
 import re
-from collections.abc import Mapping
+import uuid
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,17 +78,57 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
 
 def infer_schema(
     spark: SparkSession,
-    path: str,
+    path: str | Sequence[str],
     *,
     fmt: str = "json",
     options: Mapping[str, object] | None = None,
 ) -> T.StructType:
     """The schema Spark infers from all files, to be passed on as a fixed schema.
 
-    JSON and CSV inference reads its files in full, once. For a large directory declare the
-    schema, or keep an inferred one (:func:`kept_schema`).
+    JSON and CSV inference reads its files in full, once; Parquet and ORC read the footers of all files, which
+    may have different columns. For a large directory declare the schema, or keep an inferred one
+    (:class:`SchemaLog`).
     """
-    return spark.read.format(fmt.lower()).options(**(options or {})).load(normalise_path(path)).schema
+    settings = {**_MERGING.get(fmt.lower(), {}), **(options or {})}
+    place = normalise_path(path) if isinstance(path, str) else list(path)
+    return spark.read.format(fmt.lower()).options(**settings).load(place).schema
+
+
+#: Formats whose files have their schemas in them: all files count, not the one that Spark happens to open.
+_MERGING = {"parquet": {"mergeSchema": "true"}, "orc": {"mergeSchema": "true"}}
+
+
+class SchemaLog:
+    """Versions of a schema at a place that only grows: ``v1.json``, ``v2.json`` and so on.
+
+    A version appears with its whole text or not at all, so a run that ends while it writes one costs nothing.
+    """
+
+    def __init__(self, spark: SparkSession, place: str):
+        self._spark, self._place = spark, place.rstrip("/")
+
+    def _numbers(self) -> list[int]:
+        found = (re.fullmatch(r"v(\d+)\.json", name) for name in names_at(self._spark, self._place))
+        return sorted(int(match[1]) for match in found if match)
+
+    def versions(self) -> list[T.StructType]:
+        texts = (read_text(self._spark, f"{self._place}/v{number}.json") for number in self._numbers())
+        return [T.StructType.fromJson(json.loads(text)) for text in texts]
+
+    def current(self) -> T.StructType | None:
+        """The latest version; where there is none, a schema that an earlier release kept there."""
+        numbers = self._numbers()
+        if numbers:
+            return T.StructType.fromJson(json.loads(read_text(self._spark, f"{self._place}/v{numbers[-1]}.json")))
+        if not path_exists(self._spark, f"{self._place}/_SUCCESS"):
+            return None
+        row = self._spark.read.text(self._place, wholetext=True).first()
+        return None if row is None else T.StructType.fromJson(json.loads(row[0]))
+
+    def add(self, schema: T.StructType) -> T.StructType:
+        number = (self._numbers() or [0])[-1] + 1
+        write_text(self._spark, f"{self._place}/v{number}.json", schema.json())
+        return schema
 
 
 def kept_schema(
@@ -98,21 +139,55 @@ def kept_schema(
     fmt: str = "json",
     options: Mapping[str, object] | None = None,
 ) -> T.StructType:
-    """The schema stored at ``place``; at first it is inferred from ``path`` and stored there.
+    """The schema logged at ``place``; at first it is inferred from ``path`` and logged there.
 
     Later runs read new files only, and types do not drift between them. What differs is for the
-    rescue column to keep; to change the schema, declare one or remove ``place``.
+    rescue column to keep, or for a later version (:mod:`rowsieve.sources.evolving`).
     """
-    if path_exists(spark, place):
-        return T.StructType.fromJson(json.loads(spark.read.text(place, wholetext=True).first()[0]))
-    schema = infer_schema(spark, path, fmt=fmt, options=options)
-    spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.text(place)
-    return schema
+    log = SchemaLog(spark, place)
+    return log.current() or log.add(infer_schema(spark, path, fmt=fmt, options=options))
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _file_system(spark: SparkSession, path: str) -> tuple:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def names_at(spark: SparkSession, path: str) -> list[str]:
+    """The names in a directory; none if it does not exist."""
+    system, target = _file_system(spark, path)
+    return [status.getPath().getName() for status in system.listStatus(target)] if system.exists(target) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file, in whatever store Spark reads."""
+    system, target = _file_system(spark, path)
+    stream = system.open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there as a whole or not at all; one that is there is replaced."""
+    folder, _, name = path.rpartition("/")
+    system, target = _file_system(spark, path)
+    _, aside = _file_system(spark, f"{folder}/.{name}-{uuid.uuid4().hex}")
+    stream = system.create(aside, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if system.exists(target):
+        system.delete(target, False)
+    if not system.rename(aside, target):
+        raise OSError(f"could not write {path}")
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    system, target = _file_system(spark, path)
+    return system.exists(target)
 
 
 def qualified_path(spark: SparkSession, path: str) -> str:
