@@ -94,16 +94,18 @@ def _fitted(
     return column.cast(wanted) if lossless else column.try_cast(wanted)
 
 
-def joined_schema(one: T.StructType, other: T.StructType, same: Callable[[str], str] = str.lower) -> T.StructType:
+def joined_schema(
+    one: T.StructType, other: T.StructType, same: Callable[[str], str] = str.lower, *, widen: bool = True
+) -> T.StructType:
     """The schema that holds all rows of both: the fields of ``one``, then what only ``other`` has.
 
-    A field of both has a type to which both widen; nested types are joined inside. Types without one
-    are an error (ValueError).
+    A field of both has a type to which both widen, or without ``widen`` that of ``one``; nested types are
+    joined inside. Types without one are an error (ValueError).
     """
-    return _joined_struct(one, other, same, "")
+    return _joined_struct(one, other, same, widen, "")
 
 
-def _joined_struct(one: T.StructType, other: T.StructType, same: Callable[[str], str], where: str) -> T.StructType:
+def _joined_struct(one: T.StructType, other: T.StructType, same: Callable[[str], str], widen: bool, where: str) -> T.StructType:
     more = {same(field.name): field for field in other.fields}
     fields = []
     for field in one.fields:
@@ -111,23 +113,26 @@ def _joined_struct(one: T.StructType, other: T.StructType, same: Callable[[str],
         if match is None:
             fields.append(T.StructField(field.name, field.dataType, True, field.metadata))
             continue
-        dtype = _joined_type(field.dataType, match.dataType, same, f"{where}{field.name}")
+        dtype = _joined_type(field.dataType, match.dataType, same, widen, f"{where}{field.name}")
         fields.append(T.StructField(field.name, dtype, field.nullable or match.nullable, field.metadata))
     return T.StructType([*fields, *(T.StructField(f.name, f.dataType, True, f.metadata) for f in more.values())])
 
 
-def _joined_type(one: T.DataType, other: T.DataType, same: Callable[[str], str], where: str) -> T.DataType:
+def _joined_type(one: T.DataType, other: T.DataType, same: Callable[[str], str], widen: bool, where: str) -> T.DataType:
     if isinstance(one, T.StructType) and isinstance(other, T.StructType):
-        return _joined_struct(one, other, same, f"{where}.")
+        return _joined_struct(one, other, same, widen, f"{where}.")
     if isinstance(one, T.ArrayType) and isinstance(other, T.ArrayType):
-        element = _joined_type(one.elementType, other.elementType, same, f"{where}.element")
+        element = _joined_type(one.elementType, other.elementType, same, widen, f"{where}.element")
         return T.ArrayType(element, one.containsNull or other.containsNull)
     if isinstance(one, T.MapType) and isinstance(other, T.MapType) and one.keyType == other.keyType:
-        value = _joined_type(one.valueType, other.valueType, same, f"{where}.value")
+        value = _joined_type(one.valueType, other.valueType, same, widen, f"{where}.value")
         return T.MapType(one.keyType, value, one.valueContainsNull or other.valueContainsNull)
-    for found, wanted in ((one, other), (other, one)):
-        if widens(found, wanted):
-            return wanted
+    if widens(other, one):
+        return one
+    if widens(one, other) and (widen or isinstance(one, T.NullType)):
+        return other
+    if not widen:
+        raise ValueError(f"column {where!r}: {other.simpleString()} does not widen to {one.simpleString()}")
     common = _common_number(one, other)
     if common is None:
         raise ValueError(f"column {where!r}: {one.simpleString()} and {other.simpleString()} have no common type")

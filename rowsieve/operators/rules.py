@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import inspect
-from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
-from contextlib import contextmanager
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 from operator import or_
@@ -14,9 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowsieve.names import quote_part
-from rowsieve.operators.enrich import widens
-from rowsieve.session import session_conf
+from rowsieve.operators.attempt import PatternError, without_errors
 
 # The rule names and the adult age a contract relies on.
 ADULT_AGE = 18
@@ -40,9 +37,10 @@ class Rule:
     reading (only FALSE fails), "fail" wants an explicit TRUE. ``total`` marks a predicate that
     is never NULL, which spares the filter its IS NULL branch.
 
-    ``reads`` is set on a predicate whose evaluation can raise an error (a cast, arithmetic): the
-    columns it reads. It is evaluated without errors (:func:`lenient`), NULL in their place, and a
-    row that has all of these columns and still gets no answer breaks the rule.
+    ``reads`` is set on a predicate whose evaluation could raise an error (a cast, arithmetic, a pattern): the
+    columns and fields it reads. It gives NULL in place of an error
+    (:func:`rowsieve.operators.attempt.without_errors`), and a row that has all of these values and still gets
+    no answer breaks the rule.
     """
 
     field: str
@@ -56,7 +54,7 @@ class Rule:
         """The predicate is NULL because a value is missing."""
         if self.reads is None:
             return self.predicate.isNull()
-        missing = reduce(or_, (F.col(quote_part(name)).isNull() for name in self.reads), F.lit(False))
+        missing = reduce(or_, (F.col(path).isNull() for path in self.reads), F.lit(False))
         return self.predicate.isNull() & missing
 
     def passed(self) -> Column:
@@ -181,54 +179,11 @@ def _check_predicates(frame: DataFrame, rules: Sequence[Rule]) -> None:
         raise RuleError(f"rule {rule.code!r} of {rule.field!r} {wrong}: {reason}") from error
 
 
-# Expressions that give a value for every input, so that a rule made of them cannot stop a run.
-_SAFE = frozenset(
-    "Alias AttributeReference Literal And Or Not LessThan LessThanOrEqual GreaterThan GreaterThanOrEqual "
-    "EqualTo EqualNullSafe IsNull IsNotNull In InSet Like RLike StartsWith EndsWith Contains Length Upper "
-    "Lower StringTrim Coalesce CaseWhen If IsNaN Between StructsToJson Size GetStructField".split()
-)
-
-
-def _may_fail(frame: DataFrame, predicate: Column) -> tuple[str, ...] | None:
-    """The columns a predicate reads if evaluating it can raise an error, else None."""
+def _without_errors(frame: DataFrame, predicate: Column, code: str, field: str) -> tuple[Column, tuple[str, ...] | None]:
     try:
-        plan = frame.select(predicate.alias("rule"))._jdf.queryExecution().analyzed()
-    except AnalysisException:
-        return None  # what is wrong with it is found out when all rules are checked
-    reads: dict[str, None] = {}
-    risky = False
-    waiting = [plan.expressions().head()]
-    while waiting:
-        node = waiting.pop()
-        kind = node.getClass().getSimpleName()
-        children = [node.children().apply(i) for i in range(node.children().size())]
-        if kind == "AttributeReference":
-            reads[node.name()] = None
-        if kind == "Cast":
-            # A literal is cast when the query is planned, and a wider type takes every value.
-            risky |= bool(children[0].references().size()) and not _upcast(children[0].dataType(), node.dataType())
-        elif kind not in _SAFE:
-            risky = True
-        waiting += children
-    return tuple(reads) if risky else None
-
-
-def _upcast(found, wanted) -> bool:
-    return widens(*(T._parse_datatype_json_string(kind.json()) for kind in (found, wanted)))
-
-
-@contextmanager
-def lenient(frame: DataFrame, rules: Sequence[Rule]) -> Iterator[None]:
-    """Within this block frames are analysed so that a rule that may fail gives NULL instead.
-
-    Only rules that may fail need it; the setting is that of analysis, kept in the expressions, so
-    the frame can run under any setting afterwards.
-    """
-    if all(rule.reads is None for rule in rules):
-        yield
-        return
-    with session_conf(frame.sparkSession, {"spark.sql.ansi.enabled": "false"}):
-        yield
+        return without_errors(frame, predicate)
+    except PatternError as error:
+        raise RuleError(f"rule {code!r} of {field!r}: {error}") from error
 
 
 def _choice(value: str, allowed: Sequence[str], what: str) -> str:
@@ -295,17 +250,16 @@ def compile_rules(
                     continue
                 raise RuleError(f"unknown rule {name!r} on {field!r}; known: {list(_REGISTRY)}")
             code = check.label if code_style == "qualified" else name
-            predicate = check.build(F.col(field), types[field])
-            add(Rule(field, code, predicate, policy, check.total), ("named", name))
+            predicate, reads = _without_errors(frame, check.build(F.col(field), types[field]), code, field)
+            total = check.total and reads is None
+            add(Rule(field, code, predicate, policy, total, reads), ("named", name))
         for sql_rule in block.get("sql_expressions") or ():
             expression = sql_rule.get("expression")
             if not expression:
                 raise RuleError(f"an SQL rule on {field!r} has no expression")
-            predicate = F.expr(expression)
-            sql_policy = sql_rule.get("null_policy", policy)
-            reads = _may_fail(frame, predicate)
-            rule = Rule(field, sql_rule.get("error_code"), predicate, sql_policy, reads=reads)
-            add(rule, ("sql", expression))
+            sql_policy, code = sql_rule.get("null_policy", policy), sql_rule.get("error_code")
+            predicate, reads = _without_errors(frame, F.expr(expression), code, field)
+            add(Rule(field, code, predicate, sql_policy, reads=reads), ("sql", expression))
     rules = [rule for rule, _ in compiled.values()]
     _check_predicates(frame, rules)
     return rules

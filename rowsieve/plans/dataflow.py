@@ -9,6 +9,7 @@ from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowsieve.operators.aggregate import grouped_stats, merge_stats, partial_stats
@@ -18,6 +19,7 @@ from rowsieve.operators.rules import Rule, compile_rules
 from rowsieve.operators.split import TRACE_COLUMN, annotate, split
 from rowsieve.names import quote_name
 from rowsieve.plans.contract import ENVIRONMENT, VALIDATE, ContractError, Dataflow, Sink, Source, Step, Summary
+from rowsieve.plans.ledger import Entry, Ledger
 from rowsieve.sinks.tables import (
     TRANSACTIONAL,
     append_table,
@@ -33,9 +35,11 @@ from rowsieve.sources.files import (
     file_stream,
     infer_schema,
     kept_schema,
+    names_at,
     path_exists,
     qualified_path,
     read_files,
+    remove,
 )
 from rowsieve.sources.rescue import read_json_rescued
 from rowsieve.streaming.loads import (
@@ -45,9 +49,11 @@ from rowsieve.streaming.loads import (
     PathSink,
     add_failures,
     drain,
+    last_commit,
     read_loads,
     read_side,
     register_loads,
+    unfinished,
     write_load,
     write_store,
 )
@@ -251,15 +257,17 @@ class _Target:
 
     query_id: str | None = None
     batch_id: int | None = None
+    checkpoint: str | None = None
 
     def write(self, df: DataFrame, sink: PathSink) -> None:
         if self.query_id is None:
             write_path(df, sink.path, fmt=sink.fmt, mode=sink.mode)
         else:
-            write_load(df, sink, self.query_id, self.batch_id)
+            write_load(df, sink, self.query_id, self.batch_id, checkpoint=self.checkpoint)
 
     def write_store(self, judged: DataFrame, sink: PathSink) -> None:
-        write_store(judged, sink, self.query_id or f"batch-{uuid.uuid4()}", self.batch_id or 0)
+        query_id = self.query_id or f"batch-{uuid.uuid4()}"
+        write_store(judged, sink, query_id, self.batch_id or 0, checkpoint=self.checkpoint)
 
 
 def _write_all(flow: Dataflow, bound: _Bound, sinks, summaries, target: _Target) -> None:
@@ -293,11 +301,6 @@ def _staged(batch: DataFrame, place: str) -> DataFrame:
     return batch.sparkSession.read.schema(batch.schema).parquet(place)
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def _empty_overwritten(spark: SparkSession, sinks: list[Sink], schemas: Mapping[str, T.StructType]) -> None:
     """A new checkpoint starts over also where there is no input: sinks to overwrite become empty."""
     for sink in sinks:
@@ -344,16 +347,28 @@ def _load_source(
         rows = _staged(batch, staging) if stage else batch
         bound = _Bound(flow, source, rows, options, sinks)
         schemas.update({sink.name: bound.frames[sink.input].schema for sink in sinks})
-        _write_all(flow, bound, sinks, summaries, _Target(query_id, batch_id))
-        bound.add_counts(report)
-        report.loads.append(f"{query_id}-{batch_id}")
-
+        _write_all(flow, bound, sinks, summaries, _Target(query_id, batch_id, checkpoint))
+        held = RunReport(report.name, report.environment)
+        bound.add_counts(held)
+        load = f"{query_id}-{batch_id}"
+        Ledger(spark, options.checkpoint).write(Entry(source.name, load, held.rows_ok, held.rows_ko, held.failures))
+        written.append((batch_id, load, held))
+
+    written: list[tuple[int, str, RunReport]] = []
     arriving = frame if evolving is None else new_files(spark, source.path, source.options)
     try:
         drain(arriving, checkpoint, each_batch)
     finally:
+        # A batch that is not committed will be repeated, and counts then.
+        last = last_commit(spark, checkpoint) if written else None
+        for batch_id, load, held in written:
+            if last is not None and batch_id <= last:
+                report.rows_ok += held.rows_ok
+                report.rows_ko += held.rows_ko
+                add_failures(report.failures, held.failures)
+                report.loads.append(load)
         if stage:
-            _remove(spark, staging)
+            remove(spark, staging)
     if not started and len(report.loads) == before:
         _empty_overwritten(spark, sinks, schemas)
     return schemas
@@ -380,13 +395,9 @@ def read_sink(
 
 
 def _loads_at(spark: SparkSession, path: str) -> set[str]:
-    """The loads that a directory holds."""
-    if not path_exists(spark, path):
-        return set()
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(target)
-    names = [status.getPath().getName() for status in found]
-    return {name.partition("=")[2] for name in names if name.startswith(f"{LOAD_COLUMN}=")}
+    """The loads that a directory holds of committed batches."""
+    found = {name.partition("=")[2] for name in names_at(spark, path) if name.startswith(f"{LOAD_COLUMN}=")}
+    return found - set(unfinished(spark, path))
 
 
 def _complete_parts(spark: SparkSession, flow: Dataflow, summary: Summary, schema: T.StructType) -> None:
@@ -463,20 +474,72 @@ def _check_places(
         places.append((owner, place))
 
 
-def audit_record(spark: SparkSession, report: RunReport) -> DataFrame:
+def audit_record(spark: SparkSession, report: RunReport, at: datetime | None = None) -> DataFrame:
     """The one-row audit record of a run."""
     row = (
         report.name,
         report.environment,
         report.rows_ok,
         report.rows_ko,
-        datetime.now(timezone.utc),
+        at or datetime.now(timezone.utc),
         round(report.seconds, 2),
         report.status,
     )
     return spark.createDataFrame([row], AUDIT_SCHEMA)
 
 
+def _audit(spark: SparkSession, report: RunReport, checkpoint: str | None, table: str | None, path: str | None) -> None:
+    """Append the audit record of a run to each place that wants one.
+
+    Incremental runs account for committed loads, each of them once (:mod:`rowsieve.plans.ledger`), also for those of
+    a run that ended before its record was written.
+    """
+
+    def append_to(kind: str, place: str, facts: dict) -> None:
+        held = RunReport(**{key: value for key, value in facts.items() if key != "at"})
+        row = audit_record(spark, held, datetime.fromisoformat(facts["at"]))
+        if kind == "table":
+            append_table(row, place, merge_schema=True)
+        else:
+            write_path(row, place, mode="append")
+
+    def is_at(kind: str, place: str, facts: dict) -> bool:
+        if kind == "table":
+            if not spark.catalog.tableExists(place):
+                return False
+            rows = spark.table(place)
+        else:
+            if not path_exists(spark, place):
+                return False
+            rows = spark.read.schema(AUDIT_SCHEMA).parquet(place)
+        same = (F.col("pipeline_name") == facts["name"]) & (F.col("execution_timestamp") == F.lit(datetime.fromisoformat(facts["at"])))
+        return not rows.where(same).isEmpty()
+
+    places = [(kind, place) for kind, place in (("table", table), ("path", path)) if place]
+    if not places:
+        return
+    facts = {"name": report.name, "environment": report.environment, "rows_ok": report.rows_ok, "rows_ko": report.rows_ko}
+    facts |= {"seconds": report.seconds, "status": report.status, "at": datetime.now(timezone.utc).isoformat()}
+    if checkpoint is None:
+        for kind, place in places:
+            append_to(kind, place, facts)
+        return
+
+    def missing(facts: dict) -> list[tuple[str, str]]:
+        return [(kind, place) for kind, place in places if not is_at(kind, place, facts)]
+
+    def append(facts: dict) -> None:
+        for kind, place in missing(facts):
+            append_to(kind, place, facts)
+
+    ledger = Ledger(spark, checkpoint)
+    ledger.recover(lambda facts: not missing(facts), append)
+    entries = ledger.committed()
+    facts |= {"rows_ok": sum(e.rows_ok for e in entries), "rows_ko": sum(e.rows_ko for e in entries)}
+    # A new record is nowhere yet.
+    ledger.record(facts, entries, lambda facts: False, lambda facts: [append_to(*place, facts) for place in places])
+
+
 def run(
     flow: Dataflow,
     spark: SparkSession,
@@ -532,8 +595,5 @@ def run(
         raise
     finally:
         report.seconds = time.monotonic() - started
-        if audit_table:
-            append_table(audit_record(spark, report), audit_table, merge_schema=True)
-        if audit_path:
-            write_path(audit_record(spark, report), audit_path, mode="append")
+        _audit(spark, report, settings.checkpoint if settings.execution == "stream" else None, audit_table, audit_path)
     return report

@@ -99,13 +99,14 @@ def set_comment(spark: SparkSession, table: str, comment: str) -> None:
 
 
 def append_table(
-    df: DataFrame, table: str, *, fmt: str = DEFAULT_FORMAT, merge_schema: bool = False
+    df: DataFrame, table: str, *, fmt: str = DEFAULT_FORMAT, merge_schema: bool = False, widen: bool = False
 ) -> None:
     """Append ``df`` to a catalog table, creating it when it is missing.
 
-    With ``merge_schema`` new columns, new fields of nested values and wider types widen the table first
-    (older rows read NULL in what is new) and what ``df`` lacks is written as NULL. Names match as the
-    session compares them; a type without a common one with the table's is an error.
+    With ``merge_schema`` new columns and new fields of nested values widen the table first (older rows read
+    NULL there) and what ``df`` lacks is written as NULL. Names match as the session compares them. A type that
+    does not widen to the table's is an error; with ``widen`` the table takes the wider type instead, and
+    only a type without a common one is.
     """
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
@@ -116,22 +117,22 @@ def append_table(
         writer.option("mergeSchema", str(merge_schema).lower()).saveAsTable(table)
         return
     if merge_schema:
-        add_columns(spark, table, df.schema)
+        add_columns(spark, table, df.schema, widen=widen)
         df = align(df, spark.table(table).schema, strict=True, lossless=True)
     df.write.format(fmt).mode("append").saveAsTable(table)
 
 
-def add_columns(spark: SparkSession, table: str, schema: T.StructType) -> None:
-    """Widen a table to ``schema``: columns and nested fields that it lacks, and wider types.
+def add_columns(spark: SparkSession, table: str, schema: T.StructType, *, widen: bool = False) -> None:
+    """Give a table the columns and nested fields of ``schema`` that it lacks, and with ``widen`` wider types.
 
     Rows that are there read NULL in what is new. Files stay as they are, as readers widen their values.
-    A type without a common one is an error before anything is changed.
+    A type that does not fit is an error before anything is changed.
     """
     same = same_name(spark)
     partitions = {same(c.name) for c in spark.catalog.listColumns(table) if c.isPartition}
     known = T.StructType([f for f in spark.table(table).schema.fields if same(f.name) not in partitions])
     arriving = T.StructType([f for f in schema.fields if same(f.name) not in partitions])
-    wanted = joined_schema(known, arriving, same)
+    wanted = joined_schema(known, arriving, same, widen=widen)
     new = wanted.fields[len(known.fields) :]
     changed = [b for a, b in zip(known.fields, wanted.fields) if a.dataType != b.dataType]
     if new:

@@ -199,6 +199,22 @@ def qualified_path(spark: SparkSession, path: str) -> str:
     return f"{scheme}:{posixpath.normpath('/' + rest.lstrip('/'))}"
 
 
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Give a file another name, in a directory that is made if need be; what is there is replaced."""
+    system, target = _file_system(spark, to)
+    system.mkdirs(target.getParent())
+    if system.exists(target):
+        system.delete(target, False)
+    if not system.rename(_file_system(spark, path)[1], target):
+        raise OSError(f"could not move {path}")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or a directory, if it is there."""
+    system, target = _file_system(spark, path)
+    system.delete(target, True)
+
+
 def read_variant(
     spark: SparkSession,
     path: str,

@@ -4,6 +4,11 @@
 directory of its own, ``load_id=<query id>-<batch id>``, and replaces it as a whole: a replay
 leaves the same table, also when one side of it is empty. The query id is kept in the
 checkpoint, so a new checkpoint can never overwrite the loads of an older one.
+
+A batch may have several sinks. Each sink is told which checkpoint a query has (:func:`announce`), and the
+checkpoint's commit is the one mark for all of them: batches are committed in order, so the load after the last
+commit is the only one that can be half written, and readers and tables leave it out
+(:func:`unfinished`) until it is committed.
 """
 
 from __future__ import annotations
@@ -23,7 +28,7 @@ from rowsieve.operators.rules import Rule
 from rowsieve.operators.split import TRACE_COLUMN, annotate, split
 from rowsieve.session import session_conf
 from rowsieve.sinks.tables import DEFAULT_FORMAT, TRANSACTIONAL, add_columns
-from rowsieve.sources.files import as_schema
+from rowsieve.sources.files import as_schema, names_at, path_exists, qualified_path, read_text, write_text
 
 LOAD_COLUMN = "load_id"
 VERDICT_COLUMN = "verdict"
@@ -74,6 +79,44 @@ class PathSink:
         object.__setattr__(self, "path", self.path.rstrip("/"))
 
 
+_QUERIES = "_queries"  # hidden from Spark's readers
+
+
+def announce(spark: SparkSession, sink: PathSink, query_id: str, checkpoint: str) -> None:
+    """Tell a sink where the commits of a query are. Formats with a log of their own need no such thing."""
+    place = f"{sink.path}/{_QUERIES}/{query_id}"
+    if sink.fmt not in TRANSACTIONAL and not path_exists(spark, place):
+        write_text(spark, place, qualified_path(spark, checkpoint))
+
+
+def last_commit(spark: SparkSession, checkpoint: str) -> int | None:
+    """The last batch that is committed, -1 if none is; None if there is no such checkpoint."""
+    place = f"{checkpoint.rstrip('/')}/commits"
+    if not path_exists(spark, place):
+        return None
+    return max((int(name) for name in names_at(spark, place) if name.isdigit()), default=-1)
+
+
+def unfinished(spark: SparkSession, path: str) -> list[str]:
+    """The loads of a sink that may be half written: for each query the one after its last commit.
+
+    A query whose checkpoint is gone counts as finished.
+    """
+    found = []
+    for query_id in names_at(spark, f"{path.rstrip('/')}/{_QUERIES}"):
+        if query_id.startswith("."):
+            continue
+        last = last_commit(spark, read_text(spark, f"{path.rstrip('/')}/{_QUERIES}/{query_id}"))
+        if last is not None:
+            found.append(f"{query_id}-{last + 1}")
+    return found
+
+
+def _finished(rows: DataFrame, path: str) -> DataFrame:
+    hidden = unfinished(rows.sparkSession, path)
+    return rows.where(~F.col(LOAD_COLUMN).isin(hidden)) if hidden else rows
+
+
 def write_load(
     df: DataFrame,
     sink: PathSink,
@@ -81,8 +124,18 @@ def write_load(
     batch_id: int,
     *,
     partitions: Sequence[str] = (),
+    checkpoint: str | None = None,
 ) -> str:
-    """Write one micro-batch to a sink, replacing what an earlier attempt left of it."""
+    """Write one micro-batch to a sink, replacing what an earlier attempt left of it.
+
+    Given the query's ``checkpoint``, the load shows when the batch is committed, else at once.
+    """
+    if checkpoint is not None:
+        spark = df.sparkSession
+        announce(spark, sink, query_id, checkpoint)
+        load = write_load(df, sink, query_id, batch_id, partitions=partitions)
+        announce(spark, sink, query_id, checkpoint)  # a sink that is overwritten forgets it
+        return load
     load = f"{query_id}-{batch_id}"
     replace_all = sink.mode == "overwrite" and batch_id == 0
     marked, layout = df.withColumn(LOAD_COLUMN, F.lit(load)), [LOAD_COLUMN, *partitions]
@@ -104,11 +157,11 @@ def write_load(
 def read_loads(
     spark: SparkSession, path: str, schema: T.StructType | str, *, fmt: str = DEFAULT_FORMAT
 ) -> DataFrame:
-    """All loads of a sink. Thanks to the declared schema a sink without rows, or one that no
+    """All loads of a sink whose batches are committed. Thanks to the declared schema a sink without rows, or one that no
     load has reached yet, is an empty relation."""
     declared = as_schema(schema)
     full = T.StructType([*declared.fields, T.StructField(LOAD_COLUMN, T.StringType())])
-    return _read_or_empty(spark, path, full, fmt).drop(LOAD_COLUMN)
+    return _finished(_read_or_empty(spark, path, full, fmt), path).drop(LOAD_COLUMN)
 
 
 def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str) -> DataFrame:
@@ -149,25 +202,43 @@ def register_loads(
         known = spark.catalog.tableExists(table)
         spark.sql(f"{head} ({columns}) {place}")
         if known:
-            add_columns(spark, table, schema)
+            add_columns(spark, table, schema, widen=True)
         spark.catalog.refreshTable(table)
         return
     place = f"USING {fmt} PARTITIONED BY ({LOAD_COLUMN}) LOCATION {quote_text(path)}"
     known = spark.catalog.tableExists(table)
     spark.sql(f"{head} ({columns}) {place}")
     if known:
-        add_columns(spark, table, schema)
+        add_columns(spark, table, schema, widen=True)
     if known and loads is not None:
         parts = " ".join(f"PARTITION ({LOAD_COLUMN} = {quote_text(load)})" for load in loads)
         if parts:
             spark.sql(f"ALTER TABLE {quote_name(table)} ADD IF NOT EXISTS {parts}")
     else:
-        spark.sql(f"MSCK REPAIR TABLE {quote_name(table)} SYNC PARTITIONS")
+        _repair(spark, table, path)
     spark.catalog.refreshTable(table)
 
 
-def register_store(spark: SparkSession, table: str, path: str, schema: T.StructType, *, fmt: str = DEFAULT_FORMAT) -> None:
-    """Make a split store readable as a catalog table with the columns load and verdict."""
+def _repair(spark: SparkSession, table: str, path: str) -> None:
+    """List all loads anew, but those that may be half written."""
+    spark.sql(f"MSCK REPAIR TABLE {quote_name(table)} SYNC PARTITIONS")
+    for load in unfinished(spark, path):
+        spark.sql(f"ALTER TABLE {quote_name(table)} DROP IF EXISTS PARTITION ({LOAD_COLUMN} = {quote_text(load)})")
+
+
+def register_store(
+    spark: SparkSession,
+    table: str,
+    path: str,
+    schema: T.StructType,
+    *,
+    fmt: str = DEFAULT_FORMAT,
+    loads: Sequence[str] | None = None,
+) -> None:
+    """Make a split store readable as a catalog table with the columns load and verdict.
+
+    Given the ``loads`` that are new, a known table gets just those; else all are listed.
+    """
     layout = [T.StructField(name, T.StringType()) for name in (LOAD_COLUMN, VERDICT_COLUMN)]
     columns = ", ".join(f"{quote_part(f.name)} {f.dataType.simpleString()}" for f in [*schema.fields, *layout])
     known = spark.catalog.tableExists(table)
@@ -176,8 +247,16 @@ def register_store(spark: SparkSession, table: str, path: str, schema: T.StructT
         f"PARTITIONED BY ({LOAD_COLUMN}, {VERDICT_COLUMN}) LOCATION {quote_text(path)}"
     )
     if known:
-        add_columns(spark, table, schema)
-    spark.sql(f"MSCK REPAIR TABLE {quote_name(table)} SYNC PARTITIONS")
+        add_columns(spark, table, schema, widen=True)
+    if known and loads is not None:
+        for load in loads:
+            # A side without rows has no files, and a partition without files is empty.
+            parts = " ".join(
+                f"PARTITION ({LOAD_COLUMN} = {quote_text(load)}, {VERDICT_COLUMN} = {quote_text(side)})" for side in (OK, KO)
+            )
+            spark.sql(f"ALTER TABLE {quote_name(table)} ADD IF NOT EXISTS {parts}")
+    else:
+        _repair(spark, table, path)
     spark.catalog.refreshTable(table)
 
 
@@ -221,6 +300,7 @@ def write_store(
     batch_id: int,
     *,
     column: str = TRACE_COLUMN,
+    checkpoint: str | None = None,
 ) -> str:
     """One pass for both sides: rows go to ``verdict=ok`` or ``verdict=ko`` of this load."""
     verdict = F.when(F.size(column) == 0, F.lit(OK)).otherwise(F.lit(KO))
@@ -228,7 +308,7 @@ def write_store(
     # A task keeps a file open per side instead of sorting its rows by side first.
     open_files = {"spark.sql.maxConcurrentOutputFileWriters": 2}
     with session_conf(judged.sparkSession, open_files):
-        return write_load(rows, sink, query_id, batch_id, partitions=[VERDICT_COLUMN])
+        return write_load(rows, sink, query_id, batch_id, partitions=[VERDICT_COLUMN], checkpoint=checkpoint)
 
 
 def split_store(
@@ -250,7 +330,7 @@ def split_store(
     def each_batch(batch: DataFrame, query_id: str, batch_id: int) -> None:
         observed, observation = observe_rules(batch, rules, f"split-{uuid.uuid4()}")
         judged = annotate(observed, rules, kind=kind, column=column)
-        load = write_store(judged, store, query_id, batch_id, column=column)
+        load = write_store(judged, store, query_id, batch_id, column=column, checkpoint=checkpoint)
         counts = observation.get
         report.add(load, counts["rows"], counts["rows_ko"], observed_failures(counts, rules))
 
@@ -280,7 +360,7 @@ def read_side(
         T.StructField(VERDICT_COLUMN, T.StringType()),
     ]
     full = T.StructType([*as_schema(schema).fields, trace, *layout])
-    rows = _read_or_empty(spark, path, full, fmt)
+    rows = _finished(_read_or_empty(spark, path, full, fmt), path)
     rows = rows.filter(F.col(VERDICT_COLUMN) == side).drop(LOAD_COLUMN, VERDICT_COLUMN)
     return rows.drop(column) if side == OK else rows
 
@@ -307,8 +387,8 @@ def split_stream(
         sides = split(batch, rules, kind=kind, column=column)
         valid, seen_ok = observe_rules(sides.ok, [], f"ok-{tag}")
         rejected, seen_ko = observe_rules(sides.ko, rules, f"ko-{tag}")
-        write_load(valid, ok, query_id, batch_id)
-        load = write_load(rejected, ko, query_id, batch_id)
+        for side, rows in ((ok, valid), (ko, rejected)):
+            load = write_load(rows, side, query_id, batch_id, checkpoint=checkpoint)
         counts = seen_ko.get
         rows = seen_ok.get["rows"] + counts["rows"]
         report.add(load, rows, counts["rows"], observed_failures(counts, rules))

@@ -5,11 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rowsieve.operators.rules import compile_rules, register_rule
+from rowsieve.operators.split import TRACE_COLUMN, annotate
 from rowsieve.plans.contract import parse_contract
 from rowsieve.plans.dataflow import run
+from rowsieve.plans.ledger import Ledger
 from rowsieve.scratch import new_dir
-from rowsieve.sinks.tables import append_table
-from rowsieve_checks.inputs import people, table
+from rowsieve.sinks.tables import append_table, write_json
+from rowsieve.sources.files import move, write_text
+from rowsieve.streaming.loads import read_loads
+from rowsieve_checks.inputs import PERSON_RULES, PERSON_SCHEMA, people, table
 from rowsieve_checks.loads import _database
 
 
@@ -97,11 +102,118 @@ def widened_type_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", large.cast("bigint").alias("n"), F.struct(large.cast("bigint").alias("n")).alias("s"), (number / 3).cast("double").alias("x")
     )
     for part in (first, second):
-        append_table(part, name, merge_schema=True)
+        append_table(part, name, merge_schema=True, widen=True)
     return spark.table(name).select("l_orderkey", "n", F.col("s.n").alias("nested_n"), "x")
 
 
+def _judged(spark: SparkSession, rows: DataFrame, validations: list[dict]) -> DataFrame:
+    rules = compile_rules(rows, validations)
+    judged = annotate(rows, rules, kind="array")
+    return judged.select("l_orderkey", "l_linenumber", F.concat_ws(",", TRACE_COLUMN).alias("codes"))
+
+
+_NUMBERS = """SELECT l_orderkey, l_linenumber,
+    CAST(CASE WHEN l_linenumber = 1 THEN 2147483647 WHEN l_linenumber = 5 THEN NULL ELSE l_orderkey END AS INT) AS a,
+    CAST(CASE WHEN l_linenumber <= 2 THEN 2147483647 - l_linenumber ELSE l_linenumber - 4 END AS INT) AS b"""
+
+
+def rule_overflow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums, products and divisions that have no result break a rule; the other side of an OR keeps its say."""
+    rows = spark.sql(f"{_NUMBERS} FROM {{rows}}", rows=table(spark, sf_dir, "lineitem"))
+    expressions = {
+        "sum": "a + b < 5000", "sum_or": "a + b < 5000 OR l_linenumber = 1", "product": "a * b * b > -3", "quotient": "1000 div b < 600 AND 10 % b = 0",
+    }
+    checks = [{"error_code": code, "expression": text} for code, text in expressions.items()]
+    return _judged(spark, rows, [{"field": "a", "sql_expressions": checks}])
+
+
+_PATTERNS = """SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber = 6 THEN NULL ELSE concat('User_', l_linenumber) END AS t,
+    CASE l_linenumber WHEN 1 THEN '(' WHEN 2 THEN 'User_[2-9]' WHEN 3 THEN '[0-9' WHEN 4 THEN '_5' ELSE 'r_' END AS p,
+    CASE l_linenumber WHEN 1 THEN concat('User', chr(92)) WHEN 2 THEN concat('User', chr(92), '__') WHEN 3 THEN 'User%' WHEN 4 THEN 'U_x' ELSE '%' END AS q"""
+
+
+def rule_bad_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose pattern is none break the rule, and the run goes on."""
+    rows = spark.sql(f"{_PATTERNS} FROM {{rows}}", rows=table(spark, sf_dir, "lineitem"))
+    checks = [{"error_code": "rlike", "expression": "t RLIKE p"}, {"error_code": "like", "expression": "t LIKE q"}]
+    return _judged(spark, rows, [{"field": "t", "sql_expressions": checks}])
+
+
+_AMOUNTS = """SELECT l_orderkey, l_linenumber,
+    CASE WHEN l_linenumber = 1 THEN 'many' WHEN l_linenumber = 2 THEN NULL WHEN l_linenumber = 3 THEN '99999999999'
+        ELSE CAST(l_linenumber - 5 AS STRING) END AS amount"""
+
+
+def custom_rule_raises(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A registered rule whose cast has no result for a row rejects the row."""
+    register_rule("positiveAmount", lambda column: column.cast("int") > 0)
+    rows = spark.sql(f"{_AMOUNTS} FROM {{rows}}", rows=table(spark, sf_dir, "lineitem"))
+    return _judged(spark, rows, [{"field": "amount", "validations": ["positiveAmount"]}])
+
+
+def _interrupted(spark: SparkSession, sf_dir: str, *, repeat: bool) -> str:
+    """Two arrivals; of the second batch the valid side is written, the rejected one fails. Perhaps it is repeated."""
+    root, landing = new_dir(spark, "interrupted"), new_dir(spark, "landing")
+    spec = {
+        "name": "interrupted",
+        "sources": [{"name": "rows", "path": landing}],
+        "transformations": [{"name": "checks", "type": "validate_fields", "params": {"validations": PERSON_RULES}}],
+        "sinks": [
+            {"name": "ok", "input": "checks_ok", "paths": [f"{root}/ok"], "format": "PARQUET"},
+            {"name": "ko", "input": "checks_ko", "paths": [f"{root}/ko", f"{root}/more/ko"], "format": "PARQUET"},
+        ],
+    }
+    settings = {"checkpoint": f"{root}/checkpoint", "schemas": {"rows": PERSON_SCHEMA}, "audit_path": f"{root}/audit"}
+    flow, rows = parse_contract(spec), people(spark, sf_dir)
+    write_json(rows.where("l_linenumber <= 3"), landing)
+    run(flow, spark, processing_time=None, **settings)
+    move(spark, f"{root}/more", f"{root}/aside")
+    write_text(spark, f"{root}/more", "no directory")
+    write_json(rows.where("l_linenumber > 3"), landing)
+    try:
+        run(flow, spark, processing_time=None, **settings)
+    except Exception:  # noqa: BLE001  whatever a file system says to a file in place of a directory
+        pass
+    else:
+        raise AssertionError("the second batch cannot be written")
+    if repeat:
+        move(spark, f"{root}/aside", f"{root}/more")
+        run(flow, spark, processing_time=None, **settings)
+    return root
+
+
+def _sides(spark: SparkSession, root: str, *places: str) -> DataFrame:
+    trace = f"{PERSON_SCHEMA}, {TRACE_COLUMN} MAP<STRING,STRING>"
+    parts = [
+        read_loads(spark, f"{root}/{place}", trace if place.endswith("ko") else PERSON_SCHEMA)
+        .select("l_orderkey", "l_linenumber")
+        .withColumn("place", F.lit(place))
+        for place in places
+    ]
+    return parts[0].unionByName(parts[1]) if len(parts) == 2 else parts[0]
+
+
+def half_written_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of a batch that is written on one side only, neither side shows."""
+    return _sides(spark, _interrupted(spark, sf_dir, repeat=False), "ok", "ko")
+
+
+def audit_after_repeat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """After a failed run and its repeat the audit's sums are what the sinks hold, and each load is in the ledger once."""
+    root = _interrupted(spark, sf_dir, repeat=True)
+    audit = spark.read.parquet(f"{root}/audit")
+    sums = audit.agg(F.sum("rows_ok").alias("rows_ok"), F.sum("rows_ko").alias("rows_ko"), F.count_if(F.col("status") == "failed").alias("failed"))
+    held = [_sides(spark, root, place).agg(F.count(F.lit(1)).alias(f"in_{place}")) for place in ("ok", "ko")]
+    settled = Ledger(spark, f"{root}/checkpoint").settled()
+    return sums.join(held[0]).join(held[1]).withColumn("loads", F.lit(len(settled)).cast("bigint"))
+
+
 QUERIES = {
+    "half_written_batch": half_written_batch,
+    "audit_after_repeat": audit_after_repeat,
+    "rule_overflow": rule_overflow,
+    "rule_bad_pattern": rule_bad_pattern,
+    "custom_rule_raises": custom_rule_raises,
     "schema_evolves_csv": schema_evolves_csv,
     "schema_evolves_parquet": schema_evolves_parquet,
     "nested_schema_merge": nested_schema_merge,
@@ -115,7 +227,28 @@ _PEOPLE_EVOLVED = """{person} SELECT l_orderkey, l_linenumber, CASE WHEN l_linen
 def oracle(person: str) -> dict[str, str]:
     """The SQL of these queries, given that of the person rows."""
     evolved = _PEOPLE_EVOLVED.format(person=person)
+    big = "CAST(a AS BIGINT) + b"
+    wide = "CAST(a AS BIGINT) * b"
+    bad = "(office IS NULL OR office = '' OR age IS NULL OR age < 18 OR age >= 65)"
     return {
+        "half_written_batch": f"""{person} SELECT l_orderkey, l_linenumber, CASE WHEN {bad} THEN 'ko' ELSE 'ok' END AS place
+            FROM person WHERE l_linenumber <= 3""",
+        "audit_after_repeat": f"""{person} SELECT count(*) FILTER (NOT {bad}) AS rows_ok, count(*) FILTER ({bad}) AS rows_ko,
+            CAST(1 AS BIGINT) AS failed, count(*) FILTER (NOT {bad}) AS in_ok, count(*) FILTER ({bad}) AS in_ko,
+            CAST(2 AS BIGINT) AS loads FROM person""",
+        "rule_overflow": f"""SELECT l_orderkey, l_linenumber, concat_ws(',',
+            CASE WHEN a IS NOT NULL AND {big} NOT BETWEEN -2147483648 AND 4999 THEN 'sum' END,
+            CASE WHEN a IS NOT NULL AND {big} NOT BETWEEN -2147483648 AND 4999 AND l_linenumber <> 1 THEN 'sum_or' END,
+            CASE WHEN a IS NULL THEN NULL WHEN {wide} NOT BETWEEN -2147483648 AND 2147483647 THEN 'product'
+                WHEN {wide} * b NOT BETWEEN -2 AND 2147483647 THEN 'product' END,
+            CASE WHEN b = 0 THEN 'quotient' WHEN NOT (1000 // b < 600 AND 10 % b = 0) THEN 'quotient' END) AS codes
+            FROM ({_NUMBERS} FROM lineitem)""",
+        "rule_bad_pattern": f"""SELECT l_orderkey, l_linenumber, concat_ws(',',
+            CASE WHEN t IS NOT NULL AND l_linenumber NOT IN (2, 5, 7) THEN 'rlike' END,
+            CASE WHEN t IS NOT NULL AND l_linenumber IN (1, 4) THEN 'like' END) AS codes FROM ({_PATTERNS} FROM lineitem)""",
+        "custom_rule_raises": f"""SELECT l_orderkey, l_linenumber,
+            CASE WHEN amount IS NOT NULL AND coalesce(TRY_CAST(amount AS INT), 0) <= 0 THEN 'positiveAmount' ELSE '' END AS codes
+            FROM ({_AMOUNTS} FROM lineitem)""",
         "schema_evolves_csv": evolved,
         "schema_evolves_parquet": evolved,
         "nested_schema_merge": """SELECT c_custkey, CASE WHEN even THEN c_name END AS name, c_nationkey AS nation,

@@ -188,8 +188,12 @@ def test_a_refused_type_changes_nothing(spark, database):
     name = f"{database}.t"
     append_table(spark.sql("SELECT 1 AS id"), name, merge_schema=True)
     with pytest.raises(ValueError, match="no common type"):
-        append_table(spark.sql("SELECT 'x' AS id, 1 AS more"), name, merge_schema=True)
+        append_table(spark.sql("SELECT 'x' AS id, 1 AS more"), name, merge_schema=True, widen=True)
+    with pytest.raises(ValueError, match="does not widen"):
+        append_table(spark.sql("SELECT 5000000000 AS id, 1 AS more"), name, merge_schema=True)
     assert spark.table(name).columns == ["id"]
+    append_table(spark.sql("SELECT 5000000000 AS id"), name, merge_schema=True, widen=True)
+    assert {r.id for r in spark.table(name).collect()} == {1, 5000000000}
 
 
 def test_overwriting_keeps_the_layout(spark, database):

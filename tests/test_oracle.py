@@ -5,7 +5,7 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry
-from rowsieve_checks import batch, loads, oracle
+from rowsieve_checks import batch, evolution, loads, oracle
 from tools.check_oracle import compare, connect
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -18,7 +18,7 @@ def connection():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", [*batch.QUERIES, *loads.QUERIES])
+@pytest.mark.parametrize("name", [*batch.QUERIES, *loads.QUERIES, *evolution.QUERIES])
 def test_query_equals_its_sql(spark, connection, name):
     assert name in entry.oracle_sql()
     difference = compare(spark, connection, name, SF_DIR)
@@ -26,7 +26,7 @@ def test_query_equals_its_sql(spark, connection, name):
 
 
 def test_every_sql_has_a_query():
-    assert set(oracle.ORACLE) == {*batch.QUERIES, *loads.QUERIES}
+    assert set(oracle.ORACLE) == {*batch.QUERIES, *loads.QUERIES, *evolution.QUERIES}
     assert set(oracle.ORACLE) <= set(entry.oracle_sql()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
