@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from rowsieve.operators.aggregate import grouped_stats, merge_stats, partial_stats
 from rowsieve.operators.enrich import add_processing_time
+from rowsieve.operators.governance import base_of
 from rowsieve.operators.metrics import observe_rules, observed_failures
 from rowsieve.operators.rules import Rule, compile_rules
 from rowsieve.operators.split import TRACE_COLUMN, annotate, split
@@ -439,7 +440,7 @@ def _summarise(spark: SparkSession, flow: Dataflow, schemas, options: RunOptions
 def _location(spark: SparkSession, table: str) -> str | None:
     if not spark.catalog.tableExists(table):
         return None
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {quote_name(table)}").where("col_name = 'Location'").collect()
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {quote_name(base_of(spark, table))}").where("col_name = 'Location'").collect()
     return rows[0].data_type if rows else None
 
 

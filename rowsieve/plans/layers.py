@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from rowsieve.names import quote_name, quote_part, quote_text
 from rowsieve.operators.aggregate import grouped_stats, merge_stats, partial_stats
+from rowsieve.operators.governance import base_of, rebind
 from rowsieve.operators.metrics import observe_rules, observed_failures
 from rowsieve.operators.rules import Rule, compile_rules
 from rowsieve.operators.split import annotate, rejected_rows, valid_rows
@@ -94,7 +95,7 @@ def expect_all_or_drop(
 
 
 def _refresh_split(spark: SparkSession, layer: SplitLayer, *, namespace: str, checkpoint: str, fmt: str) -> list[LayerReport]:
-    source = f"{namespace}.{layer.input}"
+    source = base_of(spark, f"{namespace}.{layer.input}")
     rows = spark.table(source)
     rules = layer.rules(rows)
     shape = annotate(rows, rules, kind="array")
@@ -124,9 +125,10 @@ def _refresh_split(spark: SparkSession, layer: SplitLayer, *, namespace: str, ch
     ):
         shown = ", ".join(map(quote_part, columns))
         spark.sql(
-            f"CREATE OR REPLACE VIEW {quote_name(f'{namespace}.{view}')} COMMENT {quote_text(comment)} AS "
+            f"CREATE OR REPLACE VIEW {quote_name(base_of(spark, f'{namespace}.{view}'))} COMMENT {quote_text(comment)} AS "
             f"SELECT {shown} FROM {quote_name(kept)} WHERE {VERDICT_COLUMN} = {quote_text(side)}"
         )
+        rebind(spark, f"{namespace}.{view}")
     part = partial_stats(rows.limit(0), layer.by, layer.value).schema
     gold = merge_stats(read_loads(spark, parts.path, part, fmt=fmt), layer.by)
     overwrite_table(gold, f"{namespace}.{layer.gold}", fmt=fmt, comment=layer.comments[2])
@@ -155,12 +157,12 @@ def refresh(
             raise ValueError(f"layer {layer.name!r} uses {missing}, which come later or never")
         known.add(layer.name)
         table = f"{namespace}.{layer.name}"
-        frame = layer.build(*[spark.table(f"{namespace}.{name}") for name in layer.inputs])
+        frame = layer.build(*[spark.table(base_of(spark, f"{namespace}.{name}")) for name in layer.inputs])
         report = LayerReport(layer.name)
         if layer.stream:
             append_stream(frame, table, f"{checkpoint.rstrip('/')}/{layer.name}", fmt=fmt)
-            set_comment(spark, table, layer.comment)
-            spark.catalog.refreshTable(table)
+            set_comment(spark, base_of(spark, table), layer.comment)
+            spark.catalog.refreshTable(base_of(spark, table))
         else:
             rules = layer.expectations
             if rules is None:

@@ -9,8 +9,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from rowsieve.names import quote_name, quote_part, quote_text
+from rowsieve.names import columns_ddl, quote_name, quote_part, quote_text
 from rowsieve.operators.enrich import align, joined_schema, same_name
+from rowsieve.operators.governance import base_of, rebind
 from rowsieve.sources.files import as_schema
 
 DEFAULT_FORMAT = "parquet"
@@ -28,7 +29,8 @@ def overwrite_table(
     renamed first and dropped last, so a run that ends in between loses neither: the next one finds the old table
     by the name it has then. Formats with a log of their own replace it atomically.
     """
-    spark = df.sparkSession
+    spark, bound = df.sparkSession, table
+    table = base_of(spark, table)
     if fmt in TRANSACTIONAL or not (spark.catalog.tableExists(table) or _restored(spark, table)):
         df.write.format(fmt).mode("overwrite").saveAsTable(table)
     else:
@@ -44,6 +46,7 @@ def overwrite_table(
         spark.sql(f"ALTER TABLE {quote_name(table)} RENAME TO {quote_name(before)}")
         spark.sql(f"ALTER TABLE {quote_name(beside)} RENAME TO {quote_name(table)}")
         spark.sql(f"DROP TABLE {quote_name(before)}")
+    rebind(spark, bound)
     if comment is not None:
         set_comment(spark, table, comment)
 
@@ -108,7 +111,8 @@ def append_table(
     does not widen to the table's is an error; with ``widen`` the table takes the wider type instead, and
     only a type without a common one is.
     """
-    spark = df.sparkSession
+    spark, bound = df.sparkSession, table
+    table = base_of(spark, table)
     if not spark.catalog.tableExists(table):
         df.write.format(fmt).mode("append").saveAsTable(table)
         return
@@ -117,7 +121,7 @@ def append_table(
         writer.option("mergeSchema", str(merge_schema).lower()).saveAsTable(table)
         return
     if merge_schema:
-        add_columns(spark, table, df.schema, widen=widen)
+        add_columns(spark, bound, df.schema, widen=widen)
         df = align(df, spark.table(table).schema, strict=True, lossless=True)
     df.write.format(fmt).mode("append").saveAsTable(table)
 
@@ -128,6 +132,7 @@ def add_columns(spark: SparkSession, table: str, schema: T.StructType, *, widen:
     Rows that are there read NULL in what is new. Files stay as they are, as readers widen their values.
     A type that does not fit is an error before anything is changed.
     """
+    table, bound = base_of(spark, table), table
     same = same_name(spark)
     partitions = {same(c.name) for c in spark.catalog.listColumns(table) if c.isPartition}
     known = T.StructType([f for f in spark.table(table).schema.fields if same(f.name) not in partitions])
@@ -136,12 +141,12 @@ def add_columns(spark: SparkSession, table: str, schema: T.StructType, *, widen:
     new = wanted.fields[len(known.fields) :]
     changed = [b for a, b in zip(known.fields, wanted.fields) if a.dataType != b.dataType]
     if new:
-        columns = ", ".join(f"{quote_part(field.name)} {field.dataType.simpleString()}" for field in new)
-        spark.sql(f"ALTER TABLE {quote_name(table)} ADD COLUMNS ({columns})")
+        spark.sql(f"ALTER TABLE {quote_name(table)} ADD COLUMNS ({columns_ddl(new)})")
     if changed:
         _change_types(spark, table, wanted)
     if new or changed:
         spark.catalog.refreshTable(table)
+        rebind(spark, bound)
 
 
 def _change_types(spark: SparkSession, table: str, schema: T.StructType) -> None:
@@ -218,13 +223,15 @@ def write_clustered_table(
 ) -> None:
     """Replace ``table`` by ``df`` in a clustered layout and record the clustering columns."""
     keys = [by] if isinstance(by, str) else list(by)
-    clustered(df, keys).write.format(fmt).mode("overwrite").clusterBy(*keys).saveAsTable(table)
+    spark = df.sparkSession
+    clustered(df, keys).write.format(fmt).mode("overwrite").clusterBy(*keys).saveAsTable(base_of(spark, table))
+    rebind(spark, table)
 
 
 def set_clustering(spark: SparkSession, table: str, by: str | Sequence[str]) -> None:
     """Record clustering columns on an existing table; later writes decide the layout."""
     keys = [by] if isinstance(by, str) else list(by)
-    columns = ", ".join(quote_part(key) for key in keys)
+    columns, table = ", ".join(quote_part(key) for key in keys), base_of(spark, table)
     spark.sql(f"ALTER TABLE {quote_name(table)} CLUSTER BY ({columns})")
 
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowsieve.names import quote_part
+from rowsieve.names import LEFTOVER_METADATA, quote_part
 from rowsieve.operators.enrich import joined_schema, same_name
 from rowsieve.sources.files import SchemaLog, infer_schema, normalise_path, qualified_path
 from rowsieve.sources.rescue import CORRUPT
@@ -40,6 +40,9 @@ _LISTING = {"pathglobfilter", "recursivefilelookup", "modifiedbefore", "modified
 _TRIGGER = {"maxfilespertrigger", "maxbytespertrigger", "latestfirst", "maxfileage", "cleansource", "sourcearchivedir"}
 
 
+_CORRUPT_FIELD = T.StructField(CORRUPT, T.StringType(), True, LEFTOVER_METADATA)
+
+
 def _only(options: Mapping[str, object] | None, names: set[str]) -> dict[str, object]:
     return {key: value for key, value in (options or {}).items() if key.lower() in names}
 
@@ -125,7 +128,7 @@ class Evolving:
         schema = self._schema or T.StructType()
         if self._fmt != "csv" or CORRUPT in schema.names:
             return schema
-        return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
+        return T.StructType([*schema.fields, _CORRUPT_FIELD])
 
     @property
     def known(self) -> bool:
@@ -169,7 +172,7 @@ class Evolving:
         own = [T.StructField(name, known[self._same(name)].dataType, True) for name in header]
         if self._same(CORRUPT) in map(self._same, header):
             raise ValueError(f"{CORRUPT!r} is a reserved column name")
-        schema = T.StructType([*own, T.StructField(CORRUPT, T.StringType(), True)])
+        schema = T.StructType([*own, _CORRUPT_FIELD])
         options = {**self._options, "columnNameOfCorruptRecord": CORRUPT, "enforceSchema": "true"}
         rows = self._spark.read.options(**options).schema(schema).csv(files)
         named = {self._same(name): name for name in header}

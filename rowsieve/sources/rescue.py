@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowsieve.names import quote_part
+from rowsieve.names import LEFTOVER_METADATA, quote_part
 from rowsieve.sources.files import Schema, as_schema, bounded, normalise_path
 
 # Fixed value: the usual name of the column with the rescued values.
@@ -102,7 +102,8 @@ def rescue_lines(
     another type otherwise; of a nested field all of it as soon as a part of it does not come back
     from the typed value. A line that is no JSON object, or more than one, gives NULL columns, a
     NULL map, and its text in ``corrupt``. A JSON null is a NULL, not a rescued value.
-    ``options`` are those of the JSON parser, such as ``dateFormat``.
+    ``options`` are those of the JSON parser, such as ``dateFormat``. Both extra columns have a comment that
+    says what they are, so policies find them under whatever name.
 
     Most lines fit, and they are parsed once. Every key of a line is followed by a colon, so a
     line with as many colons as typed values has no further key. Only lines with more colons
@@ -146,8 +147,8 @@ def rescue_lines(
     lost = F.when(~no_map, _with(_lost_entries(declared, given), _as_map))
     return parsed.select(
         *[F.when(F.col("_alone"), _typed(name)).alias(name) for name in declared.names],
-        F.when(no_map & ~corrupted, nothing).otherwise(lost).alias(rescued),
-        F.when(corrupted, text).alias(corrupt),
+        F.when(no_map & ~corrupted, nothing).otherwise(lost).alias(rescued, metadata=LEFTOVER_METADATA),
+        F.when(corrupted, text).alias(corrupt, metadata=LEFTOVER_METADATA),
     )
 
 

@@ -22,11 +22,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowsieve.names import quote_name, quote_part, quote_text
+from rowsieve.names import columns_ddl, quote_name, quote_part, quote_text
 from rowsieve.operators.metrics import observe_rules, observed_failures
 from rowsieve.operators.rules import Rule
 from rowsieve.operators.split import TRACE_COLUMN, annotate, split
 from rowsieve.session import session_conf
+from rowsieve.operators.governance import base_of
 from rowsieve.sinks.tables import DEFAULT_FORMAT, TRANSACTIONAL, add_columns
 from rowsieve.sources.files import as_schema, names_at, path_exists, qualified_path, read_text, write_text
 
@@ -191,25 +192,26 @@ def register_loads(
 
     Given the ``loads`` that are new, a known table gets just those; else all are listed.
     """
+    bound, table = table, base_of(spark, table)
     head = f"CREATE TABLE IF NOT EXISTS {quote_name(table)}"
     place = f"USING {fmt} LOCATION {quote_text(path)}"
     if fmt in TRANSACTIONAL:
         spark.sql(f"{head} {place}")
         return
     fields = [*schema.fields, *([T.StructField(LOAD_COLUMN, T.StringType())] * partitioned)]
-    columns = ", ".join(f"{quote_part(f.name)} {f.dataType.simpleString()}" for f in fields)
+    columns = columns_ddl(fields)
     if not partitioned:
         known = spark.catalog.tableExists(table)
         spark.sql(f"{head} ({columns}) {place}")
         if known:
-            add_columns(spark, table, schema, widen=True)
+            add_columns(spark, bound, schema, widen=True)
         spark.catalog.refreshTable(table)
         return
     place = f"USING {fmt} PARTITIONED BY ({LOAD_COLUMN}) LOCATION {quote_text(path)}"
     known = spark.catalog.tableExists(table)
     spark.sql(f"{head} ({columns}) {place}")
     if known:
-        add_columns(spark, table, schema, widen=True)
+        add_columns(spark, bound, schema, widen=True)
     if known and loads is not None:
         parts = " ".join(f"PARTITION ({LOAD_COLUMN} = {quote_text(load)})" for load in loads)
         if parts:
@@ -240,14 +242,15 @@ def register_store(
     Given the ``loads`` that are new, a known table gets just those; else all are listed.
     """
     layout = [T.StructField(name, T.StringType()) for name in (LOAD_COLUMN, VERDICT_COLUMN)]
-    columns = ", ".join(f"{quote_part(f.name)} {f.dataType.simpleString()}" for f in [*schema.fields, *layout])
+    columns = columns_ddl([*schema.fields, *layout])
+    bound, table = table, base_of(spark, table)
     known = spark.catalog.tableExists(table)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {quote_name(table)} ({columns}) USING {fmt} "
         f"PARTITIONED BY ({LOAD_COLUMN}, {VERDICT_COLUMN}) LOCATION {quote_text(path)}"
     )
     if known:
-        add_columns(spark, table, schema, widen=True)
+        add_columns(spark, bound, schema, widen=True)
     if known and loads is not None:
         for load in loads:
             # A side without rows has no files, and a partition without files is empty.
@@ -422,9 +425,10 @@ def append_stream(
 
     Columns that the table lacks are added to it first.
     """
-    spark = df.sparkSession
+    spark, bound = df.sparkSession, table
+    table = base_of(spark, table)
     if fmt not in TRANSACTIONAL and spark.catalog.tableExists(table):
-        add_columns(spark, table, df.schema)
+        add_columns(spark, bound, df.schema)
     writer = df.writeStream.format(fmt).option("checkpointLocation", checkpoint)
     if name is not None:
         writer = writer.queryName(name)

@@ -5,16 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rowsieve.operators.governance import Mask, base_of, bind_all, bind_policies
 from rowsieve.operators.rules import compile_rules, register_rule
 from rowsieve.operators.split import TRACE_COLUMN, annotate
 from rowsieve.plans.contract import parse_contract
 from rowsieve.plans.dataflow import run
 from rowsieve.plans.ledger import Ledger
 from rowsieve.scratch import new_dir
-from rowsieve.sinks.tables import append_table, write_json
+from rowsieve.sinks.tables import append_table, overwrite_table, write_json
 from rowsieve.sources.files import move, write_text
-from rowsieve.streaming.loads import read_loads
-from rowsieve_checks.inputs import PERSON_RULES, PERSON_SCHEMA, people, table
+from rowsieve.sources.rescue import read_json_rescued
+from rowsieve.streaming.loads import PathSink, read_loads, register_loads, write_load
+from rowsieve_checks.inputs import PERSON_RULES, PERSON_SCHEMA, off_schema_lines, people, table
 from rowsieve_checks.loads import _database
 
 
@@ -208,7 +210,35 @@ def audit_after_repeat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sums.join(held[0]).join(held[1]).withColumn("loads", F.lit(len(settled)).cast("bigint"))
 
 
+def bound_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tables show what an outsider may see under their own names, also after loads that bring rows and a column."""
+    database, rows = _database(spark), people(spark, sf_dir)
+    tables = {side: f"{database}.person_{side}" for side in ("early", "late")}
+    overwrite_table(rows.where("l_linenumber <= 2"), tables["early"])
+    append_table(rows.where("l_linenumber = 3"), tables["late"])
+    bind_all(spark, tables.values())
+    append_table(rows.where("l_linenumber > 3").withColumn("team", F.lit("late")), tables["late"], merge_schema=True)
+    overwrite_table(rows.where("l_linenumber <= 2").withColumn("team", F.lit("new")), tables["early"])
+    parts = [spark.table(name).select("l_orderkey", "l_linenumber", "name", "office", "team", F.lit(side).alias("side")) for side, name in tables.items()]
+    return parts[0].unionByName(parts[1])
+
+
+def renamed_rescue_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rescued text under other names, written, registered and governed: an outsider sees none of it."""
+    database, out, path = _database(spark), new_dir(spark, "rescued"), f"{new_dir(spark, 'lines')}/person"
+    off_schema_lines(spark, sf_dir).write.text(path)
+    rows = read_json_rescued(spark, path, PERSON_SCHEMA, rescued="leftover", corrupt="broken").withColumnRenamed("broken", "unreadable")
+    sink, name = PathSink(f"{out}/rows"), f"{database}.person"
+    register_loads(spark, name, sink.path, rows.schema, loads=[write_load(rows, sink, "query", 0)])
+    shown = bind_policies(spark, name, [Mask("name")])
+    inside = spark.table(base_of(spark, name)).select(F.count("leftover").alias("n_leftover"), F.count("unreadable").alias("n_unreadable"))
+    seen = shown.groupBy("name").agg(F.count(F.lit(1)).alias("rows"), F.count("leftover").alias("seen_leftover"), F.count("unreadable").alias("seen_unreadable"))
+    return seen.join(inside)
+
+
 QUERIES = {
+    "bound_tables": bound_tables,
+    "renamed_rescue_masked": renamed_rescue_masked,
     "half_written_batch": half_written_batch,
     "audit_after_repeat": audit_after_repeat,
     "rule_overflow": rule_overflow,
@@ -229,8 +259,14 @@ def oracle(person: str) -> dict[str, str]:
     evolved = _PEOPLE_EVOLVED.format(person=person)
     big = "CAST(a AS BIGINT) + b"
     wide = "CAST(a AS BIGINT) * b"
+    zero = "CAST(0 AS BIGINT)"
     bad = "(office IS NULL OR office = '' OR age IS NULL OR age < 18 OR age >= 65)"
     return {
+        "bound_tables": f"""{person} SELECT l_orderkey, l_linenumber, 'REDACTED_PII' AS name, office,
+            CASE WHEN l_linenumber <= 2 THEN 'new' WHEN l_linenumber > 3 THEN 'late' END AS team,
+            CASE WHEN l_linenumber <= 2 THEN 'early' ELSE 'late' END AS side FROM person WHERE office = 'RIO'""",
+        "renamed_rescue_masked": f"""SELECT 'REDACTED_PII' AS name, count(*) AS rows, {zero} AS seen_leftover, {zero} AS seen_unreadable,
+            count(*) FILTER (l_orderkey % 19 <> 3) AS n_leftover, count(*) FILTER (l_orderkey % 19 = 3) AS n_unreadable FROM lineitem""",
         "half_written_batch": f"""{person} SELECT l_orderkey, l_linenumber, CASE WHEN {bad} THEN 'ko' ELSE 'ok' END AS place
             FROM person WHERE l_linenumber <= 3""",
         "audit_after_repeat": f"""{person} SELECT count(*) FILTER (NOT {bad}) AS rows_ok, count(*) FILTER ({bad}) AS rows_ko,
