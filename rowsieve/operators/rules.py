@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 import inspect
+import json
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
@@ -73,6 +75,12 @@ class Rule:
         return ~self.predicate | self.predicate.isNull()
 
 
+def fingerprint(rules: Sequence[Rule]) -> str:
+    """What tells one set of rules from another: fields, codes, predicates, null policies, in their order."""
+    facts = [[rule.field, rule.code, str(rule.predicate), rule.nulls, rule.reads] for rule in rules]
+    return hashlib.sha256(json.dumps(facts).encode()).hexdigest()
+
+
 @dataclass(frozen=True)
 class NamedCheck:
     """A registered rule: builds a predicate from a column and that column's type."""

@@ -589,7 +589,8 @@ def run(
                     schemas[sink.name],
                     fmt=sink.fmt,
                     partitioned=partitioned,
-                    loads=report.loads if sink.mode == "append" else None,
+                    # Also those of a run that ended before it came to this.
+                    loads=() if sink.mode == "append" else None,
                 )
     except Exception:
         report.status = "failed"

@@ -8,14 +8,16 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowsieve.names import quote_name, quote_part, quote_text
 from rowsieve.operators.aggregate import grouped_stats, merge_stats, partial_stats
 from rowsieve.operators.governance import base_of, rebind
 from rowsieve.operators.metrics import observe_rules, observed_failures
-from rowsieve.operators.rules import Rule, compile_rules
-from rowsieve.operators.split import annotate, rejected_rows, valid_rows
+from rowsieve.operators.rules import Rule, compile_rules, fingerprint
+from rowsieve.operators.split import TRACE_COLUMN, annotate, rejected_rows, valid_rows
 from rowsieve.sinks.tables import DEFAULT_FORMAT, overwrite_table, set_comment
+from rowsieve.sources.files import move, names_at, path_exists, read_text, remove, write_text
 from rowsieve.streaming.loads import (
     KO,
     LOAD_COLUMN,
@@ -29,6 +31,8 @@ from rowsieve.streaming.loads import (
     read_loads,
     read_side,
     register_store,
+    unfinished,
+    write_judged,
     write_load,
     write_store,
 )
@@ -57,7 +61,8 @@ class SplitLayer:
 
     A refresh reads what was added to ``input`` since the last one, once, and writes it once, into a
     store with a partition for each side. ``ok`` and ``ko`` are views of it; every load adds its
-    part of the summary, and ``gold`` is merged from the parts.
+    part of the summary, and ``gold`` is merged from the parts. The store knows the rules by which it was judged:
+    when they have changed, a refresh first judges its rows again and replaces the parts.
     """
 
     input: str
@@ -80,6 +85,8 @@ class LayerReport:
     rows: int | None = None
     dropped: int = 0
     failures: Failures = field(default_factory=dict)
+    #: Whether earlier rows were judged again, as the rules had changed.
+    rejudged: bool = False
 
 
 def expect_all_or_drop(
@@ -94,6 +101,58 @@ def expect_all_or_drop(
     return valid_rows(observed, rules), lambda: observation.get
 
 
+def _rejudge(spark: SparkSession, layer: SplitLayer, rules: Sequence[Rule], store: PathSink, parts: PathSink, shape, staging: str) -> bool:
+    """Judge the store's loads again if they were judged by other rules, in one pass; whether they were.
+
+    What is judged anew is written beside the store, verdicts and parts of all loads, and then takes the old
+    loads' places. A run that ends in between leaves the old fingerprint, so the next one starts over, first
+    putting back into place what was complete.
+    """
+    note, new = f"{store.path}/_rules.json", fingerprint(rules)
+    ready = f"{staging}/ready.json"
+    if path_exists(spark, ready):
+        was = read_text(spark, ready)
+        _take_places(spark, staging, store, parts)
+        write_text(spark, note, was)
+    known = read_text(spark, note) if path_exists(spark, note) else None
+    loads = [name for name in names_at(spark, store.path) if name.startswith(f"{LOAD_COLUMN}=")]
+    if known == new:
+        return False
+    if not loads:
+        write_text(spark, note, new)
+        return False
+    remove(spark, staging)
+    layout = T.StructType([T.StructField(name, T.StringType()) for name in (LOAD_COLUMN, VERDICT_COLUMN)])
+    rows = spark.read.format(store.fmt).schema(T.StructType([*shape.fields, *layout.fields])).load(store.path)
+    hidden = unfinished(spark, store.path)
+    rows = rows.where(~F.col(LOAD_COLUMN).isin(hidden)).drop(VERDICT_COLUMN, TRACE_COLUMN)
+    write_judged(annotate(rows, rules, kind="array"), f"{staging}/rows", fmt=store.fmt)
+    judged = spark.read.format(store.fmt).schema(T.StructType([*shape.fields, *layout.fields])).load(f"{staging}/rows")
+    valid = judged.where(F.col(VERDICT_COLUMN) == OK)
+    by = [LOAD_COLUMN, layer.by]
+    partial_stats(valid, by, layer.value).write.format(parts.fmt).partitionBy(LOAD_COLUMN).save(f"{staging}/parts")
+    write_text(spark, ready, new)
+    _take_places(spark, staging, store, parts)
+    write_text(spark, note, new)
+    return True
+
+
+def _take_places(spark: SparkSession, staging: str, store: PathSink, parts: PathSink) -> None:
+    hidden = {f"{LOAD_COLUMN}={load}" for load in unfinished(spark, store.path)}
+    # A load without valid rows has no part any more.
+    for sink, kind in ((parts, "parts"), (store, "rows")):
+        judged = {name for name in names_at(spark, f"{staging}/{kind}") if name.startswith(f"{LOAD_COLUMN}=")}
+        gone = {name for name in names_at(spark, sink.path) if name.startswith(f"{LOAD_COLUMN}=")} - judged - hidden
+        for name in sorted(gone) if kind == "parts" and not path_exists(spark, f"{staging}/parts-gone") else ():
+            remove(spark, f"{sink.path}/{name}")
+        if kind == "parts":
+            write_text(spark, f"{staging}/parts-gone", "")
+        for name in sorted(judged):
+            remove(spark, f"{sink.path}/{name}")
+            move(spark, f"{staging}/{kind}/{name}", f"{sink.path}/{name}")
+    remove(spark, staging)
+
+
 def _refresh_split(spark: SparkSession, layer: SplitLayer, *, namespace: str, checkpoint: str, fmt: str) -> list[LayerReport]:
     source = base_of(spark, f"{namespace}.{layer.input}")
     rows = spark.table(source)
@@ -103,10 +162,12 @@ def _refresh_split(spark: SparkSession, layer: SplitLayer, *, namespace: str, ch
     store = PathSink(f"{place}/{layer.ok}_store", fmt)
     parts = PathSink(f"{place}/{layer.gold}_parts", fmt)
     report = LayerReport(layer.ok, rows=0)
+    progress = f"{checkpoint.rstrip('/')}/{layer.ok}"
+    report.rejudged = _rejudge(spark, layer, rules, store, parts, shape.schema, f"{progress}-judged-again")
 
     def each_batch(batch: DataFrame, query_id: str, batch_id: int) -> None:
         observed, observation = observe_rules(batch, rules, f"layer-{uuid.uuid4()}")
-        load = write_store(annotate(observed, rules, kind="array"), store, query_id, batch_id)
+        load = write_store(annotate(observed, rules, kind="array"), store, query_id, batch_id, checkpoint=progress)
         counts = observation.get
         report.rows += counts["rows"] - counts["rows_ko"]
         report.dropped += counts["rows_ko"]
@@ -114,11 +175,12 @@ def _refresh_split(spark: SparkSession, layer: SplitLayer, *, namespace: str, ch
         valid = read_side(
             spark, f"{store.path}/{LOAD_COLUMN}={load}", OK, rows.schema, trace_type="array<string>", fmt=fmt
         )
-        write_load(partial_stats(valid, layer.by, layer.value), parts, query_id, batch_id)
+        write_load(partial_stats(valid, layer.by, layer.value), parts, query_id, batch_id, checkpoint=progress)
 
-    drain(spark.readStream.table(source), f"{checkpoint.rstrip('/')}/{layer.ok}", each_batch)
+    drain(spark.readStream.table(source), progress, each_batch)
     kept = f"{namespace}.{layer.ok}_rows"
-    register_store(spark, kept, store.path, shape.schema, fmt=fmt)
+    # New loads only, unless old ones were replaced.
+    register_store(spark, kept, store.path, shape.schema, fmt=fmt, loads=None if report.rejudged else ())
     for view, side, columns, comment in (
         (layer.ok, OK, rows.columns, layer.comments[0]),
         (layer.ko, KO, shape.columns, layer.comments[1]),

@@ -13,6 +13,7 @@ commit is the only one that can be half written, and readers and tables leave it
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
@@ -103,13 +104,35 @@ def unfinished(spark: SparkSession, path: str) -> list[str]:
 
     A query whose checkpoint is gone counts as finished.
     """
-    found = []
-    for query_id in names_at(spark, f"{path.rstrip('/')}/{_QUERIES}"):
-        if query_id.startswith("."):
-            continue
-        last = last_commit(spark, read_text(spark, f"{path.rstrip('/')}/{_QUERIES}/{query_id}"))
+    return [f"{query_id}-{last + 1}" for query_id, last in _commits(spark, path).items()]
+
+
+def _note_of(table: str, path: str) -> str:
+    return f"{path.rstrip('/')}/_registered/{table}.json"
+
+
+def unregistered(spark: SparkSession, table: str, path: str) -> list[str] | None:
+    """The committed loads of a sink that a table does not list yet; None if that was never noted.
+
+    What is committed and what is listed are a number for each query, however many loads there are.
+    """
+    if not path_exists(spark, _note_of(table, path)):
+        return None
+    known = json.loads(read_text(spark, _note_of(table, path)))
+    return [f"{q}-{batch}" for q, last in _commits(spark, path).items() for batch in range(known.get(q, -1) + 1, last + 1)]
+
+
+def note_registered(spark: SparkSession, table: str, path: str, commits: dict[str, int]) -> None:
+    write_text(spark, _note_of(table, path), json.dumps(commits))
+
+
+def _commits(spark: SparkSession, path: str) -> dict[str, int]:
+    """For each query that writes to a sink its last committed batch."""
+    place, found = f"{path.rstrip('/')}/{_QUERIES}", {}
+    for query_id in names_at(spark, place):
+        last = None if query_id.startswith(".") else last_commit(spark, read_text(spark, f"{place}/{query_id}"))
         if last is not None:
-            found.append(f"{query_id}-{last + 1}")
+            found[query_id] = last
     return found
 
 
@@ -190,7 +213,8 @@ def register_loads(
     """Make a sink's directory readable as catalog table ``table`` and bring its columns and its
     list of loads up to date.
 
-    Given the ``loads`` that are new, a known table gets just those; else all are listed.
+    A known table gets just the ``loads`` that are new, or those that :func:`unregistered` knows of with
+    ``loads=()``; else, and with None, all are listed.
     """
     bound, table = table, base_of(spark, table)
     head = f"CREATE TABLE IF NOT EXISTS {quote_name(table)}"
@@ -212,22 +236,26 @@ def register_loads(
     spark.sql(f"{head} ({columns}) {place}")
     if known:
         add_columns(spark, bound, schema, widen=True)
-    if known and loads is not None:
-        parts = " ".join(f"PARTITION ({LOAD_COLUMN} = {quote_text(load)})" for load in loads)
-        if parts:
-            spark.sql(f"ALTER TABLE {quote_name(table)} ADD IF NOT EXISTS {parts}")
-    else:
-        _repair(spark, table, path)
+    _list_loads(spark, table, path, loads if known else None, [""])
+
+
+def _list_loads(spark: SparkSession, table: str, path: str, loads: Sequence[str] | None, sides: Sequence[str]) -> None:
+    """List new loads, or all but those that may be half written; then note how far the list goes."""
+    commits = _commits(spark, path)
+    if loads is not None and not loads:
+        loads = unregistered(spark, table, path)
+    if loads is None:
+        spark.sql(f"MSCK REPAIR TABLE {quote_name(table)} SYNC PARTITIONS")
+        for load in unfinished(spark, path):
+            spark.sql(f"ALTER TABLE {quote_name(table)} DROP IF EXISTS PARTITION ({LOAD_COLUMN} = {quote_text(load)})")
+    for start in range(0, len(loads or ()), 100):
+        parts = [f"PARTITION ({LOAD_COLUMN} = {quote_text(load)}{side})" for load in loads[start : start + 100] for side in sides]
+        spark.sql(f"ALTER TABLE {quote_name(table)} ADD IF NOT EXISTS {' '.join(parts)}")
+    if commits:
+        note_registered(spark, table, path, commits)
     spark.catalog.refreshTable(table)
 
 
-def _repair(spark: SparkSession, table: str, path: str) -> None:
-    """List all loads anew, but those that may be half written."""
-    spark.sql(f"MSCK REPAIR TABLE {quote_name(table)} SYNC PARTITIONS")
-    for load in unfinished(spark, path):
-        spark.sql(f"ALTER TABLE {quote_name(table)} DROP IF EXISTS PARTITION ({LOAD_COLUMN} = {quote_text(load)})")
-
-
 def register_store(
     spark: SparkSession,
     table: str,
@@ -239,7 +267,7 @@ def register_store(
 ) -> None:
     """Make a split store readable as a catalog table with the columns load and verdict.
 
-    Given the ``loads`` that are new, a known table gets just those; else all are listed.
+    ``loads`` are as for :func:`register_loads`.
     """
     layout = [T.StructField(name, T.StringType()) for name in (LOAD_COLUMN, VERDICT_COLUMN)]
     columns = columns_ddl([*schema.fields, *layout])
@@ -251,16 +279,8 @@ def register_store(
     )
     if known:
         add_columns(spark, bound, schema, widen=True)
-    if known and loads is not None:
-        for load in loads:
-            # A side without rows has no files, and a partition without files is empty.
-            parts = " ".join(
-                f"PARTITION ({LOAD_COLUMN} = {quote_text(load)}, {VERDICT_COLUMN} = {quote_text(side)})" for side in (OK, KO)
-            )
-            spark.sql(f"ALTER TABLE {quote_name(table)} ADD IF NOT EXISTS {parts}")
-    else:
-        _repair(spark, table, path)
-    spark.catalog.refreshTable(table)
+    # A side without rows has no files, and a partition without files is empty.
+    _list_loads(spark, table, path, loads if known else None, [f", {VERDICT_COLUMN} = {quote_text(side)}" for side in (OK, KO)])
 
 
 def drain(
@@ -296,6 +316,18 @@ def drain(
     return query.id
 
 
+def _with_verdict(judged: DataFrame, column: str) -> DataFrame:
+    return judged.withColumn(VERDICT_COLUMN, F.when(F.size(column) == 0, F.lit(OK)).otherwise(F.lit(KO)))
+
+
+def write_judged(judged: DataFrame, path: str, *, column: str = TRACE_COLUMN, fmt: str = DEFAULT_FORMAT) -> None:
+    """Rows of several loads, judged again, in the layout of a store.
+
+    Files of a load are together in the store, so a task has few loads; they are sorted by load and side for the write.
+    """
+    _with_verdict(judged, column).write.format(fmt).partitionBy(LOAD_COLUMN, VERDICT_COLUMN).save(path)
+
+
 def write_store(
     judged: DataFrame,
     sink: PathSink,
@@ -306,8 +338,7 @@ def write_store(
     checkpoint: str | None = None,
 ) -> str:
     """One pass for both sides: rows go to ``verdict=ok`` or ``verdict=ko`` of this load."""
-    verdict = F.when(F.size(column) == 0, F.lit(OK)).otherwise(F.lit(KO))
-    rows = judged.withColumn(VERDICT_COLUMN, verdict)
+    rows = _with_verdict(judged, column)
     # A task keeps a file open per side instead of sorting its rows by side first.
     open_files = {"spark.sql.maxConcurrentOutputFileWriters": 2}
     with session_conf(judged.sparkSession, open_files):

@@ -10,10 +10,11 @@ from rowsieve.operators.rules import compile_rules, register_rule
 from rowsieve.operators.split import TRACE_COLUMN, annotate
 from rowsieve.plans.contract import parse_contract
 from rowsieve.plans.dataflow import run
+from rowsieve.plans.layers import quality_layers, refresh
 from rowsieve.plans.ledger import Ledger
 from rowsieve.scratch import new_dir
 from rowsieve.sinks.tables import append_table, overwrite_table, write_json
-from rowsieve.sources.files import move, write_text
+from rowsieve.sources.files import file_stream, move, write_text
 from rowsieve.sources.rescue import read_json_rescued
 from rowsieve.streaming.loads import PathSink, read_loads, register_loads, write_load
 from rowsieve_checks.inputs import PERSON_RULES, PERSON_SCHEMA, off_schema_lines, people, table
@@ -236,7 +237,34 @@ def renamed_rescue_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seen.join(inside)
 
 
+def _layers_under_two_rules(spark: SparkSession, sf_dir: str) -> str:
+    """The first arrival is judged by laxer rules; a refresh by the production rules brings the second."""
+    database, landing, checkpoint = _database(spark), new_dir(spark, "landing"), new_dir(spark, "checkpoint")
+    rows = people(spark, sf_dir)
+    lax = [{"field": "age", "validations": ["notNull"], "sql_expressions": [{"error_code": "young", "expression": "age > 12"}]}]
+    for part, rules in ((rows.where("l_linenumber <= 3"), lax), (rows.where("l_linenumber > 3"), PERSON_RULES)):
+        write_json(part, landing)
+        layers = quality_layers("person", lambda: file_stream(spark, landing, PERSON_SCHEMA), rules, by="office", value="age")
+        refresh(spark, layers, namespace=database, checkpoint=checkpoint)
+    return database
+
+
+def layers_after_rule_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """After a change of the rules all rows have the verdict of the new ones."""
+    database = _layers_under_two_rules(spark, sf_dir)
+    ok, ko = (spark.table(f"{database}.person_standard_{side}") for side in ("ok", "ko"))
+    keys = ["l_orderkey", "l_linenumber"]
+    return ok.select(*keys, F.lit("").alias("codes")).unionByName(ko.select(*keys, F.concat_ws(",", TRACE_COLUMN).alias("codes")))
+
+
+def gold_after_rule_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary is that of the rows that the new rules accept."""
+    return spark.table(f"{_layers_under_two_rules(spark, sf_dir)}.person_gold_office_stats")
+
+
 QUERIES = {
+    "layers_after_rule_change": layers_after_rule_change,
+    "gold_after_rule_change": gold_after_rule_change,
     "bound_tables": bound_tables,
     "renamed_rescue_masked": renamed_rescue_masked,
     "half_written_batch": half_written_batch,
@@ -254,14 +282,16 @@ _PEOPLE_EVOLVED = """{person} SELECT l_orderkey, l_linenumber, CASE WHEN l_linen
     CASE WHEN l_linenumber > 3 THEN 'late' END AS team, CASE WHEN age IS NULL THEN 'ko' ELSE 'ok' END AS side FROM person"""
 
 
-def oracle(person: str) -> dict[str, str]:
-    """The SQL of these queries, given that of the person rows."""
+def oracle(person: str, codes: str, gold: str) -> dict[str, str]:
+    """The SQL of these queries, given that of the person rows, of the codes of a row, and of the summary."""
     evolved = _PEOPLE_EVOLVED.format(person=person)
     big = "CAST(a AS BIGINT) + b"
     wide = "CAST(a AS BIGINT) * b"
     zero = "CAST(0 AS BIGINT)"
     bad = "(office IS NULL OR office = '' OR age IS NULL OR age < 18 OR age >= 65)"
     return {
+        "layers_after_rule_change": f"{person} SELECT l_orderkey, l_linenumber, {codes} AS codes FROM person",
+        "gold_after_rule_change": gold,
         "bound_tables": f"""{person} SELECT l_orderkey, l_linenumber, 'REDACTED_PII' AS name, office,
             CASE WHEN l_linenumber <= 2 THEN 'new' WHEN l_linenumber > 3 THEN 'late' END AS team,
             CASE WHEN l_linenumber <= 2 THEN 'early' ELSE 'late' END AS side FROM person WHERE office = 'RIO'""",

@@ -88,7 +88,7 @@ TEAM = "CASE WHEN l_linenumber > 3 THEN 'late' END AS team"
 _SHARE = "CASE WHEN age IS NULL THEN NULL WHEN l_linenumber = 1 THEN false ELSE CAST(age AS DOUBLE) / (l_linenumber - 1) > 10 END"
 
 ORACLE = {
-    **evolution.oracle(PERSON),
+    **evolution.oracle(PERSON, CODES, GOLD),
     "inferred_text_age": f"""{PERSON} SELECT {KEYS},
       CASE WHEN l_orderkey % 11 = 0 THEN 'old' ELSE CAST(age AS STRING) END AS age, 'too_old' AS codes
       FROM person WHERE l_orderkey % 11 = 0 OR age >= 65""",
