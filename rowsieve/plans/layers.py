@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from rowsieve.names import quote_name, quote_part, quote_text
 from rowsieve.operators.aggregate import grouped_stats, merge_stats, partial_stats
 from rowsieve.operators.governance import base_of, rebind
-from rowsieve.operators.metrics import observe_rules, observed_failures
+from rowsieve.operators.metrics import observe_rules, observed_failures, watch_rules
 from rowsieve.operators.rules import Rule, compile_rules, fingerprint
 from rowsieve.operators.split import TRACE_COLUMN, annotate, rejected_rows, valid_rows
 from rowsieve.sinks.tables import DEFAULT_FORMAT, overwrite_table, set_comment
@@ -44,7 +44,7 @@ class Layer:
 
     A ``stream`` layer appends what is new in its streaming frame; any other is computed anew
     from its inputs. ``expectations`` (rules, or a function of the frame that gives them) drop
-    the rows that break one, and are counted.
+    the rows that break one, and are counted; on a stream, for the batches of this refresh.
     """
 
     name: str
@@ -197,6 +197,12 @@ def _refresh_split(spark: SparkSession, layer: SplitLayer, *, namespace: str, ch
     return [report, LayerReport(layer.ko), LayerReport(layer.gold)]
 
 
+def _add_counts(report: LayerReport, seen: Mapping[str, int], rules: Sequence[Rule]) -> None:
+    report.dropped = seen.get("rows_ko", 0)
+    report.rows = seen.get("rows", 0) - report.dropped
+    report.failures = observed_failures(seen, rules)
+
+
 def refresh(
     spark: SparkSession,
     layers: Sequence[Layer | SplitLayer],
@@ -221,22 +227,24 @@ def refresh(
         table = f"{namespace}.{layer.name}"
         frame = layer.build(*[spark.table(base_of(spark, f"{namespace}.{name}")) for name in layer.inputs])
         report = LayerReport(layer.name)
+        rules = layer.expectations(frame) if callable(layer.expectations) else layer.expectations
         if layer.stream:
-            append_stream(frame, table, f"{checkpoint.rstrip('/')}/{layer.name}", fmt=fmt)
+            counts = None
+            if rules is not None:
+                frame, counts = watch_rules(frame, rules, f"expect-{layer.name}")
+                frame = valid_rows(frame, rules)
+            append_stream(frame, table, f"{checkpoint.rstrip('/')}/{layer.name}", fmt=fmt, counts=counts)
+            if counts is not None:
+                _add_counts(report, counts.get, rules)
             set_comment(spark, base_of(spark, table), layer.comment)
             spark.catalog.refreshTable(base_of(spark, table))
         else:
-            rules = layer.expectations
             if rules is None:
                 overwrite_table(frame, table, fmt=fmt, comment=layer.comment)
             else:
-                rules = rules(frame) if callable(rules) else rules
                 kept, counts = expect_all_or_drop(frame, rules)
                 overwrite_table(kept, table, fmt=fmt, comment=layer.comment)
-                seen = counts()
-                report.rows = seen["rows"] - seen["rows_ko"]
-                report.dropped = seen["rows_ko"]
-                report.failures = observed_failures(seen, rules)
+                _add_counts(report, counts(), rules)
         reports.append(report)
     return reports
 

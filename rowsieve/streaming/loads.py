@@ -15,7 +15,8 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from contextlib import nullcontext
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -24,13 +25,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowsieve.names import columns_ddl, quote_name, quote_part, quote_text
-from rowsieve.operators.metrics import observe_rules, observed_failures
+from rowsieve.operators.metrics import StreamCounts, observe_rules, observed_failures
 from rowsieve.operators.rules import Rule
 from rowsieve.operators.split import TRACE_COLUMN, annotate, split
 from rowsieve.session import session_conf
 from rowsieve.operators.governance import base_of
 from rowsieve.sinks.tables import DEFAULT_FORMAT, TRANSACTIONAL, add_columns
-from rowsieve.sources.files import as_schema, names_at, path_exists, qualified_path, read_text, write_text
+from rowsieve.sources.files import as_schema, move, names_at, path_exists, qualified_path, read_text, remove, write_text
 
 LOAD_COLUMN = "load_id"
 VERDICT_COLUMN = "verdict"
@@ -136,6 +137,22 @@ def _commits(spark: SparkSession, path: str) -> dict[str, int]:
     return found
 
 
+def committed_loads(spark: SparkSession, path: str, after: Mapping[str, int]) -> tuple[list[str], dict[str, int]]:
+    """The committed loads of a sink that came ``after`` a batch of each query, and the last batch of each."""
+    commits = _commits(spark, path)
+    there = {name.partition("=")[2] for name in names_at(spark, path) if name.startswith(f"{LOAD_COLUMN}=")}
+    new = [f"{q}-{batch}" for q, last in commits.items() for batch in range(after.get(q, -1) + 1, last + 1)]
+    return [load for load in new if load in there], commits
+
+
+def replace_loads(spark: SparkSession, staging: str, path: str) -> None:
+    """Put the loads that are complete in ``staging`` in the places of those at ``path``, one after another."""
+    for name in sorted(names_at(spark, staging)):
+        if name.startswith(f"{LOAD_COLUMN}="):
+            remove(spark, f"{path}/{name}")
+            move(spark, f"{staging}/{name}", f"{path}/{name}")
+
+
 def _finished(rows: DataFrame, path: str) -> DataFrame:
     hidden = unfinished(rows.sparkSession, path)
     return rows.where(~F.col(LOAD_COLUMN).isin(hidden)) if hidden else rows
@@ -451,10 +468,12 @@ def append_stream(
     *,
     fmt: str = DEFAULT_FORMAT,
     name: str | None = None,
+    counts: StreamCounts | None = None,
 ) -> str:
     """Drain a stream into a catalog table in append mode; give the query id.
 
-    Columns that the table lacks are added to it first.
+    Columns that the table lacks are added to it first. ``counts`` collects what
+    :func:`rowsieve.operators.metrics.watch_rules` counts on ``df``.
     """
     spark, bound = df.sparkSession, table
     table = base_of(spark, table)
@@ -465,7 +484,10 @@ def append_stream(
         writer = writer.queryName(name)
     if fmt in TRANSACTIONAL:
         writer = writer.option("mergeSchema", "true")
-    query = writer.trigger(availableNow=True).outputMode("append").toTable(table)
-    query.awaitTermination()
+    with counts or nullcontext():
+        query = writer.trigger(availableNow=True).outputMode("append").toTable(table)
+        if counts is not None:
+            counts.watch(query)
+        query.awaitTermination()
     return query.id
 

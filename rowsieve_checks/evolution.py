@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowsieve.operators.governance import Mask, base_of, bind_all, bind_policies
@@ -10,13 +10,14 @@ from rowsieve.operators.rules import compile_rules, register_rule
 from rowsieve.operators.split import TRACE_COLUMN, annotate
 from rowsieve.plans.contract import parse_contract
 from rowsieve.plans.dataflow import run
-from rowsieve.plans.layers import quality_layers, refresh
+from rowsieve.plans.layers import Layer, quality_layers, refresh
 from rowsieve.plans.ledger import Ledger
 from rowsieve.scratch import new_dir
+from rowsieve.sinks.layout import lay_out_loads
 from rowsieve.sinks.tables import append_table, overwrite_table, write_json
 from rowsieve.sources.files import file_stream, move, write_text
 from rowsieve.sources.rescue import read_json_rescued
-from rowsieve.streaming.loads import PathSink, read_loads, register_loads, write_load
+from rowsieve.streaming.loads import PathSink, drain, read_loads, register_loads, write_load
 from rowsieve_checks.inputs import PERSON_RULES, PERSON_SCHEMA, off_schema_lines, people, table
 from rowsieve_checks.loads import _database
 
@@ -262,7 +263,55 @@ def gold_after_rule_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{_layers_under_two_rules(spark, sf_dir)}.person_gold_office_stats")
 
 
+def stream_expectations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A streaming layer drops rows that break an expectation; its counts, over several batches and two refreshes."""
+    database, landing, checkpoint = _database(spark), new_dir(spark, "landing"), new_dir(spark, "checkpoint")
+    rows, counts = people(spark, sf_dir), []
+    for half in (0, 1):
+        write_json(rows.where(F.col("l_orderkey") % 2 == half).repartition(3), landing)
+        layer = Layer(
+            "person_ok",
+            lambda: file_stream(spark, landing, PERSON_SCHEMA, options={"maxFilesPerTrigger": 2}),
+            stream=True,
+            expectations=lambda frame: compile_rules(frame, PERSON_RULES, code_style="qualified"),
+        )
+        (report,) = refresh(spark, [layer], namespace=database, checkpoint=checkpoint)
+        counts += [(half, field, rule, failed, report.rows, report.dropped) for (field, rule), failed in report.failures.items()]
+    shape = "half BIGINT, field STRING, rule STRING, failed BIGINT, rows BIGINT, dropped BIGINT"
+    kept = spark.table(f"{database}.person_ok").groupBy((F.col("l_orderkey") % 2).alias("half")).agg(F.count(F.lit(1)).alias("kept"))
+    return spark.createDataFrame(counts, shape).join(kept, "half")
+
+
+def clustered_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loads laid out by two columns after they were written: the rows of each, and whether its files cover small ranges of both."""
+    out, landing = new_dir(spark, "laid-out"), new_dir(spark, "landing")
+    sink, checkpoint, rows = PathSink(f"{out}/rows"), f"{out}/checkpoint", people(spark, sf_dir)
+    for part in range(3):
+        write_json(rows.where(F.col("l_orderkey") % 3 == part).repartition(4), landing)
+        stream = file_stream(spark, landing, PERSON_SCHEMA)
+        drain(stream, checkpoint, lambda batch, q, n: write_load(batch, sink, q, n, checkpoint=checkpoint))
+        if part:  # the first call has two loads to lay out, the second one only the third
+            size = -(-rows.count() // 48)
+            lay_out_loads(spark, sink.path, PERSON_SCHEMA, ["l_orderkey", "age"], staging=f"{out}/staging", rows_per_file=size)
+    found = spark.read.parquet(sink.path).select("*", "_metadata.file_path")
+
+    def span(name: str) -> Column:
+        return F.max(name) - F.min(name)
+
+    whole = found.agg(span("l_orderkey").alias("all_keys"), span("age").alias("all_ages"))
+    files = found.groupBy("file_path").agg(span("l_orderkey").alias("keys"), span("age").alias("ages"), F.count(F.lit(1)).alias("n"), F.min("l_orderkey").alias("key"))
+    files = files.join(whole).groupBy((F.col("key") % 3).alias("part"))
+    return files.agg(
+        F.sum("n").alias("rows"),
+        (F.count(F.lit(1)) >= 8).alias("several_files"),
+        (F.avg(F.col("keys") / F.col("all_keys")) < 0.5).alias("few_keys"),
+        (F.avg(F.col("ages") / F.col("all_ages")) < 0.5).alias("few_ages"),
+    )
+
+
 QUERIES = {
+    "clustered_loads": clustered_loads,
+    "stream_expectations": stream_expectations,
     "layers_after_rule_change": layers_after_rule_change,
     "gold_after_rule_change": gold_after_rule_change,
     "bound_tables": bound_tables,
@@ -289,7 +338,18 @@ def oracle(person: str, codes: str, gold: str) -> dict[str, str]:
     wide = "CAST(a AS BIGINT) * b"
     zero = "CAST(0 AS BIGINT)"
     bad = "(office IS NULL OR office = '' OR age IS NULL OR age < 18 OR age >= 65)"
+    expected = "\n UNION ALL ".join(
+        f"""SELECT l_orderkey % 2 AS half, '{rule.split("_")[0]}' AS field, '{rule}' AS rule, count(*) FILTER ({broken}) AS failed,
+            count(*) FILTER (NOT {bad}) AS rows, count(*) FILTER ({bad}) AS dropped, count(*) FILTER (NOT {bad}) AS kept
+            FROM person GROUP BY 1"""
+        for rule, broken in {
+            "office_not_empty": "office IS NULL OR office = ''", "age_not_null": "age IS NULL", "age_must_be_adult": "age < 18", "age_not_retirement_age": "age >= 65",
+        }.items()
+    )
     return {
+        "clustered_loads": """SELECT l_orderkey % 3 AS part, count(*) AS rows, true AS several_files, true AS few_keys, true AS few_ages
+            FROM lineitem GROUP BY 1""",
+        "stream_expectations": f"{person} {expected}",
         "layers_after_rule_change": f"{person} SELECT l_orderkey, l_linenumber, {codes} AS codes FROM person",
         "gold_after_rule_change": gold,
         "bound_tables": f"""{person} SELECT l_orderkey, l_linenumber, 'REDACTED_PII' AS name, office,
