@@ -316,7 +316,8 @@ def _cleaner(automaton, max_coverage: float, min_length: int):
             out.append(_cut(raw, spans) if spans and keep[-1] else value.as_py())
         return pa.StructArray.from_arrays([pa.array(keep, pa.bool_()), pa.array(out, pa.string())], ["keep", "text"])
 
-    return clean
+    # Called so that Spark does not compute it once more for the filter.
+    return clean.asNondeterministic()
 
 
 def decontaminate(
