@@ -69,5 +69,5 @@ def test_query_equals_its_sql(spark, name):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(n.split("_")[0][2:]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n.split("_")[0][2:]) for n in queries.QUERIES) == list(range(1, 14))
     assert set(entry.LLM_QUERIES) == {*queries.QUERIES, "pipeline"} and set(entry.LLM_ORACLE) < set(entry.queries())
