@@ -1,4 +1,4 @@
-"""Memory that Python workers hold between tasks.
+"""Memory that Python workers hold between tasks, and disk that finished steps hold.
 
 Spark keeps workers for later tasks, and several per core where a stage has more than one Python
 step. What a task has freed stays with the allocators unless they are asked to give it back.
@@ -8,9 +8,11 @@ from __future__ import annotations
 
 import ctypes
 import functools
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
 
 @functools.cache
@@ -24,6 +26,15 @@ def give_back() -> None:
         _trim()(0)
 
 
+def let_go(spark: SparkSession) -> None:
+    """Have Spark delete shuffle files behind tables that are written by now.
+
+    It does so when the driver's JVM finds that nothing refers to them, which may be long after.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def tidy(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """``work`` over a task's batches, giving back freed memory when it is done."""
 

@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowsieve.llm.frames import crc_mod, table, texts
-from rowsieve.llm.memory import give_back, tidy
+from rowsieve.llm.memory import give_back, let_go, tidy
 from rowsieve.llm.words import LOWER_BYTES, Words, chunks, mixed, powers, text_bytes
 
 HELD_OUT = (7, 2)
@@ -89,6 +89,12 @@ def coded(n: np.ndarray) -> np.ndarray:
     return np.where(n < 64, n, np.minimum(high, 255)).astype(np.uint16)
 
 
+def coded_pair(zeros: np.ndarray, ones: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The codes of zeros and ones; of counts beyond the last code both are scaled down, which keeps their ratio."""
+    scale = np.minimum(1.0, COUNTS[255] / np.maximum(np.maximum(zeros, ones), 1))
+    return tuple(coded(np.where(n > 0, np.maximum(n * scale, 1), 0)) for n in (zeros, ones))
+
+
 #: For a pair of codes (of zeros, shifted by 8, and ones): the stretched probability of a one, and the count.
 _ZEROS, _ONES = COUNTS[np.arange(1 << 16) >> 8], COUNTS[np.arange(1 << 16) & 255]
 STRETCHED = np.log((_ONES + 0.4) / (_ZEROS + 0.4)).astype(np.float32)
@@ -168,10 +174,10 @@ def _batches_of(batches, *columns: str):
 def _table_blocks(batches):
     """Zeros and ones of every slot that a task's tokens reach, in blocks of slots."""
     size = _STARTS[-1]
-    counts = np.zeros(2 * size, np.float32)
+    counts = np.zeros(2 * size)
     for tokens, n in _batches_of(batches, "n"):
         contexts = Contexts(tokens)
-        weight = n.astype(np.float32)[contexts.token]
+        weight = n.astype(np.float64)[contexts.token]
         for bit in range(8):
             slots, ones = contexts.slots(bit)
             of_bit = ones * size
@@ -187,8 +193,9 @@ def _table_blocks(batches):
 def _summed(rows: pa.Table) -> pa.Table:
     total = np.zeros((2, BLOCK))
     for raw in rows.column("counts"):
-        total += np.frombuffer(zlib.decompress(raw.as_py()), np.float32).reshape(2, -1)
-    codes = (coded(np.rint(total[0])) << 8) | coded(np.rint(total[1]))
+        total += np.frombuffer(zlib.decompress(raw.as_py()), np.float64).reshape(2, -1)
+    zeros, ones = coded_pair(*total)
+    codes = (zeros << 8) | ones
     return pa.table({"block": rows.column("block")[:1], "codes": pa.array([codes.astype("<u2").tobytes()], pa.binary())})
 
 
@@ -247,7 +254,7 @@ def path_codes(pairs: np.ndarray, n: np.ndarray) -> np.ndarray:
         group = np.cumsum(np.concatenate([[False], node[1:] != node[:-1]])) if len(pairs) else np.zeros(0, np.int64)
         below = np.bincount(group, n)[group] if len(pairs) else np.zeros(0)
         if total is not None:
-            codes[level - 1], codes[level + 7] = coded(below), coded(total - below)
+            codes[level - 1], codes[level + 7] = coded_pair(below, total - below)
         total = below
     return codes
 
@@ -665,6 +672,7 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", he
     plain = plain.withColumn("held_out", crc_mod("doc_id", held_out[0]) == held_out[1]).withColumn("text", F.coalesce("text", F.lit("")))
     counted = plain.select("text", "held_out").mapInArrow(tidy(_token_counts), "token binary, n bigint, n_all bigint")
     counts = table(counted.groupBy("token").agg(F.sum("n").alias("n"), F.sum("n_all").alias("n_all")), "token-counts")
+    let_go(plain.sparkSession)
     total, distinct, tokens, size = counts.agg(
         F.coalesce(F.sum("n"), F.lit(0)),
         F.count(F.when(F.col("n") > 0, 1)),
@@ -674,15 +682,22 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", he
     lots = max(1, -(-size // LOT_BYTES))
     of_lots = counts.select("token", "n", F.pmod(F.xxhash64("token"), F.lit(lots)).alias("lot"))
     answered = answers(of_lots, size)
+    let_go(plain.sparkSession)
     mixer = train(counts.where("n > 0"), of_lots, answered)
+    let_go(plain.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(mixer)
     scored = of_lots.groupBy("lot").cogroup(answered.groupBy("lot")).applyInArrow(_scored(held, total), "token bigint, n bigint, score double")
+    scored = table(scored, "token-scores")
+    let_go(plain.sparkSession)
     dealt_to = max(1, -(-tokens // CHUNK_TOKENS))
     dealt = plain.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(dealt_to)))
     shares = max(1, -(-tokens // SHARE_PAIRS))
     asked = dealt.groupBy("chunk").applyInArrow(_requests(shares), "chunk bigint, token bigint, share bigint, pairs binary, n binary")
     asked = table(asked, "token-pairs")
+    let_go(plain.sparkSession)
     followed = asked.where("share is not null").groupBy("share").applyInArrow(_followed, "chunk bigint, share bigint, followed binary")
+    followed = table(followed, "token-followers")
+    let_go(plain.sparkSession)
     wanted = asked.where("share is null").select("chunk", "token")
     met = wanted.join(scored, "token").select("chunk", "token", "n", "score").unionByName(followed, allowMissingColumns=True)
     kind = dict(plain.dtypes)["doc_id"]

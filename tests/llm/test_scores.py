@@ -44,7 +44,7 @@ def test_predictions_are_a_distribution():
     counts = np.array([5, 3, 20, 9, 1])
     codes = np.zeros(mixing._STARTS[-1], np.uint16)
     for block in mixing._table_blocks([pa.RecordBatch.from_arrays([pa.array(tokens, pa.binary()), pa.array(counts)], ["token", "n"])]):
-        part = np.frombuffer(zlib.decompress(block.column(1)[0].as_py()), np.float32).reshape(2, -1)
+        part = np.frombuffer(zlib.decompress(block.column(1)[0].as_py()), np.float64).reshape(2, -1)
         start = block.column(0)[0].as_py() * mixing.BLOCK
         codes[start : start + part.shape[1]] = (mixing.coded(part[0]) << 8) | mixing.coded(part[1])
     mixer = mixing.Mixer(codes)
@@ -278,3 +278,15 @@ def test_sample_has_a_row_for_each_label(spark):
     assert Counter(g for _, g in sample) == {0: 1, 1: 2} and {t for t, g in sample if g} == {"other", None}
     again = [tuple(x) for x in ordinal.labelled_sample(docs.coalesce(1), labels, F.col("toxic"), 3, id_col="doc_id", text_col="text").collect()]
     assert Counter(again) == Counter(sample)
+
+
+@pytest.mark.parametrize(("zeros", "ones"), [(4e9, 2e8), (4e10, 4e9), (1e14, 1e14), (3e9, 7e12)])
+def test_counts_beyond_the_last_code_keep_their_ratio(zeros, ones):
+    a, b = (mixing.COUNTS[int(c[0])] for c in mixing.coded_pair(np.array([zeros]), np.array([ones])))
+    assert b / (a + b) == pytest.approx(ones / (zeros + ones), rel=0.07)
+
+
+def test_slot_counts_lose_nothing_beside_large_ones():
+    rows = pa.RecordBatch.from_arrays([pa.array([b"a"] * 3, pa.binary()), pa.array([2**24, 1, 1])], ["token", "n"])
+    blocks = [np.frombuffer(zlib.decompress(b.column("counts")[0].as_py())) for b in mixing._table_blocks([rows])]
+    assert {x for block in blocks for x in block[block > 0]} == {2**24 + 2}
