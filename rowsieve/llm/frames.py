@@ -28,10 +28,15 @@ def unused(df: DataFrame, name: str) -> str:
 
 def table(df: DataFrame, purpose: str) -> DataFrame:
     """Write the rows below the shared folder and read them back: cuts lineage, survives lost executors."""
+    return placed_table(df, purpose)[0]
+
+
+def placed_table(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
+    """:func:`table`, and its place, for one that is deleted once others are made from it."""
     spark = df.sparkSession
     place = new_dir(spark, purpose)
     df.write.parquet(place)
-    return spark.read.schema(df.schema).parquet(place)
+    return spark.read.schema(df.schema).parquet(place), place
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

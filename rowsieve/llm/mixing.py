@@ -44,9 +44,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowsieve.llm.frames import crc_mod, table, texts
+from rowsieve.llm.frames import crc_mod, placed_table, table, texts
 from rowsieve.llm.memory import give_back, let_go, tidy
 from rowsieve.llm.words import LOWER_BYTES, Words, chunks, mixed, powers, text_bytes
+from rowsieve.sources.files import remove
 
 HELD_OUT = (7, 2)
 #: Bytes of context (0: all of the token), and the bits of a table's address (0: counted by hash).
@@ -403,11 +404,11 @@ def _learned(held):
     return learned
 
 
-def answers(dealt: DataFrame, pairs: int) -> DataFrame:
-    """For each lot of ``dealt`` (token, n, lot) rows (lot, share, codes) with the codes of its pairs."""
+def answers(dealt: DataFrame, pairs: int) -> tuple[DataFrame, str]:
+    """For each lot of ``dealt`` (token, n, lot) rows (lot, share, codes) with the codes of its pairs, and their place."""
     shares = max(1, -(-pairs // SHARE_PAIRS))
     asked = dealt.groupBy("lot").applyInArrow(_asked(shares), "share bigint, lot bigint, pairs binary, n binary")
-    return table(asked.groupBy("share").applyInArrow(_answered, "lot bigint, share bigint, codes binary"), "context-codes")
+    return placed_table(asked.groupBy("share").applyInArrow(_answered, "lot bigint, share bigint, codes binary"), "context-codes")
 
 
 def train(counts: DataFrame, dealt: DataFrame, answered: DataFrame) -> Mixer:
@@ -681,24 +682,26 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", he
     ).first()
     lots = max(1, -(-size // LOT_BYTES))
     of_lots = counts.select("token", "n", F.pmod(F.xxhash64("token"), F.lit(lots)).alias("lot"))
-    answered = answers(of_lots, size)
+    answered, codes_at = answers(of_lots, size)
     let_go(plain.sparkSession)
     mixer = train(counts.where("n > 0"), of_lots, answered)
     let_go(plain.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(mixer)
     scored = of_lots.groupBy("lot").cogroup(answered.groupBy("lot")).applyInArrow(_scored(held, total), "token bigint, n bigint, score double")
     scored = table(scored, "token-scores")
+    remove(plain.sparkSession, codes_at)
     let_go(plain.sparkSession)
     dealt_to = max(1, -(-tokens // CHUNK_TOKENS))
     dealt = plain.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(dealt_to)))
     shares = max(1, -(-tokens // SHARE_PAIRS))
     asked = dealt.groupBy("chunk").applyInArrow(_requests(shares), "chunk bigint, token bigint, share bigint, pairs binary, n binary")
-    asked = table(asked, "token-pairs")
+    asked, asked_at = placed_table(asked, "token-pairs")
     let_go(plain.sparkSession)
     followed = asked.where("share is not null").groupBy("share").applyInArrow(_followed, "chunk bigint, share bigint, followed binary")
     followed = table(followed, "token-followers")
+    wanted = table(asked.where("share is null").select("chunk", "token"), "chunk-tokens")
+    remove(plain.sparkSession, asked_at)
     let_go(plain.sparkSession)
-    wanted = asked.where("share is null").select("chunk", "token")
     met = wanted.join(scored, "token").select("chunk", "token", "n", "score").unionByName(followed, allowMissingColumns=True)
     kind = dict(plain.dtypes)["doc_id"]
     schema = f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, n_bytes bigint, base_score double, score double"
