@@ -172,22 +172,45 @@ def _batches_of(batches, *columns: str):
             yield part.column("token").to_pylist(), *[part.column(c).to_numpy(zero_copy_only=False) for c in columns]
 
 
+class _Slots:
+    """Exact counts of slots, with memory for those blocks of them that any token has reached."""
+
+    def __init__(self, slots: int):
+        self.place = np.full(-(-slots // BLOCK), -1, np.int64)
+        self.counts = np.zeros((0, BLOCK))
+        self.used = 0
+
+    def add(self, slots: np.ndarray, weight: np.ndarray) -> None:
+        blocks = slots // BLOCK
+        new = np.flatnonzero(np.bincount(blocks[self.place[blocks] < 0], minlength=1))
+        if len(new):
+            self.place[new] = self.used + np.arange(len(new))
+            self.used += len(new)
+            if self.used > len(self.counts):
+                self.counts = np.concatenate([self.counts, np.zeros((self.used + 16 - len(self.counts), BLOCK))])
+        np.add.at(self.counts.reshape(-1), self.place[blocks] * BLOCK + slots % BLOCK, weight)
+
+    def block(self, number: int) -> np.ndarray | None:
+        return None if self.place[number] < 0 else self.counts[self.place[number]]
+
+
 def _table_blocks(batches):
     """Zeros and ones of every slot that a task's tokens reach, in blocks of slots."""
-    size = _STARTS[-1]
-    counts = np.zeros(2 * size)
+    size = int(_STARTS[-1])
+    zeros_and_ones = _Slots(2 * size)
     for tokens, n in _batches_of(batches, "n"):
         contexts = Contexts(tokens)
         weight = n.astype(np.float64)[contexts.token]
         for bit in range(8):
             slots, ones = contexts.slots(bit)
-            of_bit = ones * size
+            of_bit = ones.astype(np.int64) * size
             for start, slot in zip(_STARTS, slots, strict=False):
-                np.add.at(counts, slot + (of_bit + start), weight)
-    counts = counts.reshape(2, size)
-    for block, start in enumerate(range(0, _STARTS[-1], BLOCK)):
-        part = counts[:, start : start + BLOCK]
-        if part.any():
+                zeros_and_ones.add(slot + (of_bit + start), weight)
+    none = np.zeros(BLOCK)
+    for block in range(size // BLOCK):
+        parts = [zeros_and_ones.block(block), zeros_and_ones.block(size // BLOCK + block)]
+        if any(part is not None for part in parts):
+            part = np.stack([none if part is None else part for part in parts])
             yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())], ["block", "counts"])
 
 
