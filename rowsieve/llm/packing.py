@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import functools
 import heapq
+import json
 import os
 import re
 import sys
@@ -47,12 +48,39 @@ _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _AS_LETTERS = {b: 256 + i for i, b in enumerate(x for x in range(256) if x not in _PRINTABLE)}
 
 
+#: How a tokenizer normalises and cuts texts for which ``_PARTS`` gives its parts.
+_NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+}
+_PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {
+            "type": "Split",
+            "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+            "behavior": "Removed",
+            "invert": True,
+        },
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+
+
+def cuts_words(tokenizer) -> bool:
+    """Whether a tokenizer cuts texts as ``_PARTS`` does and does nothing after that."""
+    facts = json.loads(tokenizer.to_str())
+    plain = facts["post_processor"] is None and all(t["content"].startswith("<|") for t in facts["added_tokens"])
+    return plain and facts["normalizer"] == _NORMALIZER and facts["pre_tokenizer"] == _PRE_TOKENIZER
+
+
 class WordIds:
     """The ids of texts, as little-endian unsigned 32-bit numbers.
 
     The tokenizer cuts a text into parts (words, single digits, runs of signs) and merges within
     parts only. Texts of Latin-1 characters are cut here by the same pattern, and the ids of each
-    part are computed once; other texts go through the tokenizer as they are.
+    part are computed once; other texts, and all texts of a tokenizer that cuts them otherwise
+    (:func:`cuts_words`), go through the tokenizer as they are.
     """
 
     def __init__(self, path: str):
@@ -61,6 +89,7 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.merge = self.tokenizer.model.tokenize
+        self.cut_here = cuts_words(self.tokenizer)
         self.known: dict[str, bytes] = {}
 
     def part(self, part: str) -> bytes:
@@ -72,7 +101,7 @@ class WordIds:
     def text(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if _OTHER.search(text):
+        if not self.cut_here or _OTHER.search(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         parts = _PARTS.findall(text.lower())
         ids = list(map(self.known.get, parts))

@@ -226,3 +226,16 @@ def test_hamming_search_in_wide_vectors(spark):
         expected.update((q, n + 1, i, d) for n, (d, i) in enumerate(ranked))
     found = hamming.search(df, df.where("vec_id % 20 = 0 and vec_id < 80"), k=5).collect()
     assert Counter((x.query_id, x["rank"], x.id, x.distance) for x in found) == expected
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_ids_of_other_tokenizers(name):
+    import numpy as np
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(name)
+    words, whole = packing.WordIds(path), Tokenizer.from_file(path)
+    assert words.cut_here == (name == "word_bpe_49k.json")
+    for text in ["Hello world", "  it's 12 o'clock\n\nNOW!", "Ünï cödé – “quotes” 中文", "<|endoftext|> a", *[t for _, t in odd_texts() if t and len(t) < 2000]]:
+        assert np.frombuffer(words.text(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
