@@ -16,6 +16,7 @@ PERSON_COLUMNS = """
 """
 PERSON_SCHEMA = "l_orderkey BIGINT, l_linenumber INT, name STRING, age INT, office STRING"
 
+# The production rules.
 PERSON_RULES = [
     {"field": "office", "validations": ["notEmpty"]},
     {

@@ -31,6 +31,7 @@ from rowsieve.scratch import new_dir  # noqa: E402
 from rowsieve.sinks.tables import write_noop  # noqa: E402
 from rowsieve.sources.files import file_stream, read_files  # noqa: E402
 from rowsieve.sources.rescue import read_json_rescued  # noqa: E402
+from rowsieve_checks.inputs import PERSON_RULES as RULES  # noqa: E402
 from rowsieve.streaming.loads import (  # noqa: E402
     PathSink,
     drain,
@@ -39,16 +40,6 @@ from rowsieve.streaming.loads import (  # noqa: E402
     write_load,
 )
 
-RULES = [
-    {"field": "office", "validations": ["notEmpty"]},
-    {
-        "field": "age",
-        "validations": ["notNull", "isAdult"],
-        "sql_expressions": [{"error_code": "not_retirement_age", "expression": "age < 65"}],
-    },
-]
-
-
 def best(action, runs: int = 3) -> float:
     timings = []
     for _ in range(runs + 1):
