@@ -290,3 +290,35 @@ def test_slot_counts_lose_nothing_beside_large_ones():
     rows = pa.RecordBatch.from_arrays([pa.array([b"a"] * 3, pa.binary()), pa.array([2**24, 1, 1])], ["token", "n"])
     blocks = [np.frombuffer(zlib.decompress(b.column("counts")[0].as_py())) for b in mixing._table_blocks([rows])]
     assert {x for block in blocks for x in block[block > 0]} == {2**24 + 2}
+
+
+def test_ordinal_fit_is_a_minimum_of_the_plain_loss():
+    """The cumulative-link loss written out in plain Python: flat at the fit by differences, and higher around it."""
+    pick = random.Random(8)
+    rows, grades = [], []
+    for _ in range(60):
+        row = [pick.uniform(-1, 1) for _ in range(3)]
+        rows.append(row)
+        grades.append(sum(2 * row[0] - row[1] + pick.gauss(0, 0.7) > t for t in (-0.8, 0.9)))
+    l2 = 0.05
+
+    def loss(w, thresholds):
+        total = 0.0
+        for row, grade in zip(rows, grades):
+            latent = sum(a * b for a, b in zip(w, row))
+            tail = [1.0, *(1 / (1 + math.exp(t - latent)) for t in thresholds), 0.0]
+            total -= math.log(tail[grade] - tail[grade + 1])
+        return total / len(rows) + l2 / 2 * sum(a * a for a in w)
+
+    places = [np.arange(3)] * len(rows)
+    x = ordinal.Sparse(places, [np.array(r) for r in rows], 3)
+    w, thresholds = ordinal.fit(x, np.array(grades), 3, l2=l2, steps=4000, rate=0.01)
+    at, best = [*w, *thresholds], loss(w, thresholds)
+    for i in range(5):
+        near = [[a + step * (i == j) for j, a in enumerate(at)] for step in (1e-4, -1e-4)]
+        up, down = (loss(n[:3], n[3:]) for n in near)
+        assert abs(up - down) / 2e-4 < 2e-3
+    for _ in range(50):
+        other = [a + pick.gauss(0, 0.2) for a in at]
+        if other[3] < other[4]:
+            assert loss(other[:3], other[3:]) >= best - 1e-6
