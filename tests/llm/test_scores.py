@@ -1,7 +1,9 @@
 """Language-model, toxicity and quality scores: exact parts against plain versions, the rest by held-out results."""
 
+import itertools
 import math
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -322,3 +324,48 @@ def test_ordinal_fit_is_a_minimum_of_the_plain_loss():
         other = [a + pick.gauss(0, 0.2) for a in at]
         if other[3] < other[4]:
             assert loss(other[:3], other[3:]) >= best - 1e-6
+
+
+def best_path(token, trigrams):
+    """The best of all paths through a token's lattice, each costed from its beginning."""
+    ends = len(token.rstrip(b"!"))
+
+    def choices(i):
+        char = chr(token[i])
+        if char in toxicity.LEET:
+            kept = toxicity.AT_END if i >= ends else toxicity.AS_ITSELF
+            inner = [(toxicity.LEFT_OUT, "")] if 0 < i < len(token) - 1 else []
+            return [*((toxicity.AS_LETTER, c) for c in toxicity.LEET[char]), (kept, char), *inner]
+        run = len(re.match(re.escape(char) + "+", token.decode()[i:])[0]) + len(re.search(f"(?:{re.escape(char)})*$", token.decode()[:i])[0])
+        if run >= 3 and i and token[i - 1] == token[i]:
+            return [(toxicity.ONCE_MORE, char), (toxicity.ONCE_MORE_OUT, "")]
+        return [(0.0, char)]
+
+    def symbol(char):
+        return ord(char) - 96 if char.isalpha() else 0
+
+    def cost(path):
+        x = y = total = 0
+        for i, (extra, char) in enumerate(path):
+            total += extra
+            if not char:
+                continue
+            z = symbol(char)
+            digits = i and chr(token[i - 1]).isdigit() and chr(token[i]).isdigit()
+            if y or z or not i or not (i > ends or digits):
+                total += trigrams[x, y, z]
+            x, y = (y if z else 0), z
+        return total + (0.0 if ends < len(token) and not y else trigrams[x, y, 0])
+
+    return "".join(char for _, char in max(itertools.product(*map(choices, range(len(token)))), key=cost)).encode()
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_restored_words_are_the_best_of_all_paths(seed):
+    pick = np.random.default_rng(seed)
+    trigrams = np.log(pick.dirichlet(np.full(toxicity.SYMBOLS, 0.3), (toxicity.SYMBOLS, toxicity.SYMBOLS)) + 1e-6)
+    decoder = toxicity.Decoder(trigrams)
+    words = [b"1d10t", b"a55", b"$h1+", b"l00ser", b"iddiiot", b"heeeey", b"ha!!!", b"3rd", b"100x0", b"|00l!"]
+    words += [bytes(pick.choice(list(b"abc014!$|2"), int(pick.integers(2, 7))).tolist()) for _ in range(25)]
+    for word in words:
+        assert decoder.decode(word) == best_path(word, trigrams), word
