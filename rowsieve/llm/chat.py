@@ -16,7 +16,8 @@ one backslash away restores it. In roles, backslash and line feed are escaped.
 
 Defined results: a null text adds nothing, a null role is empty, a null kind is a message; rows whose
 conversation is null are one conversation; ties of sequence number go by role, kind and text; rows
-without a turn come first; other columns are not read. A conversation is one row of the result
+without a turn come first, and no regeneration removes them; an empty log has no conversations; other
+columns are not read. A conversation is one row of the result
 and is put together in one task, as its rendering is one string; its parts stay spread until then.
 """
 
@@ -73,6 +74,7 @@ def fold(
     until = W.unboundedPreceding
     earlier = W.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first()).rangeBetween(until, -1)
     removed = F.max(F.when(F.col("kind") == "regenerate", F.col("seq"))).over(earlier)
+    removed = F.when(F.col("turn").isNotNull(), removed)  # a window's range takes rows without a turn as before each other
     rows = rows.withColumn("removed", removed).where(F.coalesce(F.col("seq") >= F.col("removed"), F.lit(True)))
     order = [F.col("seq").asc_nulls_first(), "role", "kind", "text"]
     of_turn = W.partitionBy("conv_id", "turn").orderBy(*order).rowsBetween(until, 0)
@@ -145,3 +147,57 @@ def events_of_turns(turns: DataFrame, *, conv: str = "conv_id", turn: str = "tur
         column(turns, role).alias("role"),
         column(turns, text).alias("text"),
     )
+
+
+#: What a streamed turn says before it is edited or regenerated.
+DRAFT = "</s> draft"
+#: Events that a row of a table of turns becomes, one after another: kind and text; ``ahead`` is a draft of the turn after.
+STREAMED = {
+    # Edited, its next turn begun too early, then regenerated, which takes all that away.
+    0: (("message", "draft"), ("edit", "draft"), ("message", "ahead"), ("regenerate", "first"), ("delta", "second")),
+    # Regenerated, then edited, and the edit goes on.
+    1: (("message", "draft"), ("delta", "draft"), ("regenerate", "draft"), ("edit", "first"), ("delta", "second")),
+}
+
+
+def streamed(turns: DataFrame, *, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
+    """A log of a service that streams the turns of a table, with drafts that edits and regenerations replace.
+
+    A conversation's rows are numbered by turn (null first), role and text, and each becomes five events in that
+    order, by turns as in ``STREAMED``; folded, the log gives the table again. A null text or role is empty.
+    """
+    rows = turns.select(
+        column(turns, conv).alias("conv_id"),
+        column(turns, turn).cast("bigint").alias("turn"),
+        F.coalesce(column(turns, role), F.lit("")).alias("role"),
+        F.coalesce(column(turns, text), F.lit("")).alias("text"),
+    )
+    order = W.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
+    rows = rows.withColumn("at", F.row_number().over(order).cast("bigint"))
+    half = F.floor(F.length("text") / 2).cast("int")
+    said = {
+        "draft": F.lit(DRAFT),
+        "ahead": F.lit(DRAFT),
+        "first": F.substr("text", F.lit(1), half),
+        "second": F.substr("text", half + 1),
+    }
+    after = F.try_add(F.col("turn"), F.lit(1))
+
+    def log(events) -> Column:
+        return F.array(
+            *[
+                F.struct(
+                    (F.col("at") * 8 + i).alias("seq"),
+                    (after if what == "ahead" else F.col("turn")).alias("turn"),
+                    F.lit(kind).alias("kind"),
+                    said[what].alias("text"),
+                    F.lit(what == "ahead").alias("ahead"),
+                )
+                for i, (kind, what) in enumerate(events)
+            ]
+        )
+
+    events = F.when(F.col("at") % 2 == 0, log(STREAMED[0])).otherwise(log(STREAMED[1]))
+    rows = rows.select("conv_id", "role", F.inline(events))
+    # There is no turn after one that has no number or the largest one.
+    return rows.where("turn is not null or not ahead").select("conv_id", "seq", "turn", "kind", "role", "text")

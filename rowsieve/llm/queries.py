@@ -60,7 +60,7 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(said).alias("text"),
     )
     turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
-    return chat.read_back(chat.render(chat.fold(chat.events_of_turns(turns))))
+    return chat.read_back(chat.render(chat.fold(chat.streamed(turns))))
 
 
 def quality_model(docs: DataFrame, labels: DataFrame) -> quality.Model:

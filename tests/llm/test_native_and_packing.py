@@ -107,6 +107,37 @@ def test_folding_of_events(spark):
     assert not re.search(PYTHON, plan_of(chat.read_back(chat.render(chat.fold(events)))))
 
 
+def test_streamed_log_gives_the_turns_again(spark):
+    r = random.Random(12)
+    rows = [(c, t, r.choice(["user", "assistant"]), "".join(r.choices("ab </s>🙂", k=r.randint(0, 9)))) for c in range(6) for t in range(r.randint(1, 7))]
+    rows += [(7, None, "user", "x"), (7, None, "assistant", "y"), (7, 0, None, None), (7, 2**63 - 1, "user", "last"), (7, 2**63 - 1, "user", "last")]
+    rows += [(None, i % 3, "assistant", f"hot {i % 5}") for i in range(len(rows))]  # a third and more of all rows, with ties
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    log = chat.streamed(turns)
+    kinds = Counter(x.kind for x in log.collect())
+    assert set(kinds) == {"message", "delta", "edit", "regenerate"} and kinds["regenerate"] == len(rows)
+
+    def known(n):
+        return -1 if n is None else n
+
+    found = sorted((known(x.conv_id), known(x.turn), x.part, x.role, x.text) for x in chat.fold(log).collect())
+    assert not any(chat.DRAFT in x[-1] for x in found)
+    expected, part = [], Counter()
+    for c, t, role, text in sorted((known(c), known(t), role or "", text or "") for c, t, role, text in rows):
+        part[c, t] += 1
+        expected.append((c, t, part[c, t], role, text))
+    assert found == sorted(expected)
+    assert chat.streamed(turns.limit(0)).count() == 0
+    plan = plan_of(chat.read_back(chat.render(chat.fold(log))))
+    assert not re.search(PYTHON, plan) and len(re.findall(r"(?m)^\(\d+\) Exchange$", plan)) == 1
+
+
+def test_regeneration_leaves_rows_without_a_turn(spark):
+    rows = [(1, 1, None, "message", "user", "a"), (1, 2, None, "message", "user", "b"), (1, 3, None, "regenerate", "user", "c")]
+    events = spark.createDataFrame([(*r, "z", "z") for r in rows], EVENTS)
+    assert sorted((x.part, x.text) for x in chat.fold(events).collect()) == [(1, "a"), (2, "c")]
+
+
 @settings(max_examples=5, deadline=None)
 @given(texts=st.lists(st.text(st.sampled_from("<>[]/\\|sINSTYim_endart \n"), max_size=40), min_size=30, max_size=30))
 def test_any_text_survives_the_template(spark, texts):
