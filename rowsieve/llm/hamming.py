@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rowsieve.llm.frames import column, table
+from rowsieve.llm.frames import column, shuffle_partitions, table
 
 BITS = 64
 SEGMENT = 16
@@ -114,11 +114,13 @@ def search(
     best = None
     done: list[DataFrame] = []
     for radius in range(segment + 1):
-        probes = open_.select("query_code", _segments(F.col("query_code"), segment, words))
+        # One small file, of which many tasks make the probes.
+        spread = open_.repartition(shuffle_partitions(rows.sparkSession), "query_code")
+        probes = spread.select("query_code", _segments(F.col("query_code"), segment, words))
         probes = probes.select("query_code", "segment", "value", F.explode(_patterns(segment, radius)).alias("pattern"))
         probes = probes.select("query_code", "segment", F.col("value").bitwiseXOR(F.col("pattern")).alias("value"))
         # Probes are too large to be sent everywhere, which their estimated size does not show.
-        hits = probes.join(index.hint("merge"), ["segment", "value"]).select("query_code", "code").distinct()
+        hits = probes.join(index.hint("merge"), ["segment", "value"])
         distance = _distance(F.col("query_code"), F.col("code"), words)
         near = hits.select("query_code", "code", distance.alias("distance"))
         if best is not None:
