@@ -1,7 +1,7 @@
 """Near duplicates by HyperMinHash: compressed registers, banding, estimation, exact verification.
 
-1. A text's distinct word shingles are hashed. Texts with the same set are one class, known by a
-   digest of the set, and go on as one.
+1. A text's distinct word shingles are hashed. Texts with the same set (its digest tells) are one class
+   with a number, and go on as one.
 2. Of each of ``FUNCTIONS`` hash functions the shingles are dealt to ``BUCKETS`` buckets, and of a
    bucket's smallest hash the register keeps the number of leading zeros and some mantissa bits:
    one byte. ``ROWS`` registers are a band; classes that agree on a band are in one bucket of it.
@@ -24,7 +24,8 @@ each task that sees it until its members are paired, so it does not pile up in o
 
 Defined results: a null text, or one without words, has an empty set and is linked with nothing; a
 null id is linked with nothing, its component is null and it is kept; rows with the same id are one
-document in components, and each has its row; other columns are not read.
+document in components, and each has its row; texts are handled whole, and a very long one is a large
+set in one task; without documents there are no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -63,7 +64,7 @@ GROWTH = 64
 
 _SEEDS = mixed(np.arange(1001, 1001 + REGISTERS, dtype=np.uint64))
 _ODD = mixed(np.arange(1, FUNCTIONS + 1, dtype=np.uint64)) | np.uint64(1)
-_SKETCH = "doc_id bigint, n int, class binary, registers binary, parity array<bigint>"
+_SKETCH = "doc_id bigint, n int, digest binary, registers binary, parity array<bigint>"
 
 
 def shingles(texts: pa.Array, size: int = SHINGLE) -> tuple[list[np.ndarray], Words]:
@@ -164,7 +165,7 @@ def _sketch(size: int):
                         pa.array(kept, pa.binary()),
                         pa.array([parity(s) for s in sets], pa.list_(pa.int64())),
                     ],
-                    ["doc_id", "n", "class", "registers", "parity"],
+                    ["doc_id", "n", "digest", "registers", "parity"],
                 )
 
     return sketch
@@ -199,7 +200,7 @@ def _keys(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(keys), np.concatenate(places)
 
 
-_BUCKET = "route bigint, known boolean, bucket bigint, class binary"
+_BUCKET = "route bigint, known boolean, bucket bigint, class bigint"
 
 
 def _gathered(keys: np.ndarray, classes: pa.Array) -> pa.RecordBatch:
@@ -269,8 +270,9 @@ def _sets(size: int):
             for part in chunks(batch, batch.column("text"), CHUNK_BYTES):
                 found, _ = shingles(part.column("text"), size)
                 digests = pa.array([digest(s) for s in found], pa.binary())
-                out = pa.RecordBatch.from_arrays([digests, pa.array([s.tobytes() for s in found], pa.binary())], ["class", "set"])
-                yield out.filter(pc.equal(digests, part.column("class")))
+                whole = pa.array([s.tobytes() for s in found], pa.binary())
+                out = pa.RecordBatch.from_arrays([part.column("class"), whole], ["class", "set"])
+                yield out.filter(pc.equal(digests, part.column("digest")))
 
     return sets
 
@@ -320,8 +322,8 @@ def _links(buckets: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame
             pairs = pairs.where(apart <= (F.col("n") + F.col("pivot_n")) * (SIMILAR[1] - SIMILAR[0]))
         pairs = pairs.select(F.least("class", "pivot").alias("a"), F.greatest("class", "pivot").alias("b")).distinct()
         # Written, so that a task never has two Python steps, whose workers would stand beside each other.
-        near = table(_paired(pairs, classes, ["n", "registers"]).mapInArrow(tidy(_estimated), "a binary, b binary"), "near")
-        links = _paired(near, sets, ["set"]).mapInArrow(tidy(_confirmed), "a binary, b binary")
+        near = table(_paired(pairs, classes, ["n", "registers"]).mapInArrow(tidy(_estimated), "a bigint, b bigint"), "near")
+        links = _paired(near, sets, ["set"]).mapInArrow(tidy(_confirmed), "a bigint, b bigint")
         if labels is not None:
             for side in ("a", "b"):
                 named = labels.select(F.col("node").alias(side), F.col("label").alias(f"label_{side}"))
@@ -343,28 +345,30 @@ def clusters(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     """Per document: doc_id, n_shingles, component_id, kept (whether it has the smallest id of its component)."""
     plain = texts(docs, id_col, text_col)
     sketches = table(plain.mapInArrow(tidy(_sketch(shingle)), _sketch_schema(plain)), "sketches")
-    classes = sketches.where("class is not null").groupBy("class").agg(
+    classes = sketches.where("digest is not null").groupBy("digest").agg(
         F.min("doc_id").alias("doc_id"), F.any_value("n").alias("n"), F.any_value("registers").alias("registers"), F.any_value("parity").alias("parity")
     )
-    classes = table(classes, "classes")
+    # Numbers, which tasks sort and add up with less than digests; the table that is written fixes them.
+    classes = table(classes.withColumn("class", F.monotonically_increasing_id()), "classes")
     gathered = classes.select("class", "n", "registers").mapInArrow(tidy(_buckets), _BUCKET)
     route = W.partitionBy("route")
     buckets = gathered.withColumns({"size": F.count("*").over(route), "any": F.max("known").over(route)})
     buckets = table(buckets.where("any or size > 1").select("bucket", "class"), "buckets")
     wanted = buckets.select("class").distinct()
-    heads = classes.join(wanted, "class", "left_semi").select("doc_id", "class")
-    sets = plain.join(heads, "doc_id").select("class", "text").mapInArrow(tidy(_sets(shingle)), "class binary, set binary")
+    heads = classes.join(wanted, "class", "left_semi").select("doc_id", "class", "digest")
+    sets = plain.join(heads, "doc_id").select("class", "digest", "text").mapInArrow(tidy(_sets(shingle)), "class bigint, set binary")
     # A class may have come from a row among several with this id; each set is needed once.
     sets = table(sets.groupBy("class").agg(F.any_value("set").alias("set")), "sets")
     labels = _links(buckets, classes, sets)
-    members = classes.select("class", F.col("doc_id").alias("component_id"))
+    members = classes.select("class", "digest", F.col("doc_id").alias("component_id"))
     if labels is not None:
         members = members.join(labels.withColumnRenamed("node", "class"), "class", "left")
         members = members.withColumn("label", F.coalesce("label", "class"))
         least = members.groupBy("label").agg(F.min("component_id").alias("component_id"))
-        members = members.select("class", "label").join(least, "label").select("class", "component_id")
-    found = sketches.select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), "class").join(members, "class", "left")
-    component = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+        members = members.select("digest", "label").join(least, "label")
+    members = members.select("digest", "component_id")
+    found = sketches.select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), "digest").join(members, "digest", "left")
+    component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return found.select(
         "doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id").isNull() | (F.col("doc_id") == component)).alias("kept")
     )
