@@ -14,8 +14,8 @@
    classes that are not connected; so no link between components is lost, and a group of many near
    copies costs about its size, not its square. After the first round a pair is made only if the
    parities of its sets allow the similarity asked for; that bound is exact.
-4. A pair's similarity is estimated by equal registers, corrected for those that agree by chance;
-   pairs that are far below the threshold (over six standard deviations) are dropped. The others
+4. A pair's similarity is estimated by equal registers, corrected for those that agree by chance, as
+   the sizes of both sets and the buckets they fill make it likely; pairs that are far below the threshold (over six standard deviations) are dropped. The others
    are confirmed on the full sets.
 5. Links become components, whose smallest document id names them.
 
@@ -57,6 +57,8 @@ PARITY_BITS = 1024
 #: Sets up to this size have registers of the whole set.
 SMALL = 64
 CHUNK_BYTES = 1 << 20
+#: Pairs whose sizes are looked at together, of which each takes about 25 kB.
+SIZES_AT_ONCE = 500
 #: Keys that a task brings together before it sends them on.
 GATHER_KEYS = 1 << 20
 #: Pivots of a bucket in the first round; each round has so many times more.
@@ -122,18 +124,47 @@ def whole_registers(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-#: The probability that registers of unrelated sets agree: equal zeros (1/2, 1/4, ...) and mantissa.
-CHANCE = sum(0.25**i for i in range(1, 16)) / 16
+#: Of each register's code the intervals of the least hash (between 0 and 1) that it stands for; the last zeros take all smaller ones.
+_ZEROS, _MANTISSA = (x.ravel() for x in np.indices((61, 16)))
+_CODE = np.minimum(_ZEROS, 15) * 16 + _MANTISSA
+_LOW, _HIGH = (np.exp2(-1.0 - _ZEROS) * (1 + (_MANTISSA + m) / 16) for m in (0, 1))
 
 
-def estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Jaccard similarity of pairs of rows of registers, corrected for agreement by chance."""
+def code_shares(n: np.ndarray, whole: bool) -> np.ndarray:
+    """The probability of each code (a column) in a register of a set of ``n`` hashes, dealt to buckets or ``whole``."""
+    buckets = 1 if whole else BUCKETS
+    n = np.asarray(n, np.float64)[:, None]
+    shares = np.exp(n * np.log1p(-_LOW / buckets)) - np.exp(n * np.log1p(-np.minimum(_HIGH, 1 - 1e-9) / buckets))
+    out = np.zeros((len(n), 256))
+    np.add.at(out.T, _CODE, shares.T)
+    if not whole:  # an empty bucket has the first code
+        out[:, 0] += np.exp(n[:, 0] * np.log1p(-1 / BUCKETS))
+    return out
+
+
+def chance(n_a: np.ndarray, n_b: np.ndarray, whole: bool) -> np.ndarray:
+    """The probability that registers of two sets of these sizes agree without a common least hash."""
+    out = np.empty(len(n_a))
+    for start in range(0, len(n_a), SIZES_AT_ONCE):
+        here = slice(start, start + SIZES_AT_ONCE)
+        sizes, place = np.unique(np.concatenate([n_a[here], n_b[here]]), return_inverse=True)
+        shares = code_shares(sizes, whole)
+        a, b = np.split(place, 2)
+        out[here] = np.einsum("ij,ij->i", shares[a], shares[b])
+    return out
+
+
+def estimate(a: np.ndarray, b: np.ndarray, by_chance: np.ndarray) -> np.ndarray:
+    """Jaccard similarity of pairs of rows of registers, corrected for those that agree ``by_chance``."""
     equal = (a == b).mean(axis=1)
-    return np.clip((equal - CHANCE) / (1 - CHANCE), 0, 1)
+    return np.clip((equal - by_chance) / (1 - by_chance), 0, 1)
 
 
-#: Estimates below this are dropped: 0.75 less six standard deviations of an estimate.
-LEAST_ESTIMATE = 0.75 - 6 * float(np.sqrt(0.75 * 0.25 / REGISTERS)) / (1 - CHANCE)
+def least_estimate(by_chance: np.ndarray) -> np.ndarray:
+    """Pairs estimated below this are dropped: the threshold less six standard deviations of an estimate."""
+    similar = SIMILAR[0] / SIMILAR[1]
+    equal = similar + (1 - similar) * by_chance
+    return similar - 6 * np.sqrt(equal * (1 - equal) / REGISTERS) / (1 - by_chance)
 
 
 def parity(shingles: np.ndarray) -> np.ndarray:
@@ -249,7 +280,8 @@ def _estimated(batches):
             which = np.flatnonzero(keep & (small == kind))
             if len(which):
                 rows = [_rows(d, m, which, kind) for d, m in zip(data, n, strict=True)]
-                keep[which] = estimate(*rows) >= LEAST_ESTIMATE
+                by_chance = chance(*[m[which] for m in n], kind)
+                keep[which] = estimate(*rows, by_chance) >= least_estimate(by_chance)
         yield batch.select(["a", "b"]).filter(pa.array(keep))
 
 

@@ -3,6 +3,9 @@
 import random
 from collections import Counter
 
+import numpy as np
+import pytest
+
 from rowsieve.llm import components, decontaminate, neardup, substrings
 from tests.llm import brute
 from tests.llm.conftest import odd_items, odd_texts
@@ -125,22 +128,40 @@ def test_components_of_chains_and_stars(spark):
     assert {(n, b) for n, b in found.collect()} == {(i, 0) for i in [*range(1, 61), *range(100, 130)]}
 
 
-def test_estimates_are_close():
-    import numpy as np
-
+@pytest.mark.parametrize("n_a, n_b, whole", [(70, 90, False), (1000, 800, False), (3000, 9000, False), (20, 30, True), (64, 50, True)])
+def test_estimates_are_close(n_a, n_b, whole):
+    """Registers agree by chance as often as is computed, and estimates have no bias and the spread of their method."""
     r = np.random.default_rng(5)
-    common = r.integers(0, 2**63, 3000).astype(np.uint64)
-    for share in (0.5, 0.75, 0.9):
-        n = int(1000 * (1 - share) / (2 * share) * 2)
-        a, b = (np.unique(np.concatenate([common[:1000], r.integers(0, 2**63, n // 2).astype(np.uint64)])) for _ in range(2))
-        true = 1000 / (len(a) + len(b) - 1000)
-        x = neardup.registers([a, b])
-        assert abs(neardup.estimate(x[:1], x[1:])[0] - true) < 0.12
+    registers = neardup.whole_registers if whole else neardup.registers
+
+    def some(n):
+        return r.integers(0, 2**64, n, dtype=np.uint64)
+
+    for share in (0.0, 0.5, 0.75, 0.9):
+        errors = []
+        for _ in range(40):
+            common = some(int(share * min(n_a, n_b)))
+            a, b = (np.unique(np.concatenate([common, some(n - len(common))])) for n in (n_a, n_b))
+            by_chance = neardup.chance(np.array([len(a)]), np.array([len(b)]), whole)
+            x = registers([a, b])
+            equal = (x[0] == x[1]).mean()
+            errors.append((equal - by_chance[0]) / (1 - by_chance[0]) - len(common) / (len(a) + len(b) - len(common)))
+            assert abs(neardup.estimate(x[:1], x[1:], by_chance)[0] - max(0, equal - by_chance[0]) / (1 - by_chance[0])) < 1e-9
+        true = len(common) / (n_a + n_b - len(common))
+        spread = np.sqrt(max(true * (1 - true), 0.012) / neardup.REGISTERS)
+        assert abs(np.mean(errors)) < 4 * spread / np.sqrt(len(errors)) and np.max(np.abs(errors)) < 6 * spread
+
+
+@pytest.mark.parametrize("whole", [False, True])
+def test_codes_have_the_shares_computed(whole):
+    for n in (1, 5, 65, 1000, 10**6, 10**9):
+        shares = neardup.code_shares(np.array([n]), whole)[0]
+        assert abs(shares.sum() - 1) < 1e-6 and shares.min() >= 0
+    # More hashes than leading zeros can tell apart leave the mantissa, whose sixteen values are nearly as likely as each other.
+    assert 1 / 16 <= neardup.chance(np.array([10**9]), np.array([10**9]), whole)[0] < 0.07
 
 
 def test_parity_bounds_the_difference():
-    import numpy as np
-
     r = np.random.default_rng(6)
     for n in (5, 60, 400, 3000):
         a = np.unique(r.integers(0, 2**63, n).astype(np.uint64) * np.uint64(2))
