@@ -16,7 +16,8 @@ Texts that are equal are handled as one text that occurs several times.
 
 Windows are judged on the input, not on what is left. Defined results: a null text has no words;
 texts shorter than the window lose nothing; a repeated row is a copy, even of a null id; other
-columns are left alone whatever their names. A text of any length is one row and is handled whole.
+columns are left alone whatever their names; without documents there are no rows. A text of any length
+is one row and is handled whole.
 """
 
 from __future__ import annotations
@@ -213,6 +214,8 @@ def repeats(docs: DataFrame, key: list[str], text: str, *, window: int = WINDOW,
     seeded = docs.join(seeds.select(F.col("t1").alias(key[0]), F.col("t2").alias(key[1]), F.col("seeds").alias(into)), key)
     names = [*key, text, into]
     places = [seeded.columns.index(n) for n in names]
+    if any("." in c or "`" in c for c in seeded.columns):  # mapInArrow takes columns by names without quotes
+        seeded = seeded.toDF(*[f"c{i}" for i in range(len(seeded.columns))])
 
     def renamed(batches):
         for batch in batches:

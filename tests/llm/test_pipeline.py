@@ -4,6 +4,7 @@ from collections import Counter
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -62,6 +63,21 @@ def test_stages_of_nothing(spark, tables):
         assert docs.count() == 0
 
 
+def test_stages_keep_columns_of_any_name(spark, tables):
+    sf_dir, _ = tables
+    plain = queries.read(spark, sf_dir, "documents")
+    names = ["found", "class", "digest", "component_id", "kept", "words", "n", "TAILS", "hit", "item_id", "a.b"]
+    wide = plain.withColumns({f"`{name}`" if "." in name else name: F.xxhash64("doc_id", F.lit(name)) for name in names})
+    assert len(wide.columns) == 5 + len(names)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        plain, wide = (corpus_pipeline.table(stage(spark, docs, sf_dir), name) for docs in (plain, wide))
+        assert wide.columns[:5] == plain.columns and len(wide.columns) == 5 + len(names)
+        assert Counter(tuple(r)[:5] for r in wide.collect()) == Counter(tuple(r) for r in plain.collect())
+        assert wide.where(F.col("found") != F.xxhash64("doc_id", F.lit("found"))).count() == 0
+    packed = [Counter(tuple(r)[:5] for r in corpus_pipeline.pack(spark, docs, sf_dir).collect()) for docs in (plain, wide)]
+    assert packed[0] == packed[1]
+
+
 @pytest.mark.skipif(not Path(SF_DIR).exists(), reason="test data is not here")
 @pytest.mark.parametrize("name", sorted(entry.LLM_ORACLE))
 def test_query_equals_its_sql(spark, name):
