@@ -11,7 +11,9 @@ meets all of them. Documents are never shuffled.
 
 Defined results: a null or empty text has no words and no hits; an item without words has no
 window; items that repeat an id count once, an id that is null counts as the empty string;
-repeated documents each get their row; other columns are left alone whatever their names.
+repeated documents each get their row; without items nothing is hit, without documents there are no
+rows; a text of any length is handled whole, in time proportional to it; other columns are left alone
+whatever their names.
 """
 
 from __future__ import annotations

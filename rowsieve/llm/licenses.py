@@ -9,7 +9,8 @@ text with very many costs no more than their sort.
 Beside the rules there are base phrases, by words alone: their places are counted in any case.
 
 Defined results: a null or empty text has no words, no labels and score 0; repeated rows each get
-their row, a null id stays null; other columns are not read. Texts are handled whole.
+their row, a null id stays null; other columns are not read; without documents there are no rows.
+Texts are handled whole.
 """
 
 from __future__ import annotations

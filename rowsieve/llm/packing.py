@@ -10,7 +10,9 @@ key, so a shard's task has a bounded number of rows at any input size. A shard l
 sequences unfilled: under one in a thousand at this shard size.
 
 Defined results: a null or empty text is the end id alone; a repeated row is packed again; a null
-id stays null; other columns are not read; without documents there are no pieces.
+id stays null; other columns are not read; without documents there are no pieces; a very long text is
+as many full pieces as it fills, and a last one. Row numbers are those of the frame's partitions: a frame
+that a shuffle makes in another order when a task is repeated is to be written first.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ whole text; the scoring of all documents is one pass without a shuffle.
 
 Defined results: a null or empty text has no trigrams and gets the value 0 before thresholds;
 without labels every grade but the lowest is equally likely as not; repeated rows and null ids each
-get their row; other columns are left alone whatever their names.
+get their row; without documents there are no rows; a text of any length is handled whole, in time
+proportional to it; other columns are left alone whatever their names.
 """
 
 from __future__ import annotations

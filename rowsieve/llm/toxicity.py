@@ -18,8 +18,8 @@ smallest, on the ``FEATURES`` bins that tell the classes apart best.
 
 Defined results: a null or empty text has no features and gets the model's prior; without labels
 of both classes every score is the share of toxic labels (0.5 without labels); repeated rows and null
-ids each get their row, a null id is learned from; other columns are not read. Texts are
-handled whole; a token of any length is decoded in time proportional to it.
+ids each get their row, a null id is learned from; other columns are not read; without documents
+there are no rows. Texts are handled whole; a token of any length is decoded in time proportional to it.
 """
 
 from __future__ import annotations
