@@ -5,6 +5,11 @@ the last return the columns of the documents. A text that a stage empties stays
 document, so that only decisions about whole documents remove rows: the quality classifier drops
 what it rejects, near-duplicate removal all but one document of a group, decontamination documents
 that are mostly benchmark.
+
+Defined results: a null text is an empty document; rows whose id is null are never duplicates of
+others; rows of one id stay or go together as near duplicates; texts of any length are handled whole;
+without labels the classifier keeps all, without benchmark items nothing is contaminated, without
+documents each stage has no rows; other columns, whatever their names, go through all stages but the last.
 """
 
 from __future__ import annotations
