@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping
 from functools import reduce
 from operator import add, or_
@@ -41,30 +42,36 @@ def _changed(name: str, options: Mapping[str, str]) -> Column:
     return ~_canonical(F.col("_raw")[name]).eqNullSafe(typed)
 
 
-def _lost_entries(schema: T.StructType, options: Mapping[str, str]) -> Column:
-    """Entries of the raw map that are undeclared, or declared but not whole in the typed value."""
-    declared = F.array(*[F.lit(name) for name in schema.names])
+def _kept(schema: T.StructType, options: Mapping[str, str]) -> Column:
+    """The names of fields whose values are whole in the typed row."""
     nested = _nested(schema)
-    unreadable = F.array_remove(
-        F.array(
-            *[
-                F.when(
-                    _typed(name).isNull() | (_changed(name, options) if name in nested else F.lit(False)),
-                    F.lit(name),
-                ).otherwise(F.lit(""))
-                for name in schema.names
-            ]
-        ),
-        "",
-    )
-    return F.filter(
-        F.map_entries("_raw"),
-        lambda entry: entry["value"].isNotNull()
-        & (
-            ~F.array_contains(declared, entry["key"])
-            | F.array_contains(unreadable, entry["key"])
-        ),
-    )
+    lost = [_typed(name).isNull() | (_changed(name, options) if name in nested else F.lit(False)) for name in schema.names]
+    kept = F.array(*[F.when(gone & F.lit(name != ""), F.lit("")).otherwise(F.lit(name)) for name, gone in zip(schema.names, lost, strict=True)])
+    return kept if "" in schema.names else F.array_remove(kept, "")
+
+
+def _lost(kept: Column) -> Column:
+    """The entries of the raw map that have a value, and none of the ``kept`` names."""
+    return F.map_filter("_raw", lambda key, value: value.isNotNull() & ~F.array_contains(kept, key))
+
+
+def _without_fractions(text: Column, schema: T.StructType) -> Column:
+    """The line, with fractions where the schema has whole numbers under a name that is not read.
+
+    The parser throws (and builds a message and traces for) each value it cannot take, which costs more than the
+    rest of a line, and fractions are the ones that come for all lines at once. Only lines are changed
+    whose quotes surely delimit keys and values: flat objects without escapes and single quotes.
+    """
+    whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+    names = [re.escape(field.name) for field in schema.fields if isinstance(field.dataType, whole) and not set(field.name) & set("\"\\'[{")]
+    if not names:
+        return text
+    unread = "!"
+    while unread in schema.names:
+        unread += "!"
+    flat = text.contains(".") & text.rlike(r"^[^\\'\[{]*\{[^\\'\[{]*$")
+    found = rf'"(?:{"|".join(names)})":(-?[0-9]+\.[0-9]+)(?=[,}}])'
+    return F.when(flat, F.regexp_replace(text, F.lit(found), F.lit(f'"{unread}":$1'))).otherwise(text)
 
 
 def _with(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -72,19 +79,16 @@ def _with(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _as_map(entries: Column) -> Column:
-    """A map of ``entries``; of a key that a line repeats, the last value counts, as it does in
+def _last_values(found: Column) -> Column:
+    """The map without repeated keys; of a key that a line repeats, the last value counts, as it does in
     the typed parse."""
+    entries, keys = F.map_entries(found), F.array_distinct(F.map_keys(found))
 
     def last_value(key: Column) -> Column:
-        return F.element_at(F.filter(entries, lambda entry: entry["key"] == key), -1)["value"]
-
-    def from_keys(keys: Column) -> Column:
-        repeated = F.size(keys) < F.size(entries)
-        last_values = F.map_from_arrays(keys, F.transform(keys, last_value))
-        return F.when(repeated, last_values).otherwise(F.map_from_entries(entries))
+        return _with(entries, lambda all_of: F.element_at(F.filter(all_of, lambda entry: entry["key"] == key), -1)["value"])
 
-    return _with(F.array_distinct(F.transform(entries, lambda entry: entry["key"])), from_keys)
+    last = _with(keys, lambda names: F.map_from_arrays(names, F.transform(names, last_value)))
+    return F.when((F.size(found) > 1) & (F.size(keys) < F.size(found)), last).otherwise(found)
 
 
 def rescue_lines(
@@ -106,9 +110,8 @@ def rescue_lines(
     says what they are, so policies find them under whatever name.
 
     Most lines fit, and they are parsed once. Every key of a line is followed by a colon, so a
-    line with as many colons as typed values has no further key. Only lines with more colons
-    have their keys listed, and only those with an undeclared key or a bad value are parsed
-    again into the raw map.
+    line with as many colons as typed values has no further key. Only lines with more colons, or
+    with a bad or nested value, are parsed again, once: into the raw maps of their documents.
     """
     declared = as_schema(schema)
     if corrupt in declared.names or rescued in declared.names:
@@ -117,37 +120,47 @@ def rescue_lines(
     given = {key: str(value) for key, value in (options or {}).items()}
     parser = {**given, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}
     # A select per parse, so that a line is parsed once however often its values are used.
-    parsed = lines.select(
-        F.col(line).alias("_line"), F.from_json(line, target, parser).alias("_typed")
-    )
+    # Options may allow other quotes or comments; then lines are parsed as they are.
+    parsed = lines.select(F.col(line).alias("_line"), (F.col(line) if given else _without_fractions(F.col(line), declared)).alias("_read"))
+    parsed = parsed.select("_line", F.from_json("_read", target, parser).alias("_typed"), (F.col("_read") != F.col("_line")).alias("_fraction"))
 
     text = F.col("_line")
     colons = F.octet_length(text) - F.octet_length(F.replace(text, F.lit(":"), F.lit("")))
     filled = [_typed(name).isNotNull().cast("int") for name in declared.names]
     names = F.array(*[F.lit(name) for name in declared.names])
     plain = colons == reduce(add, filled, F.lit(0))
-    undeclared = F.when(plain, F.lit(False)).otherwise(
-        F.size(F.array_except(F.json_object_keys(text), names)) > 0
-    )
-    # The parser stops after the first document; a second one has a colon or does not end the object.
-    documents = F.from_json(F.concat(F.lit("["), text, F.lit("]")), T.ArrayType(T.StringType()))
-    alone = F.when(plain & F.rtrim(text).endswith("}"), F.lit(True)).otherwise(
-        F.coalesce(F.size(documents) == 1, F.lit(False))
-    )
-    broken = _typed(corrupt).isNotNull()
+    closed = plain & F.rtrim(text).endswith("}")
+    broken = _typed(corrupt).isNotNull() | F.coalesce(F.col("_fraction"), F.lit(False))
     nested = [_typed(name).isNotNull() for name in _nested(declared)]
     bad_value = reduce(or_, nested, broken)
-    as_map = F.from_json(text, T.MapType(T.StringType(), T.StringType()), given)
+    # The parser stops after the first document; a second one has a colon or does not end the object.
+    in_list = F.concat(F.lit("["), text, F.lit("]"))
+    kind = T.MapType(T.StringType(), T.StringType())
+    again = ~F.coalesce(closed, F.lit(False)) | bad_value
+    maps = F.when(again, F.from_json(in_list, T.ArrayType(kind)))
+    parsed = parsed.select("*", maps.alias("_maps"), plain.alias("_plain"), closed.alias("_closed"))
+
+    maps, plain = F.col("_maps"), F.col("_plain")
+    listed = maps.isNotNull()
+    # What is no list of objects is rare, and looked at again.
+    others = F.coalesce(F.size(F.from_json(in_list, T.ArrayType(T.StringType()))) == 1, F.lit(False))
+    alone = F.when(F.col("_closed"), F.lit(True)).otherwise(F.when(listed, F.size(maps) == 1).otherwise(others))
+    keys = F.when(listed, F.map_keys(F.get(maps, F.lit(0)))).otherwise(F.json_object_keys(text))
+    undeclared = F.when(plain, F.lit(False)).otherwise(F.size(F.array_except(keys, names)) > 0)
+    as_map = F.from_json(text, kind, given) if given else F.when(listed, F.get(maps, F.lit(0))).otherwise(F.from_json(text, kind))
     raw = F.when(alone & (bad_value | undeclared), as_map)
-    parsed = parsed.select("_line", "_typed", raw.alias("_raw"), alone.alias("_alone"))
+    parsed = parsed.select("_line", "_typed", "_fraction", raw.alias("_raw"), alone.alias("_alone"))
+    parsed = parsed.select("*", F.when(F.col("_raw").isNotNull(), _kept(declared, given)).alias("_kept"))
+    # Asked for twice, what is kept stays a column of its own, and is not made again for each entry.
+    lost = F.when(F.col("_kept").isNotNull(), _lost(F.col("_kept")))
+    parsed = parsed.select("_line", "_typed", "_fraction", "_alone", lost.alias("_lost"))
 
-    no_map = F.col("_raw").isNull()
+    no_map = F.col("_lost").isNull()
     corrupted = no_map & (~F.col("_alone") | broken)
     nothing = F.create_map().cast("map<string,string>")
-    lost = F.when(~no_map, _with(_lost_entries(declared, given), _as_map))
     return parsed.select(
         *[F.when(F.col("_alone"), _typed(name)).alias(name) for name in declared.names],
-        F.when(no_map & ~corrupted, nothing).otherwise(lost).alias(rescued, metadata=LEFTOVER_METADATA),
+        F.when(no_map & ~corrupted, nothing).otherwise(_last_values(F.col("_lost"))).alias(rescued, metadata=LEFTOVER_METADATA),
         F.when(corrupted, text).alias(corrupt, metadata=LEFTOVER_METADATA),
     )
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from rowsieve.functions.people import PERSON_SCHEMA
 from rowsieve.sources.files import (
     BATCH_BYTES,
+    as_schema,
     bounded,
     empty_like,
     file_stream,
@@ -18,7 +19,7 @@ from rowsieve.sources.files import (
     read_files,
     read_variant,
 )
-from rowsieve.sources.rescue import read_json_rescued, rescue_lines
+from rowsieve.sources.rescue import _without_fractions, read_json_rescued, rescue_lines
 from rowsieve.streaming.loads import append_stream
 
 from conftest import plan_of
@@ -57,6 +58,29 @@ def test_rescue_columns_can_be_read_alone(spark):
         ]
 
 
+FRACTIONS = [
+    # line, whether the parser is spared its fractions, and name, age, rescued, corrupt
+    ('{"name":"a.b","age":45.5}', True, ("a.b", None, {"age": "45.5"}, None)),
+    ('{"age":45.5,"age":3}', True, (None, 3, {}, None)),
+    ('{"age":3,"age":45.5}', True, (None, 3, {}, None)),
+    ('{"age":1.5,"x":1,"x":2}', True, (None, None, {"age": "1.5", "x": "2"}, None)),
+    ('{"age": 1.5}', False, (None, None, {"age": "1.5"}, None)),
+    ('{"name":"\\"age\\":1.5,"}', False, ('"age":1.5,', None, {}, None)),
+    ("{'name':'\"age\":1.5,'}", False, ('"age":1.5,', None, {}, None)),
+    ('{"name":{"age":1.5},"age":2}', False, ('{"age":1.5}', 2, {}, None)),
+    ('{"age":1.5,"!":2}', True, (None, None, {"age": "1.5", "!": "2"}, None)),
+    ('{"age":1.5} x', True, (None, None, None, '{"age":1.5} x')),
+]
+
+
+def test_fractions_of_whole_numbers_are_rescued_without_a_parser_error(spark):
+    schema = as_schema("name STRING, age INT")
+    df = spark.createDataFrame([(line,) for line, _, _ in FRACTIONS], "value STRING").coalesce(1)
+    assert [tuple(row) for row in rescue_lines(df, schema).collect()] == [row for _, _, row in FRACTIONS]
+    read = df.select(_without_fractions(F.col("value"), schema).alias("read"), "value").collect()
+    assert [row.read != row["value"] for row in read] == [spared for _, spared, _ in FRACTIONS]
+
+
 def test_rescue_reserves_its_columns(spark):
     df = spark.createDataFrame([("{}",)], "value STRING")
     with pytest.raises(ValueError, match="reserved"):
