@@ -106,3 +106,12 @@ def test_each_chunk_is_answered_in_the_order_it_asks_in():
         assert list(zip(n, score, strict=True)) == [of[h] for h in sorted(mixing._hashes(used).tolist())]
         # Chunk 0: ^a, ab, ba and a$ of a training text, ^b, bc and c$; chunk 1: ^a, ab, b$, ^$, ^d and d$.
         assert sorted(followed) == ([0, 0, 0, 1, 1, 2, 2] if chunk == 0 else [0, 0, 1, 1, 2, 2])
+
+
+def test_packed_values_are_read_back():
+    """None, few, alike and random ones; random bytes are not compressed."""
+    numbers = np.random.default_rng(5)
+    for values in (np.zeros(0, np.uint64), np.zeros(5, np.uint64), numbers.integers(0, 2**63, 5000).astype(np.uint64), np.arange(5000, dtype=np.int64), np.arange(300) / 7):
+        raw = pa.scalar(mixing._packed(values), pa.binary())
+        assert mixing._unpacked(raw, values.dtype.str).tolist() == values.tolist()
+        assert len(raw.as_py()) <= values.nbytes + 64 + 16 * 8
